@@ -240,7 +240,7 @@ def payment_behaviour(
     )
 
 
-def pipeline_aging(
+def open_deal_aging(
     df: DataFrame, stage: str, open_stages: Iterable[str], expected: str, amount: str, as_of: Column
 ) -> DataFrame:
     """Open rows past their expected date: count, value, mean days over.

@@ -8,7 +8,7 @@ PARTITION BY run over one row per shuffle partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesops.session import materialize
@@ -23,6 +23,30 @@ def _ahead(order: str) -> Window:
     return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def number_rows(rows: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """1-based global row number in an order that has no ties.
+
+    End the order with a unique column: the range partitions are cut on all of
+    it, so rows that share the first columns spread over several partitions.
+    """
+    row_id = F.monotonically_increasing_id()
+    placed = materialize(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row_id", row_id)
+    ).select(
+        *rows.columns,
+        F.shiftright("_row_id", _ROW_BITS).alias("_range"),
+        F.col("_row_id").bitwiseAND((1 << _ROW_BITS) - 1).alias("_index"),
+    )
+    ahead = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = ahead.select(
+        F.col("_range").alias("_in_range"),
+        F.coalesce(F.sum("_rows").over(_ahead("_range")), F.lit(0)).alias("_rows_ahead"),
+    )
+    return placed.join(F.broadcast(offsets), F.col("_range") == F.col("_in_range")).select(
+        *rows.columns, (F.col("_rows_ahead") + F.col("_index") + 1).cast("bigint").alias(name)
+    )
+
+
 def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
     """1-based position of each distinct value within its group, in code-point order.
 

@@ -210,10 +210,10 @@ def payment_behaviour_short(t: Tables) -> DataFrame:
     )
 
 
-def pipeline_aging(t: Tables) -> DataFrame:
+def open_deal_aging(t: Tables) -> DataFrame:
     deals = t["Opportunity"].select("stage_id", "expected_close_date", "opportunity_amount").join(t["Stage"], "stage_id")
     as_of = t["Orders"].agg(F.max("order_date")).scalar()
-    return a.pipeline_aging(deals, "stage", OPEN_STAGES, "expected_close_date", "opportunity_amount", as_of)
+    return a.open_deal_aging(deals, "stage", OPEN_STAGES, "expected_close_date", "opportunity_amount", as_of)
 
 
 def revenue_fanout(t: Tables) -> DataFrame:
@@ -254,7 +254,7 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
         above_city_mean_short,
         payment_behaviour,
         payment_behaviour_short,
-        pipeline_aging,
+        open_deal_aging,
         revenue_fanout,
         territory_reconciliation,
     )
