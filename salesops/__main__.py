@@ -9,7 +9,7 @@ from salesops.operators.integrity import IntegrityError, require_no_violations
 from salesops.plans import model, verify
 from salesops.plans.clean import clean_model
 from salesops.plans.reports import REPORTS
-from salesops.session import build_session
+from salesops.session import build_session, clear_scratch
 from salesops.sources import load_catalog, read_catalog, rebuild, register_tables, table_counts
 
 
@@ -31,6 +31,7 @@ def main() -> int:
         tables, audit = clean_model(read_catalog(spark, args.raw, ordinal=True))
         rebuild(tables, args.out, "csv")
         audit.show(1000, truncate=False)
+        clear_scratch(spark)
         return 0
     tables = verify.with_defaults(load_catalog(spark, args.tables, model.SCHEMAS))
     if args.command == "verify":
@@ -46,6 +47,7 @@ def main() -> int:
     for name in args.names or REPORTS:
         print(name)
         REPORTS[name](tables).show(100, truncate=False)
+    clear_scratch(spark)
     return 0
 
 

@@ -89,19 +89,25 @@ def mix(df: DataFrame, group: str, key: str, qty: str, label: str) -> DataFrame:
     )
 
 
-def rep_leaderboard(facts: DataFrame, rep: str, name: str, key: str, amount: str, rate: str) -> DataFrame:
+def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: DataFrame) -> DataFrame:
     """A1: per rep deals, revenue, share, estimated commission, and both ranks.
 
-    The facts are aggregated once and stored; ranks and the total read the
-    stored rows, so nothing passes through a window over all reps.
+    ``reps`` has the columns rep, ``user_name`` and ``rate`` (percent). The facts
+    are reduced to one row per rep before they meet ``reps``, and that result is
+    stored; ranks and the total read the stored rows, so nothing passes through
+    a window over all reps.
     """
-    reps = materialize(
-        facts.groupBy(rep, F.col(name).alias("user_name"), F.col(rate).cast("double").alias("_rate"))
-        .agg(F.countDistinct(key).alias("deals"), F.sum(amount).alias("revenue"))
-        .withColumn("_earned", F.col("revenue").cast("double") * F.col("_rate"))
+    totals = facts.groupBy(rep).agg(F.countDistinct(key).alias("deals"), F.sum(amount).alias("revenue"))
+    stored = materialize(
+        totals.join(reps, rep).select(
+            "user_name",
+            "deals",
+            "revenue",
+            (F.col("revenue").cast("double") * F.col("rate").cast("double")).alias("_earned"),
+        )
     )
-    total = reps.agg(F.sum("revenue")).scalar()
-    ranked = add_ranks(reps, {"revenue_rank": "revenue", "commission_rank": "_earned"})
+    total = stored.agg(F.sum("revenue")).scalar()
+    ranked = add_ranks(stored, {"revenue_rank": "revenue", "commission_rank": "_earned"})
     return ranked.select(
         "user_name",
         "deals",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesops.functions import format_key, is_blank, md5_modulo
 from salesops.operators.ordering import number_values
-from salesops.session import small_side
+from salesops.session import materialize, small_side
 
 # Texts that mean "no value" in a lookup.
 LOOKUP_SENTINELS = ("", "Na", "NA", "N/A", "nan", "None")
@@ -38,7 +38,7 @@ def build_dimensions(lookups: Mapping[str, tuple[DataFrame, str, str, str, Itera
 
     ``lookups`` maps a name to (frame, id column, value column, prefix,
     sentinels). All values are numbered together, grouped by lookup, so the
-    cost is one shuffle and one checkpoint for all of them.
+    cost is one shuffle for all of them. The dimensions are stored.
     """
     union = None
     for name, (lookup, _, value_col, _, sentinels) in lookups.items():
@@ -47,7 +47,7 @@ def build_dimensions(lookups: Mapping[str, tuple[DataFrame, str, str, str, Itera
             F.lit(name).alias("_lookup"), F.coalesce(value, F.lit("")).alias("_value")
         )
         union = part if union is None else union.unionByName(part)
-    numbered = number_values(union, "_lookup", "_value")
+    numbered = materialize(number_values(union, "_lookup", "_value"))
     return {
         name: numbered.where(F.col("_lookup") == name).select(
             format_key(prefix, "position").alias(id_col), F.col("_value").alias(value_col)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions import total_or_zero
+from salesops.session import small_side
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,12 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return union
 
 
+def _key_type(columns: Iterable[tuple[DataFrame, str]]) -> str:
+    """BIGINT if all keys are integers, else text."""
+    integers = {"tinyint", "smallint", "int", "bigint"}
+    return "bigint" if all(dict(df.dtypes)[c] in integers for df, c in columns) else "string"
+
+
 def _key_text(columns: Iterable[str]) -> Column:
     """A key of one or several columns as one text; NULL if any part is."""
     parts = [F.col(c).cast("string") for c in columns]
@@ -50,6 +57,9 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKe
     """
     keys = list(keys)
     session = next(iter(tables.values())).sparkSession
+    key_type = _key_type(
+        [(tables[k.child], k.column) for k in keys] + [(tables[k.parent], k.parent_key) for k in keys]
+    )
     references = []
     for child in dict.fromkeys(k.child for k in keys):
         own = [k for k in keys if k.child == child]
@@ -58,7 +68,7 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKe
                 F.struct(
                     F.lit(k.column).alias("fk"),
                     F.lit(k.parent).alias("parent"),
-                    F.col(k.column).cast("string").alias("key"),
+                    F.col(k.column).cast(key_type).alias("key"),
                 )
                 for k in own
             ]
@@ -70,7 +80,7 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKe
     parents = dict.fromkeys((k.parent, k.parent_key) for k in keys)
     present = _union(
         tables[parent].select(
-            F.lit(parent).alias("_parent"), F.col(pk).cast("string").alias("_key")
+            F.lit(parent).alias("_parent"), F.col(pk).cast(key_type).alias("_key")
         )
         for parent, pk in parents
     )
@@ -193,10 +203,10 @@ def cascade_delete(
 ) -> dict[str, DataFrame]:
     """V8: remove rows of ``root`` and all their descendants over cascading keys.
 
-    ``keys`` come parents first. Only the removed primary keys travel down; a
-    row without a parent key stays. Tables out of reach are returned unchanged.
+    ``keys`` come parents first. Only the removed primary keys travel down, and
+    they are broadcast if they are few; a row without a parent key stays. Tables out of reach are returned unchanged.
     """
-    removed = {root: root_keys.toDF("_removed")}
+    removed = {root: small_side(root_keys.toDF("_removed"))}
     for key in keys:
         if not key.cascade or key.parent not in removed:
             continue
@@ -205,7 +215,8 @@ def cascade_delete(
             .join(removed[key.parent], F.col(key.column) == F.col("_removed"), "left_semi")
             .select(F.col(primary_keys[key.child]).alias("_removed"))
         )
-        removed[key.child] = removed[key.child].unionByName(gone) if key.child in removed else gone
+        known = removed.get(key.child)
+        removed[key.child] = small_side((known.unionByName(gone) if known is not None else gone).distinct())
     return {
         name: df.join(removed[name], F.col(primary_keys[name]) == F.col("_removed"), "left_anti")
         if name in removed

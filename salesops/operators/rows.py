@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions import is_blank, null_if_sentinel
+from salesops.session import is_small, materialize, small_side
 
 # Texts that stand for a missing date.
 DATE_SENTINELS = ("Na", "NA", "N/A", "nan", "None")
@@ -18,17 +19,38 @@ def _as_list(names: str | Iterable[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _same_key(pk: list[str]) -> Column:
+    """Equality with the columns ``_0``, ``_1`` ... of the other side; NULL equals NULL."""
+    condition = F.lit(True)
+    for i, c in enumerate(pk):
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return condition
+
+
+def _last_per_key(df: DataFrame, pk: list[str], ordinal: Column) -> DataFrame:
+    row = F.struct(*[F.col(c) for c in df.columns if c not in pk])
+    last = df.groupBy(*pk).agg(F.max_by(row, ordinal).alias("_row"))
+    return last.select(*[F.col(c) if c in pk else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
-    """One row per key, the last by ``ordinal``.
+    """One row per key, the last by ``ordinal``. NULL keys are one key.
 
-    ``max_by`` merges on the map side, so a key that holds a large share of the
-    rows reaches the shuffle as one row per task. NULL keys are one key.
+    Repeated keys are counted on the key columns alone. If they are few, whole
+    rows are shuffled only for them and all other rows just pass a broadcast
+    anti join; otherwise every row takes the aggregation. That one merges on the
+    map side, so a key with a large share of the rows reaches the shuffle as one
+    row per task. ``df`` is read up to three times: pass a scan or a stored frame.
     """
     pk = _as_list(pk)
     ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    row = F.struct(*[F.col(c) for c in df.columns if c not in pk])
-    last = df.groupBy(*pk).agg(F.max_by(row, ordinal).alias("_row"))
-    return last.select(*[F.col(c) if c in pk else F.col("_row")[c].alias(c) for c in df.columns])
+    counted = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counted.where("_n > 1").drop("_n"))
+    if not is_small(repeated):
+        return _last_per_key(df, pk, ordinal)
+    repeated = F.broadcast(repeated)
+    single = df.join(repeated, _same_key(pk), "left_anti")
+    return single.unionByName(_last_per_key(df.join(repeated, _same_key(pk), "left_semi"), pk, ordinal))
 
 
 def duplicate_report(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
@@ -90,29 +112,28 @@ def require_non_blank(df: DataFrame, column: str) -> DataFrame:
 def drop_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Keep rows whose key exists in the parent, and rows without a key.
 
-    Rows without a key skip the join altogether, so they cannot pile up in the
-    partition of NULL. ``child`` is read twice: pass a stored frame.
+    Only distinct keys are compared with the parent, so a key that many rows
+    share is one row there and whole child rows need no shuffle: the orphan
+    keys, if few, are broadcast into an anti join, which lets rows without a
+    key pass. ``child`` is read twice: pass a scan or a stored frame.
     """
-    without_key = child.where(is_blank(fk))
     keys = parent.select(F.col(pk).alias("_parent_key"))
-    linked = child.where(~is_blank(fk)).join(keys, F.col(fk) == F.col("_parent_key"), "left_semi")
-    return linked.unionByName(without_key)
+    references = child.where(~is_blank(fk)).select(F.col(fk).alias("_orphan")).distinct()
+    orphans = small_side(references.join(keys, F.col("_orphan") == F.col("_parent_key"), "left_anti"))
+    return child.join(orphans, F.col(fk) == F.col("_orphan"), "left_anti")
 
 
 def drop_orphans_chain(
-    tables: Mapping[str, DataFrame],
-    edges: Iterable[tuple[str, str, str, str]],
-    store=None,
+    tables: Mapping[str, DataFrame], edges: Iterable[tuple[str, str, str, str]]
 ) -> dict[str, DataFrame]:
     """N13 along (child, fk, parent, pk) edges, given parents first.
 
-    ``store`` cuts the lineage after each edge (see ``session.materialize``);
-    without it the plan doubles with each level.
+    Each step stores its orphan keys only, which also cuts the lineage: a level
+    is its own table minus stored keys, however long the chain is.
     """
     kept = dict(tables)
     for child, fk, parent, pk in edges:
-        reduced = drop_orphans(kept[child], fk, kept[parent], pk)
-        kept[child] = store(reduced) if store else reduced
+        kept[child] = drop_orphans(kept[child], fk, kept[parent], pk)
     return kept
 
 

@@ -29,6 +29,7 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     steps matters: repoint, keep last, blank rows, orphans.
     """
     tables = dict(raw)
+    stored: dict[str, DataFrame] = {}
     audit: list[DataFrame] = []
 
     # 1. Dimensions and the keys that use them. All dimensions are numbered together.
@@ -65,9 +66,10 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         mapping = dim.key_mapping(id_map, clean["City"], "city_id", "city_name")
         old = f"{kind.lower()}_city_id"
         via = repair_prefix(old, *repair) if repair else F.col(old)
-        tables[table] = materialize(dim.relink(raw[table], old, mapping, "city_id", via))
-        audit.append(rows.row_count(tables[table], "city", table, "total_rows"))
-        audit.append(rows.row_count(tables[table].where("city_id is not null"), "city", table, "resolved"))
+        linked = materialize(dim.relink(raw[table], old, mapping, "city_id", via))
+        audit.append(rows.row_count(linked, "city", table, "total_rows"))
+        audit.append(rows.row_count(linked.where("city_id is not null"), "city", table, "resolved"))
+        tables[table] = stored[table] = linked
 
     # 3. Job titles: genuine references are kept, the rest is filled by hash.
     if "JobTitle" in clean:
@@ -84,15 +86,16 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         )
         audit.append(rows.row_count(filled.where("_genuine"), "job title", "Customer", "kept"))
         audit.append(rows.row_count(filled.where("not _genuine"), "job title", "Customer", "filled"))
-        tables["Customer"] = filled.drop("_genuine")
+        tables["Customer"] = stored["Customer"] = filled.drop("_genuine")
 
     # 4. One row per key, sentinels, blank rows.
     entities = [t for t in model.SCHEMAS if t not in model.DIMENSIONS and t in tables]
     for table in entities:
-        df = tables[table]
+        # Stored once with its new keys; the steps below read it column by column.
+        before = df = stored[table] if table in stored else materialize(tables[table])
         if table in model.REPEATED_KEYS:
-            df = materialize(rows.dedupe_keep_last(df, model.PRIMARY_KEYS[table], ORDINAL))
-            audit += rows.before_after("keep last", table, raw[table], df)
+            df = rows.dedupe_keep_last(before, model.PRIMARY_KEYS[table], ORDINAL)
+            audit += rows.before_after("keep last", table, before, df)
         df = rows.null_sentinels(df)
         if table in model.REQUIRED:
             filled_rows = rows.require_non_blank(df, model.REQUIRED[table])
@@ -100,11 +103,11 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
             df = filled_rows
         clean[table] = df
 
-    # 5. Orphans, parents first; each level is stored before the next one reads it.
+    # 5. Orphans, parents first.
     for child, fk, parent, pk in model.ORPHAN_LINKS:
         if child not in clean or parent not in clean:
             continue
-        kept = materialize(rows.drop_orphans(clean[child], fk, clean[parent], pk))
+        kept = rows.drop_orphans(clean[child], fk, clean[parent], pk)
         audit += rows.before_after(f"orphans {fk}", child, clean[child], kept)
         clean[child] = kept
 

@@ -274,7 +274,6 @@ def drop_orphans_chain(t: GivenTables) -> DataFrame:
             "lineitem": t["lineitem"].select("l_orderkey", "l_linenumber"),
         },
         [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")],
-        store=materialize,
     )
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n") for name, df in kept.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])

@@ -150,10 +150,11 @@ FROM rep"""
 
 @query(_REP)
 def rep_leaderboard(t: GivenTables) -> DataFrame:
-    lines = t["lineitem"].select("l_orderkey", "l_suppkey", money("l_extendedprice").alias("amount"))
-    reps = t["supplier"].select("s_suppkey", "s_name", (F.col("s_suppkey") % 20 + 1).alias("rate"))
-    facts = lines.join(reps, F.col("l_suppkey") == F.col("s_suppkey"))
-    return a.rep_leaderboard(facts, "s_suppkey", "s_name", "l_orderkey", "amount", "rate")
+    lines = t["lineitem"].select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), money("l_extendedprice").alias("amount"))
+    reps = t["supplier"].select(
+        "s_suppkey", F.col("s_name").alias("user_name"), (F.col("s_suppkey") % 20 + 1).alias("rate")
+    )
+    return a.rep_leaderboard(lines, "s_suppkey", "l_orderkey", "amount", reps)
 
 
 @query(f"{_REP} ORDER BY revenue_rank, user_name LIMIT 10")

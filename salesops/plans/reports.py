@@ -110,9 +110,10 @@ def warranty_mix(t: Tables) -> DataFrame:
 
 
 def rep_leaderboard(t: Tables) -> DataFrame:
-    facts = _invoiced(t).join(t["Users"].select("user_id", "user_name", "commission_rate"), "user_id")
-    rated = facts.withColumn("_percent", F.col("commission_rate").try_cast("double"))
-    return a.rep_leaderboard(rated, "user_id", "user_name", "order_id", "total_amount", "_percent")
+    rate = F.col("commission_rate").try_cast("double").alias("rate")
+    return a.rep_leaderboard(
+        _invoiced(t), "user_id", "order_id", "total_amount", t["Users"].select("user_id", "user_name", rate)
+    )
 
 
 def rep_leaderboard_head(t: Tables) -> DataFrame:

@@ -76,35 +76,51 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/salesops/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/salesops/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediates of this application, once its results are written."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+    """Cut the lineage by writing a table to the shared folder and reading it back.
 
     Frames that are read more than once, or whose row placement must not change
-    between two reads, go through here. The copy lives on shared storage, so a
-    lost executor never leads to a second, different evaluation.
+    between two reads, go through here. The table outlives any executor, so a
+    lost one never leads to a second, different evaluation. Later reads fetch
+    only the columns they need, and the planner knows the true size.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, stored: bool = False) -> DataFrame:
-    """A join side that is broadcast only if its measured size is small.
-
-    The frame is materialised once (unless the caller has done so), counted and
-    measured; beyond the bounds it is returned without a hint and Spark plans a
-    shuffle join.
-    """
-    stored = df if stored else materialize(df)
+def is_small(stored: DataFrame) -> bool:
+    """Whether a materialised frame is within both broadcast bounds, by measurement."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16) for c in stored.columns),
         F.lit(0),
     )
     rows, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    if rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
-        return F.broadcast(stored)
-    return stored
+    return rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+
+
+def small_side(df: DataFrame, stored: bool = False) -> DataFrame:
+    """A join side that is broadcast only if its measured size is small.
+
+    The frame is materialised once (unless the caller has done so) and measured;
+    beyond the bounds it is returned without a hint and Spark plans a shuffle
+    join.
+    """
+    side = df if stored else materialize(df)
+    return F.broadcast(side) if is_small(side) else side
