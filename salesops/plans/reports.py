@@ -16,7 +16,7 @@ Tables = Mapping[str, DataFrame]
 # Discount bands (inclusive upper bound, label) and open stages.
 DISCOUNT_BANDS = [(5, "0-5%"), (10, "6-10%"), (15, "11-15%"), (None, "16-25%")]
 OPEN_STAGES = ["Prospecting", "Negotiation"]
-WON = F.lit("Won")
+WON = "Won"
 
 
 def _sales_lines(t: Tables) -> DataFrame:
