@@ -31,24 +31,52 @@ def percent(part: Column | str, whole: Column | str, digits: int = 1) -> Column:
     return round_half_up(ratio, digits)
 
 
-def mean(value: Column | str) -> Column:
+def minor_units(value: Column | str, minor: int = 100) -> Column:
+    """A DOUBLE amount as a whole number of minor units (cents).
+
+    Integers are summed exactly and much faster than decimals; a sum beyond
+    BIGINT raises an error. For amounts with no more digits than ``minor`` has.
+    """
+    return F.rint(_column(value) * F.lit(float(minor))).cast("bigint")
+
+
+def major_units(value: Column | str, minor: int = 1) -> Column:
+    """Minor units back to the amount; ``minor=1`` leaves the value and its type."""
+    value = _column(value)
+    return value if minor == 1 else value.cast("double") / F.lit(float(minor))
+
+
+def mean(value: Column | str, minor: int = 1) -> Column:
     """Average as exact sum over count.
 
     For decimal and integer input the sum is exact, so the result does not
     depend on the order in which partitions are merged.
     """
     value = _column(value)
-    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+    total = major_units(F.sum(value), minor).cast("double")
+    return F.try_divide(total, F.count(value).cast("double"))
 
 
 def total_or_zero(value: Column | str) -> Column:
     return F.coalesce(F.sum(_column(value)), F.lit(0))
 
 
+def quarter_number(date: Column | str) -> Column:
+    """Quarters counted from year 0: a cheap grouping key."""
+    date = _column(date)
+    return F.year(date) * 4 + F.quarter(date) - 1
+
+
+def quarter_text(number: Column | str) -> Column:
+    """``YYYY-Qn`` of a quarter number."""
+    number = _column(number)
+    year = F.floor(number / 4).cast("string")
+    return F.concat(year, F.lit("-Q"), (F.pmod(number, F.lit(4)) + 1).cast("string"))
+
+
 def quarter_label(date: Column | str) -> Column:
     """``YYYY-Qn`` of a date."""
-    date = _column(date)
-    return F.concat(F.year(date).cast("string"), F.lit("-Q"), F.quarter(date).cast("string"))
+    return quarter_text(quarter_number(date))
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

@@ -1,5 +1,6 @@
 """The business questions as operators. Columns are arguments, so one function
-serves any schema; money is summed as the caller's type (decimals are exact).
+serves any schema. Money comes as decimals, or as integers in ``1/minor`` units;
+both are summed exactly.
 
 Equal results are ordered by the group as a last key, so output is stable."""
 
@@ -10,22 +11,35 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesops.functions import days_between, mean, percent, quarter_label, round_half_up
+from salesops.functions import (
+    days_between,
+    major_units,
+    mean,
+    percent,
+    quarter_number,
+    quarter_text,
+    round_half_up,
+)
 from salesops.operators.ordering import add_ranks, expand_positions, ordered_totals
 from salesops.session import materialize, small_side
 
 
 def period_sales(
-    lines: DataFrame, date: str, category: str, parent_key: str, qty: str, amount: str, label: str = "category"
-) -> DataFrame:
-    """Q1: quarter x category at line grain: distinct parents, units, revenue."""
+    lines: DataFrame, date: str, category: str, parent_key: str, qty: str, amount: str, label: str = "category",
+    minor: int = 1,
+) -> DataFrame:
+    """Q1: quarter x category at line grain: distinct parents, units, revenue.
+
+    Lines are grouped by a quarter number; its text is made per result row.
+    """
     return (
-        lines.groupBy(quarter_label(date).alias("quarter"), F.col(category).alias(label))
+        lines.groupBy(quarter_number(date).alias("_quarter"), F.col(category).alias(label))
         .agg(
             F.countDistinct(parent_key).alias("orders"),
             F.sum(qty).alias("units_sold"),
-            F.sum(amount).alias("revenue"),
+            major_units(F.sum(amount), minor).alias("revenue"),
         )
+        .select(quarter_text("_quarter").alias("quarter"), label, "orders", "units_sold", "revenue")
         .orderBy("quarter", F.desc("revenue"), label)
     )
 
@@ -40,14 +54,14 @@ def head_ordered(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFr
     return df.orderBy(*order).limit(k)
 
 
-def leaderboard(facts: DataFrame, group: str, key: str, amount: str) -> DataFrame:
+def leaderboard(facts: DataFrame, group: str, key: str, amount: str, minor: int = 1) -> DataFrame:
     """Q2: per group distinct orders, total and average amount."""
     return (
         facts.groupBy(group)
         .agg(
             F.countDistinct(key).alias("total_orders"),
-            F.sum(amount).alias("total_revenue"),
-            round_half_up(mean(amount), 0).alias("avg_order_value"),
+            major_units(F.sum(amount), minor).alias("total_revenue"),
+            round_half_up(mean(amount, minor), 0).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_revenue"), group)
     )
@@ -89,7 +103,7 @@ def mix(df: DataFrame, group: str, key: str, qty: str, label: str) -> DataFrame:
     )
 
 
-def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: DataFrame) -> DataFrame:
+def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: DataFrame, minor: int = 1) -> DataFrame:
     """A1: per rep deals, revenue, share, estimated commission, and both ranks.
 
     ``reps`` has the columns rep, ``user_name`` and ``rate`` (percent). The facts
@@ -103,7 +117,7 @@ def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: Dat
             "user_name",
             "deals",
             "revenue",
-            (F.col("revenue").cast("double") * F.col("rate").cast("double")).alias("_earned"),
+            (major_units("revenue", minor).cast("double") * F.col("rate").cast("double")).alias("_earned"),
         )
     )
     total = stored.agg(F.sum("revenue")).scalar()
@@ -111,15 +125,15 @@ def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: Dat
     return ranked.select(
         "user_name",
         "deals",
-        "revenue",
+        major_units("revenue", minor).alias("revenue"),
         "revenue_rank",
-        percent("revenue", total).alias("pct_of_total"),
+        percent(major_units("revenue", minor), major_units(total, minor)).alias("pct_of_total"),
         round_half_up(F.try_divide(F.col("_earned"), F.lit(100.0)), 0).alias("est_commission"),
         "commission_rank",
     ).orderBy("revenue_rank", "user_name")
 
 
-def pareto_curve(facts: DataFrame, entity: str, amount: str) -> DataFrame:
+def pareto_curve(facts: DataFrame, entity: str, amount: str, minor: int = 1) -> DataFrame:
     """A2: cumulative share of entities against cumulative share of the amount.
 
     Entities with the same amount are alike in the result, so the curve is
@@ -132,7 +146,7 @@ def pareto_curve(facts: DataFrame, entity: str, amount: str) -> DataFrame:
         .select(
             F.col("position").alias("rank"),
             percent("position", "all_rows").alias("pct_accounts"),
-            percent("running_total", "all_total").alias("pct_revenue_cum"),
+            percent(major_units("running_total", minor), major_units("all_total", minor)).alias("pct_revenue_cum"),
         )
         .orderBy("rank")
     )
@@ -225,8 +239,9 @@ def above_group_mean(
 
 
 def payment_behaviour(
-    df: DataFrame, method: str, issued: str, due: str, paid: str, fee: str, overdue_count: bool = True
-) -> DataFrame:
+    df: DataFrame, method: str, issued: str, due: str, paid: str, fee: str, overdue_count: bool = True,
+    minor: int = 1,
+) -> DataFrame:
     """Paid documents per method: overdue share, days to pay, late fees."""
     rows = F.count(F.lit(1))
     late = F.sum(F.when(F.col(paid) > F.col(due), 1).otherwise(0))
@@ -236,7 +251,7 @@ def payment_behaviour(
     measures += [
         percent(late, rows).alias("overdue_pct"),
         round_half_up(mean(days_between(paid, issued)), 0).alias("avg_days_to_pay"),
-        round_half_up(F.sum(fee), 0).alias("total_late_fees"),
+        round_half_up(major_units(F.sum(fee), minor), 0).alias("total_late_fees"),
     ]
     return (
         df.where(F.col(paid).isNotNull())
@@ -247,8 +262,9 @@ def payment_behaviour(
 
 
 def open_deal_aging(
-    df: DataFrame, stage: str, open_stages: Iterable[str], expected: str, amount: str, as_of: Column
-) -> DataFrame:
+    df: DataFrame, stage: str, open_stages: Iterable[str], expected: str, amount: str, as_of: Column,
+    minor: int = 1,
+) -> DataFrame:
     """Open rows past their expected date: count, value, mean days over.
 
     ``as_of`` is a date or a one-value subquery.
@@ -261,7 +277,7 @@ def open_deal_aging(
         .groupBy("stage")
         .agg(
             F.count(F.lit(1)).alias("stuck_deals"),
-            round_half_up(F.sum("_amount"), 0).alias("pipeline_value"),
+            round_half_up(major_units(F.sum("_amount"), minor), 0).alias("pipeline_value"),
             round_half_up(mean("_days"), 0).alias("avg_days_overdue"),
         )
         .orderBy(F.desc("pipeline_value"), "stage")

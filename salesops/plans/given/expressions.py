@@ -130,7 +130,7 @@ def join_six_tables(t: GivenTables) -> DataFrame:
     """Lines are reduced per order and type before they meet orders and customers."""
     parts = t["part"].select("p_partkey", "p_type")
     per_order = (
-        t["lineitem"].select("l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
+        t["lineitem"].select("l_orderkey", "l_partkey", sf.minor_units("l_extendedprice").alias("amount"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey", "p_type")
         .agg(F.sum("amount").alias("amount"))
@@ -141,7 +141,7 @@ def join_six_tables(t: GivenTables) -> DataFrame:
         per_order.join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("r_name", "n_name", "p_type")
-        .agg(F.sum("amount").alias("revenue"))
+        .agg(sf.major_units(F.sum("amount"), 100).alias("revenue"))
     )
 
 
@@ -457,7 +457,7 @@ def thousands_separator(t: GivenTables) -> DataFrame:
 
     totals = orders_by_nation(t).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
     return totals.select(
-        "n_name", sf.thousands("n").alias("orders"), sf.thousands(F.floor("total")).alias("revenue")
+        "n_name", sf.thousands("n").alias("orders"), sf.thousands(F.floor(F.col("total") / 100)).alias("revenue")
     )
 
 

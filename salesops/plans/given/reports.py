@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesops.functions import minor_units
 from salesops.operators import analytics as a
 from salesops.plans.given.registry import (
     GivenTables,
@@ -26,7 +27,7 @@ BANDS = [(2, "0-2%"), (5, "3-5%"), (8, "6-8%"), (None, "9-10%")]
 
 def sales_lines(t: GivenTables) -> DataFrame:
     lines = t["lineitem"].select(
-        "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("qty"), money("l_extendedprice").alias("amount")
+        "l_orderkey", "l_partkey", F.col("l_quantity").cast("bigint").alias("qty"), minor_units("l_extendedprice").alias("amount")
     )
     parts = t["part"].select("p_partkey", "p_type")
     orders = t["orders"].select("o_orderkey", "o_orderdate")
@@ -44,7 +45,7 @@ _Q1 = f"""SELECT {sql_quarter("o_orderdate")} AS quarter, p_type AS category,
 
 @query(_Q1)
 def quarterly_sales_by_category(t: GivenTables) -> DataFrame:
-    return a.period_sales(sales_lines(t), "o_orderdate", "p_type", "o_orderkey", "qty", "amount")
+    return a.period_sales(sales_lines(t), "o_orderdate", "p_type", "o_orderkey", "qty", "amount", minor=100)
 
 
 _PIVOT = ", ".join(
@@ -64,7 +65,7 @@ def quarterly_sales_head(t: GivenTables) -> DataFrame:
 
 
 def orders_by_nation(t: GivenTables) -> DataFrame:
-    orders = t["orders"].select("o_orderkey", "o_custkey", money("o_totalprice").alias("amount"))
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", minor_units("o_totalprice").alias("amount"))
     customers = t["customer"].select("c_custkey", "c_nationkey")
     nations = t["nation"].select("n_nationkey", "n_name")
     return orders.join(
@@ -82,7 +83,7 @@ _PRICE = sql_money("o_totalprice")
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"""
 )
 def territory_leaderboard(t: GivenTables) -> DataFrame:
-    return a.leaderboard(orders_by_nation(t), "n_name", "o_orderkey", "amount")
+    return a.leaderboard(orders_by_nation(t), "n_name", "o_orderkey", "amount", minor=100)
 
 
 _BALANCE = sql_money("c_acctbal")
@@ -150,11 +151,11 @@ FROM rep"""
 
 @query(_REP)
 def rep_leaderboard(t: GivenTables) -> DataFrame:
-    lines = t["lineitem"].select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), money("l_extendedprice").alias("amount"))
+    lines = t["lineitem"].select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"), minor_units("l_extendedprice").alias("amount"))
     reps = t["supplier"].select(
         "s_suppkey", F.col("s_name").alias("user_name"), (F.col("s_suppkey") % 20 + 1).alias("rate")
     )
-    return a.rep_leaderboard(lines, "s_suppkey", "l_orderkey", "amount", reps)
+    return a.rep_leaderboard(lines, "s_suppkey", "l_orderkey", "amount", reps, minor=100)
 
 
 @query(f"{_REP} ORDER BY revenue_rank, user_name LIMIT 10")
@@ -171,7 +172,8 @@ pareto AS (SELECT rank, {sql_percent("rank", "n")} AS pct_accounts, {sql_percent
 
 @query(f"{_CURVE} SELECT * FROM pareto")
 def pareto_curve(t: GivenTables) -> DataFrame:
-    return a.pareto_curve(t["orders"].select("o_custkey", money("o_totalprice").alias("amount")), "o_custkey", "amount")
+    orders = t["orders"].select("o_custkey", minor_units("o_totalprice").alias("amount"))
+    return a.pareto_curve(orders, "o_custkey", "amount", minor=100)
 
 
 @query(f"{_CURVE} SELECT * FROM pareto WHERE pct_revenue_cum >= 80 ORDER BY rank LIMIT 1")
@@ -272,7 +274,8 @@ def above_city_mean_short(t: GivenTables) -> DataFrame:
 
 
 def _payments(t: GivenTables) -> DataFrame:
-    fee = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
+    # Cents times whole percents of tax: 1/10,000 units.
+    fee = minor_units("l_extendedprice") * minor_units("l_tax")
     lines = t["lineitem"].select("l_orderkey", "l_returnflag", "l_shipdate", fee.alias("fee"))
     orders = t["orders"].select("o_orderkey", "o_orderdate")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
@@ -292,13 +295,13 @@ def _payment_sql(overdue: bool) -> str:
 
 @query(_payment_sql(True))
 def payment_behaviour(t: GivenTables) -> DataFrame:
-    return a.payment_behaviour(_payments(t), "l_returnflag", "o_orderdate", "due", "l_shipdate", "fee")
+    return a.payment_behaviour(_payments(t), "l_returnflag", "o_orderdate", "due", "l_shipdate", "fee", minor=10_000)
 
 
 @query(_payment_sql(False))
 def payment_behaviour_short(t: GivenTables) -> DataFrame:
     return a.payment_behaviour(
-        _payments(t), "l_returnflag", "o_orderdate", "due", "l_shipdate", "fee", overdue_count=False
+        _payments(t), "l_returnflag", "o_orderdate", "due", "l_shipdate", "fee", overdue_count=False, minor=10_000
     )
 
 
@@ -314,8 +317,8 @@ def open_deal_aging(t: GivenTables) -> DataFrame:
     orders = t["orders"]
     deals = orders.select(
         "o_orderstatus",
-        money("o_totalprice").alias("amount"),
+        minor_units("o_totalprice").alias("amount"),
         (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("expected"),
     )
     as_of = orders.agg(F.max("o_orderdate")).scalar()
-    return a.open_deal_aging(deals, "o_orderstatus", ["O", "P"], "expected", "amount", as_of)
+    return a.open_deal_aging(deals, "o_orderstatus", ["O", "P"], "expected", "amount", as_of, minor=100)
