@@ -47,6 +47,11 @@ def _key_text(columns: Iterable[str]) -> Column:
     return F.concat(*[p for part in parts for p in (part, F.lit("\u0001"))])
 
 
+def _named(names: Iterable[str], number: str) -> Column:
+    """The text behind a 0-based number; shuffles carry the number only."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(number) + 1)
+
+
 def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
     """V1: for every foreign key, the rows whose non-NULL key has no parent row.
 
@@ -60,43 +65,38 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKe
     key_type = _key_type(
         [(tables[k.child], k.column) for k in keys] + [(tables[k.parent], k.parent_key) for k in keys]
     )
+    parents = list(dict.fromkeys((k.parent, k.parent_key) for k in keys))
+    numbered = [(n, parents.index((k.parent, k.parent_key)), k) for n, k in enumerate(keys)]
     references = []
     for child in dict.fromkeys(k.child for k in keys):
-        own = [k for k in keys if k.child == child]
         entries = F.array(
             *[
                 F.struct(
-                    F.lit(k.column).alias("fk"),
-                    F.lit(k.parent).alias("parent"),
-                    F.col(k.column).cast(key_type).alias("key"),
+                    F.lit(n).alias("link"), F.lit(p).alias("parent_no"), F.col(k.column).cast(key_type).alias("key")
                 )
-                for k in own
+                for n, p, k in numbered
+                if k.child == child
             ]
         )
-        references.append(
-            tables[child].select(F.lit(child).alias("child"), F.inline(entries)).where("key is not null")
-        )
-    counted = _union(references).groupBy("child", "fk", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
-    parents = dict.fromkeys((k.parent, k.parent_key) for k in keys)
+        references.append(tables[child].select(F.inline(entries)).where("key is not null"))
+    counted = _union(references).groupBy("link", "parent_no", "key").agg(F.count(F.lit(1)).alias("n"))
     present = _union(
-        tables[parent].select(
-            F.lit(parent).alias("_parent"), F.col(pk).cast(key_type).alias("_key")
-        )
-        for parent, pk in parents
+        tables[parent].select(F.lit(p).alias("_parent_no"), F.col(pk).cast(key_type).alias("_key"))
+        for p, (parent, pk) in enumerate(parents)
     )
     missing = (
         counted.join(
             present,
-            (F.col("parent") == F.col("_parent")) & (F.col("key") == F.col("_key")),
+            (F.col("parent_no") == F.col("_parent_no")) & (F.col("key") == F.col("_key")),
             "left_anti",
         )
-        .groupBy("child", "fk", "parent")
+        .groupBy("link")
         .agg(F.sum("n").alias("found"))
     )
     declared = session.createDataFrame(
-        [(k.child, k.column, k.parent) for k in keys], "child string, fk string, parent string"
+        [(n, k.child, k.column, k.parent) for n, _, k in numbered], "link int, child string, fk string, parent string"
     )
-    return declared.join(missing, ["child", "fk", "parent"], "left").select(
+    return declared.join(missing, "link", "left").select(
         "child", "fk", "parent", F.coalesce("found", F.lit(0)).alias("violations")
     )
 
@@ -121,25 +121,32 @@ def require_no_violations(violations: DataFrame) -> None:
 def check_unique(tables: Mapping[str, DataFrame], keys: Iterable[tuple[str, str | tuple[str, ...]]]) -> DataFrame:
     """V3, V4: duplicates and NULLs of primary keys and unique columns.
 
-    All keys share one shuffle on (table, key); equal keys are counted on the
-    map side. Returns table, key, duplicate_keys, extra_rows, null_rows.
+    All keys share one shuffle; equal keys are counted on the map side.
+    Returns table, key, duplicate_keys, extra_rows, null_rows.
     """
-    parts = []
-    for table, columns in keys:
-        columns = (columns,) if isinstance(columns, str) else tuple(columns)
-        parts.append(
-            tables[table].select(
-                F.lit(table).alias("table"), F.lit(", ".join(columns)).alias("key"), _key_text(columns).alias("value")
-            )
+    checked = [(t, (c,) if isinstance(c, str) else tuple(c)) for t, c in keys]
+    counted = (
+        _union(
+            tables[table].select(F.lit(n).alias("check_no"), _key_text(columns).alias("value"))
+            for n, (table, columns) in enumerate(checked)
         )
-    counted = _union(parts).groupBy("table", "key", "value").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("check_no", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     known = F.col("value").isNotNull()
     repeated = known & (F.col("n") > 1)
-    return counted.groupBy("table", "key").agg(
+    result = counted.groupBy("check_no").agg(
         F.count_if(repeated).alias("duplicate_keys"),
         total_or_zero(F.when(repeated, F.col("n") - 1)).alias("extra_rows"),
         total_or_zero(F.when(~known, F.col("n"))).alias("null_rows"),
     )
+    return result.select(
+        _named([t for t, _ in checked], "check_no").alias("table"),
+        _named([", ".join(c) for _, c in checked], "check_no").alias("key"),
+        "duplicate_keys",
+        "extra_rows",
+        "null_rows",
+    )
 
 
 def _count_broken(df: DataFrame, table: str, rules: Mapping[tuple[str, str], Column]) -> DataFrame:

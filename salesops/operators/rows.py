@@ -169,10 +169,12 @@ def profile_lookup(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     merged on the map side.
     """
     union = None
-    for name, (df, column) in tables.items():
-        part = df.select(F.lit(name).alias("table"), F.col(column).cast("string").alias("value"))
+    for number, (df, column) in enumerate(tables.values()):
+        part = df.select(F.lit(number).alias("_lookup"), F.col(column).cast("string").alias("value"))
         union = part if union is None else union.unionByName(part)
-    per_value = union.groupBy("table", "value").agg(F.count(F.lit(1)).alias("n"))
-    return per_value.groupBy("table").agg(
+    per_value = union.groupBy("_lookup", "value").agg(F.count(F.lit(1)).alias("n"))
+    profile = per_value.groupBy("_lookup").agg(
         F.sum("n").alias("total_rows"), F.count("value").alias("distinct_values")
     )
+    names = F.array(*[F.lit(name) for name in tables])
+    return profile.select(F.element_at(names, F.col("_lookup") + 1).alias("table"), "total_rows", "distinct_values")

@@ -28,6 +28,8 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     input is left out, together with the steps that need it. The order of the
     steps matters: repoint, keep last, blank rows, orphans.
     """
+    # Lookups are read several times: parse their text once.
+    raw = {n: materialize(df) if n in (*model.LOOKUPS, *model.OTHER_LOOKUPS) else df for n, df in raw.items()}
     tables = dict(raw)
     stored: dict[str, DataFrame] = {}
     audit: list[DataFrame] = []

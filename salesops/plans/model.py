@@ -48,8 +48,7 @@ SCHEMAS = {
     "unit_price decimal(10,2), total_price decimal(10,2), warranty_id string",
 }
 
-# The first column of each table is its primary key, except where a table
-# lists its columns in another order.
+# The first column of each table is its primary key.
 PRIMARY_KEYS = {table: columns.split()[0] for table, columns in SCHEMAS.items()}
 
 # Child.column -> parent.key, parents first along cascading keys.
@@ -148,6 +147,9 @@ LOOKUPS = {
     "Stage": ("STG", [("Opportunity", "stage_id")]),
 }
 
+# Raw lookups with steps of their own.
+OTHER_LOOKUPS = ["JobTitle", "BillingCity", "ShippingCity"]
+
 # Tables whose raw export repeats primary keys.
 REPEATED_KEYS = ["Account", "Customer", "Lead", "Opportunity", "Quote", "Orders", "Invoice", "QuoteLineItem"]
 

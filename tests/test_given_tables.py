@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -22,8 +23,19 @@ def duck():
     return connection
 
 
+def _check_plan(plan):
+    """No cross join, no Python, pruned scans, and only summaries in one partition."""
+    assert not re.search(r"CartesianProduct|NestedLoop|EvalPython|InPandas|InArrow", plan)
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = next((x for x in lines[i + 1 :] if not re.search(r"[:+]- (\*\(\d+\) )?Project|Union", x)), "")
+            assert re.search(r"Aggregate|LocalLimit|LocalTableScan", below), (line, below)
+
+
 def _compare(spark, duck, name):
     result = entry_module.queries()[name](spark, FOLDER)
+    _check_plan(result._jdf.queryExecution().executedPlan().toString())
     columns = sorted(result.columns)
     rows = sorted(repr([row[c] for c in columns]) for row in result.collect())
     expected = duck.execute(entry_module.oracle_sql()[name])
@@ -50,6 +62,26 @@ def test_entry(spark):
     assert result.count() > 0
 
 
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("quarterly_sales_by_category", {"l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"}),
+        ("rep_leaderboard", {"l_orderkey", "l_suppkey", "l_extendedprice"}),
+        ("win_rate_by_band", {"l_orderkey", "l_discount"}),
+        ("fanout_audit", {"l_orderkey"}),
+        ("check_foreign_keys", {"l_orderkey", "l_partkey", "l_suppkey"}),
+        ("drop_orphans_chain", {"l_orderkey"}),
+    ],
+)
+def test_scans_read_the_needed_columns_only(spark, name, columns):
+    plan = entry_module.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "lineitem.parquet" in line]
+    for scan in scans:
+        listed = re.search(r"FileScan parquet \[([^\]]*)\]", scan).group(1)
+        assert {c.split("#")[0] for c in listed.split(",")} <= columns
+    assert scans or name == "rep_leaderboard"
+
+
 @pytest.mark.parametrize(
     "name",
     [
