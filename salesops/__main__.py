@@ -1,4 +1,4 @@
-"""python -m salesops clean RAW OUT | verify TABLES | report TABLES [NAME ...]"""
+"""python -m salesops clean RAW CLEAN | load CLEAN TABLES | report TABLES [NAME ...]"""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from salesops.plans import model, verify
 from salesops.plans.clean import clean_model
 from salesops.plans.reports import REPORTS
 from salesops.session import build_session, clear_scratch
-from salesops.sources import load_catalog, read_catalog, rebuild, register_tables, table_counts
+from salesops.sources import load_catalog, open_tables, read_catalog, rebuild, register_tables
 
 
 def main() -> int:
@@ -18,36 +18,39 @@ def main() -> int:
     commands = parser.add_subparsers(dest="command", required=True)
     clean = commands.add_parser("clean", help="raw CSV folder -> clean CSV folder")
     clean.add_argument("raw")
-    clean.add_argument("out")
-    check = commands.add_parser("verify", help="check every constraint of a clean folder")
-    check.add_argument("tables")
+    clean.add_argument("clean")
+    load = commands.add_parser("load", help="clean CSV folder -> typed tables, every constraint checked")
+    load.add_argument("clean")
+    load.add_argument("tables")
     report = commands.add_parser("report", help="answer the business questions")
     report.add_argument("tables")
     report.add_argument("names", nargs="*", choices=[[], *REPORTS])
     args = parser.parse_args()
 
     spark = build_session()
-    if args.command == "clean":
-        tables, audit = clean_model(read_catalog(spark, args.raw, ordinal=True))
-        rebuild(tables, args.out, "csv")
-        audit.show(1000, truncate=False)
+    try:
+        if args.command == "clean":
+            tables, audit = clean_model(read_catalog(spark, args.raw, ordinal=True))
+            rebuild(tables, args.clean, "csv")
+            audit.show(1000, truncate=False)
+        elif args.command == "load":
+            typed = verify.with_defaults(load_catalog(spark, args.clean, model.SCHEMAS))
+            for name, rows in rebuild(typed, args.tables).items():
+                print(f"{name}: {rows} rows")
+            stored = open_tables(spark, args.tables, model.SCHEMAS)
+            verify.constraint_report(stored).where("violations > 0").show(200, truncate=False)
+            require_no_violations(verify.foreign_key_violations(stored))
+        else:
+            tables = open_tables(spark, args.tables, model.SCHEMAS)
+            register_tables(tables)
+            for name in args.names or REPORTS:
+                print(name)
+                REPORTS[name](tables).show(100, truncate=False)
+    except IntegrityError as error:
+        print(error, file=sys.stderr)
+        return 1
+    finally:
         clear_scratch(spark)
-        return 0
-    tables = verify.with_defaults(load_catalog(spark, args.tables, model.SCHEMAS))
-    if args.command == "verify":
-        table_counts(tables).show(100, truncate=False)
-        verify.constraint_report(tables).where("violations > 0").show(200, truncate=False)
-        try:
-            require_no_violations(verify.foreign_key_violations(tables))
-        except IntegrityError as error:
-            print(error, file=sys.stderr)
-            return 1
-        return 0
-    register_tables(tables)
-    for name in args.names or REPORTS:
-        print(name)
-        REPORTS[name](tables).show(100, truncate=False)
-    clear_scratch(spark)
     return 0
 
 

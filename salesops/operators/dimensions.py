@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesops.functions import format_key, is_blank, md5_modulo
 from salesops.operators.ordering import number_values
-from salesops.session import materialize, small_side
+from salesops.session import is_small, materialize, small_side
 
 # Texts that mean "no value" in a lookup.
 LOOKUP_SENTINELS = ("", "Na", "NA", "N/A", "nan", "None")
@@ -33,12 +33,15 @@ def build_dimension(
     return surrogate_keys(real, value_col, prefix, id_col)
 
 
-def build_dimensions(lookups: Mapping[str, tuple[DataFrame, str, str, str, Iterable[str]]]) -> dict[str, DataFrame]:
+def build_dimensions(
+    lookups: Mapping[str, tuple[DataFrame, str, str, str, Iterable[str]]],
+) -> tuple[dict[str, DataFrame], bool]:
     """N1 for many lookups in a single pass.
 
     ``lookups`` maps a name to (frame, id column, value column, prefix,
     sentinels). All values are numbered together, grouped by lookup, so the
-    cost is one shuffle for all of them. The dimensions are stored.
+    cost is one shuffle for all of them. The dimensions are stored; the flag
+    tells whether they are small, all together, by measurement.
     """
     union = None
     for name, (lookup, _, value_col, _, sentinels) in lookups.items():
@@ -48,12 +51,13 @@ def build_dimensions(lookups: Mapping[str, tuple[DataFrame, str, str, str, Itera
         )
         union = part if union is None else union.unionByName(part)
     numbered = materialize(number_values(union, "_lookup", "_value"))
-    return {
+    built = {
         name: numbered.where(F.col("_lookup") == name).select(
             format_key(prefix, "position").alias(id_col), F.col("_value").alias(value_col)
         )
         for name, (_, id_col, value_col, prefix, _) in lookups.items()
     }
+    return built, is_small(numbered)
 
 
 def _is_sentinel(value: Column, sentinels: Iterable[str]) -> Column:
@@ -61,6 +65,27 @@ def _is_sentinel(value: Column, sentinels: Iterable[str]) -> Column:
     return F.coalesce(value, F.lit("")).isin(*sentinels)
 
 
+def store_lookups(lookups: Mapping[str, DataFrame], ordinal: str) -> dict[str, DataFrame]:
+    """Parse the text of many raw lookups once: (id, value, ordinal) under their own names.
+
+    All of them go into one stored table, in a folder per lookup.
+    """
+    union = None
+    for name, df in lookups.items():
+        id_col, value_col = df.columns[:2]
+        part = df.select(
+            F.lit(name).alias("_lookup"), F.col(id_col).alias("_id"), F.col(value_col).alias("_value"), ordinal
+        )
+        union = part if union is None else union.unionByName(part)
+    stored = materialize(union, partition_by="_lookup")
+    return {
+        name: stored.where(F.col("_lookup") == name).select(
+            F.col("_id").alias(df.columns[0]), F.col("_value").alias(df.columns[1]), ordinal
+        )
+        for name, df in lookups.items()
+    }
+
+
 def id_value_map(lookup: DataFrame, id_col: str, value_col: str, ordinal: Column | str) -> DataFrame:
     """Old id -> value, unique on the id; the last row by ``ordinal`` wins.
 
@@ -75,14 +100,19 @@ def id_value_map(lookup: DataFrame, id_col: str, value_col: str, ordinal: Column
     )
 
 
-def key_mapping(id_map: DataFrame, dimension: DataFrame, key_col: str, value_col: str) -> DataFrame:
+def key_mapping(
+    id_map: DataFrame, dimension: DataFrame, key_col: str, value_col: str, small: bool | None = None
+) -> DataFrame:
     """Old id -> new key. Ids whose value is no member of the dimension drop out.
 
     Few values may stand for very many ids, so a dimension of checked size is
-    broadcast instead of shuffling the ids by value.
+    broadcast instead of shuffling the ids by value. ``small`` passes on the
+    result of a check already made.
     """
     members = dimension.select(F.col(key_col).alias("new_id"), F.col(value_col).alias("value"))
-    return id_map.join(small_side(members, stored=True), "value").select("old_id", "new_id")
+    if is_small(members) if small is None else small:
+        members = F.broadcast(members)
+    return id_map.join(members, "value").select("old_id", "new_id")
 
 
 def _join_key(df: DataFrame, key: Column) -> Column:

@@ -164,12 +164,33 @@ def _count_broken(df: DataFrame, table: str, rules: Mapping[tuple[str, str], Col
     return counts.select(F.lit(table).alias("table"), F.inline(entries))
 
 
+def _outside(column: str, low: float | None, high: float | None) -> Column:
+    value = F.col(column)
+    broken = F.lit(False)
+    if low is not None:
+        broken = broken | (value < low)
+    if high is not None:
+        broken = broken | (value > high)
+    return broken
+
+
+def check_columns(
+    tables: Mapping[str, DataFrame],
+    required: Mapping[str, Iterable[str]],
+    ranges: Mapping[str, Mapping[str, tuple[float | None, float | None]]],
+) -> DataFrame:
+    """V5 and V6 together: one scan per table. Returns table, rule, column, violations."""
+    parts = []
+    for table in dict.fromkeys((*required, *ranges)):
+        rules = {("not null", c): F.col(c).isNull() for c in required.get(table, ())}
+        rules |= {("range", c): _outside(c, *bounds) for c, bounds in ranges.get(table, {}).items()}
+        parts.append(_count_broken(tables[table], table, rules))
+    return _union(parts)
+
+
 def check_not_null(tables: Mapping[str, DataFrame], required: Mapping[str, Iterable[str]]) -> DataFrame:
     """V5: NULLs in mandatory columns; one scan per table."""
-    return _union(
-        _count_broken(tables[t], t, {("not null", c): F.col(c).isNull() for c in columns})
-        for t, columns in required.items()
-    )
+    return check_columns(tables, required, {})
 
 
 def check_range(
@@ -177,20 +198,7 @@ def check_range(
     ranges: Mapping[str, Mapping[str, tuple[float | None, float | None]]],
 ) -> DataFrame:
     """V6: values outside their inclusive bounds; NULL passes; one scan per table."""
-
-    def outside(column: str, low, high) -> Column:
-        value = F.col(column)
-        broken = F.lit(False)
-        if low is not None:
-            broken = broken | (value < low)
-        if high is not None:
-            broken = broken | (value > high)
-        return broken
-
-    return _union(
-        _count_broken(tables[t], t, {("range", c): outside(c, *bounds) for c, bounds in columns.items()})
-        for t, columns in ranges.items()
-    )
+    return check_columns(tables, {}, ranges)
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

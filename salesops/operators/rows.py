@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions import is_blank, null_if_sentinel
-from salesops.session import is_small, materialize, small_side
+from salesops.session import materialize, measure
 
 # Texts that stand for a missing date.
 DATE_SENTINELS = ("Na", "NA", "N/A", "nan", "None")
@@ -36,9 +36,9 @@ def _last_per_key(df: DataFrame, pk: list[str], ordinal: Column) -> DataFrame:
 def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
     """One row per key, the last by ``ordinal``. NULL keys are one key.
 
-    Repeated keys are counted on the key columns alone. If they are few, whole
-    rows are shuffled only for them and all other rows just pass a broadcast
-    anti join; otherwise every row takes the aggregation. That one merges on the
+    Repeated keys are counted on the key columns alone. If there are none, the
+    frame is returned as it is. If they are few, whole rows are shuffled only for
+    them and all other rows just pass a broadcast anti join; otherwise every row takes the aggregation. That one merges on the
     map side, so a key with a large share of the rows reaches the shuffle as one
     row per task. ``df`` is read up to three times: pass a scan or a stored frame.
     """
@@ -46,7 +46,10 @@ def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | s
     ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     counted = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(counted.where("_n > 1").drop("_n"))
-    if not is_small(repeated):
+    count, small = measure(repeated)
+    if count == 0:
+        return df
+    if not small:
         return _last_per_key(df, pk, ordinal)
     repeated = F.broadcast(repeated)
     single = df.join(repeated, _same_key(pk), "left_anti")
@@ -115,12 +118,15 @@ def drop_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataF
     Only distinct keys are compared with the parent, so a key that many rows
     share is one row there and whole child rows need no shuffle: the orphan
     keys, if few, are broadcast into an anti join, which lets rows without a
-    key pass. ``child`` is read twice: pass a scan or a stored frame.
+    key pass. Without orphans the child is returned as it is. ``child`` is read twice: pass a scan or a stored frame.
     """
     keys = parent.select(F.col(pk).alias("_parent_key"))
     references = child.where(~is_blank(fk)).select(F.col(fk).alias("_orphan")).distinct()
-    orphans = small_side(references.join(keys, F.col("_orphan") == F.col("_parent_key"), "left_anti"))
-    return child.join(orphans, F.col(fk) == F.col("_orphan"), "left_anti")
+    orphans = materialize(references.join(keys, F.col("_orphan") == F.col("_parent_key"), "left_anti"))
+    count, small = measure(orphans)
+    if count == 0:
+        return child
+    return child.join(F.broadcast(orphans) if small else orphans, F.col(fk) == F.col("_orphan"), "left_anti")
 
 
 def drop_orphans_chain(

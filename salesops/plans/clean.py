@@ -28,8 +28,9 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     input is left out, together with the steps that need it. The order of the
     steps matters: repoint, keep last, blank rows, orphans.
     """
-    # Lookups are read several times: parse their text once.
-    raw = {n: materialize(df) if n in (*model.LOOKUPS, *model.OTHER_LOOKUPS) else df for n, df in raw.items()}
+    lookup_names = [n for n in (*model.LOOKUPS, *model.OTHER_LOOKUPS) if n in raw]
+    if lookup_names:
+        raw = {**raw, **dim.store_lookups({n: raw[n] for n in lookup_names}, ORDINAL)}
     tables = dict(raw)
     stored: dict[str, DataFrame] = {}
     audit: list[DataFrame] = []
@@ -42,14 +43,14 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     }
     if "JobTitle" in raw:
         lookups["JobTitle"] = (raw["JobTitle"], *_lookup_columns(raw["JobTitle"]), "JOB", ("",))
-    clean = dim.build_dimensions(lookups) if lookups else {}
+    clean, small = dim.build_dimensions(lookups) if lookups else ({}, None)
     for name, (_, references) in model.LOOKUPS.items():
         if name not in clean:
             continue
         audit += rows.before_after("dimension", name, raw[name], clean[name])
         id_col, value_col = _lookup_columns(raw[name])
         id_map = dim.id_value_map(raw[name], id_col, value_col, ORDINAL)
-        mapping = dim.key_mapping(id_map, clean[name], id_col, value_col)
+        mapping = dim.key_mapping(id_map, clean[name], id_col, value_col, small)
         for fact, fk in references:
             if fact in tables:
                 tables[fact] = dim.repoint_fk(tables[fact], fk, mapping)
@@ -79,7 +80,7 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     if "JobTitle" in clean and "Customer" in raw:
         id_col, value_col = _lookup_columns(raw["JobTitle"])
         id_map = dim.id_value_map(raw["JobTitle"], id_col, value_col, ORDINAL)
-        mapping = dim.key_mapping(id_map, clean["JobTitle"], id_col, value_col)
+        mapping = dim.key_mapping(id_map, clean["JobTitle"], id_col, value_col, small)
         filled = materialize(
             dim.hash_fill(
                 raw["Customer"], "customer_id", "job_title_id", mapping,

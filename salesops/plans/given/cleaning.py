@@ -49,7 +49,7 @@ SELECT dimension, upper(substr(dimension, 1, 3)) || printf('%05d', row_number()
 def build_dimensions(t: GivenTables) -> DataFrame:
     customers = t["customer"].select("c_custkey", "c_mktsegment")
     parts = t["part"].select("p_partkey", "p_name")
-    built = dim.build_dimensions(
+    built, _ = dim.build_dimensions(
         {
             "priority": (_priorities(t), "id", "priority", "PRI", NO_PRIORITY),
             "segment": (customers, "id", "c_mktsegment", "SEG", ()),

@@ -22,29 +22,27 @@ def foreign_key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Broken rows per declared constraint: (check, table, column, violations)."""
+    """Broken rows per declared constraint: (check, table, column, violations).
+
+    Three jobs for the whole model: one join for all foreign keys, one shuffle
+    for all keys, one scan per table for its columns.
+    """
+    primary = [(t, k) for t, k in model.PRIMARY_KEYS.items() if t in tables]
+    unique = [(t, c) for t, c in model.UNIQUE if t in tables]
     foreign = foreign_key_violations(tables).select(
         F.lit("foreign key").alias("check"), F.col("child").alias("table"), F.col("fk").alias("column"), "violations"
     )
-    primary = integrity.check_unique(tables, [(t, k) for t, k in model.PRIMARY_KEYS.items() if t in tables])
-    unique = integrity.check_unique(tables, [(t, c) for t, c in model.UNIQUE if t in tables])
-    parts = [
-        foreign,
-        primary.select(
-            F.lit("primary key").alias("check"), "table", F.col("key").alias("column"),
-            (F.col("extra_rows") + F.col("null_rows")).alias("violations"),
-        ),
-        unique.select(
-            F.lit("unique").alias("check"), "table", F.col("key").alias("column"), F.col("extra_rows").alias("violations")
-        ),
-        integrity.check_not_null(tables, {t: c for t, c in model.NOT_NULL.items() if t in tables}).select(
-            F.lit("not null").alias("check"), "table", "column", "violations"
-        ),
-        integrity.check_range(tables, {t: c for t, c in model.RANGES.items() if t in tables}).select(
-            F.lit("range").alias("check"), "table", "column", "violations"
-        ),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    is_primary = F.concat_ws(".", "table", "key").isin(*[f"{t}.{k}" for t, k in primary])
+    keys = integrity.check_unique(tables, [*primary, *unique]).select(
+        F.when(is_primary, "primary key").otherwise("unique").alias("check"),
+        "table",
+        F.col("key").alias("column"),
+        # A unique column may be missing, a primary key may not.
+        (F.col("extra_rows") + F.when(is_primary, F.col("null_rows")).otherwise(0)).alias("violations"),
+    )
+    columns = integrity.check_columns(
+        tables,
+        {t: c for t, c in model.NOT_NULL.items() if t in tables},
+        {t: c for t, c in model.RANGES.items() if t in tables},
+    ).select(F.col("rule").alias("check"), "table", "column", "violations")
+    return foreign.unionByName(keys).unionByName(columns)

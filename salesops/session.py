@@ -94,27 +94,32 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back.
 
     Frames that are read more than once, or whose row placement must not change
     between two reads, go through here. The table outlives any executor, so a
     lost one never leads to a second, different evaluation. Later reads fetch
-    only the columns they need, and the planner knows the true size.
+    only the columns they need, and the planner knows the true size. With
+    ``partition_by`` a filter on that column reads its folder only.
     """
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
-def is_small(stored: DataFrame) -> bool:
-    """Whether a materialised frame is within both broadcast bounds, by measurement."""
+def measure(stored: DataFrame) -> tuple[int, bool]:
+    """Rows of a materialised frame, and whether it is within both broadcast bounds."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16) for c in stored.columns),
         F.lit(0),
     )
     rows, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+    return rows, rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+
+
+def is_small(stored: DataFrame) -> bool:
+    return measure(stored)[1]
 
 
 def small_side(df: DataFrame, stored: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from salesops.sources.catalog import (  # noqa: F401
     lost_values,
     load_catalog,
     load_typed,
+    open_tables,
     read_catalog,
     register_tables,
     run_sql,

@@ -74,6 +74,12 @@ def load_catalog(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -
     return {name: typed(df, schemas[name]) for name, df in raw.items()}
 
 
+def open_tables(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Typed tables written by ``rebuild`` as Parquet."""
+    base = folder.rstrip("/")
+    return {name: spark.read.schema(schema).parquet(f"{base}/{name}.parquet") for name, schema in schemas.items()}
+
+
 def register_tables(tables: Mapping[str, DataFrame]) -> list[str]:
     """Make tables queryable by name."""
     for name, df in tables.items():

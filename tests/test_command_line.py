@@ -1,11 +1,9 @@
-"""The command line over a raw folder, in this process."""
+"""The command line, in this process."""
 
+import shutil
 import sys
 
-import pytest
-
 import salesops.__main__ as command
-from tests.sales_export import make_export
 
 
 def _run(monkeypatch, spark, *arguments):
@@ -14,30 +12,31 @@ def _run(monkeypatch, spark, *arguments):
     return command.main()
 
 
-@pytest.fixture(scope="module")
-def folders(tmp_path_factory):
-    raw = tmp_path_factory.mktemp("export")
-    make_export(str(raw), seed=2)
-    return raw, tmp_path_factory.mktemp("out")
-
-
-def test_clean_verify_report(monkeypatch, spark, folders, capfd):
-    raw, out = folders
-    assert _run(monkeypatch, spark, "clean", raw, out) == 0
-    assert "keep last" in capfd.readouterr().out
-    assert _run(monkeypatch, spark, "verify", out) == 0
-    assert _run(monkeypatch, spark, "report", out, "warranty_mix", "sales_funnel") == 0
+def test_clean_part_of_the_tables(monkeypatch, spark, raw, tmp_path, capfd):
+    part = tmp_path / "raw"
+    part.mkdir()
+    for name in ("Role", "Users", "BillingCity", "BillingAddress"):
+        shutil.copy(f"{raw[0]}/{name}.csv", part)
+    assert _run(monkeypatch, spark, "clean", part, tmp_path / "clean") == 0
+    assert "dimension" in capfd.readouterr().out
+    assert sorted(p.name for p in (tmp_path / "clean").iterdir()) == [
+        "BillingAddress.csv", "City.csv", "Role.csv", "Users.csv",
+    ]
+
+
+def test_load_report_and_broken_key(monkeypatch, spark, cleaned, tmp_path, capfd):
+    clean, tables = tmp_path / "clean", tmp_path / "tables"
+    shutil.copytree(cleaned[0], clean)
+    assert _run(monkeypatch, spark, "load", clean, tables) == 0
+    assert "City: 5 rows" in capfd.readouterr().out
+    assert _run(monkeypatch, spark, "report", tables, "warranty_mix", "sales_funnel") == 0
     shown = capfd.readouterr().out
     assert "Platinum" in shown and "Invoiced" in shown
 
-
-def test_verify_fails_on_broken_keys(monkeypatch, spark, folders, capfd):
-    _, out = folders
-    part = next((out / "Orders.csv").glob("part-*.csv"))
-    lines = part.read_text().splitlines()
-    lines.append("ORD99999,2022-01-01,,,,QUO99999,")
-    for checksum in (out / "Orders.csv").glob(".*.crc"):
-        checksum.write_bytes(b"")
-    part.write_text("\n".join(lines) + "\n")
-    assert _run(monkeypatch, spark, "verify", out) == 1
+    # One more order without a quote breaks the load.
+    (clean / "Orders.csv" / "part-zzz.csv").write_text(
+        "order_id,order_date,order_status_id,expected_delivery_date,delivery_date,quote_id,shipping_address_id\n"
+        "ORD99999,2022-01-01,,,,QUO99999,\n"
+    )
+    assert _run(monkeypatch, spark, "load", clean, tables) == 1
     assert "Orders -> Quote: 1" in capfd.readouterr().err

@@ -13,28 +13,7 @@ from salesops.operators.integrity import require_no_violations
 from salesops.plans import model, verify
 from salesops.plans.clean import clean_model
 from salesops.plans.reports import DISCOUNT_BANDS, OPEN_STAGES, REPORTS
-from tests.sales_export import STATES, make_export
-
-
-@pytest.fixture(scope="module")
-def raw(tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("raw"))
-    return folder, make_export(folder)
-
-
-@pytest.fixture(scope="module")
-def cleaned(spark, raw, tmp_path_factory):
-    """Clean tables written as CSV, and the audit log."""
-    tables, audit = clean_model(sources.read_catalog(spark, raw[0], ordinal=True))
-    out = str(tmp_path_factory.mktemp("clean"))
-    counts = sources.rebuild(tables, out, "csv")
-    log = {(r["step"], r["table"], r["metric"]): r["value"] for r in audit.collect()}
-    return out, counts, log
-
-
-@pytest.fixture(scope="module")
-def typed(spark, cleaned):
-    return verify.with_defaults(sources.load_catalog(spark, cleaned[0], model.SCHEMAS))
+from tests.sales_export import STATES
 
 
 @pytest.fixture(scope="module")
