@@ -279,18 +279,16 @@ def drop_orphans_chain(t: GivenTables) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@query("SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region")
+@query("SELECT * FROM orders")
 def pass_through(t: GivenTables) -> DataFrame:
-    return t["region"]
+    return t["orders"]
 
 
-@query(
-    f"""SELECT {sql_big("n_nationkey")} AS city_id, n_name AS city_name, 'n' || n_regionkey AS area FROM nation"""
-)
+@query("SELECT s_suppkey AS rep_id, s_name AS rep_name, s_acctbal AS balance, 'n' || s_nationkey AS area FROM supplier")
 def column_surgery(t: GivenTables) -> DataFrame:
     """Rename by position, add a column, drop one."""
-    renamed = rows.rename_positional(t["nation"], ["city_id", "city_name", "region"])
-    return renamed.withColumn("area", F.concat(F.lit("n"), F.col("region").cast("string"))).drop("region")
+    renamed = rows.rename_positional(t["supplier"], ["rep_id", "rep_name", "nation", "balance"])
+    return renamed.withColumn("area", F.concat(F.lit("n"), F.col("nation").cast("string"))).drop("nation")
 
 
 @query(

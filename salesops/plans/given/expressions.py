@@ -311,11 +311,11 @@ def first_value_and_lag(t: GivenTables) -> DataFrame:
 # --- sorts, limits --------------------------------------------------------------------
 
 
-@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey ORDER BY r_name, n_name DESC")
+@query("SELECT n_name, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey ORDER BY n_name, c_name DESC")
 def sort_mixed(t: GivenTables) -> DataFrame:
     """T1"""
-    joined = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select("n_name", "r_name").orderBy("r_name", F.desc("n_name"))
+    joined = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.select("n_name", "c_name").orderBy("n_name", F.desc("c_name"))
 
 
 @query("SELECT p_partkey, p_retailprice, p_size::BIGINT AS p_size FROM part ORDER BY p_retailprice / p_size DESC, p_partkey LIMIT 15")
@@ -461,8 +461,8 @@ def thousands_separator(t: GivenTables) -> DataFrame:
     )
 
 
-@query("SELECT CAST(r_regionkey AS BIGINT) AS region_key, r_name AS region_name FROM region")
+@query("SELECT p_partkey AS part_key, p_name AS part_name FROM part")
 def trimmed_header(t: GivenTables) -> DataFrame:
     """padded column names are trimmed as they are for a raw CSV."""
-    padded = t["region"].toDF(" region_key ", "region_name  ")
+    padded = t["part"].select("p_partkey", "p_name").toDF(" part_key ", "part_name  ")
     return padded.toDF(*[c.strip() for c in padded.columns])

@@ -31,24 +31,35 @@ def _sales_lines(t: Tables) -> DataFrame:
 
 
 def _lead_cities(t: Tables) -> DataFrame:
-    """Leads with the billing city of their customer's account."""
-    return (
-        t["Lead"].select("lead_id", "lead_score", "lead_source_id", "customer_id")
-        .join(t["Customer"].select("customer_id", "customer_name", "account_id"), "customer_id")
-        .join(t["Account"].select("account_id", "billing_address_id"), "account_id")
-        .join(t["BillingAddress"].select("billing_address_id", "city_id"), "billing_address_id")
-        .join(t["City"], "city_id")
+    """Leads with the billing city of their customer's account.
+
+    The customers get their city first, so that leads are shuffled once only.
+    """
+    customers = (
+        t["Customer"].select("customer_id", "customer_name", "account_id")
+        .join(
+            t["Account"].select("account_id", "billing_address_id")
+            .join(t["BillingAddress"].select("billing_address_id", "city_id").join(t["City"], "city_id"), "billing_address_id"),
+            "account_id",
+        )
+        .select("customer_id", "customer_name", "city_id", "city_name")
     )
+    return t["Lead"].select("lead_id", "lead_score", "lead_source_id", "customer_id").join(customers, "customer_id")
 
 
 def _invoiced(t: Tables) -> DataFrame:
-    """Invoices with their order, quote and opportunity."""
-    return (
-        t["Invoice"].select("order_id", "total_amount")
-        .join(t["Orders"].select("order_id", "quote_id"), "order_id")
+    """Invoiced total per order, with the order's rep and customer.
+
+    Invoices are summed per order before the join, on the join's own key.
+    """
+    per_order = t["Invoice"].groupBy("order_id").agg(F.sum("total_amount").alias("total_amount"))
+    orders = (
+        t["Orders"].select("order_id", "quote_id")
         .join(t["Quote"].select("quote_id", "opportunity_id"), "quote_id")
         .join(t["Opportunity"].select("opportunity_id", "user_id", "customer_id"), "opportunity_id")
+        .select("order_id", "user_id", "customer_id")
     )
+    return per_order.join(orders, "order_id")
 
 
 def _lead_outcomes(t: Tables) -> DataFrame:
@@ -78,12 +89,14 @@ def quarterly_sales_head(t: Tables) -> DataFrame:
 
 
 def territory_leaderboard(t: Tables) -> DataFrame:
-    facts = (
-        t["Invoice"].select("order_id", "total_amount")
-        .join(t["Orders"].select("order_id", "shipping_address_id"), "order_id")
-        .join(t["ShippingAddress"].select("shipping_address_id", "city_id"), "shipping_address_id")
-        .join(t["City"], "city_id")
+    cities = t["ShippingAddress"].select("shipping_address_id", "city_id").join(t["City"], "city_id")
+    orders = (
+        t["Orders"].select("order_id", "shipping_address_id")
+        .join(cities, "shipping_address_id")
+        .select("order_id", "city_name")
     )
+    # Joined on the order last: the distinct count reuses that partitioning.
+    facts = t["Invoice"].select("order_id", "total_amount").join(orders, "order_id")
     return a.leaderboard(facts, "city_name", "order_id", "total_amount")
 
 
@@ -121,12 +134,9 @@ def rep_leaderboard_head(t: Tables) -> DataFrame:
 
 
 def pareto_curve(t: Tables) -> DataFrame:
-    facts = (
-        _invoiced(t)
-        .join(t["Customer"].select("customer_id", "account_id"), "customer_id")
-        .join(t["Account"].select("account_id"), "account_id")
-    )
-    return a.pareto_curve(facts, "account_id", "total_amount")
+    per_customer = _invoiced(t).groupBy("customer_id").agg(F.sum("total_amount").alias("total_amount"))
+    customers = t["Customer"].select("customer_id", "account_id").join(t["Account"].select("account_id"), "account_id")
+    return a.pareto_curve(per_customer.join(customers, "customer_id"), "account_id", "total_amount")
 
 
 def pareto_cutoff(t: Tables) -> DataFrame:
@@ -134,15 +144,17 @@ def pareto_cutoff(t: Tables) -> DataFrame:
 
 
 def sales_funnel(t: Tables) -> DataFrame:
+    """Existence is all that counts, so each stage is a semi join on distinct keys."""
     quotes = t["Quote"].select("quote_id", "opportunity_id")
-    ordered = quotes.join(t["Orders"].select("order_id", "quote_id"), "quote_id")
+    orders = t["Orders"].select("order_id", "quote_id")
+    billed = orders.join(t["Invoice"].select("order_id").distinct(), "order_id", "left_semi")
     return a.funnel(
         [
             ("Leads", t["Lead"], "lead_id"),
             ("Opportunities", t["Opportunity"], "opportunity_id"),
             ("Quoted", quotes, "opportunity_id"),
-            ("Ordered", ordered, "opportunity_id"),
-            ("Invoiced", ordered.join(t["Invoice"].select("order_id"), "order_id"), "opportunity_id"),
+            ("Ordered", quotes.join(orders.select("quote_id").distinct(), "quote_id", "left_semi"), "opportunity_id"),
+            ("Invoiced", quotes.join(billed.select("quote_id").distinct(), "quote_id", "left_semi"), "opportunity_id"),
         ]
     )
 
