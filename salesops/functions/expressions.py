@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -84,10 +84,10 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(_column(later), _column(earlier)).cast("bigint")
 
 
-def is_blank(value: Column | str) -> Column:
-    """NULL and the empty string are the same: no value."""
-    value = _column(value)
-    return value.isNull() | (value.cast("string") == F.lit(""))
+def is_blank(df: DataFrame, name: str) -> Column:
+    """NULL and, for texts, the empty string: no value."""
+    value = F.col(name)
+    return value.isNull() | (value == F.lit("")) if dict(df.dtypes)[name] == "string" else value.isNull()
 
 
 def blank_to_null(value: Column | str) -> Column:

@@ -94,7 +94,7 @@ def id_value_map(lookup: DataFrame, id_col: str, value_col: str, ordinal: Column
     """
     ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     return (
-        lookup.where(~is_blank(id_col))
+        lookup.where(~is_blank(lookup, id_col))
         .groupBy(F.col(id_col).alias("old_id"))
         .agg(F.max_by(F.col(value_col), ordinal).alias("value"))
     )

@@ -55,9 +55,9 @@ def _named(names: Iterable[str], number: str) -> Column:
 def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
     """V1: for every foreign key, the rows whose non-NULL key has no parent row.
 
-    All keys are checked in one pass: each child is scanned once and emits its
-    keys, equal keys are counted on the map side, and one join against the
-    parents' keys serves all of them. A hot key is one row by then.
+    All keys are checked in one job: each key column is read once, equal keys
+    are counted on the map side, and one join against the parents' keys serves
+    all of them. A hot key is one row by then. Pass scans or stored tables.
     Returns child, fk, parent, violations with one row per declared key.
     """
     keys = list(keys)
@@ -67,19 +67,18 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKe
     )
     parents = list(dict.fromkeys((k.parent, k.parent_key) for k in keys))
     numbered = [(n, parents.index((k.parent, k.parent_key)), k) for n, k in enumerate(keys)]
-    references = []
-    for child in dict.fromkeys(k.child for k in keys):
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(n).alias("link"), F.lit(p).alias("parent_no"), F.col(k.column).cast(key_type).alias("key")
-                )
-                for n, p, k in numbered
-                if k.child == child
-            ]
+    references = [
+        tables[k.child].select(
+            F.lit(n).alias("link"), F.lit(p).alias("parent_no"), F.col(k.column).cast(key_type).alias("key")
         )
-        references.append(tables[child].select(F.inline(entries)).where("key is not null"))
-    counted = _union(references).groupBy("link", "parent_no", "key").agg(F.count(F.lit(1)).alias("n"))
+        for n, p, k in numbered
+    ]
+    counted = (
+        _union(references)
+        .where(F.col("key").isNotNull())
+        .groupBy("link", "parent_no", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     present = _union(
         tables[parent].select(F.lit(p).alias("_parent_no"), F.col(pk).cast(key_type).alias("_key"))
         for p, (parent, pk) in enumerate(parents)

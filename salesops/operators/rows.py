@@ -109,7 +109,7 @@ def null_sentinels(df: DataFrame, name_pattern: str = "date", sentinels: Iterabl
 
 def require_non_blank(df: DataFrame, column: str) -> DataFrame:
     """Drop rows without a value in a required column."""
-    return df.where(~is_blank(column))
+    return df.where(~is_blank(df, column))
 
 
 def drop_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -121,7 +121,7 @@ def drop_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataF
     key pass. Without orphans the child is returned as it is. ``child`` is read twice: pass a scan or a stored frame.
     """
     keys = parent.select(F.col(pk).alias("_parent_key"))
-    references = child.where(~is_blank(fk)).select(F.col(fk).alias("_orphan")).distinct()
+    references = child.where(~is_blank(child, fk)).select(F.col(fk).alias("_orphan")).distinct()
     orphans = materialize(references.join(keys, F.col("_orphan") == F.col("_parent_key"), "left_anti"))
     count, small = measure(orphans)
     if count == 0:
