@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesops.llm import packing, sharding, token_counts
+from salesops.llm import decontamination, fingerprints, packing, quality, sharding, token_counts, toxicity
 from salesops.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _SIZE = sharding.table_size(sharding.SHARDS)
@@ -15,6 +15,12 @@ def _md5_number(text: str, modulus: int) -> str:
     return f"(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT) % {modulus})"
 
 
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of the toxicity categories of every document, and the decision."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     f"""
     WITH RECURSIVE shard AS (
@@ -39,6 +45,12 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents, ["doc_id"], sharding.shard_names())
 
 
+@query()
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.with_neighbours(table(spark, folder, "documents"))
+
+
 @query()
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, and how much of it fits into 2048 of them."""
@@ -51,3 +63,15 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, folder, "documents"), path, 4096, 2)
+
+
+@query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, with a tenth of its characters changed at most."""
+    return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -22,6 +22,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+# Letters, digits and all bytes of other scripts.
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -86,10 +89,11 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[Piece]:
         row = last
 
 
-def words(piece: Piece, lower: bool = True) -> Words:
+def words(piece: Piece, lower: bool = True, solid_bytes: np.ndarray = ~_SPACE) -> Words:
+    """Runs of ``solid_bytes`` (a flag per byte value); a run never crosses into the next text."""
     data = _LOWER[piece.data] if lower else piece.data
     size = len(data)
-    solid = ~_SPACE[data]
+    solid = solid_bytes[data]
     opens = np.ones(size, dtype=bool)
     opens[1:] = ~solid[:-1]
     closes = np.ones(size, dtype=bool)
