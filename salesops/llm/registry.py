@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +15,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's code to the executors, once per application, as ``--py-files`` would."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId not in _shipped and package.is_dir():
+        folder = Path(tempfile.mkdtemp(prefix="salesops-code-")).resolve()
+        context.addPyFile(shutil.make_archive(str(folder / package.name), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table, read lazily."""
+    ship(spark)
     return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
