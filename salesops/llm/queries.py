@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesops.llm import decontamination, fingerprints, packing, quality, sharding, token_counts, toxicity
+from salesops.llm import (
+    decontamination,
+    fingerprints,
+    jaccard,
+    language_model,
+    packing,
+    quality,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from salesops.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 _SIZE = sharding.table_size(sharding.SHARDS)
@@ -45,12 +55,24 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents, ["doc_id"], sharding.shard_names())
 
 
+@query()
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's class of near duplicates: five words, similarity 0.8."""
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return fingerprints.with_neighbours(table(spark, folder, "documents"))
 
 
+@query()
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of every document under a model of nine tenths of them."""
+    return language_model.score(table(spark, folder, "documents"))
+
+
 @query()
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, and how much of it fits into 2048 of them."""
