@@ -33,8 +33,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesops.llm.graphs import components
 from salesops.llm.textarrays import mix, pieces, shingle_hashes, word_hashes, words
@@ -324,7 +325,7 @@ def _tile_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, ``n_shingles``, ``component_id`` (smallest key linked to it, itself included),
-    and ``node``, the same for equal sets. The key must be an integer.
+    ``node``, the same for equal sets, and ``root``, the same for linked ones. The key must be an integer.
     """
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -401,14 +402,48 @@ def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
         "node", "least_key", F.coalesce("low", "node").alias("root")
     )
     ids = roots.groupBy("root").agg(F.min("least_key").alias("component_id"))
-    named = roots.join(ids, "root").select("node", "component_id")
+    named = roots.join(ids, "root").select("node", "component_id", "root")
     # The empty set is one node of many rows that are not linked.
     alone = nodes.where("size = 0").select(
-        "key", F.col("size").alias("n_shingles"), F.col("key").alias("component_id"), "node"
+        "key", F.col("size").alias("n_shingles"), F.col("key").alias("component_id"), "node", F.col("node").alias("root")
     )
     linked = (
         nodes.where("size > 0")
         .join(named, "node")
-        .select("key", F.col("size").alias("n_shingles"), "component_id", "node")
+        .select("key", F.col("size").alias("n_shingles"), "component_id", "node", "root")
     )
     return linked.unionByName(alone)
+
+
+def _name_sets(place: int, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [x for _, found in sets_of(batch.column(place)) for x in found]
+            names = pa.array([node_of(x) if len(x) else None for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], names=[*batch.schema.names, name])
+
+    return run
+
+
+def one_of_each(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all columns: of each component one, that of the smallest key.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    # Longer than any column of the rows, hence no clash.
+    least, kept, named, copy = ("_" * (1 + max(map(len, rows.columns))) + n for n in ("key", "kept", "node", "copy"))
+    winners = (
+        near_duplicates(rows, key, text)
+        .where("n_shingles > 0")
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("first"))
+        .select(F.col("first.key").alias(least), F.col("first.node").alias(kept))
+    )
+    schema = T.StructType([*rows.schema.fields, T.StructField(named, T.LongType())])
+    sets = rows.mapInArrow(_name_sets(rows.columns.index(text), named), schema)
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col(least)) & (F.col(named) == F.col(kept))
+    # Rows that repeat key and text are one row; the join has brought them together.
+    each = Window.partitionBy(least, kept).orderBy(least)
+    first = sets.join(winners, same).withColumn(copy, F.row_number().over(each)).where(F.col(copy) == 1)
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return first.select(*columns).unionByName(sets.where(F.col(named).isNull()).select(*columns))

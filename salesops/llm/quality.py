@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesops.llm.textarrays import Piece, pieces, run_hashes, prefix_sums, words
+from salesops.llm.filters import keep_rows
+from salesops.llm.textarrays import Piece, pieces, prefix_sums, run_hashes, words
 from salesops.session import materialize
 
 # Weight of the common covariance in a class's own, and of a sphere in both.
@@ -233,6 +234,11 @@ def held_out(key: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{key}`").cast("string")) % folds == fold, F.lit(False))
 
 
+def _learned(described: DataFrame, labels: DataFrame, label: str, key: str) -> Discriminant | None:
+    known = labels.select(F.col(f"`{key}`").alias(key), F.col(f"`{label}`").alias("label")).where(~held_out(key))
+    return fit(described.join(known, key).select("label", "statistics"))
+
+
 def classify(
     rows: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -242,11 +248,21 @@ def classify(
     """
     kind = rows.schema[key].dataType.simpleString()
     described = materialize(describe(rows, key, text))
-    known = labels.select(F.col(f"`{key}`").alias(key), F.col(f"`{label}`").alias("label")).where(~held_out(key))
-    model = fit(described.join(known, key).select("label", "statistics"))
+    model = _learned(described, labels, label, key)
     scored = described.select(F.col(f"`{key}`").alias("key"), "statistics").mapInArrow(
         _score(model), f"key {kind}, score double"
     )
     return scored.withColumnRenamed("key", key).select(
         key, held_out(key).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def without_poor(
+    rows: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows, with all columns, that are predicted to be of class 1.
+
+    Statistics are computed again for the decision: that is cheaper than a join of whole rows.
+    """
+    model = _learned(materialize(describe(rows, key, text)), labels, label, key)
+    return rows if model is None else keep_rows(rows, text, lambda: lambda piece: model.score(statistics(piece)) >= 0.5)

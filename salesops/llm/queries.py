@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from salesops.llm import (
+    conversations,
     decontamination,
     fingerprints,
     jaccard,
@@ -73,6 +74,31 @@ def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(table(spark, folder, "documents"))
 
 
+@query(
+    r"""
+    WITH one AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
+    quoting AS (
+        SELECT c.conv_id, c.turn, c.text, coalesce(regexp_matches(b1.text, '\S'), false) AS answers,
+            coalesce(regexp_matches(b2.text, '\S'), false) AS deeper
+        FROM conversations c
+        LEFT JOIN one b1 ON b1.conv_id = c.conv_id AND b1.turn = c.turn - 1
+        LEFT JOIN one b2 ON b2.conv_id = c.conv_id AND b2.turn = c.turn - 2),
+    rooted AS (
+        SELECT *, max(CASE WHEN NOT answers THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS root FROM quoting)
+    SELECT conv_id, turn, CASE WHEN answers THEN turn - 1 END AS parent, root, turn - root AS depth,
+        CAST(answers AS BIGINT) + CAST(deeper AS BIGINT) AS n_quotes,
+        CAST(answers AS BIGINT) + CAST(deeper AS BIGINT) AS n_linked,
+        CASE WHEN deeper THEN 2 WHEN answers THEN 1 ELSE 0 END::BIGINT AS deepest,
+        trim(coalesce(text, ''), E' \t\n\r') AS own_text
+    FROM rooted
+    """
+)
+def op6_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations of all turns, found again from quotes alone, after each was written as mail."""
+    mail = conversations.as_mail(table(spark, folder, "conversations"))
+    return conversations.link_quotes(mail)
+
+
 @query()
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, and how much of it fits into 2048 of them."""

@@ -13,8 +13,8 @@ hash lookup of ``size`` rows; rows are never shuffled.
 
 Defined cases: null parts of a key hash as an empty text, so all rows without
 key share a slot; equal keys share a slot; an empty table gives no rows; other
-columns pass unchanged, and columns already called ``slot`` or ``shard`` raise
-ValueError.
+columns pass unchanged, but for columns called ``slot`` or ``shard``, which are
+replaced (they may be part of the key).
 """
 
 from __future__ import annotations
@@ -89,14 +89,12 @@ def place(rows: DataFrame, key: list[str], shards: list[str], size: int | None =
     A key shared by very many rows fills one shard; name a further column in
     ``key`` to spread it.
     """
-    taken = {c.lower() for c in rows.columns} & {"slot", "shard"}
-    if taken:
-        raise ValueError(f"columns exist already: {sorted(taken)}")
     size = size or table_size(len(shards))
     parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key]
     slots = F.broadcast(lookup_table(rows.sparkSession, shards, size))  # size rows of 12 bytes
-    placed = rows.withColumn("slot", _hashed(F.concat_ws("\u001f", *parts), size))
-    return placed.join(slots, "slot", "left").select(*[F.col(f"`{c}`") for c in rows.columns], "slot", "shard")
+    others = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in ("slot", "shard")]
+    placed = rows.select(*others, _hashed(F.concat_ws("\u001f", *parts), size).alias("slot"))
+    return placed.join(slots, "slot", "left").select(*others, "slot", "shard")
 
 
 def shard_names(count: int = SHARDS) -> list[str]:

@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesops.llm.filters import keep_rows
 from salesops.llm.textarrays import LETTERS, Piece, mix, pieces, prefix_sums, run_hashes, words
 from salesops.session import materialize
 
@@ -279,3 +280,15 @@ def classify(rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     chain = fit(rows, labels, key=key, text=text)
     scored = score(rows, chain, ["p_frequent", "p_repeated", "p_toxic"], key, text)
     return scored.withColumn("toxic", is_toxic(F.col("p_toxic")).cast("int"))
+
+
+def without_toxic(rows: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all columns, that the chain does not call toxic."""
+    chain = fit(rows, labels, key=key, text=text)
+    if chain is None:
+        return rows
+    return keep_rows(
+        rows, text,
+        lambda: lambda piece: chain.predict(len(piece), *chain.lookup(*features(piece)))[:, -1] < 0.5,
+        prepare=_lowered,
+    )
