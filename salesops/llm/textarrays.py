@@ -89,8 +89,13 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[Piece]:
         row = last
 
 
-def words(piece: Piece, lower: bool = True, solid_bytes: np.ndarray = ~_SPACE) -> Words:
-    """Runs of ``solid_bytes`` (a flag per byte value); a run never crosses into the next text."""
+def words(
+    piece: Piece, lower: bool = True, solid_bytes: np.ndarray = ~_SPACE, cuts: np.ndarray | None = None
+) -> Words:
+    """Runs of ``solid_bytes`` (a flag per byte value); a run never crosses into the next text.
+
+    ``cuts`` flags bytes at which a new run begins within one.
+    """
     data = _LOWER[piece.data] if lower else piece.data
     size = len(data)
     solid = solid_bytes[data]
@@ -98,6 +103,9 @@ def words(piece: Piece, lower: bool = True, solid_bytes: np.ndarray = ~_SPACE) -
     opens[1:] = ~solid[:-1]
     closes = np.ones(size, dtype=bool)
     closes[:-1] = ~solid[1:]
+    if cuts is not None:
+        opens |= cuts
+        closes[:-1] |= cuts[1:]
     edges = piece.bounds[(piece.bounds > 0) & (piece.bounds < size)]
     opens[edges] = True
     closes[edges - 1] = True

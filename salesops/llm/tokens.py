@@ -1,9 +1,11 @@
 """Token ids of whole texts, one distinct chunk at a time.
 
-The tokenizers handled here never merge across white space and give it no token,
-so a text's ids are those of its chunks (runs without white space) in order, and
-a chunk met before need not be encoded again. A task therefore calls the
-tokenizer once per distinct chunk and puts texts together by array operations.
+The tokenizers handled here never merge across white space, which has no token,
+nor between a letter or digit and a mark such as a comma, and they take capitals
+as small letters. So a text's ids are those of its chunks in order, and a chunk
+met before, in whatever case, need not be encoded again. A task therefore calls
+the tokenizer once per distinct chunk and puts texts together by array
+operations.
 """
 
 from __future__ import annotations
@@ -16,10 +18,25 @@ import numpy as np
 from salesops.llm.textarrays import Piece, Words, word_hashes, words
 
 # Distinct chunks remembered by a Python worker; beyond them it starts afresh.
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 1_000_000
 # A chunk of more bytes has no token counts inside; a cut falls before or after it.
 LONGEST_DIVISIBLE = 96
 
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[list(b",.;:!?")] = True
+
+
+def chunks_of(piece: Piece) -> Words:
+    """Runs without white space, cut between ASCII letters or digits and marks."""
+    plain, mark = _PLAIN[piece.data], _MARKS[piece.data]
+    cuts = np.zeros(len(piece.data), dtype=bool)
+    cuts[1:] = (plain[:-1] & mark[1:]) | (mark[:-1] & plain[1:])
+    # The names of special tokens are the one thing that depends on case.
+    special = b"<|" in piece.data.tobytes()
+    return words(piece, lower=not special, cuts=cuts)
+
 
 class Pool:
     """Arrays of different lengths, end to end."""
@@ -29,6 +46,7 @@ class Pool:
         self.used = 0
 
     def add(self, values: np.ndarray) -> int:
+        """Where the values begin."""
         first, last = self.used, self.used + len(values)
         if last > len(self.data):
             self.data = np.concatenate([self.data, np.zeros(max(last, len(self.data)), dtype=np.int32)])
@@ -53,28 +71,40 @@ def gather(pool: np.ndarray, firsts: np.ndarray, lengths: np.ndarray) -> np.ndar
 class ChunkEncoder:
     """Ids of chunks by a tokenizer of the ``tokenizers`` library, given as the text of its file."""
 
-    def __init__(self, definition: str, prefixes: bool) -> None:
+    def __init__(self, definition: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.prefixes = prefixes
+        size = self.tokenizer.get_vocab_size()
+        self.closing = np.array([(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)])
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids, self.inner = Pool(), Pool()
+        self.ids = Pool()
+        self.inner: dict[bytes, np.ndarray] = {}
         self.id_first = np.zeros(0, dtype=np.int64)
         self.id_count = np.zeros(0, dtype=np.int64)
-        self.inner_first = np.zeros(0, dtype=np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words of letters alone, and how many each has, from one call for all.
+
+        Each is one word to the tokenizer, whose last id closes it. None if that does not hold.
+        """
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ids = np.array(self._encode([" ".join(texts)])[0], dtype=np.int32)
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(texts) else None
+
     def find(self, piece: Piece) -> Found:
-        chunks = words(piece, lower=False)
+        chunks = chunks_of(piece)
         hashes = word_hashes(chunks)
         distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > MAX_CHUNKS:
@@ -91,38 +121,41 @@ class ChunkEncoder:
 
     def _learn(self, keys: list[int], chunks: list[bytes]) -> None:
         texts = [c.decode("utf-8", "replace") for c in chunks]
-        ids = self._encode(texts)
+        # A capital I with dot is a letter that becomes a letter and a mark.
+        alone = [t.isalpha() and "\u0130" not in t for t in texts]
+        together = self._encode_words([t for t, a in zip(texts, alone, strict=True) if a])
+        if together is None:
+            alone, together = [False] * len(texts), self._encode_words([])
+        others = self._encode([t for t, a in zip(texts, alone, strict=True) if not a])
+        counts = np.concatenate([together[1], [len(x) for x in others]]).astype(np.int64)
+        first = self.ids.add(np.concatenate([together[0], *[np.asarray(x, np.int32) for x in others]]))
+        order = np.argsort(~np.array(alone, dtype=bool), kind="stable")
         place = len(self.known)
-        self.known.update(zip(keys, range(place, place + len(keys)), strict=True))
-        self.id_first = np.concatenate([self.id_first, [self.ids.add(np.asarray(x, np.int32)) for x in ids]]).astype(np.int64)
-        self.id_count = np.concatenate([self.id_count, [len(x) for x in ids]]).astype(np.int64)
-        if self.prefixes:
-            firsts = self._learn_prefixes(chunks, texts, [len(x) for x in ids])
-            self.inner_first = np.concatenate([self.inner_first, firsts]).astype(np.int64)
-
-    def _learn_prefixes(self, chunks: list[bytes], texts: list[str], totals: list[int]) -> list[int]:
-        """Per byte of each chunk, the tokens of the code points that end there or before."""
-        asked = [t[:k] for t, c in zip(texts, chunks, strict=True) if len(c) <= LONGEST_DIVISIBLE for k in range(1, len(t))]
-        counts = iter([len(x) for x in self._encode(asked)])
-        firsts = []
-        for text, chunk, total in zip(texts, chunks, totals, strict=True):
-            if len(chunk) > LONGEST_DIVISIBLE:
-                firsts.append(self.inner.add(np.full(len(chunk), total, np.int32)))
-                continue
-            ends = np.cumsum([len(c.encode()) for c in text])
-            points = np.array([0, *[next(counts) for _ in range(len(text) - 1)], total], dtype=np.int32)
-            firsts.append(self.inner.add(points[np.searchsorted(ends, np.arange(1, len(chunk) + 1), side="right")]))
-        return firsts
-
-
-_encoders: dict[tuple[int, bool], ChunkEncoder] = {}
-
-
-def encoder(definition: str, prefixes: bool = False) -> ChunkEncoder:
+        self.known.update(zip([keys[k] for k in order.tolist()], range(place, place + len(keys)), strict=True))
+        self.id_first = np.concatenate([self.id_first, first + np.cumsum(counts) - counts])
+        self.id_count = np.concatenate([self.id_count, counts])
+
+    def prefixes(self, chunk: bytes, total: int) -> np.ndarray:
+        """Per byte of the chunk, the tokens of its code points that end there or before."""
+        if chunk not in self.inner:
+            counts = np.full(len(chunk), total, dtype=np.int64)
+            if len(chunk) <= LONGEST_DIVISIBLE:
+                text = chunk.decode("utf-8", "replace")
+                points = [0, *[len(x) for x in self._encode([text[:k] for k in range(1, len(text))])], total]
+                ends = np.cumsum([len(c.encode()) for c in text])
+                counts = np.array(points)[np.searchsorted(ends, np.arange(1, len(chunk) + 1), side="right")]
+            self.inner[chunk] = counts
+        return self.inner[chunk]
+
+
+_encoders: dict[int, ChunkEncoder] = {}
+
+
+def encoder(definition: str) -> ChunkEncoder:
     """This worker's encoder, with what it already knows."""
-    key = (hash(definition), prefixes)
+    key = hash(definition)
     if key not in _encoders:
-        _encoders[key] = ChunkEncoder(definition, prefixes)
+        _encoders[key] = ChunkEncoder(definition)
     return _encoders[key]
 
 
