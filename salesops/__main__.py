@@ -1,16 +1,44 @@
-"""python -m salesops clean RAW CLEAN | load CLEAN TABLES | report TABLES [NAME ...]"""
+"""python -m salesops clean RAW CLEAN --audit FOLDER | load CLEAN TABLES | report TABLES [NAME ...] --out FOLDER"""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
-from salesops.operators.integrity import IntegrityError, require_no_violations
+from pyspark.sql import DataFrame
+
+from salesops.operators.integrity import IntegrityError
 from salesops.plans import model, verify
 from salesops.plans.clean import clean_model
 from salesops.plans.reports import REPORTS
-from salesops.session import build_session, clear_scratch
-from salesops.sources import load_catalog, open_tables, read_catalog, rebuild, register_tables
+from salesops.session import build_session, clear_scratch, size_for
+from salesops.sources import (
+    load_catalog,
+    lost_in_catalog,
+    open_tables,
+    read_catalog,
+    rebuild,
+    register_tables,
+)
+
+
+PREVIEW = 20
+
+
+def _preview(result: DataFrame, path: str) -> None:
+    """The first rows on the screen; all of them are in the table at ``path``."""
+    print(f"first {PREVIEW} rows; all rows are in {path}")
+    result.show(PREVIEW, truncate=False)
+
+
+def _check_lost(lost: DataFrame, allowed: bool) -> None:
+    """Values that typing would turn into NULL: one row per column that has any."""
+    found = lost.orderBy("table", "column").collect()
+    text = "; ".join(f"{r['table']}.{r['column']}: {r['lost']}" for r in found)
+    if found and not allowed:
+        raise IntegrityError(f"values that do not fit their type: {text}")
+    if found:
+        print(f"lost values: {text}", file=sys.stderr)
 
 
 def main() -> int:
@@ -19,33 +47,42 @@ def main() -> int:
     clean = commands.add_parser("clean", help="raw CSV folder -> clean CSV folder")
     clean.add_argument("raw")
     clean.add_argument("clean")
+    clean.add_argument("--audit", required=True, help="folder for the audit log, as a table")
     load = commands.add_parser("load", help="clean CSV folder -> typed tables, every constraint checked")
     load.add_argument("clean")
     load.add_argument("tables")
+    load.add_argument("--allow-lost", action="store_true", help="go on where texts do not fit their column's type")
     report = commands.add_parser("report", help="answer the business questions")
     report.add_argument("tables")
     report.add_argument("names", nargs="*", choices=[[], *REPORTS])
+    report.add_argument("--out", required=True, help="folder for the complete results, a table per report")
     args = parser.parse_args()
 
     spark = build_session()
     try:
         if args.command == "clean":
+            size_for(spark, args.raw)
             tables, audit = clean_model(read_catalog(spark, args.raw, ordinal=True))
             rebuild(tables, args.clean, "csv")
-            audit.show(1000, truncate=False)
+            audit.write.mode("overwrite").parquet(args.audit)
+            _preview(spark.read.parquet(args.audit).orderBy("step", "table", "metric"), args.audit)
         elif args.command == "load":
-            typed = verify.with_defaults(load_catalog(spark, args.clean, model.SCHEMAS))
-            for name, rows in rebuild(typed, args.tables).items():
+            size_for(spark, args.clean)
+            _check_lost(lost_in_catalog(spark, args.clean, model.SCHEMAS), args.allow_lost)
+            for name, rows in rebuild(load_catalog(spark, args.clean, model.SCHEMAS, model.DEFAULTS), args.tables).items():
                 print(f"{name}: {rows} rows")
             stored = open_tables(spark, args.tables, model.SCHEMAS)
-            verify.constraint_report(stored).where("violations > 0").show(200, truncate=False)
-            require_no_violations(verify.foreign_key_violations(stored))
+            verify.require_constraints(verify.constraint_report(stored))
         else:
+            size_for(spark, args.tables)
             tables = open_tables(spark, args.tables, model.SCHEMAS)
             register_tables(tables)
             for name in args.names or REPORTS:
+                path = f"{args.out.rstrip('/')}/{name}.parquet"
+                result = REPORTS[name](tables)
+                result.write.mode("overwrite").parquet(path)
                 print(name)
-                REPORTS[name](tables).show(100, truncate=False)
+                _preview(result, path)
     except IntegrityError as error:
         print(error, file=sys.stderr)
         return 1

@@ -18,4 +18,5 @@ from salesops.functions.expressions import (  # noqa: F401
     round_half_up,
     thousands,
     total_or_zero,
+    wide,
 )

@@ -40,6 +40,12 @@ def minor_units(value: Column | str, minor: int = 100) -> Column:
     return F.rint(_column(value) * F.lit(float(minor))).cast("bigint")
 
 
+def wide(df: DataFrame, name: str) -> Column:
+    """An integer column as DECIMAL(38,0), for sums of sums that go beyond BIGINT; others as they are."""
+    value = F.col(name)
+    return value.cast("decimal(38,0)") if dict(df.dtypes)[name] in ("int", "bigint") else value
+
+
 def major_units(value: Column | str, minor: int = 1) -> Column:
     """Minor units back to the amount; ``minor=1`` leaves the value and its type."""
     value = _column(value)

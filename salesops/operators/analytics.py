@@ -19,6 +19,7 @@ from salesops.functions import (
     quarter_number,
     quarter_text,
     round_half_up,
+    wide,
 )
 from salesops.operators.ordering import add_ranks, expand_positions, ordered_totals
 from salesops.session import materialize, small_side
@@ -26,27 +27,43 @@ from salesops.session import materialize, small_side
 
 def period_sales(
     lines: DataFrame, date: str, category: str, parent_key: str, qty: str, amount: str, label: str = "category",
-    minor: int = 1,
+    minor: int = 1, reduced: bool = False,
 ) -> DataFrame:
-    """Q1: quarter x category at line grain: distinct parents, units, revenue.
+    """Q1: quarter x category: distinct parents, units, revenue; in order. See ``period_totals``."""
+    return period_totals(lines, date, category, parent_key, qty, amount, label, minor, reduced).orderBy(
+        "quarter", F.desc("revenue"), label
+    )
+
+
+def period_totals(
+    lines: DataFrame, date: str, category: str, parent_key: str, qty: str, amount: str, label: str = "category",
+    minor: int = 1, reduced: bool = False,
+) -> DataFrame:
+    """Q1 without its order, for further steps.
 
     Lines are grouped by a quarter number; its text is made per result row.
+    ``reduced``: there is one line per parent and category, so that parents need
+    no distinct count.
     """
+    parents = F.count(parent_key) if reduced else F.countDistinct(parent_key)
     return (
         lines.groupBy(quarter_number(date).alias("_quarter"), F.col(category).alias(label))
         .agg(
-            F.countDistinct(parent_key).alias("orders"),
+            parents.alias("orders"),
             F.sum(qty).alias("units_sold"),
             major_units(F.sum(amount), minor).alias("revenue"),
         )
         .select(quarter_text("_quarter").alias("quarter"), label, "orders", "units_sold", "revenue")
-        .orderBy("quarter", F.desc("revenue"), label)
     )
 
 
-def pivot_sum(df: DataFrame, row: str, column: str, value: str, values: Sequence[str]) -> DataFrame:
-    """Q1p: one column per listed value, summed, 0 where there is nothing."""
-    return df.groupBy(row).pivot(column, list(values)).agg(F.sum(value)).fillna(0).orderBy(row)
+def pivot_sum(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """Q1p: one column per value of a column, summed, 0 where there is nothing.
+
+    Spark finds the values in a job of its own and raises an error beyond
+    ``spark.sql.pivotMaxValues`` of them; a NULL value is the column ``null``.
+    """
+    return df.groupBy(row).pivot(column).agg(F.sum(value)).fillna(0).orderBy(row)
 
 
 def head_ordered(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
@@ -109,7 +126,7 @@ def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: Dat
     ``reps`` has the columns rep, ``user_name`` and ``rate`` (percent). The facts
     are reduced to one row per rep before they meet ``reps``, and that result is
     stored; ranks and the total read the stored rows, so nothing passes through
-    a window over all reps.
+    a window over all reps. Jobs run at once; so they do in ``pareto_curve``.
     """
     totals = facts.groupBy(rep).agg(F.countDistinct(key).alias("deals"), F.sum(amount).alias("revenue"))
     stored = materialize(
@@ -120,7 +137,7 @@ def rep_leaderboard(facts: DataFrame, rep: str, key: str, amount: str, reps: Dat
             (major_units("revenue", minor).cast("double") * F.col("rate").cast("double")).alias("_earned"),
         )
     )
-    total = stored.agg(F.sum("revenue")).scalar()
+    total = stored.agg(F.sum(wide(stored, "revenue"))).scalar()
     ranked = add_ranks(stored, {"revenue_rank": "revenue", "commission_rank": "_earned"})
     return ranked.select(
         "user_name",
@@ -140,6 +157,7 @@ def pareto_curve(facts: DataFrame, entity: str, amount: str, minor: int = 1) ->
     computed on distinct amounts and each one is expanded to its positions.
     """
     per_entity = facts.groupBy(entity).agg(F.sum(amount).alias("revenue"))
+    per_entity = per_entity.withColumn("revenue", wide(per_entity, "revenue"))
     totals = ordered_totals(per_entity, "revenue")
     return (
         expand_positions(totals)
@@ -168,6 +186,21 @@ def funnel(stages: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
             F.lit(step).alias("step"), F.lit(name).alias("stage_name"), "cnt"
         )
         counts = one if counts is None else counts.unionByName(one)
+    return _shares(counts)
+
+
+def funnel_of_counts(counts: DataFrame, stages: Sequence[tuple[str, str]]) -> DataFrame:
+    """A3 from one row of counts: ``stages`` are (name, column)."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(step).alias("step"), F.lit(name).alias("stage_name"), F.col(column).alias("cnt"))
+            for step, (name, column) in enumerate(stages, start=1)
+        ]
+    )
+    return _shares(counts.select(F.inline(rows)))
+
+
+def _shares(counts: DataFrame) -> DataFrame:
     in_order = Window.orderBy("step")
     return (
         counts.withColumn("pct_of_leads", percent("cnt", F.first_value("cnt").over(in_order)))
@@ -251,7 +284,7 @@ def payment_behaviour(
     measures += [
         percent(late, rows).alias("overdue_pct"),
         round_half_up(mean(days_between(paid, issued)), 0).alias("avg_days_to_pay"),
-        round_half_up(major_units(F.sum(fee), minor), 0).alias("total_late_fees"),
+        round_half_up(major_units(F.sum(wide(df, fee)), minor), 0).alias("total_late_fees"),
     ]
     return (
         df.where(F.col(paid).isNotNull())

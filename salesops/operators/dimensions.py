@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesops.functions import format_key, is_blank, md5_modulo
 from salesops.operators.ordering import number_values
+from salesops.operators.rows import last_first
 from salesops.session import is_small, materialize, small_side
 
 # Texts that mean "no value" in a lookup.
@@ -87,16 +88,15 @@ def store_lookups(lookups: Mapping[str, DataFrame], ordinal: str) -> dict[str, D
 
 
 def id_value_map(lookup: DataFrame, id_col: str, value_col: str, ordinal: Column | str) -> DataFrame:
-    """Old id -> value, unique on the id; the last row by ``ordinal`` wins.
+    """Old id -> value, unique on the id; the last row by ``ordinal`` wins, a NULL ordinal comes first.
 
     Blank ids are left out: they identify nothing.
     Returns ``old_id``, ``value``.
     """
-    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     return (
         lookup.where(~is_blank(lookup, id_col))
         .groupBy(F.col(id_col).alias("old_id"))
-        .agg(F.max_by(F.col(value_col), ordinal).alias("value"))
+        .agg(F.max_by(F.col(value_col), last_first(ordinal)).alias("value"))
     )
 
 
@@ -105,25 +105,28 @@ def key_mapping(
 ) -> DataFrame:
     """Old id -> new key. Ids whose value is no member of the dimension drop out.
 
+    A missing value is the empty text on both sides, as it is among the members.
+
     Few values may stand for very many ids, so a dimension of checked size is
     broadcast instead of shuffling the ids by value. ``small`` passes on the
     result of a check already made.
     """
-    members = dimension.select(F.col(key_col).alias("new_id"), F.col(value_col).alias("value"))
+    members = dimension.select(F.col(key_col).alias("new_id"), F.coalesce(F.col(value_col), F.lit("")).alias("value"))
     if is_small(members) if small is None else small:
         members = F.broadcast(members)
-    return id_map.join(members, "value").select("old_id", "new_id")
+    return id_map.withColumn("value", F.coalesce("value", F.lit(""))).join(members, "value").select("old_id", "new_id")
 
 
-def _join_key(df: DataFrame, key: Column) -> Column:
+def _join_key(df: DataFrame, key: Column, row_key: str | None = None) -> Column:
     """A left-join key whose NULLs do not all meet in one partition.
 
-    A missing text key becomes one of many texts that no key equals; other
-    types are left to the skew join.
+    A missing text key becomes one of many texts that no key equals, picked by
+    the row's own key (default: the first column); other types are left to the
+    skew join.
     """
     if df.select(key).schema[0].dataType.simpleString() != "string":
         return key
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(4096))
+    bucket = F.pmod(F.xxhash64(F.col(row_key or df.columns[0])), F.lit(4096))
     return F.coalesce(key, F.concat(F.lit("\u0000"), bucket.cast("string")))
 
 
@@ -201,7 +204,7 @@ def hash_fill(
     # Every row gets a number, also those that keep their reference: the join
     # key stays evenly spread and has no NULLs.
     filled = (
-        fact.withColumn("_key", _join_key(fact, F.col(fk)))
+        fact.withColumn("_key", _join_key(fact, F.col(fk), key))
         .join(mapped, F.col("_key") == F.col("_old_id"), "left")
         .withColumn("_number", md5_modulo(key, size))
         .join(choices, F.col("_number") == F.col("_choice"), "left")

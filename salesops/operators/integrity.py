@@ -39,17 +39,13 @@ def _key_type(columns: Iterable[tuple[DataFrame, str]]) -> str:
     return "bigint" if all(dict(df.dtypes)[c] in integers for df, c in columns) else "string"
 
 
-def _key_text(columns: Iterable[str]) -> Column:
-    """A key of one or several columns as one text; NULL if any part is."""
+def _key_parts(columns: Iterable[str]) -> Column:
+    """A key of one or several columns as an array of texts; NULL if any part is."""
     parts = [F.col(c).cast("string") for c in columns]
-    if len(parts) == 1:
-        return parts[0]
-    return F.concat(*[p for part in parts for p in (part, F.lit("\u0001"))])
-
-
-def _named(names: Iterable[str], number: str) -> Column:
-    """The text behind a 0-based number; shuffles carry the number only."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(number) + 1)
+    known = F.lit(True)
+    for part in parts:
+        known = known & part.isNotNull()
+    return F.when(known, F.array(*parts))
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
@@ -121,12 +117,13 @@ def check_unique(tables: Mapping[str, DataFrame], keys: Iterable[tuple[str, str
     """V3, V4: duplicates and NULLs of primary keys and unique columns.
 
     All keys share one shuffle; equal keys are counted on the map side.
-    Returns table, key, duplicate_keys, extra_rows, null_rows.
+    Returns table, key, duplicate_keys, extra_rows, null_rows, one row per
+    declared key, also for empty tables.
     """
     checked = [(t, (c,) if isinstance(c, str) else tuple(c)) for t, c in keys]
     counted = (
         _union(
-            tables[table].select(F.lit(n).alias("check_no"), _key_text(columns).alias("value"))
+            tables[table].select(F.lit(n).alias("check_no"), _key_parts(columns).alias("value"))
             for n, (table, columns) in enumerate(checked)
         )
         .groupBy("check_no", "value")
@@ -139,12 +136,13 @@ def check_unique(tables: Mapping[str, DataFrame], keys: Iterable[tuple[str, str
         total_or_zero(F.when(repeated, F.col("n") - 1)).alias("extra_rows"),
         total_or_zero(F.when(~known, F.col("n"))).alias("null_rows"),
     )
-    return result.select(
-        _named([t for t, _ in checked], "check_no").alias("table"),
-        _named([", ".join(c) for _, c in checked], "check_no").alias("key"),
-        "duplicate_keys",
-        "extra_rows",
-        "null_rows",
+    declared = result.sparkSession.createDataFrame(
+        [(n, table, ", ".join(columns)) for n, (table, columns) in enumerate(checked)],
+        "check_no int, table string, key string",
+    )
+    counts = ("duplicate_keys", "extra_rows", "null_rows")
+    return declared.join(result, "check_no", "left").select(
+        "table", "key", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts]
     )
 
 

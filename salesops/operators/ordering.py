@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesops.session import materialize
+from salesops.session import materialize, small_side
 
 # Peers of one value are numbered in pieces of this many rows.
 PIECE = 1 << 16
@@ -47,6 +47,12 @@ def number_rows(rows: DataFrame, order: list[Column], name: str = "position") ->
     )
 
 
+def number_output(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """1-based position of each row in the order that a frame comes in, for instance after ``orderBy``."""
+    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
+    return number_rows(placed, [F.col("_place")], name).drop("_place")
+
+
 def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
     """1-based position of each distinct value within its group, in code-point order.
 
@@ -67,7 +73,7 @@ def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
             row_id.bitwiseAND((1 << _ROW_BITS) - 1).alias("_index"),
         )
     )
-    # One row per (range, group): at most ranges + groups rows, as ranges are contiguous.
+    # One row per (range, group): at most ranges + groups rows, as ranges are contiguous. Groups may be many.
     pieces = placed.groupBy("_range", group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_index").alias("_first_index")
     )
@@ -78,7 +84,7 @@ def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first_index")).alias("_shift"),
     )
     on = (F.col("_range") == F.col("_in_range")) & F.col(group).eqNullSafe(F.col("_group"))
-    return placed.join(F.broadcast(starts), on).select(
+    return placed.join(small_side(starts), on).select(
         group, value, (F.col("_index") + F.col("_shift") + 1).cast("bigint").alias("position")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions import is_blank, null_if_sentinel
-from salesops.session import materialize, measure
+from salesops.session import materialize, measure, small_side
 
 # Texts that stand for a missing date.
 DATE_SENTINELS = ("Na", "NA", "N/A", "nan", "None")
@@ -27,23 +27,33 @@ def _same_key(pk: list[str]) -> Column:
     return condition
 
 
-def _last_per_key(df: DataFrame, pk: list[str], ordinal: Column) -> DataFrame:
+def last_first(ordinal: Column | str) -> Column:
+    """An ordinal as an order without NULL: rows without one come before all others."""
+    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
+    return F.struct(ordinal.isNotNull().alias("known"), ordinal.alias("ordinal"))
+
+
+def _order(df: DataFrame, ordinal: Column | str) -> Column:
+    """The ordinal, and among equal ones the content: the same row is last in every run."""
+    return F.struct(last_first(ordinal).alias("order"), F.xxhash64(*df.columns).alias("content"))
+
+
+def _last_per_key(df: DataFrame, pk: list[str], ordinal: Column | str) -> DataFrame:
     row = F.struct(*[F.col(c) for c in df.columns if c not in pk])
-    last = df.groupBy(*pk).agg(F.max_by(row, ordinal).alias("_row"))
+    last = df.groupBy(*pk).agg(F.max_by(row, _order(df, ordinal)).alias("_row"))
     return last.select(*[F.col(c) if c in pk else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
-    """One row per key, the last by ``ordinal``. NULL keys are one key.
+    """One row per key, the last by ``ordinal``. NULL keys are one key, a NULL ordinal comes first.
 
-    Repeated keys are counted on the key columns alone. If there are none, the
+    Runs a job at once, to find the repeated keys. Repeated keys are counted on the key columns alone. If there are none, the
     frame is returned as it is. If they are few, whole rows are shuffled only for
     them and all other rows just pass a broadcast anti join; otherwise every row takes the aggregation. That one merges on the
     map side, so a key with a large share of the rows reaches the shuffle as one
     row per task. ``df`` is read up to three times: pass a scan or a stored frame.
     """
     pk = _as_list(pk)
-    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     counted = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(counted.where("_n > 1").drop("_n"))
     count, small = measure(repeated)
@@ -56,19 +66,21 @@ def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | s
     return single.unionByName(_last_per_key(df.join(repeated, _same_key(pk), "left_semi"), pk, ordinal))
 
 
-def duplicate_report(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
+def duplicate_report(
+    df: DataFrame, pk: str | Iterable[str], ordinal: Column | str, beside: Iterable[str] = ()
+) -> DataFrame:
     """Keys that occur more than once: rows lost by keep-last, and whether they differ.
 
     Copies are counted by content first, so a hot key is merged before the
     second step. ``lost_conflicting`` counts lost rows whose content is not that
-    of the row kept.
+    of the row kept. The ordinal is not content; if it is an expression, name
+    its columns in ``beside``.
     """
     pk = _as_list(pk)
-    ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
-    ignored = {*pk, "_ordinal"}
+    ignored = {*pk, *beside, *([ordinal] if isinstance(ordinal, str) else ())}
     content = F.struct(*[F.col(c) for c in df.columns if c not in ignored])
     variants = df.groupBy(*pk, F.xxhash64(content).alias("_content")).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max(ordinal).alias("_latest")
+        F.count(F.lit(1)).alias("_copies"), F.max(last_first(ordinal)).alias("_latest")
     )
     per_key = variants.groupBy(*pk).agg(
         F.sum("_copies").alias("total_rows"),
@@ -84,14 +96,29 @@ def duplicate_report(df: DataFrame, pk: str | Iterable[str], ordinal: Column | s
     )
 
 
-def discarded_rows(df: DataFrame, pk: str | Iterable[str], ordinal: str) -> DataFrame:
-    """The rows that keep-last removes.
+def discarded_rows(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
+    """The rows that keep-last removes: with the rows it keeps they are the input, row by row.
 
-    The anti join is on the ordinal, which is unique, so duplicated keys do not
-    meet in one partition.
+    Only rows of repeated keys can be among them. The last row of each such key
+    is found on the map side and joined back; of rows equal in everything, all
+    but one are removed. Runs a job at once; ``df`` is read twice.
     """
-    kept = dedupe_keep_last(df, pk, ordinal).select(F.col(ordinal).alias("_kept"))
-    return df.join(kept, F.col(ordinal) == F.col("_kept"), "left_anti")
+    pk = _as_list(pk)
+    latest = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(_order(df, ordinal)).alias("_last")
+    )
+    repeated = small_side(latest.where("_n > 1").drop("_n"))
+    found = df.join(repeated, _same_key(pk)).withColumn("_order", _order(df, ordinal))
+    earlier = found.where(F.col("_order") < F.col("_last")).select(*df.columns)
+    copies = (
+        found.where(F.col("_order") == F.col("_last"))
+        .groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .withColumn("_copy", F.explode(F.expr("sequence(2L, _n)")))
+        .select(*df.columns)
+    )
+    return earlier.unionByName(copies)
 
 
 def columns_matching(df: DataFrame, pattern: str) -> list[str]:
@@ -172,7 +199,7 @@ def profile_lookup(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows and distinct non-NULL values of each lookup, in one shuffle.
 
     Values are counted per lookup and value first, so a frequent value is
-    merged on the map side.
+    merged on the map side. A lookup without rows gets zeros.
     """
     union = None
     for number, (df, column) in enumerate(tables.values()):
@@ -182,5 +209,9 @@ def profile_lookup(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     profile = per_value.groupBy("_lookup").agg(
         F.sum("n").alias("total_rows"), F.count("value").alias("distinct_values")
     )
-    names = F.array(*[F.lit(name) for name in tables])
-    return profile.select(F.element_at(names, F.col("_lookup") + 1).alias("table"), "total_rows", "distinct_values")
+    session = union.sparkSession
+    declared = session.createDataFrame(list(enumerate(tables)), "_lookup int, table string")
+    none = F.lit(0).cast("bigint")
+    return declared.join(profile, "_lookup", "left").select(
+        "table", F.coalesce("total_rows", none).alias("total_rows"), F.coalesce("distinct_values", none).alias("distinct_values")
+    )

@@ -97,7 +97,8 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         # Stored once with its new keys; the steps below read it column by column.
         before = df = stored[table] if table in stored else materialize(tables[table])
         if table in model.REPEATED_KEYS:
-            df = rows.dedupe_keep_last(before, model.PRIMARY_KEYS[table], ORDINAL)
+            # Stored again: the orphan steps and the audit read it several times.
+            df = materialize(rows.dedupe_keep_last(before, model.PRIMARY_KEYS[table], ORDINAL))
             audit += rows.before_after("keep last", table, before, df)
         df = rows.null_sentinels(df)
         if table in model.REQUIRED:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from salesops import functions as sf
 from salesops.operators import rows
+from salesops.operators.ordering import add_ranks, number_output
+from salesops.plans.given.reports import orders_by_nation
 from salesops.plans.given.registry import (
     GivenTables,
     money,
@@ -258,10 +260,12 @@ def pivot_counts(t: GivenTables) -> DataFrame:
     return banded.groupBy("event_type").pivot("band", ["low", "middle", "high"]).agg(F.count(F.lit(1))).fillna(0)
 
 
-@query("SELECT DISTINCT p_brand, p_type FROM part")
+@query(
+    "SELECT p_brand, p_type, row_number() OVER (ORDER BY p_brand, p_type) AS position FROM (SELECT DISTINCT p_brand, p_type FROM part)"
+)
 def distinct_values(t: GivenTables) -> DataFrame:
     """G11, T7"""
-    return t["part"].select("p_brand", "p_type").distinct().orderBy("p_brand", "p_type")
+    return number_output(t["part"].select("p_brand", "p_type").distinct().orderBy("p_brand", "p_type"))
 
 
 # --- windows --------------------------------------------------------------------------
@@ -284,8 +288,6 @@ def share_of_total(t: GivenTables) -> DataFrame:
 )
 def rank_over_expression(t: GivenTables) -> DataFrame:
     """W2"""
-    from salesops.operators.ordering import add_ranks
-
     weight = (F.col("s_acctbal") * (F.col("s_suppkey") % 7 + 1)).alias("weighted")
     suppliers = materialize(t["supplier"].select("s_suppkey", weight))
     return add_ranks(suppliers, {"weighted_rank": "weighted"}).drop("weighted")
@@ -311,11 +313,14 @@ def first_value_and_lag(t: GivenTables) -> DataFrame:
 # --- sorts, limits --------------------------------------------------------------------
 
 
-@query("SELECT n_name, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey ORDER BY n_name, c_name DESC")
+@query(
+    """SELECT n_name, c_name, row_number() OVER (ORDER BY n_name, c_name DESC) AS position
+  FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+)
 def sort_mixed(t: GivenTables) -> DataFrame:
     """T1"""
     joined = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select("n_name", "c_name").orderBy("n_name", F.desc("c_name"))
+    return number_output(joined.select("n_name", "c_name").orderBy("n_name", F.desc("c_name")))
 
 
 @query("SELECT p_partkey, p_retailprice, p_size::BIGINT AS p_size FROM part ORDER BY p_retailprice / p_size DESC, p_partkey LIMIT 15")
@@ -331,12 +336,15 @@ def first_row_meeting(t: GivenTables) -> DataFrame:
     return t["orders"].where("o_totalprice >= 400000").orderBy("o_orderdate", "o_orderkey").limit(1).select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1 ORDER BY CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 ELSE 2 END")
+@query(
+    """SELECT o_orderstatus, count(*) AS n, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 ELSE 2 END) AS position
+  FROM orders GROUP BY o_orderstatus"""
+)
 def custom_order(t: GivenTables) -> DataFrame:
     """T6"""
     counts = t["orders"].groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     place = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "P", 1).otherwise(2)
-    return counts.orderBy(place)
+    return number_output(counts.orderBy(place))
 
 
 # --- set operations -------------------------------------------------------------------
@@ -453,11 +461,9 @@ def blanks_and_nulls(t: GivenTables) -> DataFrame:
 )
 def thousands_separator(t: GivenTables) -> DataFrame:
     """F15"""
-    from salesops.plans.given.reports import orders_by_nation
-
     totals = orders_by_nation(t).groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
     return totals.select(
-        "n_name", sf.thousands("n").alias("orders"), sf.thousands(F.floor(F.col("total") / 100)).alias("revenue")
+        "n_name", sf.thousands("n").alias("orders"), sf.thousands(F.expr("floor(total div 100)")).alias("revenue")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesops.functions import minor_units
 from salesops.operators import analytics as a
+from salesops.operators.ordering import number_output
 from salesops.plans.given.registry import (
     GivenTables,
     money,
@@ -20,8 +21,7 @@ from salesops.plans.given.registry import (
     sql_total,
 )
 
-# Part types, discount bands (inclusive upper bound in percent, label).
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Discount bands (inclusive upper bound in percent, label).
 BANDS = [(2, "0-2%"), (5, "3-5%"), (8, "6-8%"), (None, "9-10%")]
 
 
@@ -31,9 +31,13 @@ def sales_lines(t: GivenTables) -> DataFrame:
     )
     parts = t["part"].select("p_partkey", "p_type")
     orders = t["orders"].select("o_orderkey", "o_orderdate")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey")
+    # One row per order and type meets the orders, instead of every line.
+    per_order = (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("l_orderkey", "p_type")
+        .agg(F.sum("qty").alias("qty"), F.sum("amount").alias("amount"))
     )
+    return per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 _LINES = """
@@ -45,18 +49,16 @@ _Q1 = f"""SELECT {sql_quarter("o_orderdate")} AS quarter, p_type AS category,
 
 @query(_Q1)
 def quarterly_sales_by_category(t: GivenTables) -> DataFrame:
-    return a.period_sales(sales_lines(t), "o_orderdate", "p_type", "o_orderkey", "qty", "amount", minor=100)
+    return a.period_sales(sales_lines(t), "o_orderdate", "p_type", "o_orderkey", "qty", "amount", minor=100, reduced=True)
 
 
-_PIVOT = ", ".join(
-    f"coalesce({sql_total(f'CASE WHEN p_type = {chr(39)}{v}{chr(39)} THEN {sql_money("l_extendedprice")} END')}, 0) AS \"{v}\""
-    for v in PART_TYPES
+@query(
+    f"""SELECT quarter, coalesce(COLUMNS(* EXCLUDE quarter), 0) FROM (
+  PIVOT (SELECT quarter, category, revenue FROM ({_Q1})) ON category USING sum(revenue) GROUP BY quarter)"""
 )
-
-
-@query(f"SELECT {sql_quarter('o_orderdate')} AS quarter, {_PIVOT} {_LINES} GROUP BY 1")
 def quarterly_sales_pivot(t: GivenTables) -> DataFrame:
-    return a.pivot_sum(quarterly_sales_by_category(t), "quarter", "category", "revenue", PART_TYPES)
+    sales = a.period_totals(sales_lines(t), "o_orderdate", "p_type", "o_orderkey", "qty", "amount", minor=100, reduced=True)
+    return a.pivot_sum(sales, "quarter", "category", "revenue")
 
 
 @query(f"{_Q1} ORDER BY quarter, revenue DESC, category LIMIT 12")
@@ -138,15 +140,13 @@ def warranty_mix(t: GivenTables) -> DataFrame:
     return a.mix(lines, "l_returnflag", "l_linenumber", "qty", "warranty_type")
 
 
-_REP = f"""WITH rep AS (
-  SELECT s_suppkey, s_name AS user_name, CAST(s_suppkey % 20 + 1 AS DOUBLE) AS comm,
-    count(DISTINCT l_orderkey) AS deals, {sql_total(sql_money("l_extendedprice"))} AS revenue
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3)
-SELECT user_name, deals, revenue, rank() OVER (ORDER BY revenue DESC) AS revenue_rank,
+_RATE = "CAST(s_suppkey % 20 + 1 AS DOUBLE)"
+_REP = f"""SELECT s_name AS user_name, deals, revenue, rank() OVER by_revenue AS revenue_rank,
   {sql_percent("revenue", f"(SELECT {sql_total(sql_money('l_extendedprice'))} FROM lineitem)")} AS pct_of_total,
-  {sql_round("revenue * comm / 100.0")} AS est_commission,
-  rank() OVER (ORDER BY revenue * comm DESC) AS commission_rank
-FROM rep"""
+  {sql_round(f"revenue * {_RATE} / 100.0")} AS est_commission, rank() OVER by_earning AS commission_rank
+FROM supplier JOIN (SELECT l_suppkey, count(DISTINCT l_orderkey) AS deals, {sql_total(sql_money("l_extendedprice"))} AS revenue
+  FROM lineitem GROUP BY l_suppkey) ON s_suppkey = l_suppkey
+WINDOW by_revenue AS (ORDER BY revenue DESC), by_earning AS (ORDER BY revenue * {_RATE} DESC)"""
 
 
 @query(_REP)
@@ -182,25 +182,27 @@ def pareto_cutoff(t: GivenTables) -> DataFrame:
 
 
 @query(
-    f"""WITH funnel AS (
-  SELECT 1 AS step, 'Leads' AS stage_name, (SELECT count(DISTINCT o_orderkey) FROM orders) AS cnt
-  UNION ALL SELECT 2, 'With lines', (SELECT count(DISTINCT l_orderkey) FROM lineitem)
-  UNION ALL SELECT 3, 'Shipped', (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_linestatus = 'F')
-  UNION ALL SELECT 4, 'Returned', (SELECT count(DISTINCT l_orderkey) FROM lineitem
-    WHERE l_linestatus = 'F' AND l_returnflag = 'R'))
-SELECT stage_name, cnt, {sql_percent("cnt", "first_value(cnt) OVER (ORDER BY step)")} AS pct_of_leads,
-  {sql_percent("cnt", "lag(cnt) OVER (ORDER BY step)")} AS step_conversion FROM funnel"""
+    f"""WITH per_order AS (SELECT o_orderkey, count(l_orderkey) > 0 AS lined, coalesce(bool_or(l_linestatus = 'F'), false) AS shipped,
+    coalesce(bool_or(l_linestatus = 'F' AND l_returnflag = 'R'), false) AS returned
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey),
+reached AS (SELECT [count(*), count_if(lined)::BIGINT, count_if(shipped)::BIGINT, count_if(returned)::BIGINT] AS n FROM per_order)
+SELECT unnest(['Leads', 'With lines', 'Shipped', 'Returned']) AS stage_name, unnest(n) AS cnt,
+  unnest([{", ".join(sql_percent(f"n[{k}]", "n[1]") for k in (1, 2, 3, 4))}]) AS pct_of_leads,
+  unnest([NULL, {", ".join(sql_percent(f"n[{k}]", f"n[{k - 1}]") for k in (2, 3, 4))}]) AS step_conversion FROM reached"""
 )
 def sales_funnel(t: GivenTables) -> DataFrame:
-    lines = t["lineitem"]
-    shipped = lines.where(F.col("l_linestatus") == "F")
-    return a.funnel(
-        [
-            ("Leads", t["orders"], "o_orderkey"),
-            ("With lines", lines, "l_orderkey"),
-            ("Shipped", shipped, "l_orderkey"),
-            ("Returned", shipped.where(F.col("l_returnflag") == "R"), "l_orderkey"),
-        ]
+    """One pass over the lines: flags per order, then counts of the flags."""
+    shipped = F.col("l_linestatus") == "F"
+    per_order = (
+        t["lineitem"].where("l_orderkey is not null")
+        .groupBy("l_orderkey")
+        .agg(F.bool_or(shipped).alias("shipped"), F.bool_or(shipped & (F.col("l_returnflag") == "R")).alias("returned"))
+    )
+    counts = per_order.agg(
+        F.count(F.lit(1)).alias("lined"), F.count_if("shipped").alias("shipped"), F.count_if("returned").alias("returned")
+    ).withColumn("leads", t["orders"].agg(F.countDistinct("o_orderkey")).scalar())
+    return a.funnel_of_counts(
+        counts, [("Leads", "leads"), ("With lines", "lined"), ("Shipped", "shipped"), ("Returned", "returned")]
     )
 
 
@@ -225,11 +227,12 @@ def win_rate_by_band(t: GivenTables) -> DataFrame:
     return a.rate_by_band(_discounted(t), "l_orderkey", "top_discount", F.col("o_orderstatus") == "F", BANDS)
 
 
-@query(_BAND)
+@query(f"SELECT *, row_number() OVER (ORDER BY length(discount_band), discount_band) AS position FROM ({_BAND})")
 def win_rate_by_band_ordered(t: GivenTables) -> DataFrame:
-    return a.rate_by_band(
+    bands = a.rate_by_band(
         _discounted(t), "l_orderkey", "top_discount", F.col("o_orderstatus") == "F", BANDS, ordered=True
     )
+    return number_output(bands)
 
 
 def _shipments(t: GivenTables) -> DataFrame:
@@ -306,12 +309,10 @@ def payment_behaviour_short(t: GivenTables) -> DataFrame:
 
 
 @query(
-    f"""WITH latest AS (SELECT max(o_orderdate) AS d FROM orders),
-open_orders AS (SELECT o_orderstatus AS stage, {_PRICE} AS amount,
-  date_diff('day', o_orderdate + INTERVAL 30 DAY, (SELECT d FROM latest)) AS days_over
-  FROM orders WHERE o_orderstatus IN ('O', 'P'))
-SELECT stage, count(*) AS stuck_deals, {sql_round(sql_total("amount"))} AS pipeline_value,
-  {sql_round(sql_mean("days_over"))} AS avg_days_overdue FROM open_orders WHERE days_over > 0 GROUP BY 1"""
+    f"""SELECT o_orderstatus AS stage, count(*) AS stuck_deals, {sql_round(sql_total(_PRICE))} AS pipeline_value,
+  {sql_round(sql_mean("date_diff('day', o_orderdate, limit_date)"))} AS avg_days_overdue
+FROM orders JOIN (SELECT max(o_orderdate) - INTERVAL 30 DAY AS limit_date FROM orders) ON date_diff('day', o_orderdate, limit_date) > 0
+WHERE o_orderstatus IN ('O', 'P') GROUP BY o_orderstatus"""
 )
 def open_deal_aging(t: GivenTables) -> DataFrame:
     orders = t["orders"]

@@ -95,8 +95,11 @@ UNIQUE = [
     ("Customer", "customer_email_address"),
 ]
 
-# The fifteen dimensions have a mandatory second column.
-DIMENSIONS = list(SCHEMAS)[:15]
+# The dimensions have a mandatory second column.
+DIMENSIONS = [
+    "City", "JobTitle", "Industry", "LeadSource", "LeadStatus", "LostReason", "QuoteStatus", "PaymentMethod",
+    "PaymentStatus", "OrderStatus", "Warranty", "VehicleType", "FuelType", "Role", "Stage",
+]
 
 # Mandatory columns.
 NOT_NULL = {

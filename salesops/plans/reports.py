@@ -20,12 +20,16 @@ WON = "Won"
 
 
 def _sales_lines(t: Tables) -> DataFrame:
-    """Order lines at line grain with their vehicle type."""
-    return (
+    """Order lines with their vehicle type, one row per order and type."""
+    per_quote = (
         t["QuoteLineItem"].select("quote_id", "product_id", "quantity", "total_price")
         .join(t["Product"].select("product_id", "vehicle_type_id"), "product_id")
         .join(t["VehicleType"], "vehicle_type_id")
-        .join(t["Quote"].select("quote_id"), "quote_id")
+        .groupBy("quote_id", "vehicle_type")
+        .agg(F.sum("quantity").alias("quantity"), F.sum("total_price").alias("total_price"))
+    )
+    return (
+        per_quote.join(t["Quote"].select("quote_id"), "quote_id")
         .join(t["Orders"].select("order_id", "order_date", "quote_id"), "quote_id")
     )
 
@@ -73,14 +77,16 @@ def _lead_outcomes(t: Tables) -> DataFrame:
 
 def quarterly_sales_by_category(t: Tables) -> DataFrame:
     return a.period_sales(
-        _sales_lines(t), "order_date", "vehicle_type", "order_id", "quantity", "total_price", "vehicle_type"
+        _sales_lines(t), "order_date", "vehicle_type", "order_id", "quantity", "total_price", "vehicle_type", reduced=True
     )
 
 
 def quarterly_sales_pivot(t: Tables) -> DataFrame:
-    """The value list is the vehicle-type dimension: one column per member."""
-    types = [r[0] for r in t["VehicleType"].select("vehicle_type").distinct().orderBy("vehicle_type").collect()]
-    return a.pivot_sum(quarterly_sales_by_category(t), "quarter", "vehicle_type", "revenue", types)
+    """One column per vehicle type that was sold."""
+    sales = a.period_totals(
+        _sales_lines(t), "order_date", "vehicle_type", "order_id", "quantity", "total_price", "vehicle_type", reduced=True
+    )
+    return a.pivot_sum(sales, "quarter", "vehicle_type", "revenue")
 
 
 def quarterly_sales_head(t: Tables) -> DataFrame:
@@ -123,7 +129,9 @@ def warranty_mix(t: Tables) -> DataFrame:
 
 
 def rep_leaderboard(t: Tables) -> DataFrame:
-    rate = F.col("commission_rate").try_cast("double").alias("rate")
+    # The number a rate begins with, as in '7%'; a rate without one earns nothing known.
+    leading = F.regexp_extract("commission_rate", r"^\s*([-+]?(\d+\.?\d*|\.\d+))", 1)
+    rate = leading.try_cast("double").alias("rate")
     return a.rep_leaderboard(
         _invoiced(t), "user_id", "order_id", "total_amount", t["Users"].select("user_id", "user_name", rate)
     )
@@ -231,10 +239,12 @@ def open_deal_aging(t: Tables) -> DataFrame:
 
 def revenue_fanout(t: Tables) -> DataFrame:
     """Invoice total, and what it would be if invoices were joined to order lines."""
+    # Every invoice counts, also without an order or a quote: those have no lines.
     billed = (
         t["Invoice"].select("order_id", "total_amount")
-        .join(t["Orders"].select("order_id", "quote_id"), "order_id")
-        .join(t["Quote"].select("quote_id"), "quote_id")
+        .join(t["Orders"].select("order_id", "quote_id"), "order_id", "left")
+        .join(t["Quote"].select("quote_id", F.col("quote_id").alias("known_quote")), "quote_id", "left")
+        .select(F.col("known_quote").alias("quote_id"), "total_amount")
     )
     return integrity.fanout_audit(billed, "quote_id", "total_amount", t["QuoteLineItem"], "quote_id")
 

@@ -16,6 +16,14 @@ def with_defaults(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: integrity.fill_defaults(df, model.DEFAULTS.get(name, {})) for name, df in tables.items()}
 
 
+def require_constraints(report: DataFrame) -> None:
+    """Raise if any declared constraint is broken. Reads one row per broken constraint."""
+    broken = report.where("violations > 0").orderBy("check", "table", "column").collect()
+    if broken:
+        text = "; ".join(f"{r['check']} {r['table']}.{r['column']}: {r['violations']}" for r in broken)
+        raise integrity.IntegrityError(f"broken constraints: {text}")
+
+
 def foreign_key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     keys = [k for k in model.FOREIGN_KEYS if k.child in tables and k.parent in tables]
     return integrity.check_foreign_keys(tables, keys)

@@ -35,12 +35,12 @@ def tune(spark: SparkSession) -> SparkSession:
 def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle and scan sizing for an input volume.
 
-    Shuffles start with one partition per 128 MB (at least two per core, at
-    most 50,000) and adaptive execution merges the small ones; scans use 256 MB
-    splits so that 100 TB become some 400,000 scan tasks instead of 800,000.
+    Shuffles start with one partition per 128 MB (at least two per core; some
+    800,000 for 100 TB) and adaptive execution merges the small ones; scans use
+    256 MB splits so that 100 TB become some 400,000 scan tasks.
     """
     target = 128 * 1024 * 1024
-    partitions = min(max(2 * cores, -(-input_bytes // target)), 50_000)
+    partitions = max(2 * cores, -(-input_bytes // target))
     return {
         **ADAPTIVE_SETTINGS,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -57,6 +57,16 @@ def build_session(app: str = "salesops", input_bytes: int = 0, cores: int = 8) -
     return builder.getOrCreate()
 
 
+def size_for(spark: SparkSession, folder: str) -> int:
+    """Measure an input folder and size the session's shuffles and scans for it. Returns the bytes."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = system.getContentSummary(path).getLength()
+    for key, value in cluster_settings(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+    return size
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediates named by ``spark.checkpoint.dir``.
 
@@ -78,8 +88,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_roots: set[str] = set()
+
+
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/salesops/{spark.sparkContext.applicationId}"
+    """This application's folder for intermediates; it goes when the driver's JVM ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/salesops/{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _roots.add(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -88,7 +109,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete the intermediates of this application, once its results are written."""
+    """Delete the intermediates of this application at once, when its results are written."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

