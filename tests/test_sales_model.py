@@ -239,13 +239,42 @@ def test_band_order_and_rate_order(typed):
     assert rates == sorted(rates, reverse=True)
 
 
-def test_golden_folders(spark):
-    """Optional: a raw folder and its known clean folder, named by the environment."""
-    raw_dir, clean_dir = os.environ.get("GOLDEN_RAW_DIR"), os.environ.get("GOLDEN_CLEAN_DIR")
-    if not raw_dir or not clean_dir:
-        pytest.skip("GOLDEN_RAW_DIR and GOLDEN_CLEAN_DIR not set")
+# A small raw export written by hand, and the clean tables it must give.
+GOLDEN_RAW = {
+    "Role": " role_id , role\nR1,Manager\nR2,Agent\nR3,NA\nR4,Manager\nR2,Driver\n",
+    "Users": "user_id,user_name,user_email_address,user_phone_number,role_id,commission_rate\n"
+    "U1,Ann,a@x,1,R1,5\nU2,Bob,b@x,2,R4,7\nU3,Cid,c@x,3,R3,\nU4,Dee,d@x,4,R2,6\nU5,Eve,e@x,5,R9,6\nU6,Fay,f@x,6,,6\n",
+    "BillingCity": "billing_city_id,billing_city\nB1,York\nB2,Bath\nB3,\n",
+    "BillingAddress": "billing_address_id,billing_address,billing_city_id\nA1,1 Road,B1\nA2,2 Road,B2\nA3,3 Road,B3\nA4,4 Road,B7\n",
+    "Account": "account_id,account_name\nACC1,Old\nACC2,Two\nACC1,New\n",
+    "Customer": "customer_id,customer_name,account_id\nC1,One,ACC1\nC2,Lost,ACC9\nC3,Free,\n",
+}
+GOLDEN_CLEAN = {
+    "Role": "role_id,role\nROL00001,Agent\nROL00002,Driver\nROL00003,Manager\n",
+    "Users": "user_id,user_name,user_email_address,user_phone_number,role_id,commission_rate\n"
+    "U1,Ann,a@x,1,ROL00003,5\nU2,Bob,b@x,2,ROL00003,7\nU3,Cid,c@x,3,,\nU4,Dee,d@x,4,ROL00002,6\nU5,Eve,e@x,5,,6\nU6,Fay,f@x,6,,6\n",
+    "City": "city_id,city_name\nCTY00001,\nCTY00002,Bath\nCTY00003,York\n",
+    "BillingAddress": "billing_address_id,billing_address,city_id\nA1,1 Road,CTY00003\nA2,2 Road,CTY00002\nA3,3 Road,CTY00001\nA4,4 Road,\n",
+    "Account": "account_id,account_name\nACC1,New\nACC2,Two\n",
+    "Customer": "customer_id,customer_name,account_id\nC1,One,ACC1\nC3,Free,\n",
+}
+
+
+def _write_golden(folder, tables):
+    folder.mkdir()
+    for name, text in tables.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_golden_folders(spark, tmp_path):
+    """A raw folder and its known clean folder: written by hand, or others named by the environment."""
+    raw_dir = os.environ.get("GOLDEN_RAW_DIR") or _write_golden(tmp_path / "raw", GOLDEN_RAW)
+    clean_dir = os.environ.get("GOLDEN_CLEAN_DIR") or _write_golden(tmp_path / "clean", GOLDEN_CLEAN)
     tables, _ = clean_model(sources.read_catalog(spark, raw_dir, ordinal=True))
-    for path in glob.glob(f"{clean_dir}/*.csv"):
+    paths = glob.glob(f"{clean_dir}/*.csv")
+    assert paths
+    for path in paths:
         with open(path, encoding="utf-8-sig", newline="") as handle:
             header, *wanted = list(csv.reader(handle))
         df = tables[os.path.basename(path)[: -len(".csv")]]
