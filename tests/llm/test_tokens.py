@@ -3,12 +3,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from salesops.llm import packing, token_counts
+from salesops.llm import packing, token_counts, tokens
+from salesops.llm.textarrays import pieces
 from salesops.llm.tokens import encoder, read_definition
 from tests.llm.conftest import ODD, SMALL
 
@@ -26,8 +28,6 @@ ALPHABET = "aBé́İ'st,.!? \n 　日1-<|>"
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=ALPHABET, max_size=30))
 def test_prefixes_of_any_text(text):
-    import pyarrow as pa
-
     for_batch = token_counts._prefixes(read_definition(PATH))
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["key", "text"])
     (counted,) = list(for_batch(iter([batch])))
@@ -49,17 +49,12 @@ def test_counts(odd, none):
 
 
 def test_encoder_forgets(monkeypatch):
-    from salesops.llm import tokens
-
     monkeypatch.setattr(tokens, "MAX_CHUNKS", 2)
     known = encoder(read_definition(PATH))
-    import pyarrow as pa
-
-    from salesops.llm.textarrays import pieces
-
     for text in ("a b c", "d e", "a d f"):
         (piece,) = pieces(pa.array([text]))
-        assert known.id_count[known.find(piece).known].sum() == len(ids_of(text))
+        found = known.find(piece)
+        assert known.id_count[found.known].sum() == len(ids_of(text))
 
 
 def test_first_fit_decreasing():
@@ -78,13 +73,13 @@ def test_first_fit_decreasing():
 
 def checked(rows, texts, capacity):
     """Every id lies in one piece, sequences have no gaps; returns the share of padding."""
-    pieces, sequences = defaultdict(list), defaultdict(list)
+    parts, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
-        pieces[r.doc_id].append(r)
+        parts[r.doc_id].append(r)
         sequences[r.sequence_id].append(r)
     for key, text in texts:
         ids = np.array([*ids_of(text), 2], dtype="<u4")
-        found, at = sorted(pieces[key], key=lambda r: r.start), 0
+        found, at = sorted(parts[key], key=lambda r: r.start), 0
         for r in found:
             assert r.start == at and r.doc_tokens == len(ids)
             assert zlib.crc32(ids[at : at + r.length].tobytes()) == r.ids_crc32
