@@ -49,6 +49,8 @@ def passages(text: str | None) -> list[tuple[int, str]]:
         else:
             if level and found and found[-1][0] < level and found[-1][1] and _ANNOUNCED.search(found[-1][1][-1]):
                 found[-1][1].pop()
+                if not found[-1][1]:
+                    found.pop()
             found.append((level, [line[mark.end() :] if mark else line]))
     return [(level, "\n".join(lines)) for level, lines in found]
 
