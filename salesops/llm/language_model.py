@@ -144,7 +144,8 @@ def seat(customers: int, pull: float, discount_: float, rng: np.random.Generator
     opened, now = [1.0], 1.0
     while len(opened) < customers:
         begun = now - discount_ * len(opened)
-        now = max(discount_ * len(opened) + begun * rng.random() ** (-1 / max(pull, 1e-12)), now + 1)
+        growth = math.exp(min(-math.log(1 - rng.random()) / max(pull, 1e-12), 700.0))
+        now = max(discount_ * len(opened) + begun * growth, now + 1)
         if not now < customers:
             break
         opened.append(now)
