@@ -33,6 +33,19 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first())
 
 
+def contracted(links: DataFrame, rounds: int) -> DataFrame:
+    """Links that connect the same nodes after some rounds; stored. Nodes lie nearer to the smallest by each."""
+    links = links.where("high <> low").distinct()
+    for _ in range(rounds):
+        links = materialize(_stars(links))
+    return links
+
+
+def nearest_roots(links: DataFrame) -> DataFrame:
+    """Per node with a smaller neighbour, ``high`` and the smallest, ``low``: of one component, if not always its root."""
+    return links.groupBy("high").agg(F.min("low").alias("low"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """From links (``high``, ``low``; high > low): per node that has any but is not the smallest of its
     component, ``high`` (the node) and ``low`` (the smallest).

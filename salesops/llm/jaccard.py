@@ -15,8 +15,11 @@ documents link nobody.
    one size band with itself and with the next, in blocks of bounded size. Every
    node has a bitmap, each bit the parity of the shingles that hash to it. The
    bits in which two bitmaps differ are a lower bound of the shingles in which
-   the sets differ, hence an upper bound of the overlap. Pairs that it does not
-   rule out, of different components, are compared exactly as before.
+   the sets differ, hence an upper bound of the overlap, and rule out most pairs.
+   First each node is compared, exactly as before, with the one node of another
+   component that its tile's bound leaves nearest; this is repeated while it
+   finds links, at most ``ROUNDS`` times. Then all pairs of different components
+   that the bound does not rule out are compared.
 
 A pair inside one component is never looked at, so a group of copies costs its
 size, not its square. Shingles and sets stand as 64-bit hashes.
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesops.llm.graphs import components
+from salesops.llm.graphs import components, contracted, nearest_roots
 from salesops.llm.textarrays import mix, pieces, shingle_hashes, word_hashes, words
 from salesops.session import materialize, small_side
 
@@ -51,6 +54,8 @@ _COUNT_AT_ONCE = 1 << 21
 # Nodes of a posting in one block of a tile, and compared with one copy of a group's first node.
 BLOCK = 2_048
 _BITS = (256, 1 << 16)
+# Rounds in which nodes are compared with their nearest only; they spare pairs and change no result.
+ROUNDS = 2
 
 
 def sets_of(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -280,34 +285,49 @@ def _tiled(open_postings: DataFrame) -> DataFrame:
             ),
         )
     )
-    return placed.select("shingle", "size", "node", "component", "bits", F.explode(tiles).alias("t")).select(
+    return placed.select("shingle", "size", "node", "component", F.explode(tiles).alias("t")).select(
         F.xxhash64("shingle", "t.low_band", "t.kind", "t.left", "t.right").alias("tile"),
-        "t.is_left", "t.is_right", "size", "node", "component", "bits",
+        "t.is_left", "t.is_right", "size", "node", "component",
     )
 
 
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile that their sizes, components and bitmaps do not rule out. Rows come sorted by tile."""
-    held: list[tuple] = []
-    tile = None
-    for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(7)]
-        for row in zip(*columns, strict=True):
-            if row[0] != tile:
-                yield from _tile_pairs(held)
-                held, tile = [], row[0]
-            held.append(row)
-    yield from _tile_pairs(held)
+def _open_tiles(tiles: DataFrame) -> DataFrame:
+    """The tiles that have two sides and several components; of those with the same nodes one."""
+    sides = tiles.groupBy("tile").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.bool_or("is_left").alias("left"), F.bool_or("is_right").alias("right"), F.count(F.lit(1)).alias("rows"),
+        F.sum(F.xxhash64("node", "is_left", "is_right").cast("decimal(38,0)")).alias("members"),
+    )
+    kept = sides.where("least <> most and left and right and rows > 1").groupBy("members", "rows").agg(F.min("tile").alias("tile"))
+    return tiles.join(kept.select("tile"), "tile")
+
+
+def _bounded(nearest: bool):
+    """Pairs of a tile that their sizes, components and bitmaps do not rule out: all, or each node's nearest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        tile = None
+        for batch in batches:  # sorted by tile
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for row in zip(*columns, strict=True):
+                if row[0] != tile:
+                    yield from _tile_pairs(held, nearest)
+                    held, tile = [], row[0]
+                held.append(row)
+        yield from _tile_pairs(held, nearest)
+
+    return run
 
 
-def _tile_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _tile_pairs(rows: list[tuple], nearest: bool) -> Iterator[pa.RecordBatch]:
     left, right = [r for r in rows if r[1]], [r for r in rows if r[2]]
     if not left or not right or len({r[5] for r in rows}) < 2:
         return
     width = min(len(r[6]) for r in rows)
     bits = np.stack([folded(r[6], width) for r in right]).view(np.uint64)
     size, node, component = (np.array([r[k] for r in right], dtype=np.int64) for k in (3, 4, 5))
-    leads, others = [], []
+    pairs: set[tuple[int, int]] = set()
     for row in left:
         small, large = np.minimum(size, row[3]), np.maximum(size, row[3])
         near = np.flatnonzero((component != row[5]) & (100 * small >= THRESHOLD * large))
@@ -316,11 +336,13 @@ def _tile_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         apart = np.bitwise_count(bits[near] ^ folded(row[6], width).view(np.uint64)).sum(axis=1, dtype=np.int64)
         # overlap <= (sum - apart) / 2, and similar sets overlap in THRESHOLD * sum / (100 + THRESHOLD) at least.
         total = size[near] + row[3]
-        near = near[(100 + THRESHOLD) * (total - apart) >= 2 * THRESHOLD * total]
-        leads += np.minimum(node[near], row[4]).tolist()
-        others += np.maximum(node[near], row[4]).tolist()
-    if leads:
-        yield pa.RecordBatch.from_arrays([pa.array(leads, pa.int64()), pa.array(others, pa.int64())], names=["lead", "node"])
+        possible = (100 + THRESHOLD) * (total - apart) >= 2 * THRESHOLD * total
+        if nearest and possible.any():
+            possible = np.arange(len(near)) == np.argmin(np.where(possible, apart / total, 2.0))
+        pairs.update((min(n, row[4]), max(n, row[4])) for n in node[near[possible]].tolist())
+    if pairs:
+        lead, other = zip(*sorted(pairs), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(lead, pa.int64()), pa.array(other, pa.int64())], names=["lead", "node"])
 
 
 def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -361,14 +383,19 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.max(F.struct("shared", "first")).alias("best"))
         .select(F.col("best.first").alias("lead"), "node")
     )
-    links = _verified(texts, nodes, firsts)
-    found = components(links)
-    links = links.unionByName(_verified(texts, nodes, _open_pairs(postings, nodes, found)))
-    found = components(links)
+    # While pairs are looked for, components may be known in part: then more pairs are compared, none is missed.
+    links = contracted(_verified(texts, nodes, firsts), 2)
+    for _ in range(ROUNDS):
+        more = _verified(texts, nodes, _open_pairs(postings, nodes, nearest_roots(links), nearest=True))
+        if more.isEmpty():
+            break
+        links = contracted(links.unionByName(more), 2)
+    more = _verified(texts, nodes, _open_pairs(postings, nodes, nearest_roots(links), nearest=False))
+    found = components(links.unionByName(more))
     return _labelled(nodes, found).withColumnRenamed("key", key)
 
 
-def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, nearest: bool) -> DataFrame:
     """Pairs of different components that share a posting and that nothing rules out."""
     known = postings.join(found, F.col("node") == F.col("high"), "left").select(
         "shingle", "size", "node", F.coalesce("low", "node").alias("component")
@@ -385,13 +412,14 @@ def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame) -> Data
         .select("shingle", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
     )
     bits = nodes.groupBy("node").agg(F.first("bits").alias("bits"))
-    tiles = _tiled(known.join(open_groups, "shingle").join(bits, "node"))
+    # The tiles are read twice, without the bitmaps first.
+    tiles = _open_tiles(materialize(_tiled(known.join(open_groups, "shingle")))).join(bits, "node")
     ranges = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         tiles.select("tile", "is_left", "is_right", "size", "node", "component", "bits")
         .repartition(ranges, "tile")
         .sortWithinPartitions("tile")
-        .mapInArrow(_bounded, "lead long, node long")
+        .mapInArrow(_bounded(nearest), "lead long, node long")
         .distinct()
     )
 
