@@ -108,8 +108,12 @@ def _rooted(parents: DataFrame) -> DataFrame:
             F.col("parent").isNotNull().cast("long").alias("depth"),
         )
     )
+    ended = state.limit(0)
     while True:
-        up = state.select("scope", F.col("position").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"))
+        # Only messages that moved go on; a short conversation is done after a few rounds.
+        up = state.unionByName(ended).select(
+            "scope", F.col("position").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more")
+        )
         moved = materialize(
             state.join(up, ["scope", "root"], "left").select(
                 "scope", "position", "parent", F.coalesce("above", "root").alias("root"),
@@ -117,9 +121,10 @@ def _rooted(parents: DataFrame) -> DataFrame:
                 (F.coalesce("above", "root") != F.col("root")).alias("moved"),
             )
         )
-        state = moved.drop("moved")
-        if moved.where("moved").isEmpty():
-            return state
+        ended = ended.unionByName(moved.where("not moved").drop("moved"))
+        state = moved.where("moved").drop("moved")
+        if state.isEmpty():
+            return ended
 
 
 def link_quotes(
