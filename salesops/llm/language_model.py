@@ -1,23 +1,29 @@
 """Scores of documents by a hierarchical Pitman-Yor language model.
 
-Two levels of restaurants over word classes: each of the ``CLASSES`` most
-frequent training words and the end of a text is a class of its own, all other
-words are one class, RARE. Every class as previous token has a context
-restaurant; all context restaurants share one parent, whose customers are their
-tables. A word within RARE comes from a further restaurant over all other
-training words, whose base gives half its mass to the one unknown word.
-
-Seating is sampled by Gibbs: a customer leaves its table and sits down again, at
-a table of its dish in proportion to its size less the discount, or at a new one
-in proportion to the parent's probability of the dish. Context restaurants are
-sampled in parallel, each in a task, against the parent of the sweep before.
-Predictive probabilities are averaged over the sweeps after burn-in. In the
-restaurant of rare words all words with equal counts have the same distribution,
-so that one seating per distinct count stands for them.
-
-Word counts cover all training texts and stay distributed: a shuffle adds them
-up; scoring looks up the ``FREQUENT`` most frequent words in a broadcast list of
-that fixed length and joins all others by their hash.
+Three levels of restaurants. Every training word, and the end of a text, has a
+context restaurant of its own, whose dishes are the words that follow it. Its
+base is a coarser model: each of the ``CLASSES`` - 1 most frequent words and the
+end is a class, all other words are one class, RARE; every class has a
+restaurant over classes, whose customers are the tables of its words'
+restaurants, and all of them share one parent, whose customers are their tables.
+A word within RARE comes from a further restaurant over all occurrences of all
+other training words, whose base gives half its mass to the one unknown word.
+
+Seating is sampled by Gibbs, a dish at a time with all its customers. Given
+x ~ Gamma(strength / discount + tables) of a restaurant, its dishes are
+independent, with weight ``discount * base * x`` of a new table, so that a
+restaurant of many dishes may lie in several tasks. A seating is the places of
+the customers that opened tables. A new one is drawn for a whole dish from front
+to back, waiting times at once, and taken by Metropolis-Hastings (``reseated``),
+which costs as many steps as it has tables, for any number of customers. A parent
+keeps its seating: customers come and go at its end. Restaurants of words are
+sampled against the parent of the sweep before. Predictive probabilities are
+averaged over the sweeps after burn-in. In the restaurant
+of rare words all words with equal counts share one seating.
+
+Counts of words and pairs cover all training texts and stay distributed; scoring
+looks up the ``FREQUENT`` most frequent words and ``FREQUENT_PAIRS`` pairs in
+broadcast lists of these fixed lengths and joins all others.
 
 Defined cases: a null text is an empty one (its end is its one token); a null key
 counts as an empty text when keys are drawn, which holds it out; repeated rows
@@ -42,8 +48,13 @@ from salesops.session import materialize
 
 CLASSES = 256
 FREQUENT = 1 << 17
+FREQUENT_PAIRS = 1 << 20
+# Pairs counted by a task before it passes them on.
+HELD_PAIRS = 1 << 22
+# Dishes of a restaurant in one row; a larger restaurant has several rows.
+DISHES = 4096
 BURN_IN, SWEEPS = 3, 6
-# Customers of a dish that are seated anew in one sweep.
+# Customers of a rare word that are seated anew in one sweep.
 RESEATED = 8
 STRENGTH = 1.0
 UNKNOWN_SHARE = 0.5
@@ -94,7 +105,8 @@ class Lexicon(NamedTuple):
 
 
 def _lexicon(counted: DataFrame) -> Lexicon:
-    rows = counted.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
+    end = F.col("word") == int(_END.view(np.int64))
+    rows = counted.orderBy(F.desc(end), F.desc("count"), "word").limit(FREQUENT).collect()
     found = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
     counts = np.array([r["count"] for r in rows], dtype=np.int64)
     classes = np.full(len(found), CLASSES, dtype=np.int64)
@@ -105,29 +117,37 @@ def _lexicon(counted: DataFrame) -> Lexicon:
     return Lexicon(found[order], counts[order], classes[order], CLASSES)
 
 
-def _previous(classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The class before each token; a text begins after an end."""
-    before = np.zeros(len(classes), dtype=np.int64)
-    before[1:] = classes[:-1]
-    before[bounds[:-1]] = 0
+def _before(values: np.ndarray, bounds: np.ndarray, end) -> np.ndarray:
+    """What stands before each token; a text begins after an end."""
+    before = np.full(len(values), end, dtype=values.dtype)
+    before[1:] = values[:-1]
+    before[bounds[:-1]] = end
     return before
 
 
-def _count_pairs(lexicon: Lexicon):
-    side = lexicon.rare + 1
+def _joined(contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
+    """One hash for two."""
+    mixed = (contexts ^ (contexts >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + words_
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = np.zeros(side * side, dtype=np.int64)
-            for _, stream, bounds in tokens(batch.column(0)):
-                classes, _ = lexicon.find(stream)
-                total += np.bincount(_previous(classes, bounds) * side + classes, minlength=side * side)
-            met = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(met // side), pa.array(met % side), pa.array(total[met])], names=["context", "dish", "count"]
-            )
 
-    return run
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def counted() -> pa.RecordBatch:
+        contexts, found = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        _, at, counts = np.unique(_joined(contexts, found), return_index=True, return_counts=True)
+        columns = [pa.array(contexts[at].view(np.int64)), pa.array(found[at].view(np.int64)), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["context", "word", "count"])
+
+    for batch in batches:
+        for _, stream, bounds in tokens(batch.column(0)):
+            held.append((_before(stream, bounds, _END), stream))
+            if sum(len(x) for x, _ in held) > HELD_PAIRS:
+                yield counted()
+    if held:
+        yield counted()
 
 
 def discount(counts: np.ndarray) -> float:
@@ -136,6 +156,7 @@ def discount(counts: np.ndarray) -> float:
     return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
 
 
+# The next three seat one customer at a time, for rare words.
 def seat(customers: int, pull: float, discount_: float, rng: np.random.Generator) -> list[int]:
     """A first seating of a dish's customers: when tables open is drawn, and they grow in proportion.
 
@@ -185,28 +206,119 @@ def _table(sizes: list[int], point: float, discount_: float) -> int:
     return len(sizes) - 1
 
 
-def _sweep(parent: np.ndarray, discount_: float, sweep: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One context restaurant: a row per dish, with the sizes of its tables (none before the first sweep)."""
-        context = int(group["context"].iloc[0])
-        rng = np.random.default_rng([_SEED, sweep, context])
-        group = group.sort_values("dish", ignore_index=True)
-        weights = parent[group["dish"].to_numpy()]
-        counts = group["count"].tolist()
-        seats = [list(map(int, s)) for s in group["tables"]]
-        total = len(counts)
-        for k, count in enumerate(counts):
-            if not seats[k]:
-                seats[k] = seat(count, (STRENGTH + discount_ * total) * weights[k], discount_, rng)
-        total = sum(map(len, seats))
-        for k, count in enumerate(counts):
-            if count > 1:
-                others = total - len(seats[k])
-                reseat(seats[k], min(count, RESEATED), weights[k], STRENGTH, discount_, others, rng)
-                total = others + len(seats[k])
-        return group.assign(tables=seats)
+def gammaln(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function above 0."""
+    x = np.asarray(x, dtype=float)
+    small = x < 10
+    up = np.where(small, x + 10, x)
+    rows = np.where(small, x, 1.0)
+    shift = rows.copy()
+    for k in range(1, 10):
+        shift = shift * (rows + k)
+    square = up**-2.0
+    tail = (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680))) / up
+    return (up - 0.5) * np.log(up) - up + 0.5 * math.log(2 * math.pi) + tail - np.where(small, np.log(shift), 0.0)
 
-    return run
+
+class Seating(NamedTuple):
+    """Of several dishes: customers, tables, and the places of the customers that opened these, from 1."""
+
+    customers: np.ndarray
+    tables: np.ndarray
+    opened: np.ndarray
+
+    def fit(self, counts: np.ndarray) -> Seating:
+        """Without the tables of customers that have gone."""
+        of = np.repeat(np.arange(len(counts)), self.tables)
+        kept = self.opened <= counts[of]
+        customers = np.minimum(self.customers, counts)
+        return Seating(customers, np.bincount(of[kept], minlength=len(counts)), self.opened[kept])
+
+
+def _blocks(now: np.ndarray, counts: np.ndarray, pulls: np.ndarray, discount_: float) -> tuple[np.ndarray, np.ndarray]:
+    """Where the block of places ends that ``now`` customers stand in, and the weight of a new table there.
+
+    A table makes all later customers less likely by about (place / counts) ** discount, which the proposal foresees.
+    """
+    ends = np.minimum(np.exp2(np.floor(np.log2(now)) + 1), counts)
+    return ends, np.maximum(pulls * (np.sqrt(now * ends) / counts) ** discount_, 1e-12)
+
+
+def forward(counts: np.ndarray, pulls: np.ndarray, discount_: float, rng: np.random.Generator, old: Seating | None = None) -> Seating:
+    """Customers sit down from front to back, after those of an old seating.
+
+    Between two openings the chance of a new table is that of a beta-geometric waiting time.
+    """
+    customers, counts = counts, counts.astype(float)
+    if old is None:
+        now, tables = np.minimum(counts, 1.0), np.minimum(counts, 1.0)
+        places, dishes = [np.ones(int(tables.sum()))], [np.flatnonzero(tables)]
+    else:
+        tables = old.tables.astype(float)
+        dishes, places = [np.repeat(np.arange(len(counts)), old.tables)], [old.opened.astype(float)]
+        now = old.customers.astype(float)
+    active = np.flatnonzero(now < counts)
+    while len(active):
+        at, n = now[active], counts[active]
+        fresh = at < 1
+        ends, pull = _blocks(np.maximum(at, 1.0), n, pulls[active], discount_)
+        chance = rng.beta(pull, np.where(fresh, 1.0, at - discount_ * tables[active]))
+        with np.errstate(divide="ignore", over="ignore"):
+            wait = np.maximum(np.ceil(np.log(1 - rng.random(len(active))) / np.log1p(-chance)), 1.0)
+        then = np.where(fresh, 1.0, at + np.where(chance > 0, wait, np.inf))
+        opens = fresh | (then <= ends)
+        now[active] = np.where(opens, then, ends)
+        tables[active[opens]] += 1
+        dishes.append(active[opens])
+        places.append(then[opens])
+        active = active[now[active] < counts[active]]
+    dish, place = np.concatenate(dishes), np.concatenate(places)
+    order = np.lexsort((place, dish))
+    return Seating(customers, np.bincount(dish, minlength=len(counts)), place[order].astype(np.int64))
+
+
+def _weights(seating: Seating, counts: np.ndarray, pulls: np.ndarray, discount_: float) -> np.ndarray:
+    """Logarithm of how much likelier each dish's seating is than ``forward`` draws it, up to a constant."""
+    counts = counts.astype(float)
+    total = np.zeros(len(counts))
+    of = np.repeat(np.arange(len(counts)), seating.tables)
+    rank = np.arange(len(of)) - np.repeat(np.cumsum(seating.tables) - seating.tables, seating.tables) + 1.0
+    now = seating.opened.astype(float)
+    last = np.append(of[1:] != of[:-1], True)[: len(of)]
+    until = np.where(last, counts[of], np.append(now[1:], 0.0)[: len(of)])
+    while len(of):
+        ends, pull = _blocks(now, counts[of], pulls[of], discount_)
+        ends = np.where(now < until, np.minimum(ends, until), now)
+        seated = gammaln(ends - discount_ * rank + pull) - gammaln(now - discount_ * rank + pull)
+        opened = (ends == until) & ~last & (now < until)
+        total += np.bincount(of, weights=seated + np.where(opened, np.log(pulls[of] / pull), 0.0), minlength=len(counts))
+        more = ends < until
+        of, rank, now, until, last = of[more], rank[more], ends[more], until[more], last[more]
+    return total
+
+
+def reseated(old: Seating | None, counts: np.ndarray, pulls: np.ndarray, discount_: float, rng) -> Seating:
+    """All customers of every dish sit down anew; ``pulls`` are the weights of new tables.
+
+    The counts may have changed: customers leave from the end, new ones sit down after the others.
+    """
+    pulls = np.maximum(pulls, 1e-12)
+    new = forward(counts, pulls, discount_, rng)
+    if old is None:
+        return new
+    old = forward(counts, pulls, discount_, rng, old.fit(counts))
+    gain = _weights(new, counts, pulls, discount_) - _weights(old, counts, pulls, discount_)
+    taken = np.log(1 - rng.random(len(counts))) < gain
+    of_new, of_old = (np.repeat(np.arange(len(counts)), x.tables) for x in (new, old))
+    in_new, in_old = taken[of_new], ~taken[of_old]
+    dish = np.concatenate([of_new[in_new], of_old[in_old]])
+    opened = np.concatenate([new.opened[in_new], old.opened[in_old]])
+    return Seating(counts, np.where(taken, new.tables, old.tables), opened[np.argsort(dish, kind="stable")])
+
+
+def _crowd(tables: float, strength: float, discount_: float, rng) -> float:
+    """The x of a restaurant, given which its dishes are independent."""
+    return discount_ * rng.gamma(strength / discount_ + tables)
 
 
 def _predictive(
@@ -259,43 +371,254 @@ def fit_rare(counts: np.ndarray, many: np.ndarray) -> Rare:
     return Rare(counts, kept / samples, unknown / samples)
 
 
-def fit_classes(pairs: DataFrame, side: int) -> np.ndarray:
-    """Averaged probability of each class after each class, from rows (context, dish, count) per task."""
-    state = materialize(
-        pairs.groupBy("context", "dish")
-        .agg(F.sum("count").alias("count"))
-        .withColumn("tables", F.array().cast("array<long>"))
-    )
-    schema = state.schema
-    counts = np.zeros((side, side))
-    for r in state.select("context", "dish", "count").collect():  # at most side * side rows
-        counts[r["context"], r["dish"]] = r["count"]
-    discount_ = discount(counts[counts > 0])
-    parent_counts, parent = np.zeros(side, dtype=np.int64), np.full(side, 1 / side)
-    parent_seats: list[list[int]] = [[] for _ in range(side)]
-    rng = np.random.default_rng([_SEED, 1 << 21])
-    average, base = np.zeros((side, side)), np.full(side, 1 / side)
-    for sweep in range(BURN_IN + SWEEPS if counts.any() else 0):
-        state = materialize(state.groupBy("context").applyInPandas(_sweep(parent, discount_, sweep), schema))
-        tables = np.zeros((side, side))
-        for r in state.select("context", "dish", F.size("tables").alias("tables")).collect():
-            tables[r["context"], r["dish"]] = r["tables"]
-        # The tables below are the parent's customers.
-        parent_counts = tables.sum(axis=0).astype(np.int64)
-        total = max(sum(map(len, parent_seats)), np.count_nonzero(parent_counts))
-        for dish, customers in enumerate(parent_counts.tolist()):
-            sizes = parent_seats[dish]
-            total -= len(sizes)
-            if sum(sizes) != customers:
-                pull = (STRENGTH + 0.5 * total) * base[dish]
-                sizes[:] = seat(customers, pull, 0.5, rng) if customers else []
-            if customers > 1:
-                reseat(sizes, min(customers, RESEATED), base[dish], STRENGTH, 0.5, total, rng)
-            total += len(sizes)
-        parent = _predictive(parent_counts, np.array([len(s) for s in parent_seats]), base, 0.5)
+class Classes:
+    """The restaurants of the classes and their parent."""
+
+    def __init__(self, side: int) -> None:
+        self.side, self.rng = side, np.random.default_rng([_SEED, 1 << 21])
+        self.lower: Seating | None = None
+        self.upper: Seating | None = None
+        self.base = np.full(side, 1 / side)
+        self.parent = self.base
+        self.probabilities = np.full((side, side), 1 / side)
+
+    def sweep(self, counts: np.ndarray) -> None:
+        """``counts`` are the tables of the restaurants of words, by class of the context and of the word."""
+        discount_, flat = discount(counts[counts > 0]), counts.ravel()
+        held = self.lower.tables.reshape(counts.shape) if self.lower else np.minimum(counts, 1)
+        crowds = np.array([_crowd(t, STRENGTH, discount_, self.rng) for t in held.sum(axis=1).tolist()])
+        self.lower = reseated(self.lower, flat, (crowds[:, None] * self.parent).ravel(), discount_, self.rng)
+        tables = self.lower.tables.reshape(counts.shape)
+        above = tables.sum(axis=0)
+        held = self.upper.tables if self.upper else np.minimum(above, 1)
+        self.upper = reseated(self.upper, above, _crowd(held.sum(), STRENGTH, 0.5, self.rng) * self.base, 0.5, self.rng)
+        self.parent = _predictive(above, self.upper.tables, self.base, 0.5)
+        self.probabilities = _predictive(counts, tables, self.parent[None, :], discount_)
+
+
+_CELL = "struct<word:long,dish:int,count:long,inside:double>"
+_STATE = (
+    f"context long, chunk int, class int, customers long, singles long, cells array<{_CELL}>,"
+    " tables array<long>, opened array<long>, kept array<double>, totals array<long>"
+)
+
+
+def _lists(lengths: np.ndarray, values) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values))
+
+
+def _sweep(parent: np.ndarray, discount_: float, sweep: int, hot: dict[int, tuple[int, int, int]]):
+    """Rows of restaurants with new seatings; ``hot``: customers, singles and tables of those of several rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            contexts, chunks, classes, singles = (get[c].to_numpy() for c in ("context", "chunk", "class", "singles"))
+            dishes = np.diff(get["cells"].offsets.to_numpy())
+            flat = get["cells"].flatten()
+            dish, counts, inside = (flat.field(k).to_numpy() for k in (1, 2, 3))
+            of = np.repeat(np.arange(batch.num_rows), dishes)
+            old = None
+            tables = np.ones(len(counts), dtype=np.int64)
+            if sweep:
+                old = Seating(counts, get["tables"].flatten().to_numpy(), get["opened"].flatten().to_numpy())
+                tables = old.tables
+            own = np.bincount(of, weights=tables, minlength=batch.num_rows) + singles
+            crowds = np.array([
+                # Rows of one context draw the same.
+                _crowd(hot[c][2] if c in hot else t, STRENGTH, discount_, np.random.default_rng([_SEED, sweep, c & (1 << 64) - 1]))
+                for c, t in zip(contexts.tolist(), own.tolist(), strict=True)
+            ])
+            first = int(contexts[0]) & (1 << 64) - 1 if len(contexts) else 0
+            rng = np.random.default_rng([_SEED, sweep, first, int(chunks[0]) if len(chunks) else 0, 1])
+            seating = reseated(old, counts, crowds[of] * parent[classes[of], dish] * inside, discount_, rng)
+            kept = get["kept"].flatten().to_numpy() if sweep else np.zeros(len(counts))
+            if sweep >= BURN_IN:
+                kept = kept + (counts - discount_ * seating.tables) / SWEEPS
+            total = (np.bincount(of, weights=seating.tables, minlength=batch.num_rows) + singles).astype(np.int64)
+            before = get["totals"].flatten().to_numpy().reshape(batch.num_rows, -1) if sweep else np.zeros((batch.num_rows, 0), np.int64)
+            totals = np.column_stack([before, total])
+            opened = np.bincount(of, weights=seating.tables, minlength=batch.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(get[c] for c in ("context", "chunk", "class", "customers", "singles", "cells")),
+                    _lists(dishes, seating.tables.astype(np.int64)), _lists(opened, seating.opened), _lists(dishes, kept),
+                    _lists(np.full(batch.num_rows, totals.shape[1]), totals.ravel()),
+                ],
+                names=["context", "chunk", "class", "customers", "singles", "cells", "tables", "opened", "kept", "totals"],
+            )
+
+    return run
+
+
+def _class_tables(side: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * side, dtype=np.int64)
+        for batch in batches:
+            of = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
+            dish, tables = batch.column(1).flatten().field(1).to_numpy(), batch.column(2).flatten().to_numpy()
+            np.add.at(total, of.astype(np.int64) * side + dish, tables)
+        met = np.flatnonzero(total)
+        columns = [pa.array(met // side), pa.array(met % side), pa.array(total[met])]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", "dish", "tables"])
+
+    return run
+
+
+def _dense(rows: DataFrame, side: int) -> np.ndarray:
+    found = np.zeros((side, side), dtype=np.int64)
+    for r in rows.groupBy("class", "dish").agg(F.sum("tables").alias("tables")).collect():  # at most side * side rows
+        found[r["class"], r["dish"]] = r["tables"]
+    return found
+
+
+class Samples(NamedTuple):
+    """What the sweeps after burn-in leave: probabilities of classes by sweep, and the discount of words' restaurants."""
+
+    classes: np.ndarray
+    discount: float
+
+    def backed(self, weights: np.ndarray, classes: np.ndarray, dishes: np.ndarray) -> np.ndarray:
+        """What a restaurant takes from its base: ``weights`` by dish and sweep."""
+        return np.mean(weights * self.classes[:, classes, dishes].T, axis=1)
+
+
+def _placed(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes, _ = lexicon.find(batch.column(0).to_numpy().view(np.uint64))
+            dishes, counts = lexicon.find(batch.column(1).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(counts)],
+                names=["context", "word", "count", "class", "dish", "of_word"],
+            )
+
+    return run
+
+
+def _finished(samples: Samples, hot: dict[int, list[int]]):
+    """Rows of cells with the logarithm of their probability, and a row per context but the hot (``word`` null, ``count`` its customers) with its weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            contexts = get["context"].to_numpy()
+            customers = get["customers"].to_numpy()
+            totals = get["totals"].flatten().to_numpy().reshape(batch.num_rows, -1)[:, BURN_IN:].copy()
+            for k, c in enumerate(contexts.tolist()):
+                totals[k] = hot.get(c, totals[k])
+            weights = (STRENGTH + samples.discount * totals) / (STRENGTH + customers)[:, None]
+            dishes = np.diff(get["cells"].offsets.to_numpy())
+            of = np.repeat(np.arange(batch.num_rows), dishes)
+            word, dish, counts, inside = (get["cells"].flatten().field(k).to_numpy() for k in range(4))
+            backed = samples.backed(weights[of], get["class"].to_numpy()[of], dish) * inside
+            logs = np.log10(get["kept"].flatten().to_numpy() / (STRENGTH + customers)[of] + backed)
+            none = np.zeros(len(of) + 1, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(contexts[of]), pa.array(word), pa.array(counts), pa.array(logs), pa.ListArray.from_arrays(pa.array(none), pa.array([], pa.float64()))],
+                names=["context", "word", "count", "log", "weights"],
+            )
+            first = np.flatnonzero([c not in hot for c in contexts.tolist()]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(contexts[first]), pa.nulls(len(first), pa.int64()), pa.array(customers[first]),
+                    pa.nulls(len(first), pa.float64()), _lists(np.full(len(first), SWEEPS), weights[first].ravel()),
+                ],
+                names=["context", "word", "count", "log", "weights"],
+            )
+
+    return run
+
+
+def fit_words(training: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -> tuple[Samples, DataFrame]:
+    """Samples of the restaurants; stored rows of pairs (``context``, ``word``, ``count``, ``log``)
+    and, with ``word`` null, of contexts (``context``, ``weights``).
+    """
+    side = lexicon.rare + 1
+
+    @F.pandas_udf("double")
+    def inside(dish: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series(np.where(dish.to_numpy() == lexicon.rare, rare.of(counts.to_numpy()), 1.0))
+
+    pairs = (
+        training.select("text").mapInArrow(_count_pairs, "context long, word long, count long")
+        .groupBy("context", "word").agg(F.sum("count").alias("count"))
+        .mapInArrow(_placed(lexicon), "context long, word long, count long, class int, dish int, of_word long")
+    )
+    if counted.count() > len(lexicon.words):
+        pairs = materialize(pairs)
+        others = pairs.where("of_word < 0").drop("of_word")
+        others = others.join(counted.select("word", F.col("count").alias("of_word")), "word")
+        pairs = pairs.where("of_word >= 0").unionByName(others)
+    cells = materialize(pairs.select("context", "word", "class", "dish", "count", inside("dish", "of_word").alias("inside")))
+    many = {
+        r["context"]: (r["customers"], r["singles"], r["dishes"])
+        for r in cells.groupBy("context")
+        .agg(F.sum("count").alias("customers"), F.sum(F.expr("int(count = 1)")).alias("singles"), F.count(F.lit(1)).alias("dishes"))
+        .where(F.col("dishes") > DISHES)
+        .collect()  # at most one per DISHES cells
+    }
+    spark = training.sparkSession
+    sizes = spark.createDataFrame([(c, -(-d // DISHES)) for c, (_, _, d) in many.items()], "context long, chunks long")
+    repeated = F.col("count") > 1
+    restaurants = materialize(
+        cells.join(F.broadcast(sizes), "context", "left")
+        .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("word"), F.col("chunks")), F.lit(0)).cast("int"))
+        .groupBy("context", "chunk")
+        .agg(
+            F.first("class").alias("class"), F.sum("count").alias("customers"), F.sum((~repeated).cast("long")).alias("singles"),
+            F.sort_array(F.collect_list(F.when(repeated, F.struct("word", "dish", "count", "inside")))).alias("cells"),
+        )
+    )
+    empty = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("tables", "long"), ("opened", "long"), ("kept", "double"), ("totals", "long"))]
+    state = restaurants.select("context", "chunk", "class", "customers", "singles", "cells", *empty)
+    single = _dense(cells.where("count = 1").groupBy("class", "dish").agg(F.count(F.lit(1)).alias("tables")), side)
+    numbers = cells.agg(*[F.sum((F.col("count") == k).cast("long")) for k in (1, 2)]).first()
+    ones, twos = (n or 0 for n in numbers)
+    discount_ = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
+    classes, kept = Classes(side), []
+    hot = {c: (n, s, d) for c, (n, s, d) in many.items()}
+    hot_totals: dict[int, list[int]] = {c: [] for c in hot}
+    for sweep in range(BURN_IN + SWEEPS):
+        state = materialize(state.mapInArrow(_sweep(classes.probabilities, discount_, sweep, hot), _STATE))
+        found = state.select("class", "cells", "tables").mapInArrow(_class_tables(side), "class long, dish long, tables long")
+        classes.sweep(single + _dense(found, side))
+        if hot:
+            sums = state.where(F.col("context").isin(list(hot))).groupBy("context").agg(F.sum(F.element_at("totals", -1)).alias("t"))
+            hot = {r["context"]: (*hot[r["context"]][:2], r["t"]) for r in sums.collect()}
         if sweep >= BURN_IN:
-            average += _predictive(counts, tables, parent[None, :], discount_) / SWEEPS
-    return average if counts.any() else np.full((side, side), 1 / side)
+            kept.append(classes.probabilities)
+            for c, (_, _, t) in hot.items():
+                hot_totals[c].append(t)
+    samples = Samples(np.stack(kept), discount_)
+    if many:  # customers of whole contexts
+        whole = spark.createDataFrame([(c, n) for c, (n, _, _) in many.items()], "context long, whole long")
+        state = state.join(F.broadcast(whole), "context", "left").withColumn("customers", F.coalesce("whole", "customers")).drop("whole")
+    schema = "context long, word long, count long, log double, weights array<double>"
+    of_hot = [
+        (c, None, n, None, [(STRENGTH + discount_ * t) / (STRENGTH + n) for t in hot_totals[c]]) for c, (n, _, _) in many.items()
+    ]
+    done = state.mapInArrow(_finished(samples, hot_totals), schema).unionByName(spark.createDataFrame(of_hot, schema))
+    done = materialize(done)
+    contexts = done.where("word is null").select("context", "weights", F.col("count").alias("customers"))
+
+    @F.pandas_udf("double")
+    def of_single(class_: pd.Series, dish: pd.Series, inside_: pd.Series, weights: pd.Series, customers: pd.Series) -> pd.Series:
+        backed = samples.backed(np.stack(weights.to_numpy()), class_.to_numpy(), dish.to_numpy()) if len(class_) else np.zeros(0)
+        return pd.Series(np.log10((1 - discount_) / (STRENGTH + customers.to_numpy()) + backed * inside_.to_numpy()))
+
+    singles = (
+        cells.where("count = 1")
+        .join(contexts, "context")
+        .select("context", "word", "count", of_single("class", "dish", "inside", "weights", "customers").alias("log"))
+    )
+    repeated_ = done.where("word is not null").select("context", "word", "count", "log")
+    return samples, materialize(
+        repeated_.unionByName(singles).withColumn("weights", F.lit(None).cast("array<double>"))
+        .unionByName(done.where("word is null"))
+        .withColumn("kind", F.when(F.col("word").isNull(), 1).otherwise(0)),
+        partition_by="kind",
+    )
 
 
 class Model(NamedTuple):
@@ -304,50 +627,83 @@ class Model(NamedTuple):
     rare: Rare
     tokens: int
     distinct: int
+    samples: Samples
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
 
-def _score(model: Model):
-    """Rows with a text's tokens and the logarithms of what the list holds; and rows per distinct other word."""
-    names = ["kind", "row", "key", "held_out", "n_tokens", "n_known", "base_score", "score", "word"]
+class Listed(NamedTuple):
+    """The most frequent pairs: sorted hashes, and the logarithms of their probabilities."""
+
+    pairs: np.ndarray
+    logs: np.ndarray
+
+    def find(self, pairs: np.ndarray) -> np.ndarray:
+        """Not a number where a pair is not in the list."""
+        if not len(self.pairs):
+            return np.full(len(pairs), np.nan)
+        place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == pairs, self.logs[place], np.nan)
+
+
+def _listed(pairs: DataFrame) -> Listed:
+    rows = pairs.orderBy(F.desc("count"), "context", "word").limit(FREQUENT_PAIRS).select("context", "word", "log").toArrow()
+    contexts, found, logs = (rows.column(k).to_numpy() for k in range(3))
+    hashes = _joined(contexts.view(np.uint64), found.view(np.uint64))
+    order = np.argsort(hashes)
+    return Listed(hashes[order], logs[order])
+
+
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the rows, where in it each distinct row begins, and how often it occurs."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    at = np.flatnonzero(new)
+    return order, at, np.diff(np.append(at, len(order)))
+
+
+def _score(model: Model, listed_pairs):
+    """Rows with a text's tokens and the logarithms of what the lists hold; and rows per distinct other word and pair."""
+    names = ["kind", "row", "key", "held_out", "n_tokens", "n_known", "base_score", "score", "context", "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        after = np.log10(model.classes)
+        pairs = Listed(*listed_pairs.value)
         for batch in batches:
             for first, stream, bounds in tokens(batch.column(3)):
                 rows = len(bounds) - 1
-                classes, counts = model.lexicon.find(stream)
+                _, counts = model.lexicon.find(stream)
                 listed = counts >= 0
                 text = np.repeat(np.arange(rows), np.diff(bounds))
-                score = after[_previous(classes, bounds), classes]
-                rare = listed & (classes == model.lexicon.rare)
-                score[rare] += np.log10(model.rare.of(counts[rare]))
+                before = _before(stream, bounds, _END)
+                score = pairs.find(_joined(before, stream))
+                paired = ~np.isnan(score)
                 base = np.where(listed, model.base(np.maximum(counts, 0)), 0.0)
-                sums = [np.bincount(text, weights=x, minlength=rows) for x in (base, score)]
+                sums = [np.bincount(text, weights=x, minlength=rows) for x in (base, np.where(paired, score, 0.0))]
                 own = [batch.column(k).slice(first, rows) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(rows, dtype=np.int32)), own[0], own[1], own[2], pa.array(np.diff(bounds)),
                         pa.array(np.bincount(text[listed], minlength=rows)), pa.array(sums[0]), pa.array(sums[1]),
-                        pa.nulls(rows, pa.int64()),
+                        pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
                     ],
                     names=names,
                 )
-                others = np.flatnonzero(~listed)
-                if len(others):
-                    order = others[np.lexsort((stream[others], text[others]))]
-                    new = np.ones(len(order), dtype=bool)
-                    new[1:] = (text[order][1:] != text[order][:-1]) | (stream[order][1:] != stream[order][:-1])
-                    at = np.flatnonzero(new)
+                for kind, others in ((1, np.flatnonzero(~listed)), (2, np.flatnonzero(~paired))):
+                    if not len(others):
+                        continue
+                    keys = (text[others], stream[others]) if kind == 1 else (text[others], before[others], stream[others])
+                    order, at, times = _distinct(*keys)
+                    at = others[order[at]]
+                    contexts = pa.array(before[at].view(np.int64)) if kind == 2 else pa.nulls(len(at), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.ones(len(at), dtype=np.int32)), own[0].take(pa.array(text[order][at])),
+                            pa.array(np.full(len(at), kind, dtype=np.int32)), own[0].take(pa.array(text[at])),
                             pa.nulls(len(at), own[1].type), pa.nulls(len(at), pa.bool_()),
-                            pa.array(np.diff(np.append(at, len(order)))), pa.nulls(len(at), pa.int64()),
+                            pa.array(times), pa.nulls(len(at), pa.int64()),
                             pa.nulls(len(at), pa.float64()), pa.nulls(len(at), pa.float64()),
-                            pa.array(stream[order][at].view(np.int64)),
+                            contexts, pa.array(stream[at].view(np.int64)),
                         ],
                         names=names,
                     )
@@ -355,8 +711,29 @@ def _score(model: Model):
     return run
 
 
+def _unmet(model: Model):
+    @F.pandas_udf("double")
+    def logarithm(contexts: pd.Series, words_: pd.Series, weights: pd.Series, counts: pd.Series) -> pd.Series:
+        """Of pairs that training lacks, from their base; a context it lacks is its class's restaurant alone."""
+        if not len(contexts):
+            return pd.Series([], dtype=float)
+        classes, _ = model.lexicon.find(contexts.to_numpy().view(np.uint64))
+        dishes, _ = model.lexicon.find(words_.to_numpy().view(np.uint64))
+        alone = np.ones(model.samples.classes.shape[0])
+        shares = np.stack([alone if w is None else w for w in weights])
+        inside = np.where(dishes == model.lexicon.rare, model.rare.of(counts.to_numpy()), 1.0)
+        return pd.Series(np.log10(model.samples.backed(shares, classes, dishes) * inside))
+
+    return logarithm
+
+
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     """From texts (``text``): the model, and the stored counts (``word``, ``count``) of all training words."""
+    return fit_all(training)[:2]
+
+
+def fit_all(training: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the counts of words, and the pairs and contexts of ``fit_words``."""
     counted = materialize(
         training.select("text").mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
     )
@@ -371,9 +748,8 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
         .collect()  # distinct counts: at most the square root of twice the tokens
     )
     rare = fit_rare(*(np.array([r[c] for r in by_count], dtype=np.int64) for c in ("count", "many")))
-    pairs = training.select("text").mapInArrow(_count_pairs(lexicon), "context long, dish long, count long")
-    classes = fit_classes(pairs, lexicon.rare + 1)
-    return Model(lexicon, classes, rare, int(total), int(distinct)), counted
+    samples, fitted = fit_words(training, counted, lexicon, rare)
+    return Model(lexicon, samples.classes.mean(axis=0), rare, int(total), int(distinct), samples), counted, fitted
 
 
 def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -385,23 +761,24 @@ def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), held_out(key).alias("held_out"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    model, counted = fit(texts.where("not held_out"))
+    model, counted, fitted = fit_all(texts.where("not held_out"))
+    pairs, contexts = fitted.where("kind = 0"), fitted.where("kind = 1").select("context", "weights")
+    listed = rows.sparkSession.sparkContext.broadcast(tuple(_listed(pairs)))
     scored = materialize(
         texts.mapInArrow(
-            _score(model),
+            _score(model, listed),
             f"kind int, row long, key {kind}, held_out boolean, n_tokens long, n_known long,"
-            " base_score double, score double, word long",
+            " base_score double, score double, context long, word long",
         ),
         partition_by="kind",
     )
 
-    @F.pandas_udf("base double, inside double")
-    def logarithms(counts: pd.Series) -> pd.DataFrame:
-        values = counts.to_numpy()
-        return pd.DataFrame({"base": model.base(values), "inside": np.log10(model.rare.of(values))})
+    @F.pandas_udf("double")
+    def logarithm(counts: pd.Series) -> pd.Series:
+        return pd.Series(model.base(counts.to_numpy()))
 
-    known = counted.select("word", "count", logarithms("count").alias("log"))
-    unknown = model.base(np.zeros(1))[0], math.log10(model.rare.unknown)
+    known = counted.select("word", "count", logarithm("count").alias("log"))
+    unknown = float(model.base(np.zeros(1))[0])
     others = (
         scored.where("kind = 1")
         .select("row", "word", F.col("n_tokens").alias("times"))
@@ -409,15 +786,32 @@ def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("times") * F.coalesce("log.base", F.lit(float(unknown[0])))).alias("more_base"),
-            F.sum(F.col("times") * F.coalesce("log.inside", F.lit(float(unknown[1])))).alias("more_score"),
+            F.sum(F.col("times") * F.coalesce("log", F.lit(unknown))).alias("more_base"),
         )
     )
+    paired = materialize(
+        scored.where("kind = 2")
+        .select("row", "context", "word", F.col("n_tokens").alias("times"))
+        .join(pairs.select("context", "word", "log"), ["context", "word"], "left")
+        .withColumn("met", F.col("log").isNotNull()),
+        partition_by="met",
+    )
+    unmet = (
+        paired.where("not met").select("row", "context", "word", "times")
+        .join(contexts, "context", "left")
+        .join(counted, "word", "left")
+        .select("row", "times", _unmet(model)("context", "word", "weights", F.coalesce("count", F.lit(0))).alias("log"))
+    )
+    inside = (
+        paired.where("met").select("row", "times", "log").unionByName(unmet)
+        .groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("more_score"))
+    )
     none = F.lit(0)
     total = F.col("score") + F.coalesce("more_score", none)
     return (
         scored.where("kind = 0")
         .join(others, "row", "left")
+        .join(inside, "row", "left")
         .select(
             F.col("key").alias(key),
             "held_out",

@@ -96,3 +96,41 @@ def test_gibbs_reaches_the_right_number_of_tables():
         lm.reseat(sizes, 1, weight, strength, discount, others, rng)
         total += len(sizes)
     assert abs(total / 20_000 - want) < 0.05
+
+
+def pair_texts():
+    """Ten pairs of words that always stand together, all words equally often."""
+    draw = np.random.default_rng(5)
+    return [(k, " ".join(f"left{i} right{i}" for i in draw.permutation(10))) for k in range(1, 60)]
+
+
+@pytest.mark.parametrize("listed", [1 << 20, 0])
+def test_every_word_is_a_context_of_its_own(spark, monkeypatch, listed):
+    """Words of no class of their own: only what follows them tells the texts apart."""
+    monkeypatch.setattr(lm, "CLASSES", 2)
+    monkeypatch.setattr(lm, "FREQUENT_PAIRS", listed, raising=False)
+    asked = [(None, "left3 right3 left7 right7"), (None, "left3 right7 left7 right3")]
+    rows = lm.score(spark.createDataFrame(pair_texts() + asked, "doc_id long, text string")).where("doc_id is null").collect()
+    assert rows[0].base_score == pytest.approx(rows[1].base_score)
+    assert abs(rows[0].score - rows[1].score) > 2
+
+
+@pytest.mark.parametrize("dishes, frequent", [(4096, 1 << 17), (2, 5)])
+def test_probabilities_after_each_word_add_up(spark, monkeypatch, dishes, frequent):
+    monkeypatch.setattr(lm, "CLASSES", 4)
+    monkeypatch.setattr(lm, "DISHES", dishes)
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    texts = spark.createDataFrame([(t + f" odd{k % 7} left{k % 4}",) for k, t in pair_texts()], "text string")
+    model, counted, fitted = lm.fit_all(texts)
+    words = {r["word"]: r["count"] for r in counted.collect()}
+    hashes = np.array([*words, 12345], dtype=np.int64)
+    classes, _ = model.lexicon.find(hashes.view(np.uint64))
+    inside = np.where(classes == model.lexicon.rare, model.rare.of(np.array([*words.values(), 0])), 1.0)
+    rows = fitted.collect()
+    contexts = {r["context"]: np.array(r["weights"]) for r in rows if r["kind"] == 1}
+    assert set(contexts) == set(words)
+    for context, weights in contexts.items():
+        own = classes[hashes == context][0]
+        backed = np.array([(weights * model.samples.classes[:, own, c]).mean() for c in classes]) * inside
+        seen = {r["word"]: 10 ** r["log"] for r in rows if r["kind"] == 0 and r["context"] == context}
+        assert sum(seen.get(w, b) for w, b in zip(hashes.tolist(), backed, strict=True)) == pytest.approx(1)
