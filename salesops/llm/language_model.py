@@ -18,8 +18,9 @@ to back, waiting times at once, and taken by Metropolis-Hastings (``reseated``),
 which costs as many steps as it has tables, for any number of customers. A parent
 keeps its seating: customers come and go at its end. Restaurants of words are
 sampled against the parent of the sweep before. Predictive probabilities are
-averaged over the sweeps after burn-in. In the restaurant
-of rare words all words with equal counts share one seating.
+averaged over the sweeps after burn-in. In the restaurant of rare words, the
+words of equal count share the mean of their seatings, each drawn by itself or
+as numbers of words per number of tables.
 
 Counts of words and pairs cover all training texts and stay distributed; scoring
 looks up the ``FREQUENT`` most frequent words and ``FREQUENT_PAIRS`` pairs in
@@ -54,8 +55,8 @@ HELD_PAIRS = 1 << 22
 # Dishes of a restaurant in one row; a larger restaurant has several rows.
 DISHES = 4096
 BURN_IN, SWEEPS = 3, 6
-# Customers of a rare word that are seated anew in one sweep.
-RESEATED = 8
+# Counts up to here have their numbers of tables drawn from the exact distribution.
+EXACT = 64
 STRENGTH = 1.0
 UNKNOWN_SHARE = 0.5
 _END = np.uint64(0xE0D0F0A7E0D0F0A7)
@@ -156,7 +157,7 @@ def discount(counts: np.ndarray) -> float:
     return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
 
 
-# The next three seat one customer at a time, for rare words.
+# The next three seat one customer at a time; tests compare ``reseated`` with the same distribution.
 def seat(customers: int, pull: float, discount_: float, rng: np.random.Generator) -> list[int]:
     """A first seating of a dish's customers: when tables open is drawn, and they grow in proportion.
 
@@ -321,6 +322,20 @@ def _crowd(tables: float, strength: float, discount_: float, rng) -> float:
     return discount_ * rng.gamma(strength / discount_ + tables)
 
 
+def table_numbers(most: int, pull: float, discount_: float) -> np.ndarray:
+    """Row n: probabilities of 0, 1, 2, ... tables of a dish of n customers."""
+    found = np.zeros((most + 1, most + 1))
+    found[0, 0] = 1.0
+    if most:
+        found[1, 1] = 1.0
+    at = np.arange(most + 1)
+    for n in range(1, most):
+        row = found[n] * np.maximum(n - discount_ * at, 0.0)
+        row[1:] += found[n, :-1] * pull
+        found[n + 1] = row / row.sum()
+    return found
+
+
 def _predictive(
     counts: np.ndarray, tables: np.ndarray, parent: np.ndarray, discount_: float, strength: float = STRENGTH
 ) -> np.ndarray:
@@ -354,18 +369,21 @@ def fit_rare(counts: np.ndarray, many: np.ndarray) -> Rare:
     vocabulary, customers = float(many.sum()), float((counts * many).sum())
     weight = (1 - UNKNOWN_SHARE) / vocabulary
     pull = (STRENGTH + discount_ * vocabulary) * weight
-    seats = [seat(int(c), pull, discount_, rng) for c in counts]
+    few = counts <= EXACT
+    each = np.repeat(np.flatnonzero(~few), many[~few])
+    seating = forward(counts[each], np.full(len(each), pull), discount_, rng)
+    tables = np.where(few, many, 0).astype(float) + np.bincount(each, weights=seating.tables, minlength=len(counts))
     kept, unknown, samples = np.zeros(len(counts)), 0.0, 0
     for sweep in range(BURN_IN + SWEEPS):
-        total = float(sum(len(s) * m for s, m in zip(seats, many.tolist(), strict=True)))
-        for sizes, count in zip(seats, counts.tolist(), strict=True):
-            if count > 1:
-                reseat(sizes, min(count, RESEATED), weight, STRENGTH, discount_, total - len(sizes), rng)
+        pull = _crowd(tables.sum(), STRENGTH, discount_, rng) * weight
+        seating = reseated(seating, counts[each], np.full(len(each), pull), discount_, rng)
+        tables = np.bincount(each, weights=seating.tables, minlength=len(counts)).astype(float)
+        numbers = table_numbers(int(counts[few].max(initial=0)), pull, discount_)
+        drawn = rng.multinomial(many[few], numbers[counts[few]])
+        tables[few] = drawn @ np.arange(len(numbers))
         if sweep >= BURN_IN:
-            tables = np.array([len(s) for s in seats], dtype=float)
-            total = float((tables * many).sum())
-            new = (STRENGTH + discount_ * total) / (STRENGTH + customers)
-            kept += (counts - discount_ * tables) / (STRENGTH + customers) + new * weight
+            new = (STRENGTH + discount_ * float(tables.sum())) / (STRENGTH + customers)
+            kept += (counts - discount_ * tables / many) / (STRENGTH + customers) + new * weight
             unknown += new * UNKNOWN_SHARE
             samples += 1
     return Rare(counts, kept / samples, unknown / samples)

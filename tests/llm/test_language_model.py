@@ -134,3 +134,40 @@ def test_probabilities_after_each_word_add_up(spark, monkeypatch, dishes, freque
         backed = np.array([(weights * model.samples.classes[:, own, c]).mean() for c in classes]) * inside
         seen = {r["word"]: 10 ** r["log"] for r in rows if r["kind"] == 0 and r["context"] == context}
         assert sum(seen.get(w, b) for w, b in zip(hashes.tolist(), backed, strict=True)) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("customers, pull, discount", [(4, 0.9, 0.5), (20, 0.3, 0.6), (60, 40.0, 0.5), (64, 300.0, 0.9)])
+def test_all_customers_of_a_dish_are_seated_anew(customers, pull, discount):
+    """From one table each, a few sweeps reach the exact distribution of the number of tables."""
+    rng, counts, pulls = np.random.default_rng(7), np.full(4_000, customers), np.full(4_000, pull)
+    seating = lm.Seating(counts, np.ones(4_000, dtype=np.int64), np.ones(4_000, dtype=np.int64))
+    for _ in range(lm.BURN_IN + lm.SWEEPS):
+        seating = lm.reseated(seating, counts, pulls, discount, rng)
+    want = lm.table_numbers(customers, pull, discount)[customers]
+    at = np.arange(customers + 1)
+    mean = (want * at).sum()
+    deviation = ((want * at**2).sum() - mean**2) ** 0.5
+    assert abs(seating.tables.mean() - mean) < 0.1 * deviation
+    assert abs(seating.tables.std() - deviation) < 0.1 * deviation
+
+
+def test_large_dishes_leave_their_first_seating():
+    """A million customers: about pull / discount tables, whatever they began with; counts may change."""
+    rng, counts, pulls = np.random.default_rng(8), np.full(100, 1_000_000), np.full(100, 50.0)
+    means = []
+    for first in (1, 400):
+        places = np.tile(np.arange(1, first + 1), 100)
+        seating = lm.Seating(counts, np.full(100, first), places)
+        for _ in range(lm.BURN_IN + lm.SWEEPS):
+            seating = lm.reseated(seating, counts, pulls, 0.6, rng)
+        means.append(seating.tables.mean())
+    assert abs(means[0] - means[1]) < 0.05 * means[0]
+    fewer = lm.reseated(seating, counts // 2, pulls, 0.6, rng)
+    assert (np.bincount(np.repeat(np.arange(100), fewer.tables)) == fewer.tables).all() and fewer.opened.max() <= 500_000
+
+
+def test_rare_words_of_a_count_are_drawn_each():
+    counts, many = np.array([1, 2, 3, 100]), np.array([5_000, 2_000, 900, 40])
+    rare = lm.fit_rare(counts, many)
+    assert (rare.probabilities * many).sum() + rare.unknown == pytest.approx(1)
+    assert (np.diff(rare.probabilities) > 0).all()
