@@ -3,14 +3,13 @@
 Prefix dynamic programming: the count of a prefix is the count of the chunks that
 lie wholly inside it plus the count of the part of a chunk at its end. The first
 follows from the prefix one chunk shorter, the second from a table of the
-chunk's own prefixes, made once per distinct chunk when first asked for. Budget
+chunk's own prefixes, made when asked for. Inside a long chunk the same holds of
+the tokenizer's own runs, whatever their length. Budget
 and truncation questions read these tables; no prefix is encoded as a whole.
 
 Defined cases: a null text counts as an empty one (0 bytes, 0 tokens); rows
 repeat in the result as in the input; an empty table gives no rows; only the
-named columns are read, so others may have any name. A chunk longer than
-``tokens.LONGEST_DIVISIBLE`` bytes is not divided: inside it the table holds the
-count with the whole chunk, so that a cut never falls inside.
+named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -48,6 +48,37 @@ def test_counts(odd, none):
     assert token_counts.token_counts(none, PATH, 3).count() == 0
 
 
+def dense_text(draw, size):
+    """No white space: runs of letters, digits and symbols of many lengths and scripts."""
+    parts = []
+    while sum(map(len, parts)) < size:
+        of = draw.choice(["日本語中文字", "abcdefghij", "AbCdЖяéß", "0123456789", "/+=-_.!?", "ไทยกรุงเทพ", "😀👍🏽", "'s'll", "<|endoftext|>"])
+        if of == "<|endoftext|>":
+            parts.append(of)
+        else:
+            parts.append("".join(draw.choice(list(of), int(draw.integers(1, 80)))))
+    return "".join(parts)[:size]
+
+
+LONG_CHUNKS = ["x" * 400, "日" * 300, "https://" + "the-quick_brown.fox/" * 20, "e\u0301" * 60 + "İ" * 30, "internationalization" * 12]
+
+
+@pytest.mark.parametrize("text", [*LONG_CHUNKS, *(dense_text(np.random.default_rng(k), 400) for k in range(12))])
+def test_prefixes_inside_long_chunks(text):
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["key", "text"])
+    (counted,) = list(token_counts._prefixes(read_definition(PATH))(iter([batch])))
+    assert counted.column(1)[0].as_py() == [len(ids_of(text[:k])) for k in range(len(text) + 1)]
+
+
+@pytest.mark.parametrize("text", ["日" * 5_000, "x" * 30_000])
+def test_long_runs_are_cut_at_the_limit(text):
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["key", "text"])
+    (counted,) = list(token_counts._count(read_definition(PATH), 300)(iter([batch])))
+    kept = counted.column(3)[0].as_py()
+    assert 0 < kept < len(text) and len(ids_of(text[:kept])) <= 300
+    assert all(len(ids_of(text[:k])) > 300 for k in range(kept + 1, kept + 60))
+
+
 def test_encoder_forgets(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_CHUNKS", 2)
     known = encoder(read_definition(PATH))
