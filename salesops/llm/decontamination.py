@@ -13,8 +13,11 @@ Texts are compared in lower case with single spaces. Items are searched in
 blocks of ``BLOCK_ITEMS``, each against all documents; documents are never
 shuffled.
 
-Defined cases: null and empty texts hold nothing; an item without text, or with
-fewer than ``LEAST_CHARS`` characters once normalised, is not searched; items
+An item of fewer than ``LEAST_CHARS`` characters has no budget, and no word may
+go on across its bounds; scripts without spaces have a bound everywhere.
+
+Defined cases: null and empty texts hold nothing; an item without text is not
+searched; items
 with equal texts are all reported; repeated documents are each reported; without
 items or documents the result is empty; other columns are not read.
 """
@@ -22,6 +25,7 @@ items or documents the result is empty; other columns are not read.
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -43,7 +47,25 @@ def normalised(text: str | None) -> str:
 
 
 def budget(item: str, error_share: float = ERROR_SHARE) -> int:
-    return int(len(item) * error_share)
+    return int(len(item) * error_share) if len(item) >= LEAST_CHARS else 0
+
+
+# Scripts without spaces between words: from Thai to ideographs.
+_UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x31FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x20000, 0x3FFFF),
+)
+
+
+def _of_spaced_word(character: str) -> bool:
+    if not (character.isalnum() or unicodedata.category(character)[0] == "M"):
+        return False
+    return not any(first <= ord(character) <= last for first, last in _UNSPACED)
+
+
+def stands_alone(text: str, begin: int, end: int) -> bool:
+    """Whether no word goes on across the bounds."""
+    return not any(0 < at < len(text) and _of_spaced_word(text[at - 1]) and _of_spaced_word(text[at]) for at in (begin, end))
 
 
 def cut(item: str, errors: int) -> list[tuple[int, str]]:
@@ -106,7 +128,7 @@ class Finder:
 
         self.ids: dict[str, list] = defaultdict(list)
         for item_id, text in items:
-            if len(text) >= LEAST_CHARS:
+            if text:
                 self.ids[text].append(item_id)
         self.items = list(self.ids)
         self.errors = [budget(x, error_share) for x in self.items]
@@ -137,6 +159,8 @@ class Finder:
         for last, (length, found) in self.automaton.iter(text):
             for k, leaf in found:
                 begin = last - length + 1 - self.cuts[k][leaf]
+                if len(self.items[k]) < LEAST_CHARS and not stands_alone(text, begin, last + 1):
+                    continue
                 if begin not in lines.get(k, ()) and self._climbs(k, leaf, begin, text):
                     lines[k].add(begin)
         for k, begins in lines.items():

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -70,6 +71,38 @@ def test_documents(spark, odd, none):
     assert dc.without_passages(odd, items.limit(0)).count() == len(ODD)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_finds_short_items_as_brute_force_does(seed):
+    draw = random.Random(seed)
+    words = ["ab", "cab", "a", "xyz?", "(zy)", "abcabc", "日本", "q1"]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 12))) for _ in range(40)]
+    items = list(enumerate(dict.fromkeys(texts)))
+    assert any(len(x) < dc.LEAST_CHARS for _, x in items) and any(len(x) >= dc.LEAST_CHARS for _, x in items)
+    finder = dc.Finder(items, 0.1)
+    for _ in range(80):
+        text = " ".join(draw.choice(words) + draw.choice(["", "", "b", "!"]) for _ in range(30))
+        want = set()
+        for k, x in items:
+            if len(x) >= dc.LEAST_CHARS:
+                want |= {k} if least_distance(x, text) <= dc.budget(x) else set()
+            else:
+                before = r"(?<![a-z0-9])" if x[0].isascii() and x[0].isalnum() else ""
+                after = r"(?![a-z0-9])" if x[-1].isascii() and x[-1].isalnum() else ""
+                want |= {k} if re.search(before + re.escape(x) + after, text) else set()
+        assert {x for k, _, _, _ in finder.matches(text) for x in finder.ids[finder.items[k]]} == want
+
+
+def test_short_items(spark):
+    documents = spark.createDataFrame(
+        [(1, "Who wrote  HAMLET? Nobody."), (2, "who wrote hamlets?"), (3, "東京の首都はどこ"), (4, "nothing"), (5, "ha ha ha")],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(1, "Who wrote Hamlet"), (2, "首都"), (3, " "), (4, "thing"), (5, "ha ha")], "item_id long, text string")
+    rows = sorted(tuple(r) for r in dc.find_passages(documents, items).collect())
+    assert rows == [(1, 1, 0, 0, 2), (3, 2, 0, 0, 0), (5, 5, 0, 0, 1), (5, 5, 0, 1, 2)]
+    assert sorted(r.doc_id for r in dc.without_passages(documents, items).collect()) == [2, 4]
+
+
 def test_blocks_of_items(spark, monkeypatch):
     documents, items = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(tuple(r) for r in dc.find_passages(documents, items).collect())
