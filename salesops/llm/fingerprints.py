@@ -5,8 +5,11 @@ cut: a cut of level k follows every byte whose hash ends in k one-bits, some
 2**k bytes apart. Each chunk becomes one character, so an edit changes the
 characters around it and leaves the others. A fingerprint is
 ``k:signature:signature`` with cuts of level k (at most 64 characters) and k + 1
-(at most 32); k follows from the text's length and is lowered while the
-signature stays short. Fingerprints are compared at the levels they share, by
+(at most 32); k follows from the text's length, is lowered while the signature
+stays short and raised while it overflows. Where the next level has hardly any
+cuts, as in repeated lines, neighbouring chunks are joined instead, equally many
+for each character, so that the characters cover the whole text. A few chunks too
+many at level k + 1 are in the last character. Fingerprints are compared at the levels they share, by
 the edit distance (insertions and deletions) of their signatures.
 
 Defined cases: a null text is an empty one; equal texts have equal fingerprints;
@@ -37,12 +40,17 @@ WINDOW = 7
 LONGEST = 64
 LEAST_LEVEL = 2
 RUN = 4
+# Fewer cuts are too few for a signature; so many times too many chunks of level k + 1 are joined.
+FEWEST = 16
+JOINED = 1.5
 _SIGNS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", dtype=np.uint8)
 
 
 def _signature(sums: np.ndarray, first: int, last: int, cuts: np.ndarray, longest: int) -> str:
-    """One character per chunk; the last one covers all that is left."""
-    cuts = cuts[cuts < last][: longest - 1]
+    """One character per chunk, or per equally many if there are too many; the last one covers all that is left."""
+    cuts = cuts[cuts < last]
+    joined = -(-(len(cuts) + 1) // longest) if len(cuts) + 1 >= JOINED * longest or longest == LONGEST else 1
+    cuts = cuts[joined - 1 :: joined][: longest - 1]
     starts, ends = np.append(first, cuts), np.append(cuts, last)
     return _SIGNS[(run_hashes(sums, starts, ends) >> np.uint64(40)) & np.uint64(63)].tobytes().decode()
 
@@ -69,6 +77,8 @@ def fingerprints(piece: Piece) -> list[str]:
         level = max(LEAST_LEVEL, ((last - first) // LONGEST).bit_length())
         while level > LEAST_LEVEL and np.count_nonzero(own_levels >= level) < LONGEST // 2:
             level -= 1
+        while np.count_nonzero(own_levels >= level) >= LONGEST and np.count_nonzero(own_levels > level) >= FEWEST:
+            level += 1
         coarse = _signature(sums, first, last, own[own_levels > level], LONGEST // 2)
         found.append(f"{level}:{_signature(sums, first, last, own[own_levels >= level], LONGEST)}:{coarse}")
     return found

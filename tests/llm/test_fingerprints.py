@@ -79,3 +79,17 @@ def test_fingerprint(odd):
 def test_neighbours_are_far_apart_and_edits_near(spark):
     rows = fp.with_neighbours(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
     assert np.mean([r.near_edited for r in rows]) > 0.45 and np.mean([r.near_next for r in rows]) < 0.05
+
+
+def test_repeated_lines_are_signed_to_their_end():
+    """One line many times: replacing the last half, by other text, moves the likeness by about as much."""
+    draw = random.Random(11)
+
+    def prose(words):
+        return " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(words)) + "\n"
+
+    for _ in range(20):
+        line = prose(9)
+        for lines in (118, 150, 183):
+            half = line * (lines // 2)
+            assert fp.likeness(one(line * lines), one(half + prose(9 * (lines - lines // 2)))) < 0.75
