@@ -73,7 +73,38 @@ def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
             row_id.bitwiseAND((1 << _ROW_BITS) - 1).alias("_index"),
         )
     )
-    # One row per (range, group): at most ranges + groups rows, as ranges are contiguous. Groups may be many.
+    return _shifted(placed, group).select(
+        group, value, (F.col("_index") + F.col("_shift") + 1).cast("bigint").alias("position")
+    )
+
+
+def number_within(rows: DataFrame, group: str, order: list[Column], name: str = "position") -> DataFrame:
+    """W5 within groups: 1-based row number in each group, in an order that has no ties.
+
+    Ranges are cut on the group and the whole order, so a group with a large
+    share of all rows spreads over many of them; the number is read off the
+    sorted ranges and shifted by what the group has in earlier ones. No window
+    touches the rows. NULL is a group of its own.
+    """
+    row_id = F.monotonically_increasing_id()
+    placed = materialize(
+        rows.repartitionByRange(F.col(group), *order)
+        .sortWithinPartitions(F.col(group), *order)
+        .select(
+            *rows.columns,
+            F.shiftright(row_id, _ROW_BITS).alias("_range"),
+            row_id.bitwiseAND((1 << _ROW_BITS) - 1).alias("_index"),
+        )
+    )
+    shifted = F.col("_index") + F.col("_shift") + 1
+    return _shifted(placed, group).select(*rows.columns, shifted.cast("bigint").alias(name))
+
+
+def _shifted(placed: DataFrame, group: str) -> DataFrame:
+    """Rows of sorted ranges with ``_shift``: what their group has in earlier ranges, less its first index in this one.
+
+    One row per (range, group): at most ranges + groups rows, as ranges are contiguous. Groups may be many.
+    """
     pieces = placed.groupBy("_range", group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_index").alias("_first_index")
     )
@@ -84,9 +115,7 @@ def number_values(values: DataFrame, group: str, value: str) -> DataFrame:
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first_index")).alias("_shift"),
     )
     on = (F.col("_range") == F.col("_in_range")) & F.col(group).eqNullSafe(F.col("_group"))
-    return placed.join(small_side(starts), on).select(
-        group, value, (F.col("_index") + F.col("_shift") + 1).cast("bigint").alias("position")
-    )
+    return placed.join(small_side(starts), on)
 
 
 def ordered_totals(rows: DataFrame, value: str, amount: str | None = None) -> DataFrame:
