@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesops.llm import (
     conversations,
@@ -11,6 +12,7 @@ from salesops.llm import (
     fingerprints,
     jaccard,
     language_model,
+    merkle,
     packing,
     quality,
     sharding,
@@ -123,3 +125,83 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document, learned from the labels that are not held out."""
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_leaf(text: str) -> str:
+    parts = (f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in (*_LEAF[:-1], text))
+    return f"sha256({' || '.join(parts)})"
+
+
+# A run of eight becomes the digest of its digests; done trees pass through. Levels keep all nodes.
+_SQL_TREE = """
+    {0} AS (
+        SELECT 0 AS level, tree, position, digest, size FROM {1}
+        UNION ALL
+        SELECT level + 1, tree, position // 8, sha256(string_agg(digest, '' ORDER BY position)), (any_value(size) + 7) // 8
+        FROM {0} WHERE size > 1 GROUP BY level, tree, position // 8)"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE
+    bits AS (
+        SELECT i, 0 AS step, CAST(i AS BIGINT) AS v FROM range(256) t(i)
+        UNION ALL
+        SELECT i, step + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE step < 8),
+    crcs AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE step = 8),
+    leaves AS (
+        SELECT doc_id, lang, {_sql_leaf("text")} AS leaf, {_sql_leaf("lowered")} AS changed,
+            xor(list_reduce(
+                list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 3 = 0 AS tampered
+        FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents), crcs),
+    placed AS (
+        SELECT *, coalesce('=' || lang, '') AS tree,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position FROM leaves),
+    bottom AS (SELECT tree, position, leaf AS digest, count(*) OVER (PARTITION BY tree) AS size FROM placed),
+    {_SQL_TREE.format("low", "bottom")},
+    subroots AS (SELECT tree AS name, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM low WHERE size = 1),
+    roofs AS (SELECT '' AS tree, place AS position, subroot AS digest, count(*) OVER () AS size FROM subroots),
+    {_SQL_TREE.format("high", "roofs")},
+    top AS (SELECT digest AS root FROM high WHERE size = 1),
+    runs AS (
+        SELECT 'low' AS part, level, tree, position // 8 AS run, list(digest ORDER BY position) AS digests
+        FROM low WHERE size > 1 GROUP BY ALL
+        UNION ALL
+        SELECT 'high', level, tree, position // 8, list(digest ORDER BY position) FROM high WHERE size > 1 GROUP BY ALL),
+    climb AS (
+        SELECT doc_id, leaf, tree, position, 'low' AS part, 0 AS level, tree AS now,
+            CASE WHEN tampered THEN changed ELSE leaf END AS folded, '' AS proof, position AS at, false AS done FROM placed
+        UNION ALL
+        SELECT c.doc_id, c.leaf, c.tree, c.position,
+            CASE WHEN r.run IS NULL THEN 'high' ELSE c.part END,
+            CASE WHEN r.run IS NULL THEN 0 ELSE c.level + 1 END,
+            CASE WHEN r.run IS NULL THEN '' ELSE c.now END,
+            CASE WHEN r.run IS NULL THEN c.folded ELSE sha256(
+                array_to_string(r.digests[:c.at % 8] || [c.folded] || r.digests[c.at % 8 + 2:], '')) END,
+            CASE WHEN r.run IS NULL THEN c.proof
+                ELSE c.proof || array_to_string(r.digests[:c.at % 8] || r.digests[c.at % 8 + 2:], '') END,
+            CASE WHEN r.run IS NULL THEN s.place ELSE c.at // 8 END,
+            r.run IS NULL AND c.part = 'high'
+        FROM climb c
+        LEFT JOIN runs r ON r.part = c.part AND r.level = c.level AND r.tree = c.now AND r.run = c.at // 8
+        JOIN subroots s ON s.name = c.tree
+        WHERE NOT c.done)
+    SELECT c.doc_id, c.leaf, s.subroot, root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = root AS verified
+    FROM climb c JOIN subroots s ON s.name = c.tree, top WHERE c.done
+    """
+)
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents by language, and what folding gives where every third text lost its capitals."""
+    documents = table(spark, folder, "documents")
+    columns = [F.col(c) for c in _LEAF]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf([*columns[:-1], lowered]))
+    proved = merkle.manifest(documents, "doc_id", F.col("lang"), merkle.leaf(columns), tampered)
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
