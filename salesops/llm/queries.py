@@ -14,6 +14,7 @@ from salesops.llm import (
     language_model,
     merkle,
     packing,
+    periods,
     quality,
     sharding,
     token_counts,
@@ -205,3 +206,35 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+# With h = 10 g: the words from place a = g % n on repeat the first p = 1 + (n - a) / (3 + g % 8) of them.
+_REPEATED = r"""
+    element_at(transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w ->
+        CASE WHEN size(w) = 0 THEN '' ELSE array_join(transform(sequence(0, size(w) - 1), i ->
+            get(w, int(CASE WHEN i < g % size(w) THEN i
+                ELSE g % size(w) + (i - g % size(w)) % (1 + (size(w) - g % size(w)) div (3 + g % 8)) END))), ' ') END), 1)
+"""
+
+
+def with_repeats(documents: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by a hash of the id, repeat some of their words to the end; the others as they are."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    return (
+        documents.select("doc_id", "text", hashed.alias("h"), F.floor(hashed / 10).alias("g"))
+        .select("doc_id", F.when(F.col("h") % 10 == 0, F.expr(_REPEATED)).otherwise(F.col("text")).alias("text"))
+    )
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which were made periodic, and the texts without repeats."""
+    found = periods.periodic_runs(with_repeats(table(spark, folder, "documents")))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
