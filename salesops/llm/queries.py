@@ -19,6 +19,7 @@ from salesops.llm import (
     sharding,
     token_counts,
     toxicity,
+    urls,
 )
 from salesops.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -128,6 +129,22 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+# The listed rules for pages.
+URL_RULES = (
+    urls.Rule("allow", "org/"),
+    urls.Rule("block", "example.org/es/"),
+    urls.Rule("block", "example.org/en/1"),
+    urls.Rule("allow", "com/fr/"),
+    urls.Rule("block", "com/de/"),
+)
+
+
+@query()
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL, by the listed rules or by trees that learn from what these decide."""
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 _LEAF = ("doc_id", "source", "lang", "n_chars", "text")
 
 
