@@ -25,8 +25,9 @@ def keep_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decide = decider()
         for batch in batches:
-            kept = [decide(piece) for piece in pieces(prepare(batch.column(place)))]
-            if kept:
-                yield batch.filter(pa.array(np.concatenate(kept)))
+            # A piece at a time: no second copy of all texts of a batch is held.
+            for piece in pieces(prepare(batch.column(place))):
+                yield batch.slice(piece.first, len(piece)).filter(pa.array(decide(piece)))
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, rows.schema)
