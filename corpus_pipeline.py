@@ -17,32 +17,42 @@ from salesops.llm.registry import table
 from salesops.session import materialize
 
 CAPACITY = 4096
+# Whole rows go to Python workers in batches of at most so many rows and bytes. A worker and the JVM each
+# hold a batch several times over (as it arrives, by pieces, as it leaves).
+BATCH_ROWS, BATCH_BYTES = 1024, "8m"
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, in a session that passes whole rows on in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return table(spark, sf_dir, name)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic."""
-    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, given(spark, sf_dir, "labels"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant takes for good ones."""
-    return quality.without_poor(docs, table(spark, sf_dir, "labels"))
+    return quality.without_poor(docs, given(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each component of similar ones."""
-    table(spark, sf_dir, "documents")
+    given(spark, sf_dir, "documents")
     return jaccard.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontamination.without_passages(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_passages(docs, given(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of CAPACITY tokens."""
-    table(spark, sf_dir, "documents")
+    given(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, 2)
 
 
@@ -60,7 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs = given(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
