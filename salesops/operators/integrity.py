@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions import total_or_zero
-from salesops.session import small_side
+from salesops.session import materialize, small_side
 
 
 @dataclass(frozen=True)
@@ -237,6 +237,102 @@ def cascade_delete(
     }
 
 
+def delete_unless_referenced(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    root_keys: DataFrame,
+    keys: Iterable[ForeignKey],
+    primary_keys: Mapping[str, str],
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """V8 with restricting keys: remove as many rows of ``root`` as can go, with all their descendants.
+
+    A key that does not cascade restricts: its parent row can go only if the
+    referencing row goes as well. A root that would take a row with it which a
+    remaining row references is kept, with all that hangs on it, unless another
+    root takes that. Rows that are kept this way may hold further roots, so the
+    steps are repeated until nothing changes; what is removed in the end is the
+    largest set that leaves no reference dangling.
+
+    Tables are read for keys of rows in reach of ``root_keys`` only, and once per
+    foreign key; the rounds work on these stored pairs of keys. ``keys`` come
+    parents first, a row without a key in ``primary_keys``' column is never
+    removed. Returns the remaining tables and the refused root keys (``key``).
+    Runs jobs at once.
+    """
+    keys = list(keys)
+    wanted = materialize(
+        root_keys.toDF("_key").join(
+            tables[root].select(F.col(primary_keys[root]).alias("_own")), F.col("_key") == F.col("_own"), "left_semi"
+        ).distinct()
+    )
+    # Everything that could go, and the cascading pairs (child row, parent row) that say why.
+    reach = {root: small_side(wanted, stored=True)}
+    links: list[tuple[ForeignKey, DataFrame]] = []
+    for key in keys:
+        if key.cascade and key.parent in reach:
+            pairs = materialize(_references(tables, key, primary_keys, reach[key.parent]).where("_child IS NOT NULL"))
+            links.append((key, pairs))
+            reach[key.child] = small_side(_more(reach.get(key.child), pairs.select(F.col("_child").alias("_key"))))
+    # Restricting references to what could go.
+    holds = [
+        (key, materialize(_references(tables, key, primary_keys, reach[key.parent])))
+        for key in keys
+        if not key.cascade and key.parent in reach
+    ]
+    going, refused = wanted, wanted.limit(0)
+    while True:
+        removed = {root: small_side(going, stored=True)}
+        for key, pairs in links:
+            if key.parent in removed:
+                gone = _semi(pairs, "_parent", removed[key.parent]).select(F.col("_child").alias("_key"))
+                removed[key.child] = small_side(_more(removed.get(key.child), gone))
+        held: dict[str, DataFrame] = {}
+        for key, pairs in holds:
+            if key.parent not in removed:
+                continue
+            staying = _semi(pairs, "_parent", removed[key.parent])
+            if key.child in removed:
+                staying = _semi(staying, "_child", removed[key.child], "left_anti")
+            held[key.parent] = _more(held.get(key.parent), staying.select(F.col("_parent").alias("_key")))
+        # What is held holds the rows whose removal would take it along.
+        for key, pairs in reversed(links):
+            if key.child in held:
+                above = _semi(pairs, "_child", small_side(held[key.child])).select(F.col("_parent").alias("_key"))
+                held[key.parent] = _more(held.get(key.parent), above)
+        if root not in held:
+            break
+        kept = materialize(held[root].join(going.withColumnRenamed("_key", "_going"), F.col("_key") == F.col("_going"), "left_semi"))
+        if kept.isEmpty():
+            break
+        refused = materialize(refused.unionByName(kept))
+        going = materialize(_semi(going, "_key", small_side(kept, stored=True), "left_anti"))
+    left = {
+        name: _semi(df, primary_keys[name], removed[name], "left_anti") if name in removed else df
+        for name, df in tables.items()
+    }
+    return left, refused.select(F.col("_key").alias("key"))
+
+
+def _references(
+    tables: Mapping[str, DataFrame], key: ForeignKey, primary_keys: Mapping[str, str], parents: DataFrame
+) -> DataFrame:
+    """Rows that reference one of the parents: their own key (NULL without one) and the parent's."""
+    child = tables[key.child]
+    own = F.col(primary_keys[key.child]) if key.child in primary_keys else F.lit(None).cast(dict(child.dtypes)[key.column])
+    return _semi(child.select(own.alias("_child"), F.col(key.column).alias("_parent")), "_parent", parents)
+
+
+def _semi(rows: DataFrame, column: str, among: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose column is (or, with ``left_anti``, is not) among stored keys."""
+    others = among.withColumnRenamed("_key", "_among")
+    return rows.join(others, F.col(column) == F.col("_among"), how)
+
+
+def _more(known: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Distinct keys of both."""
+    return (found if known is None else known.unionByName(found)).distinct()
+
+
 def fanout_audit(
     parents: DataFrame, key: str, amount: str, children: DataFrame, child_key: str
 ) -> DataFrame:

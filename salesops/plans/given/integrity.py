@@ -146,6 +146,57 @@ def cascade_delete(t: GivenTables) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+# Customers name the customer who referred them; disputed lines keep their order, all others go with it.
+RESTRICTED_KEYS = [
+    ForeignKey("customer", "c_referrer", "customer", "c_custkey"),
+    ForeignKey("orders", "o_custkey", "customer", "c_custkey", True),
+    ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey", True),
+    ForeignKey("disputed", "l_orderkey", "orders", "o_orderkey"),
+]
+
+
+def restricted_tables(t: GivenTables) -> dict[str, DataFrame]:
+    lines = t["lineitem"]
+    disputed = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49)
+    referrer = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey") + 1).alias("c_referrer")
+    return {
+        "customer": t["customer"].select("c_custkey", "c_acctbal", referrer),
+        "orders": t["orders"].select("o_orderkey", "o_custkey"),
+        # A line has no single-column key of its own: it is removed by its order.
+        "lineitem": lines.where(~disputed).select("l_orderkey"),
+        "disputed": lines.where(disputed).select("l_orderkey"),
+    }
+
+
+@query(
+    """WITH RECURSIVE asked AS (SELECT c_custkey AS k FROM customer WHERE c_acctbal < 5000),
+disputed AS (SELECT DISTINCT o_custkey AS k FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_quantity >= 49),
+refused AS (
+  SELECT k FROM asked WHERE k IN (SELECT k FROM disputed)
+    OR k IN (SELECT c_custkey + 1 FROM customer WHERE c_custkey % 3 <> 0 AND c_acctbal >= 5000)
+  UNION SELECT asked.k FROM refused JOIN asked ON asked.k = refused.k + 1 WHERE refused.k % 3 <> 0),
+gone AS (SELECT k FROM asked WHERE k NOT IN (SELECT k FROM refused)),
+o AS (SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT k FROM gone)),
+l AS (SELECT l_returnflag = 'R' AND l_quantity >= 49 AS d FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o))
+SELECT 'customer' AS "table", count(*) AS remaining FROM customer WHERE c_custkey NOT IN (SELECT k FROM gone)
+UNION ALL SELECT 'orders', count(*) FROM o
+UNION ALL SELECT 'lineitem', count(*) FROM l WHERE NOT d
+UNION ALL SELECT 'disputed', count(*) FROM l WHERE d
+UNION ALL SELECT 'refused', count(*) FROM refused"""
+)
+def cascade_delete_restricted(t: GivenTables) -> DataFrame:
+    """Customers with a low balance go, but for those whom a disputed line or a remaining customer needs."""
+    tables = restricted_tables(t)
+    gone = tables["customer"].where("c_acctbal < 5000").select("c_custkey")
+    primary = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+    left, refused = v.delete_unless_referenced(tables, "customer", gone, RESTRICTED_KEYS, primary)
+    counted = None
+    for name, df in {**left, "refused": refused}.items():
+        one = df.agg(F.count(F.lit(1)).alias("remaining")).select(F.lit(name).alias("table"), "remaining")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 _PRICE = sql_money("o_totalprice")
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from salesops.operators import integrity as v
@@ -84,3 +86,64 @@ def test_reconcile_and_lines_per_parent(spark):
     assert v.reconcile(grouped, "total", facts, "amount").first()["matches"] is True
     assert v.reconcile(grouped.where("k = 1"), "total", facts, "amount").first()["matches"] is False
     assert tuple(v.lines_per_parent(facts, "k").first()) == (2, 1)
+
+
+def _brute_restricted(tables, root, asked, keys):
+    """Roots are refused until none takes a row with it that a remaining row references."""
+    rows = {(name, r["id"]): r for name, found in tables.items() for r in found}
+
+    def closure(start):
+        gone, todo = set(), [start]
+        while todo:
+            at = todo.pop()
+            if at not in gone:
+                gone.add(at)
+                todo += [
+                    (k.child, r["id"]) for k in keys if k.cascade and k.parent == at[0]
+                    for r in tables[k.child] if r[k.column] == at[1] and r["id"] is not None
+                ]
+        return gone
+
+    takes = {k: closure((root, k)) for k in asked if (root, k) in rows}
+    while True:
+        gone = set().union(*takes.values())
+        needed = {
+            (k.parent, r[k.column]) for k in keys if not k.cascade for r in tables[k.child] if (k.child, r["id"]) not in gone
+        }
+        refused = {k for k, closed in takes.items() if closed & needed}
+        if not refused:
+            return gone
+        takes = {k: c for k, c in takes.items() if k not in refused}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_delete_unless_referenced(spark, seed):
+    """Two ways down to the same rows, restricting keys sideways, onto the root and from rows without a key."""
+    rnd = random.Random(seed)
+    pick = lambda name, n, share: f"{name}{rnd.randrange(n)}" if rnd.random() < share else None
+    tables = {
+        "a": [{"id": f"a{i}", "friend": pick("a", 40, 0.3)} for i in range(40)],
+        "b": [{"id": f"b{i}", "a": pick("a", 40, 0.9)} for i in range(60)],
+        "c": [{"id": f"c{i}", "a": pick("a", 40, 0.3), "b": pick("b", 60, 0.6), "d": pick("d", 30, 0.1)} for i in range(80)],
+        "d": [{"id": f"d{i}", "b": pick("b", 60, 0.5)} for i in range(30)],
+        "e": [{"id": None, "c": pick("c", 80, 0.5)} for _ in range(6)],
+    }
+    keys = [
+        ForeignKey("a", "friend", "a", "id"), ForeignKey("b", "a", "a", "id", True), ForeignKey("c", "a", "a", "id", True),
+        ForeignKey("c", "b", "b", "id", True), ForeignKey("d", "b", "b", "id", True), ForeignKey("c", "d", "d", "id"),
+        ForeignKey("e", "c", "c", "id"),
+    ]
+    asked = [f"a{i}" for i in range(45) if rnd.random() < 0.7]
+    frames = {n: spark.createDataFrame([tuple(r.values()) for r in found], ", ".join(f"{c} string" for c in found[0])) for n, found in tables.items()}
+    left, refused = v.delete_unless_referenced(
+        frames, "a", spark.createDataFrame([(k,) for k in asked], "key string"), keys, {n: "id" for n in frames if n != "e"}
+    )
+    gone = _brute_restricted(tables, "a", asked, keys)
+    for name, found in tables.items():
+        want = [r["id"] for r in found if (name, r["id"]) not in gone]
+        assert sorted(str(r["id"]) for r in left[name].collect()) == sorted(map(str, want))
+    assert {r["key"] for r in refused.collect()} == {k for k in asked if k in {r["id"] for r in tables["a"]}} - {k for n, k in gone if n == "a"}
+    assert gone and {r["violations"] for r in v.check_foreign_keys(left, keys).collect()} == {0}
+    # Nothing asked, nothing gone.
+    left, refused = v.delete_unless_referenced(frames, "a", spark.createDataFrame([], "key string"), keys, {n: "id" for n in frames if n != "e"})
+    assert left["b"].count() == 60 and refused.count() == 0
