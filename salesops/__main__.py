@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from salesops.operators.integrity import IntegrityError
 from salesops.plans import model, verify
@@ -13,12 +13,17 @@ from salesops.plans.clean import clean_model
 from salesops.plans.reports import REPORTS
 from salesops.session import build_session, clear_scratch, size_for
 from salesops.sources import (
+    bucket_number,
+    discard,
     load_catalog,
     lost_in_catalog,
+    open_set,
     open_tables,
+    publish,
     read_catalog,
     rebuild,
     register_tables,
+    staging_folder,
 )
 
 
@@ -41,6 +46,20 @@ def _check_lost(lost: DataFrame, allowed: bool) -> None:
         print(f"lost values: {text}", file=sys.stderr)
 
 
+def _load(spark: SparkSession, clean: str, tables: str, buckets: int) -> None:
+    """Typed tables beside the current ones, checked there, and published only if every constraint holds."""
+    layout = {name: {"key": key, "buckets": buckets} for name, key in model.BUCKET_KEYS.items()}
+    staged = staging_folder(tables)
+    try:
+        for name, rows in rebuild(load_catalog(spark, clean, model.SCHEMAS, model.DEFAULTS), staged, layout=layout).items():
+            print(f"{name}: {rows} rows")
+        verify.require_constraints(verify.constraint_report(open_set(spark, staged, model.SCHEMAS, layout)))
+        publish(spark, tables, staged, layout)
+    except BaseException:
+        discard(spark, staged)
+        raise
+
+
 def main() -> int:
     parser = argparse.ArgumentParser(prog="salesops", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -67,12 +86,9 @@ def main() -> int:
             audit.write.mode("overwrite").parquet(args.audit)
             _preview(spark.read.parquet(args.audit).orderBy("step", "table", "metric"), args.audit)
         elif args.command == "load":
-            size_for(spark, args.clean)
+            size = size_for(spark, args.clean)
             _check_lost(lost_in_catalog(spark, args.clean, model.SCHEMAS), args.allow_lost)
-            for name, rows in rebuild(load_catalog(spark, args.clean, model.SCHEMAS, model.DEFAULTS), args.tables).items():
-                print(f"{name}: {rows} rows")
-            stored = open_tables(spark, args.tables, model.SCHEMAS)
-            verify.require_constraints(verify.constraint_report(stored))
+            _load(spark, args.clean, args.tables, bucket_number(size, spark.sparkContext.defaultParallelism))
         else:
             size_for(spark, args.tables)
             tables = open_tables(spark, args.tables, model.SCHEMAS)

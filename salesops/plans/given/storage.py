@@ -108,3 +108,26 @@ def register_and_sql(t: GivenTables) -> DataFrame:
 @query(_COUNTS)
 def table_counts(t: GivenTables) -> DataFrame:
     return sources.table_counts(_three(t))
+
+
+def laid_out(t: GivenTables, buckets: int = 8) -> dict[str, DataFrame]:
+    """Orders and lines in buckets of their order key, below the shared scratch folder."""
+    folder, keys = scratch_path(t.spark, "buckets"), {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    layout = {name: {"key": key, "buckets": buckets} for name, key in keys.items()}
+    sources.rebuild({name: t[name] for name in keys}, folder, layout=layout)
+    schemas = {name: ", ".join(f"{c} {kind}" for c, kind in t[name].dtypes) for name in keys}
+    return sources.open_set(t.spark, folder, schemas, layout)
+
+
+@query(
+    """SELECT o_orderkey, max(o_orderstatus) AS status, count(*) AS total_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1"""
+)
+def bucketed_line_totals(t: GivenTables) -> DataFrame:
+    """J1 over tables laid out by key: orders, their lines and the grouping need no shuffle and no sort."""
+    tables = laid_out(t)
+    # A side may be small enough to be broadcast; the merge join is asked for, as facts are large.
+    joined = tables["orders"].hint("merge").join(tables["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderkey").agg(
+        F.max("o_orderstatus").alias("status"), F.count(F.lit(1)).alias("total_lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("units")
+    )

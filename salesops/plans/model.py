@@ -170,3 +170,6 @@ ORPHAN_LINKS = [
     ("Orders", "quote_id", "Quote", "quote_id"),
     ("Invoice", "order_id", "Orders", "order_id"),
 ]
+
+# Tables laid out by key: those that reports join on it, with the key they share.
+BUCKET_KEYS = {"Quote": "quote_id", "Orders": "quote_id", "QuoteLineItem": "quote_id"}

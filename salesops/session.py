@@ -21,6 +21,8 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Partitions that fit in memory are joined by hash instead of being sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Tables of one sorted file per bucket are read as sorted, so that joins on their key need no sort.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -5,6 +5,7 @@ from salesops.sources.catalog import (  # noqa: F401
     lost_values,
     load_catalog,
     load_typed,
+    open_set,
     open_tables,
     read_catalog,
     register_tables,
@@ -14,7 +15,14 @@ from salesops.sources.catalog import (  # noqa: F401
 )
 from salesops.sources.files import (  # noqa: F401
     ORDINAL,
+    bucket_number,
+    discard,
+    open_bucketed,
+    publish,
+    published,
     read_raw_csv,
     rebuild,
+    staging_folder,
+    write_bucketed,
     write_tables,
 )

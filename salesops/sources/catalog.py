@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesops.functions import blank_to_null
-from salesops.sources.files import read_raw_csv
+from salesops.sources.files import open_bucketed, published, read_raw_csv
 
 
 def _entries(spark: SparkSession, folder: str) -> list[str]:
@@ -93,9 +93,24 @@ def lost_in_catalog(spark: SparkSession, folder: str, schemas: Mapping[str, str]
 
 
 def open_tables(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Typed tables written by ``rebuild`` as Parquet."""
-    base = folder.rstrip("/")
-    return {name: spark.read.schema(schema).parquet(f"{base}/{name}.parquet") for name, schema in schemas.items()}
+    """Typed tables as Parquet: those that ``rebuild`` wrote, or the latest that ``publish`` has made current."""
+    now = published(spark, folder)
+    return open_set(spark, now["path"], schemas, now["layout"])
+
+
+def open_set(
+    spark: SparkSession, path: str, schemas: Mapping[str, str], layout: Mapping[str, Mapping] | None = None
+) -> dict[str, DataFrame]:
+    """Tables of one folder; ``layout`` names key and number of buckets of those that have buckets."""
+    layout = layout or {}
+
+    def opened(name: str, schema: str) -> DataFrame:
+        at = f"{path.rstrip('/')}/{name}.parquet"
+        if name in layout:
+            return open_bucketed(spark, at, schema, layout[name]["key"], layout[name]["buckets"])
+        return spark.read.schema(schema).parquet(at)
+
+    return {name: opened(name, schema) for name, schema in schemas.items()}
 
 
 def register_tables(tables: Mapping[str, DataFrame]) -> list[str]:

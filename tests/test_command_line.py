@@ -6,6 +6,9 @@ import sys
 import pytest
 
 import salesops.__main__ as command
+from salesops import sources
+from salesops.plans import model
+from salesops.sources import files
 
 QUOTES = "Quote.csv"
 
@@ -86,6 +89,7 @@ def test_broken_input_fails(monkeypatch, spark, cleaned, tmp_path, capfd, table,
     _line(clean, table, text)
     assert _run(monkeypatch, spark, "load", clean, tables) == 1
     assert message in capfd.readouterr().err
+    assert not [*tmp_path.glob("tables/**/*.parquet")]
 
 
 def test_defaults_for_absent_columns(monkeypatch, spark, cleaned, tmp_path):
@@ -94,4 +98,63 @@ def test_defaults_for_absent_columns(monkeypatch, spark, cleaned, tmp_path):
     frame = spark.read.option("header", True).csv(f"{cleaned[0]}/{QUOTES}").drop("revision_number")
     frame.write.option("header", True).csv(str(clean / QUOTES))
     assert _run(monkeypatch, spark, "load", clean, tables) == 0
-    assert {r[0] for r in spark.read.parquet(f"{tables}/Quote.parquet").select("revision_number").collect()} == {1}
+    quotes = sources.open_tables(spark, str(tables), model.SCHEMAS)["Quote"]
+    assert {r[0] for r in quotes.select("revision_number").collect()} == {1}
+
+
+def test_failed_load_leaves_the_former_tables(monkeypatch, spark, cleaned, tmp_path, capfd):
+    clean, tables = tmp_path / "clean", tmp_path / "tables"
+    shutil.copytree(cleaned[0], clean)
+    header = next((clean / "City.csv").glob("part-*.csv")).read_text().splitlines()[0]
+    assert _run(monkeypatch, spark, "load", clean, tables) == 0
+    _line(clean, "City", f"{header}\nCTY00001,again\n")
+    assert _run(monkeypatch, spark, "load", clean, tables) == 1
+    assert "primary key City." in capfd.readouterr().err
+    assert sources.open_tables(spark, str(tables), model.SCHEMAS)["City"].count() == 5
+    assert len([*(tables / "_versions").iterdir()]) == 1
+    _line(clean, "City", f"{header}\nCTY00006,new\n")
+    assert _run(monkeypatch, spark, "load", clean, tables) == 0
+    assert sources.open_tables(spark, str(tables), model.SCHEMAS)["City"].count() == 6
+    # The former set stays for those who read it.
+    assert len([*(tables / "_versions").iterdir()]) == 2
+
+
+def test_the_two_latest_sets_stay(spark, tmp_path):
+    for k in range(4):
+        staged = sources.staging_folder(str(tmp_path))
+        sources.rebuild({"t": spark.range(k)}, staged)
+        sources.publish(spark, str(tmp_path), staged)
+        assert sources.open_tables(spark, str(tmp_path), {"t": "id long"})["t"].count() == k
+        assert len([*(tmp_path / "_versions").iterdir()]) == min(k + 1, 2)
+
+
+def test_of_two_loads_at_once_one_fails(spark, tmp_path):
+    staged = [sources.staging_folder(str(tmp_path)) for _ in range(2)]
+    sources.publish(spark, str(tmp_path), staged[0])
+    (tmp_path / "_manifest" / "2").write_text("{}")
+    real = files._manifests
+    try:
+        files._manifests = lambda *_: [1]
+        with pytest.raises(FileExistsError):
+            sources.publish(spark, str(tmp_path), staged[1])
+    finally:
+        files._manifests = real
+    (tmp_path / "_manifest" / "2").unlink()
+    assert sources.published(spark, str(tmp_path))["path"] == staged[0]
+
+
+def test_reports_join_tables_as_they_lie(monkeypatch, spark, cleaned, tmp_path):
+    """Lines, quotes and orders meet without a shuffle or a sort of any of them."""
+    tables = tmp_path / "tables"
+    assert _run(monkeypatch, spark, "load", cleaned[0], tables) == 0
+    opened = sources.open_tables(spark, str(tables), model.SCHEMAS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = opened["QuoteLineItem"].select("quote_id", "quantity").join(opened["Orders"].select("quote_id", "order_date"), "quote_id")
+        joined = lines.join(opened["Quote"].select("quote_id", "discount"), "quote_id").groupBy("quote_id").count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    plain = {n: spark.read.parquet(f"{sources.published(spark, str(tables))['path']}/{n}.parquet") for n in ("QuoteLineItem", "Orders")}
+    assert lines.count() == plain["QuoteLineItem"].join(plain["Orders"], "quote_id").count() > 0
