@@ -21,7 +21,14 @@ from salesops.functions import (
     round_half_up,
     wide,
 )
-from salesops.operators.ordering import add_ranks, expand_positions, ordered_totals
+from salesops.operators.ordering import (
+    add_ranks,
+    expand_positions,
+    number_values,
+    ordered_totals,
+    ranges_of_values,
+    running_in_ranges,
+)
 from salesops.session import materialize, small_side
 
 
@@ -60,10 +67,17 @@ def period_totals(
 def pivot_sum(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
     """Q1p: one column per value of a column, summed, 0 where there is nothing.
 
-    Spark finds the values in a job of its own and raises an error beyond
-    ``spark.sql.pivotMaxValues`` of them; a NULL value is the column ``null``.
+    The sums per row and value are stored before the values are read from them,
+    so that ``df`` is evaluated once; the job runs at once. More values than
+    ``spark.sql.pivotMaxValues`` are an error, as in Spark's own pivot; a NULL value is the
+    column ``null``.
     """
-    return df.groupBy(row).pivot(column).agg(F.sum(value)).fillna(0).orderBy(row)
+    totals = materialize(df.groupBy(row, column).agg(F.sum(value).alias("_total")))
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    values = [r[0] for r in totals.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"column {column} has more than {most} values")
+    return totals.groupBy(row).pivot(column, values).agg(F.sum("_total")).fillna(0).orderBy(row)
 
 
 def head_ordered(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
@@ -84,6 +98,29 @@ def leaderboard(facts: DataFrame, group: str, key: str, amount: str, minor: int
     )
 
 
+def distinct_by_bitmap(df: DataFrame, groups: Sequence[str], key: str, name: str = "distinct_keys") -> DataFrame:
+    """Exact distinct keys per group by bitmaps, for keys that are numbered densely.
+
+    A key is a bit: its bucket, of 32,768 keys, and its place there. Tasks set bits
+    before they pass anything on, so what is shuffled is one bitmap of 4 KB per
+    (group, bucket) and task instead of every (group, key) pair; a hot group is
+    spread by its buckets. Integer keys are taken as they are; other keys are
+    numbered first (N2), which costs a shuffle of the distinct keys and a join.
+    NULL keys do not count, a group of NULL keys has 0. For keys that are sparse
+    within groups a plain distinct count is cheaper.
+    """
+    if dict(df.dtypes)[key] not in ("tinyint", "smallint", "int", "bigint"):
+        numbered = number_values(df.where(F.col(key).isNotNull()).select(F.lit(0).alias("_all"), key), "_all", key)
+        numbers = small_side(numbered.select(F.col(key).alias("_text"), F.col("position").alias("_number")))
+        df = df.select(*groups, key).join(numbers, F.col(key) == F.col("_text"), "left").select(*groups, F.col("_number").alias(key))
+    number = F.col(key).cast("bigint")
+    per_bucket = df.groupBy(*groups, F.bitmap_bucket_number(number).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits")
+    )
+    counted = F.when(F.col("_bucket").isNull(), 0).otherwise(F.bitmap_count("_bits"))
+    return per_bucket.groupBy(*groups).agg(F.sum(counted).cast("bigint").alias(name))
+
+
 def rate_by_group(df: DataFrame, group: str, hit: Column, score: str) -> DataFrame:
     """Q3: per group rows, hits, hit rate and average score."""
     won = F.sum(F.when(hit, 1).otherwise(0))
@@ -171,10 +208,51 @@ def pareto_curve(facts: DataFrame, entity: str, amount: str, minor: int = 1) ->
 
 
 def pareto_cutoff(curve: DataFrame, pct: float = 80) -> DataFrame:
-    """The first point of the curve at or above a share."""
+    """The first point of a curve at or above a share."""
     return curve.where(F.col("pct_revenue_cum") >= pct).orderBy("rank").limit(1)
 
 
+def pareto_point(facts: DataFrame, entity: str, amount: str, pct: float = 80, minor: int = 1) -> DataFrame:
+    """A2c without the curve: the first point at or above a share, found by weighted selection.
+
+    Ranges of amounts know their totals, so the one that holds the point is known
+    before any row of it is read; only that range is opened. As amounts fall, the
+    running total is highest where they turn negative: a range can hold the point
+    if the total before it and its positive part together reach the share. No
+    entity is expanded; equal amounts share a point, whose rank is their first.
+    """
+    per_entity = facts.groupBy(entity).agg(F.sum(amount).alias("revenue"))
+    per_entity = per_entity.withColumn("revenue", wide(per_entity, "revenue"))
+    return first_at_share(per_entity, "revenue", pct, minor)
+
+
+def first_at_share(rows: DataFrame, value: str, pct: float, minor: int = 1) -> DataFrame:
+    """The first point of the curve of ``value``, largest first, whose rounded share is ``pct`` or more."""
+    placed, offsets = ranges_of_values(rows, value)
+
+    def share(total: Column) -> Column:
+        return percent(major_units(total, minor), major_units(F.col("all_total"), minor))
+
+    # One row per range. A total that is not positive makes no rising curve: then every range is opened.
+    reach = share(F.col("_total_ahead") + F.col("_gain"))
+    able = offsets.where((F.col("all_total") <= 0) | (reach >= pct))
+    chosen = able.select(F.min(F.when(F.col("all_total") > 0, F.col("_range"))).alias("r"), F.max("_range").alias("last")).first()
+    opened = placed.where(F.lit(False)) if chosen["last"] is None else placed
+    if chosen["r"] is not None:
+        opened = placed.where(F.col("_range") == chosen["r"])
+    return (
+        running_in_ranges(opened, offsets, value)
+        .select(
+            (F.col("rows_before") + 1).alias("rank"),
+            percent(F.col("rows_before") + 1, "all_rows").alias("pct_accounts"),
+            share(F.col("running_total")).alias("pct_revenue_cum"),
+        )
+        .where(F.col("pct_revenue_cum") >= pct)
+        .orderBy("rank")
+        .limit(1)
+    )
+
+
 def funnel(stages: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """A3: distinct keys per stage, share of the first and of the previous stage.
 

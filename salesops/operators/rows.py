@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesops.functions import is_blank, null_if_sentinel
-from salesops.session import materialize, measure, small_side
+from salesops.session import materialize, measure
 
 # Texts that stand for a missing date.
 DATE_SENTINELS = ("Na", "NA", "N/A", "nan", "None")
@@ -44,26 +44,68 @@ def _last_per_key(df: DataFrame, pk: list[str], ordinal: Column | str) -> DataFr
     return last.select(*[F.col(c) if c in pk else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+# Bits of the filter of repeated keys, and how many of them are one row of it (Spark's bitmaps have that size).
+FILTER_BITS = 1 << 27
+_BITMAP_BITS = 1 << 15
+
+
+def _key_bit(pk: list[str], prefix: str = "") -> Column:
+    """The bit of a key: its hash within the filter, whose size is fixed."""
+    return F.pmod(F.xxhash64(*[F.col(f"{prefix}{c}") for c in pk]), F.lit(FILTER_BITS))
+
+
+def _may_repeat(df: DataFrame, pk: list[str], repeated: DataFrame) -> DataFrame:
+    """The rows with a flag ``_hit``: true for every row of a repeated key, and for few others.
+
+    A bit of a fixed-size bitmap is set for each repeated key. The bitmap is at
+    most ``FILTER_BITS`` / 8 bytes (16 MB), however many keys there are, and is
+    broadcast for that reason alone.
+    """
+    bits = repeated.select(_key_bit([f"{i}" for i in range(len(pk))], "_").alias("_bit"))
+    bitmap = bits.groupBy(F.floor(F.col("_bit") / _BITMAP_BITS).alias("_slot")).agg(
+        F.bitmap_construct_agg(F.col("_bit") % _BITMAP_BITS).alias("_bits")
+    )
+    placed = df.withColumn("_bit", _key_bit(pk))
+    found = placed.join(F.broadcast(bitmap), F.floor(F.col("_bit") / _BITMAP_BITS) == F.col("_slot"), "left")
+    # Bits of a byte count from the lowest.
+    byte = F.conv(F.hex(F.expr("substring(_bits, int((_bit % 32768) div 8) + 1, 1)")), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn("_hit", hit).select(*df.columns, "_hit")
+
+
+def _repeated_keys(df: DataFrame, pk: list[str]) -> tuple[DataFrame, int, bool]:
+    """Stored keys that occur more than once (``_0``, ``_1`` ...), their number, and whether they are few."""
+    counted = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counted.where("_n > 1").drop("_n"))
+    return (repeated, *measure(repeated))
+
+
+def _parted(df: DataFrame, pk: list[str], repeated: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows that surely have a key of their own, and all others; neither part is shuffled for that."""
+    if small:
+        keys = F.broadcast(repeated)
+        return df.join(keys, _same_key(pk), "left_anti"), df.join(keys, _same_key(pk), "left_semi")
+    flagged = _may_repeat(df, pk, repeated)
+    return flagged.where(~F.col("_hit")).drop("_hit"), flagged.where("_hit").drop("_hit")
+
+
 def dedupe_keep_last(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
     """One row per key, the last by ``ordinal``. NULL keys are one key, a NULL ordinal comes first.
 
-    Runs a job at once, to find the repeated keys. Repeated keys are counted on the key columns alone. If there are none, the
-    frame is returned as it is. If they are few, whole rows are shuffled only for
-    them and all other rows just pass a broadcast anti join; otherwise every row takes the aggregation. That one merges on the
-    map side, so a key with a large share of the rows reaches the shuffle as one
-    row per task. ``df`` is read up to three times: pass a scan or a stored frame.
+    Runs a job at once, to find the repeated keys, counted on the key columns
+    alone. If there are none, the frame is returned as it is. Otherwise whole rows
+    are shuffled only for repeated keys: all others pass a broadcast anti join or,
+    if the repeated keys are many, a broadcast filter of fixed size, which lets
+    few others through to the exact step. That step merges on the map side, so a
+    key with a large share of the rows reaches the shuffle as one row per task.
+    ``df`` is read up to three times: pass a scan or a stored frame.
     """
     pk = _as_list(pk)
-    counted = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialize(counted.where("_n > 1").drop("_n"))
-    count, small = measure(repeated)
+    repeated, count, small = _repeated_keys(df, pk)
     if count == 0:
         return df
-    if not small:
-        return _last_per_key(df, pk, ordinal)
-    repeated = F.broadcast(repeated)
-    single = df.join(repeated, _same_key(pk), "left_anti")
-    return single.unionByName(_last_per_key(df.join(repeated, _same_key(pk), "left_semi"), pk, ordinal))
+    single, others = _parted(df, pk, repeated, small)
+    return single.unionByName(_last_per_key(others, pk, ordinal))
 
 
 def duplicate_report(
@@ -96,29 +138,29 @@ def duplicate_report(
     )
 
 
-def discarded_rows(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str) -> DataFrame:
+def discarded_rows(df: DataFrame, pk: str | Iterable[str], ordinal: Column | str, spread: int = 64) -> DataFrame:
     """The rows that keep-last removes: with the rows it keeps they are the input, row by row.
 
-    Only rows of repeated keys can be among them. The last row of each such key
-    is found on the map side and joined back; of rows equal in everything, all
-    but one are removed. Runs a job at once; ``df`` is read twice.
+    Only rows of repeated keys can be among them; these are stored, the others are
+    passed over as in ``dedupe_keep_last``. The last row of a key is the last of
+    the last rows of its ``spread`` parts, so that a hot key is not sorted in one
+    task: rows that are not their part's last are discarded at once, and the
+    parts' last rows, at most ``spread`` per key, are compared with each other.
+    Of rows equal in everything all but one are discarded. Runs jobs at once.
     """
     pk = _as_list(pk)
-    latest = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(pk)]).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(_order(df, ordinal)).alias("_last")
-    )
-    repeated = small_side(latest.where("_n > 1").drop("_n"))
-    found = df.join(repeated, _same_key(pk)).withColumn("_order", _order(df, ordinal))
-    earlier = found.where(F.col("_order") < F.col("_last")).select(*df.columns)
-    copies = (
-        found.where(F.col("_order") == F.col("_last"))
-        .groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .withColumn("_copy", F.explode(F.expr("sequence(2L, _n)")))
-        .select(*df.columns)
-    )
-    return earlier.unionByName(copies)
+    repeated, count, small = _repeated_keys(df, pk)
+    if count == 0:
+        return df.limit(0)
+    order = F.struct(last_first(ordinal).alias("order"), F.xxhash64(*df.columns).alias("content"))
+    others = _parted(df, pk, repeated, small)[1]
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
+    stored = materialize(others.withColumn("_order", order).withColumn("_part", part))
+    keys = [F.col(f"`{c}`") for c in pk]
+    latest = F.col("_order").desc()
+    in_part = stored.withColumn("_back", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(latest)))
+    lasts = in_part.where("_back = 1").withColumn("_back", F.row_number().over(Window.partitionBy(*keys).orderBy(latest)))
+    return in_part.where("_back > 1").unionByName(lasts.where("_back > 1")).select(*df.columns)
 
 
 def columns_matching(df: DataFrame, pattern: str) -> list[str]:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from salesops import functions as sf
 from salesops.operators import rows
-from salesops.operators.ordering import add_ranks, number_output
+from salesops.operators.analytics import distinct_by_bitmap as count_by_bitmap
+from salesops.operators.ordering import add_ranks, number_output, rank_within, shift_over_ranges
 from salesops.plans.given.reports import orders_by_nation
 from salesops.plans.given.registry import (
     GivenTables,
@@ -310,6 +311,50 @@ def first_value_and_lag(t: GivenTables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT c_custkey, rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rank_in_nation,
+  rank() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey % 100 DESC) AS rank_in_segment,
+  rank() OVER (ORDER BY c_acctbal DESC) AS rank_overall FROM customer"""
+)
+def rank_in_group(t: GivenTables) -> DataFrame:
+    """W1 within groups: three orders from one range shuffle."""
+    customers = t["customer"].select(
+        "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", (F.col("c_custkey") % 100).alias("last_digits")
+    )
+    ranks = {
+        "rank_in_nation": ("c_nationkey", "c_acctbal"),
+        "rank_in_segment": ("c_mktsegment", "last_digits"),
+        "rank_overall": (None, "c_acctbal"),
+    }
+    return rank_within(materialize(customers), ranks).select("c_custkey", *ranks)
+
+
+@query(
+    """SELECT o_orderkey, lag(o_totalprice) OVER w AS previous_price, lag(o_custkey, 3) OVER w AS third_customer,
+  first_value(o_totalprice) OVER w AS first_price FROM orders WINDOW w AS (ORDER BY o_orderdate, o_orderkey)"""
+)
+def lag_over_orders(t: GivenTables) -> DataFrame:
+    """W7, W8 over all orders, without a window over all rows."""
+    orders = t["orders"].select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
+    lagged = {"previous_price": ("o_totalprice", 1), "third_customer": ("o_custkey", 3)}
+    shifted = shift_over_ranges(orders, [F.col("o_orderdate"), F.col("o_orderkey")], lagged, {"first_price": "o_totalprice"})
+    return shifted.select("o_orderkey", *lagged, "first_price")
+
+
+@query(
+    """SELECT n_name, count(DISTINCT o_custkey) AS customers, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN c_name END) AS names
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"""
+)
+def distinct_by_bitmap(t: GivenTables) -> DataFrame:
+    """Customers with orders per nation, by number and (of finished orders) by name."""
+    named = orders_by_nation(t).join(t["customer"].select(F.col("c_custkey").alias("_key"), "c_name"), F.col("o_custkey") == F.col("_key"))
+    facts = named.join(t["orders"].select(F.col("o_orderkey").alias("_order"), "o_orderstatus"), F.col("o_orderkey") == F.col("_order"))
+    finished = facts.withColumn("c_name", F.when(F.col("o_orderstatus") == "F", F.col("c_name")))
+    names = count_by_bitmap(finished, ["n_name"], "c_name", "names").withColumnRenamed("n_name", "_nation")
+    customers = count_by_bitmap(orders_by_nation(t), ["n_name"], "o_custkey", "customers")
+    return customers.join(names, F.col("n_name") == F.col("_nation")).drop("_nation")
+
+
 # --- sorts, limits --------------------------------------------------------------------
 
 

@@ -141,14 +141,18 @@ def rep_leaderboard_head(t: Tables) -> DataFrame:
     return a.head_ordered(rep_leaderboard(t), ["revenue_rank", "user_name"], 10)
 
 
-def pareto_curve(t: Tables) -> DataFrame:
+def _revenue_of_accounts(t: Tables) -> DataFrame:
     per_customer = _invoiced(t).groupBy("customer_id").agg(F.sum("total_amount").alias("total_amount"))
     customers = t["Customer"].select("customer_id", "account_id").join(t["Account"].select("account_id"), "account_id")
-    return a.pareto_curve(per_customer.join(customers, "customer_id"), "account_id", "total_amount")
+    return per_customer.join(customers, "customer_id")
+
+
+def pareto_curve(t: Tables) -> DataFrame:
+    return a.pareto_curve(_revenue_of_accounts(t), "account_id", "total_amount")
 
 
 def pareto_cutoff(t: Tables) -> DataFrame:
-    return a.pareto_cutoff(pareto_curve(t))
+    return a.pareto_point(_revenue_of_accounts(t), "account_id", "total_amount")
 
 
 def sales_funnel(t: Tables) -> DataFrame:
