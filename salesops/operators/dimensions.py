@@ -16,10 +16,14 @@ from salesops.session import is_small, materialize, small_side
 LOOKUP_SENTINELS = ("", "Na", "NA", "N/A", "nan", "None")
 
 
-def surrogate_keys(values: DataFrame, value: str, prefix: str, key: str) -> DataFrame:
-    """One row per distinct value with key = prefix + rank of the value."""
+def surrogate_keys(values: DataFrame, value: str, prefix: str, key: str, place: str | None = None) -> DataFrame:
+    """One row per distinct value with key = prefix + rank of the value; ``place`` names a column for the rank itself."""
     numbered = number_values(values.select(F.lit("").alias("_one"), value), "_one", value)
-    return numbered.select(format_key(prefix, "position").alias(key), value)
+    return numbered.select(format_key(prefix, "position").alias(key), value, *_placed(place))
+
+
+def _placed(place: str | None) -> list[Column]:
+    return [F.col("position").alias(place)] if place else []
 
 
 def build_dimension(
@@ -28,16 +32,17 @@ def build_dimension(
     value_col: str,
     prefix: str,
     sentinels: Iterable[str] = LOOKUP_SENTINELS,
+    place: str | None = None,
 ) -> DataFrame:
-    """The distinct real values of a lookup, keyed in code-point order."""
+    """The distinct real values of a lookup, keyed in code-point order; ``place`` as in ``surrogate_keys``."""
     real = lookup.select(value_col).where(~_is_sentinel(F.col(value_col), sentinels))
-    return surrogate_keys(real, value_col, prefix, id_col)
+    return surrogate_keys(real, value_col, prefix, id_col, place)
 
 
 def build_dimensions(
-    lookups: Mapping[str, tuple[DataFrame, str, str, str, Iterable[str]]],
+    lookups: Mapping[str, tuple[DataFrame, str, str, str, Iterable[str]]], place: str | None = None
 ) -> tuple[dict[str, DataFrame], bool]:
-    """N1 for many lookups in a single pass.
+    """N1 for many lookups in a single pass; ``place`` as in ``surrogate_keys``.
 
     ``lookups`` maps a name to (frame, id column, value column, prefix,
     sentinels). All values are numbered together, grouped by lookup, so the
@@ -54,7 +59,7 @@ def build_dimensions(
     numbered = materialize(number_values(union, "_lookup", "_value"))
     built = {
         name: numbered.where(F.col("_lookup") == name).select(
-            format_key(prefix, "position").alias(id_col), F.col("_value").alias(value_col)
+            format_key(prefix, "position").alias(id_col), F.col("_value").alias(value_col), *_placed(place)
         )
         for name, (_, id_col, value_col, prefix, _) in lookups.items()
     }
@@ -186,16 +191,22 @@ def hash_fill(
     dim_key: str,
     dim_value: str,
     genuine: str | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Keep a reference that resolves, else pick a member by MD5 of the row key.
 
     The member number is the MD5 of ``key`` modulo the number of members, in
     value order. The pick is an equi-join on that number, so the dimension may
-    have any size. ``genuine`` names an optional flag column.
+    have any size. ``place`` is the dimension's column of that order, from 1, if
+    it was built with one (``surrogate_keys``); without it the members are numbered
+    again. ``genuine`` names an optional flag column.
     """
-    members = number_values(
-        dimension.select(F.lit("").alias("_one"), dim_value), "_one", dim_value
-    ).join(dimension.select(dim_key, dim_value), dim_value)
+    if place:
+        members = dimension.select(F.col(place).alias("position"), dim_key)
+    else:
+        members = number_values(
+            dimension.select(F.lit("").alias("_one"), dim_value), "_one", dim_value
+        ).join(dimension.select(dim_key, dim_value), dim_value)
     choices = small_side(
         members.select((F.col("position") - 1).alias("_choice"), F.col(dim_key).alias("_picked"))
     )

@@ -43,7 +43,8 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
     }
     if "JobTitle" in raw:
         lookups["JobTitle"] = (raw["JobTitle"], *_lookup_columns(raw["JobTitle"]), "JOB", ("",))
-    clean, small = dim.build_dimensions(lookups) if lookups else ({}, None)
+    numbered, small = dim.build_dimensions(lookups, "_place") if lookups else ({}, None)
+    clean = {name: dimension.drop("_place") for name, dimension in numbered.items()}
     for name, (_, references) in model.LOOKUPS.items():
         if name not in clean:
             continue
@@ -84,7 +85,7 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         filled = materialize(
             dim.hash_fill(
                 raw["Customer"], "customer_id", "job_title_id", mapping,
-                clean["JobTitle"], id_col, value_col, genuine="_genuine",
+                numbered["JobTitle"], id_col, value_col, genuine="_genuine", place="_place",
             )
         )
         audit.append(rows.row_count(filled.where("_genuine"), "job title", "Customer", "kept"))

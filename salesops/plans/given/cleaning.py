@@ -179,7 +179,7 @@ def hash_fill(t: GivenTables) -> DataFrame:
     """Customers with a low balance have a dangling segment id or none at all."""
     customers = t["customer"]
     lookup = customers.select(F.col("c_custkey").cast("string").alias("id"), "c_mktsegment")
-    segments = materialize(dim.build_dimension(lookup, "segment_id", "c_mktsegment", "SEG"))
+    segments = materialize(dim.build_dimension(lookup, "segment_id", "c_mktsegment", "SEG", place="place"))
     id_map = dim.id_value_map(lookup, "id", "c_mktsegment", "c_mktsegment")
     mapping = dim.key_mapping(id_map, segments, "segment_id", "c_mktsegment")
     fact = customers.select(
@@ -189,7 +189,7 @@ def hash_fill(t: GivenTables) -> DataFrame:
         .when(F.col("c_acctbal") >= 0, F.lit("JOB99999"))
         .alias("segment_id"),
     )
-    return dim.hash_fill(fact, "c_name", "segment_id", mapping, segments, "segment_id", "c_mktsegment", "genuine")
+    return dim.hash_fill(fact, "c_name", "segment_id", mapping, segments, "segment_id", "c_mktsegment", "genuine", "place")
 
 
 _LINE = f"l_orderkey, {sql_big('l_linenumber')} AS l_linenumber, " + ", ".join(LINE_ORDER)

@@ -93,6 +93,19 @@ def test_hash_fill_keeps_genuine_references(spark):
     assert sorted(map(tuple, got)) == [("CUS12345", "JOB00004", True), ("CUS12345", "JOB00009", False), ("CUS12345", "JOB00009", False)]
 
 
+def test_hash_fill_takes_the_dimensions_own_places(spark, monkeypatch):
+    """Same picks without numbering the members a second time."""
+    titles = spark.createDataFrame([(f"T{i}", f"title {i * 7 % 40}") for i in range(40)], "id string, title string")
+    built = dim.build_dimension(titles, "id", "title", "JOB", place="place")
+    mapping = dim.key_mapping(dim.id_value_map(titles, "id", "title", "id"), built, "id", "title")
+    fact = spark.createDataFrame([(f"CUS{i}", f"T{i}" if i % 3 else None) for i in range(90)], "c string, t string")
+    want = dim.hash_fill(fact, "c", "t", mapping, built.drop("place"), "id", "title", "genuine").collect()
+    monkeypatch.delattr(dim, "number_values")
+    got = dim.hash_fill(fact, "c", "t", mapping, built, "id", "title", "genuine", "place")
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(got.collect()) == sorted(want)
+
+
 def _copies(spark):
     """A hot key, NULL keys, a key once, a key with equal copies."""
     hot = [("hot", i, f"v{i}") for i in range(1000)]
