@@ -54,3 +54,25 @@ def test_stages(spark):
             whole = [decontamination.normalised(r.text) for r in items.collect()]
             assert not any(i in decontamination.normalised(texts[k]) for k in kept for i in whole)
             assert len(kept) < len(texts)
+
+
+def test_stages_with_odd_rows(spark, odd, none):
+    """Null and repeated ids, empty and long texts, clashing columns: rows are kept as they are or go; no rows give no rows."""
+    docs, nothing = odd, none
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in docs.collect()]
+        docs, nothing = materialize(stage(spark, docs, SMALL)), materialize(stage(spark, nothing, SMALL))
+        assert nothing.count() == 0
+        after = [tuple(r) for r in docs.collect()]
+        if name == "packing":
+            assert {(r.doc_id, r.doc_tokens) for r in docs.collect() if r.start == 0 and r.doc_tokens == 1} <= {(r[0], 1) for r in before}
+            assert sum(r.start == 0 for r in docs.collect()) == len(before)
+            continue
+        assert docs.columns == odd.columns
+        left = list(before)
+        for row in after:
+            left.remove(row)
+        if name == "near_duplicates":
+            texts = [r[1] for r in after]
+            assert texts.count("The same text, twice over, again.") == min([r[1] for r in before].count("The same text, twice over, again."), 1)
+            assert sum(not (t or "").split() for t in texts) == sum(not (r[1] or "").split() for r in before)
