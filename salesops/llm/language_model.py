@@ -41,17 +41,20 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.llm.textarrays import pieces, word_hashes, words
-from salesops.session import materialize
+from salesops.session import materialize, scratch_path, small_side
 
 CLASSES = 256
 FREQUENT = 1 << 17
 FREQUENT_PAIRS = 1 << 20
-# Pairs counted by a task before it passes them on.
+# Pairs counted by a task before it passes them on, and slices in which pairs are counted, to hold less on disk at once.
 HELD_PAIRS = 1 << 22
+SLICES = 2
+# Added to the count of a pair that an asked text has.
+ASKED = 1 << 40
 # Dishes of a restaurant in one row; a larger restaurant has several rows.
 DISHES = 4096
 BURN_IN, SWEEPS = 3, 6
@@ -96,13 +99,27 @@ class Lexicon(NamedTuple):
     classes: np.ndarray
     rare: int
 
-    def find(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and count of each token; -1 where the count is not in the list."""
+    def place(self, stream: np.ndarray) -> np.ndarray:
+        """Where each token is in the list; -1 where it is not."""
         if not len(self.words):
-            return np.full(len(stream), self.rare), np.full(len(stream), -1)
+            return np.full(len(stream), -1)
         place = np.minimum(np.searchsorted(self.words, stream), len(self.words) - 1)
-        hit = self.words[place] == stream
-        return np.where(hit, self.classes[place], self.rare), np.where(hit, self.counts[place], -1)
+        return np.where(self.words[place] == stream, place, -1)
+
+    def at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and count of places; -1 where there is no count."""
+        if not len(self.words):
+            return np.full(len(place), self.rare), np.full(len(place), -1)
+        return np.where(place >= 0, self.classes[place], self.rare), np.where(place >= 0, self.counts[place], -1)
+
+    def find(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and count of each token; -1 where the count is not in the list."""
+        return self.at(self.place(stream))
+
+    def own(self) -> Lexicon:
+        """The words with a class of their own."""
+        own = self.classes != self.rare
+        return Lexicon(self.words[own], self.counts[own], self.classes[own], self.rare)
 
 
 def _lexicon(counted: DataFrame) -> Lexicon:
@@ -132,23 +149,50 @@ def _joined(contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _count_pairs(lexicon: Lexicon, slice_: int):
+    """Of texts (``text``, ``learned``, ``asked``) the pairs of one slice with the times they are learned, plus ``ASKED``
+    where an asked text has them. The first slice also counts pairs of classes (``context`` null).
+    """
+    own, side = lexicon.own(), lexicon.rare + 1
+    names = ["context", "word", "count"]
+
+    def counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        contexts, found, joined, times, asked = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(joined)
+        joined = joined[order]
+        at = np.flatnonzero(np.append(True, joined[1:] != joined[:-1])[: len(joined)])
+        counts = np.add.reduceat(times[order].astype(np.int64), at) if len(at) else np.zeros(0, dtype=np.int64)
+        counts += ASKED * np.maximum.reduceat(asked[order], at).astype(np.int64) if len(at) else 0
+        first = order[at]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(contexts[first].view(np.int64)), pa.array(found[first].view(np.int64)), pa.array(counts)], names=names
+        )
 
-    def counted() -> pa.RecordBatch:
-        contexts, found = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        _, at, counts = np.unique(_joined(contexts, found), return_index=True, return_counts=True)
-        columns = [pa.array(contexts[at].view(np.int64)), pa.array(found[at].view(np.int64)), pa.array(counts)]
-        return pa.RecordBatch.from_arrays(columns, names=["context", "word", "count"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        classed, size = np.zeros(side * side, dtype=np.int64), 0
+        for batch in batches:
+            learned, asked = (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (1, 2))
+            for first, stream, bounds in tokens(batch.column(0)):
+                row = np.repeat(np.arange(first, first + len(bounds) - 1), np.diff(bounds))
+                before = _before(stream, bounds, _END)
+                if not slice_:
+                    classes, _ = own.find(stream)
+                    at = _before(classes, bounds, 0) * side + classes
+                    classed += np.bincount(at[learned[row]], minlength=side * side)
+                joined = _joined(before, stream)
+                here = (joined >> np.uint64(32)) % np.uint64(SLICES) == np.uint64(slice_)
+                held.append((before[here], stream[here], joined[here], learned[row[here]], asked[row[here]]))
+                size += len(held[-1][0])
+                if size > HELD_PAIRS:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
+        met = np.flatnonzero(classed)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(met), pa.int64()), pa.array(met), pa.array(classed[met])], names=names)
 
-    for batch in batches:
-        for _, stream, bounds in tokens(batch.column(0)):
-            held.append((_before(stream, bounds, _END), stream))
-            if sum(len(x) for x, _ in held) > HELD_PAIRS:
-                yield counted()
-    if held:
-        yield counted()
+    return run
 
 
 def discount(counts: np.ndarray) -> float:
@@ -322,6 +366,65 @@ def _crowd(tables: float, strength: float, discount_: float, rng) -> float:
     return discount_ * rng.gamma(strength / discount_ + tables)
 
 
+def _uniform(keys: np.ndarray, draw: int) -> np.ndarray:
+    """A number between 0 and 1 for each key and draw, the same wherever it is drawn."""
+    mixed = keys + np.uint64((draw + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53 + 2.0**-54
+
+
+# Draws of a sweep: one for the dishes of each restaurant, and those of its crowd.
+_DRAWS = 1024
+
+
+def crowds(tables: np.ndarray, strength: float, discount_: float, keys: np.ndarray, sweep: int) -> np.ndarray:
+    """The x of restaurants by their keys, as ``_crowd``: gamma numbers by squeezed normal ones."""
+    shape = strength / discount_ + tables - 1 / 3
+    width, found = 1 / np.sqrt(9 * shape), np.ones(len(shape))
+    left = np.arange(len(shape))
+    for draw in range(_DRAWS * sweep + 1, _DRAWS * (sweep + 1) - 3, 3):
+        first, second, third = (_uniform(keys[left], draw + k) for k in range(3))
+        normal = np.sqrt(-2 * np.log(first)) * np.cos(2 * np.pi * second)
+        cube = (1 + width[left] * normal) ** 3
+        with np.errstate(invalid="ignore", divide="ignore"):
+            taken = np.log(third) < normal**2 / 2 + shape[left] * (1 - cube + np.log(cube))
+        taken &= cube > 0
+        found[left[taken]] = cube[taken]
+        left = left[~taken]
+        if not len(left):
+            break
+    return discount_ * shape * found
+
+
+def table_weights(most: int, discount_: float) -> np.ndarray:
+    """At [n, t] the logarithm of how many ways, weighted, n customers have t tables."""
+    found = np.full((most + 1, most + 2), -np.inf)
+    found[0, 0] = 0.0
+    at = np.arange(most + 1)
+    for n in range(most):
+        with np.errstate(divide="ignore"):
+            stay = found[n, :-1] + np.log(np.maximum(n - discount_ * at, 0.0))
+        found[n + 1, :-1] = stay
+        found[n + 1, 1:] = np.logaddexp(found[n + 1, 1:], found[n, :-1])
+    return found[:, :-1]
+
+
+def drawn_tables(counts: np.ndarray, pulls: np.ndarray, weights: np.ndarray, uniforms: np.ndarray) -> np.ndarray:
+    """Numbers of tables of dishes from their exact distribution; ``weights`` are ``table_weights``."""
+    found = np.ones(len(counts), dtype=np.int64)
+    order = np.argsort(counts, kind="stable")
+    logs = np.log(np.maximum(pulls, 1e-300))
+    bounds = np.searchsorted(counts[order], np.arange(2, len(weights) + 1))
+    for n, begin, end in zip(range(2, len(weights)), bounds, bounds[1:], strict=False):
+        if begin < end:
+            at = order[begin:end]
+            chance = weights[n, 1 : n + 1] + logs[at, None] * np.arange(1, n + 1)
+            total = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            found[at] += (total < uniforms[at, None] * total[:, -1:]).sum(axis=1)
+    return found
+
+
 def table_numbers(most: int, pull: float, discount_: float) -> np.ndarray:
     """Row n: probabilities of 0, 1, 2, ... tables of a dish of n customers."""
     found = np.zeros((most + 1, most + 1))
@@ -416,54 +519,69 @@ class Classes:
 
 _CELL = "struct<word:long,dish:int,count:long,inside:double>"
 _STATE = (
-    f"context long, chunk int, class int, customers long, singles long, cells array<{_CELL}>,"
-    " tables array<long>, opened array<long>, kept array<double>, totals array<long>"
+    f"context long, chunk int, chunks int, class int, customers long, singles long, cells array<{_CELL}>,"
+    " tables array<int>, opened array<int>, seated array<int>, totals array<long>"
 )
+_KEPT = ["context", "chunk", "chunks", "class", "customers", "singles", "cells"]
+
+
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, so that a superseded table can go."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns), path
+
+
+def _release(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _lists(lengths: np.ndarray, values) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values))
 
 
-def _sweep(parent: np.ndarray, discount_: float, sweep: int, hot: dict[int, tuple[int, int, int]]):
-    """Rows of restaurants with new seatings; ``hot``: customers, singles and tables of those of several rows."""
+def _sweep(parent: np.ndarray, discount_: float, sweep: int):
+    """Rows of restaurants with new seatings; ``whole`` are the tables of a restaurant, of which a row may be a part.
+
+    Dishes of up to ``EXACT`` customers keep no seating: theirs is drawn from its exact distribution. Each draw
+    depends on the restaurant, the word and the sweep alone; only larger dishes are drawn a batch at a time.
+    """
+    weights = table_weights(EXACT, discount_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            contexts, chunks, classes, singles = (get[c].to_numpy() for c in ("context", "chunk", "class", "singles"))
-            dishes = np.diff(get["cells"].offsets.to_numpy())
+            contexts = get["context"].to_numpy().view(np.uint64)
+            chunks, classes, whole, singles = (get[c].to_numpy() for c in ("chunk", "class", "whole", "singles"))
+            rows, dishes = batch.num_rows, np.diff(get["cells"].offsets.to_numpy())
             flat = get["cells"].flatten()
-            dish, counts, inside = (flat.field(k).to_numpy() for k in (1, 2, 3))
-            of = np.repeat(np.arange(batch.num_rows), dishes)
-            old = None
+            found, dish, counts, inside = (flat.field(k).to_numpy() for k in range(4))
+            of = np.repeat(np.arange(rows), dishes)
+            crowd = crowds(whole + singles, STRENGTH, discount_, contexts, sweep)
+            pulls = crowd[of] * parent[classes[of], dish] * inside
+            keys = _joined(contexts[of], found.view(np.uint64))
+            few = counts <= EXACT
             tables = np.ones(len(counts), dtype=np.int64)
+            tables[few] = drawn_tables(counts[few], pulls[few], weights, _uniform(keys[few], _DRAWS * sweep))
+            many, old = counts[~few], None
             if sweep:
-                old = Seating(counts, get["tables"].flatten().to_numpy(), get["opened"].flatten().to_numpy())
-                tables = old.tables
-            own = np.bincount(of, weights=tables, minlength=batch.num_rows) + singles
-            crowds = np.array([
-                # Rows of one context draw the same.
-                _crowd(hot[c][2] if c in hot else t, STRENGTH, discount_, np.random.default_rng([_SEED, sweep, c & (1 << 64) - 1]))
-                for c, t in zip(contexts.tolist(), own.tolist(), strict=True)
-            ])
-            first = int(contexts[0]) & (1 << 64) - 1 if len(contexts) else 0
-            rng = np.random.default_rng([_SEED, sweep, first, int(chunks[0]) if len(chunks) else 0, 1])
-            seating = reseated(old, counts, crowds[of] * parent[classes[of], dish] * inside, discount_, rng)
-            kept = get["kept"].flatten().to_numpy() if sweep else np.zeros(len(counts))
-            if sweep >= BURN_IN:
-                kept = kept + (counts - discount_ * seating.tables) / SWEEPS
-            total = (np.bincount(of, weights=seating.tables, minlength=batch.num_rows) + singles).astype(np.int64)
-            before = get["totals"].flatten().to_numpy().reshape(batch.num_rows, -1) if sweep else np.zeros((batch.num_rows, 0), np.int64)
-            totals = np.column_stack([before, total])
-            opened = np.bincount(of, weights=seating.tables, minlength=batch.num_rows).astype(np.int64)
+                old = Seating(many, get["tables"].flatten().to_numpy()[~few].astype(np.int64), get["opened"].flatten().to_numpy().astype(np.int64))
+            seed = [_SEED, sweep, int(contexts[0]) if rows else 0, int(chunks[0]) if rows else 0]
+            seating = reseated(old, many, pulls[~few], discount_, np.random.default_rng(seed))
+            tables[~few] = seating.tables
+            own = np.bincount(of, weights=tables, minlength=rows).astype(np.int64)
+            opened = np.bincount(of[~few], weights=seating.tables, minlength=rows).astype(np.int64)
+            seated = get["seated"].flatten().to_numpy() if sweep else np.zeros(len(counts), dtype=np.int32)
+            before = get["totals"].flatten().to_numpy().reshape(rows, -1) if sweep else np.zeros((rows, 0), np.int64)
+            totals = np.column_stack([before, own])
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(get[c] for c in ("context", "chunk", "class", "customers", "singles", "cells")),
-                    _lists(dishes, seating.tables.astype(np.int64)), _lists(opened, seating.opened), _lists(dishes, kept),
-                    _lists(np.full(batch.num_rows, totals.shape[1]), totals.ravel()),
+                    *(get[c] for c in _KEPT), _lists(dishes, tables.astype(np.int32)), _lists(opened, seating.opened.astype(np.int32)),
+                    _lists(dishes, (seated + tables * (sweep >= BURN_IN)).astype(np.int32)), _lists(np.full(rows, totals.shape[1]), totals.ravel()),
                 ],
-                names=["context", "chunk", "class", "customers", "singles", "cells", "tables", "opened", "kept", "totals"],
+                names=[*_KEPT, "tables", "opened", "seated", "totals"],
             )
 
     return run
@@ -474,8 +592,8 @@ def _class_tables(side: int):
         total = np.zeros(side * side, dtype=np.int64)
         for batch in batches:
             of = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
-            dish, tables = batch.column(1).flatten().field(1).to_numpy(), batch.column(2).flatten().to_numpy()
-            np.add.at(total, of.astype(np.int64) * side + dish, tables)
+            dish, tables = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
+            total += np.bincount(of.astype(np.int64) * side + dish, weights=tables, minlength=side * side).astype(np.int64)
         met = np.flatnonzero(total)
         columns = [pa.array(met // side), pa.array(met % side), pa.array(total[met])]
         yield pa.RecordBatch.from_arrays(columns, names=["class", "dish", "tables"])
@@ -496,159 +614,240 @@ class Samples(NamedTuple):
     classes: np.ndarray
     discount: float
 
+    def weights(self, customers: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """What each restaurant gives its base, by sweep; without customers it is its base alone."""
+        share = (STRENGTH + self.discount * totals) / (STRENGTH + customers)[:, None]
+        return np.where(customers[:, None] > 0, share, 1.0)
+
     def backed(self, weights: np.ndarray, classes: np.ndarray, dishes: np.ndarray) -> np.ndarray:
         """What a restaurant takes from its base: ``weights`` by dish and sweep."""
-        return np.mean(weights * self.classes[:, classes, dishes].T, axis=1)
+        total = np.zeros(len(classes))
+        for k, base in enumerate(self.classes):
+            total += weights[:, k] * base[classes, dishes]
+        return total / len(self.classes)
+
+    def single(self, customers: np.ndarray) -> np.ndarray:
+        """What a word that stands once after a context has of its own."""
+        return (1 - self.discount) / (STRENGTH + customers)
+
+
+def _totals(lists: pa.Array, customers: np.ndarray) -> np.ndarray:
+    """Tables by sweep; where there is no list all customers sit alone."""
+    found = np.repeat(customers[:, None], SWEEPS, axis=1)
+    given = lists.is_valid().to_numpy(zero_copy_only=False)
+    found[given] = lists.drop_null().flatten().to_numpy().reshape(-1, SWEEPS)
+    return found
 
 
 def _placed(lexicon: Lexicon):
+    names = ["context", "word", "count", "class", "dish", "of_context", "of_word"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            classes, _ = lexicon.find(batch.column(0).to_numpy().view(np.uint64))
-            dishes, counts = lexicon.find(batch.column(1).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(counts)],
-                names=["context", "word", "count", "class", "dish", "of_word"],
-            )
+            classes, of_context = lexicon.find(batch.column(0).to_numpy().view(np.uint64))
+            dishes, of_word = lexicon.find(batch.column(1).to_numpy().view(np.uint64))
+            added = [pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(of_context), pa.array(of_word)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     return run
 
 
-def _finished(samples: Samples, hot: dict[int, list[int]]):
-    """Rows of cells with the logarithm of their probability, and a row per context but the hot (``word`` null, ``count`` its customers) with its weights."""
+_FITTED = "pair long, context long, word long, count long, log double, seen float, unseen float"
+
+
+def _finished(samples: Samples):
+    """Cells with the logarithm of their probability, and by how much it is above that of a pair seen once (``seen``) or never."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            contexts = get["context"].to_numpy()
             customers = get["customers"].to_numpy()
-            totals = get["totals"].flatten().to_numpy().reshape(batch.num_rows, -1)[:, BURN_IN:].copy()
-            for k, c in enumerate(contexts.tolist()):
-                totals[k] = hot.get(c, totals[k])
-            weights = (STRENGTH + samples.discount * totals) / (STRENGTH + customers)[:, None]
-            dishes = np.diff(get["cells"].offsets.to_numpy())
-            of = np.repeat(np.arange(batch.num_rows), dishes)
+            weights = samples.weights(customers, _totals(get["kept"], customers))
+            of = np.repeat(np.arange(batch.num_rows), np.diff(get["cells"].offsets.to_numpy()))
             word, dish, counts, inside = (get["cells"].flatten().field(k).to_numpy() for k in range(4))
+            contexts, customers = get["context"].to_numpy()[of], customers[of]
             backed = samples.backed(weights[of], get["class"].to_numpy()[of], dish) * inside
-            logs = np.log10(get["kept"].flatten().to_numpy() / (STRENGTH + customers)[of] + backed)
-            none = np.zeros(len(of) + 1, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(contexts[of]), pa.array(word), pa.array(counts), pa.array(logs), pa.ListArray.from_arrays(pa.array(none), pa.array([], pa.float64()))],
-                names=["context", "word", "count", "log", "weights"],
-            )
-            first = np.flatnonzero([c not in hot for c in contexts.tolist()]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(contexts[first]), pa.nulls(len(first), pa.int64()), pa.array(customers[first]),
-                    pa.nulls(len(first), pa.float64()), _lists(np.full(len(first), SWEEPS), weights[first].ravel()),
-                ],
-                names=["context", "word", "count", "log", "weights"],
-            )
+            own = (counts - samples.discount * get["seated"].flatten().to_numpy() / SWEEPS) / (STRENGTH + customers)
+            logs = np.log10(own + backed)
+            columns = [
+                _joined(contexts.view(np.uint64), word.view(np.uint64)).view(np.int64), contexts, word, counts, logs,
+                (logs - np.log10(samples.single(customers) + backed)).astype(np.float32), (logs - np.log10(backed)).astype(np.float32),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pair", "context", "word", "count", "log", "seen", "unseen"])
 
     return run
 
 
-def fit_words(training: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -> tuple[Samples, DataFrame]:
-    """Samples of the restaurants; stored rows of pairs (``context``, ``word``, ``count``, ``log``)
-    and, with ``word`` null, of contexts (``context``, ``weights``).
+class Model(NamedTuple):
+    lexicon: Lexicon
+    classes: np.ndarray
+    rare: Rare
+    tokens: int
+    distinct: int
+    samples: Samples
+
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+
+    def inside(self, dishes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Probability of words within their classes, by their counts."""
+        return np.where(dishes == self.lexicon.rare, self.rare.of(counts), 1.0)
+
+
+def _cells(texts: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -> tuple[DataFrame, str, np.ndarray]:
+    """Stored pairs that are learned repeatedly, or once and asked for, with what their restaurants need; the folder; pairs of classes.
+
+    All pairs are counted, a slice at a time; those learned once that nothing asks for are known by their absence.
     """
-    side = lexicon.rare + 1
+    spark, side = texts.sparkSession, lexicon.rare + 1
+    slices = []
+    for slice_ in range(SLICES):
+        times = (
+            texts.select("text", "learned", "asked")
+            .mapInArrow(_count_pairs(lexicon, slice_), "context long, word long, count long")
+            .groupBy("context", "word").agg(F.sum("count").alias("count"))
+        )
+        learned = F.when(F.col("context").isNull(), F.col("count")).otherwise(F.col("count") % ASKED)
+        wanted = F.col("context").isNull() | (F.col("learned") > 1) | (F.col("learned") == 1) & (F.col("count") > ASKED)
+        slices.append(_stored(times.withColumn("learned", learned).where(wanted).select("context", "word", F.col("learned").alias("count"))))
+    pairs = slices[0][0]
+    for frame, _ in slices[1:]:
+        pairs = pairs.unionByName(frame)
+    classed = pairs.where("context is null").select(F.floor(F.col("word") / side).alias("class"), (F.col("word") % side).alias("dish"), F.col("count").alias("tables"))
+    classed = _dense(classed, side)
 
     @F.pandas_udf("double")
     def inside(dish: pd.Series, counts: pd.Series) -> pd.Series:
         return pd.Series(np.where(dish.to_numpy() == lexicon.rare, rare.of(counts.to_numpy()), 1.0))
 
-    pairs = (
-        training.select("text").mapInArrow(_count_pairs, "context long, word long, count long")
-        .groupBy("context", "word").agg(F.sum("count").alias("count"))
-        .mapInArrow(_placed(lexicon), "context long, word long, count long, class int, dish int, of_word long")
+    placed = pairs.where("context is not null").mapInArrow(
+        _placed(lexicon), "context long, word long, count long, class int, dish int, of_context long, of_word long"
+    )
+    others = (
+        placed.where("of_context < 0 or of_word < 0").drop("of_context", "of_word")
+        .join(counted.select("word", F.col("count").alias("of_word")), "word")
+        .join(counted.select(F.col("word").alias("context"), F.col("count").alias("of_context")), "context")
+    )
+    cells, folder = _stored(
+        placed.where("of_context >= 0 and of_word >= 0").unionByName(others)
+        .select("context", "word", "class", "dish", "count", inside("dish", "of_word").alias("inside"), F.col("of_context").alias("customers"))
     )
-    if counted.count() > len(lexicon.words):
-        pairs = materialize(pairs)
-        others = pairs.where("of_word < 0").drop("of_word")
-        others = others.join(counted.select("word", F.col("count").alias("of_word")), "word")
-        pairs = pairs.where("of_word >= 0").unionByName(others)
-    cells = materialize(pairs.select("context", "word", "class", "dish", "count", inside("dish", "of_word").alias("inside")))
-    many = {
-        r["context"]: (r["customers"], r["singles"], r["dishes"])
-        for r in cells.groupBy("context")
-        .agg(F.sum("count").alias("customers"), F.sum(F.expr("int(count = 1)")).alias("singles"), F.count(F.lit(1)).alias("dishes"))
-        .where(F.col("dishes") > DISHES)
-        .collect()  # at most one per DISHES cells
-    }
-    spark = training.sparkSession
-    sizes = spark.createDataFrame([(c, -(-d // DISHES)) for c, (_, _, d) in many.items()], "context long, chunks long")
-    repeated = F.col("count") > 1
-    restaurants = materialize(
-        cells.join(F.broadcast(sizes), "context", "left")
-        .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("word"), F.col("chunks")), F.lit(0)).cast("int"))
+    _release(spark, *(path for _, path in slices))
+    return cells, folder, classed
+
+
+def _restaurants(cells: DataFrame) -> DataFrame:
+    """Restaurants with their repeated dishes, in several rows where these are many. ``whole``: dishes of all rows."""
+    repeated = cells.where("count > 1")
+    sizes = repeated.groupBy("context").agg(F.count(F.lit(1)).alias("dishes"), F.sum("count").alias("repeated"))
+    large = small_side(sizes.where(F.col("dishes") > DISHES))
+    return (
+        repeated.join(large, "context", "left")
+        .withColumn("chunks", F.coalesce(F.ceil(F.col("dishes") / DISHES), F.lit(1)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("word"), "chunks").cast("int"))
         .groupBy("context", "chunk")
         .agg(
-            F.first("class").alias("class"), F.sum("count").alias("customers"), F.sum((~repeated).cast("long")).alias("singles"),
-            F.sort_array(F.collect_list(F.when(repeated, F.struct("word", "dish", "count", "inside")))).alias("cells"),
+            F.first("chunks").alias("chunks"), F.first("class").alias("class"), F.first("customers").alias("customers"),
+            (F.first("customers") - F.coalesce(F.first("repeated"), F.sum("count"))).alias("singles"),
+            F.sort_array(F.collect_list(F.struct("word", "dish", "count", "inside"))).alias("cells"),
+            F.coalesce(F.first("dishes"), F.count(F.lit(1))).alias("whole"),
         )
     )
-    empty = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("tables", "long"), ("opened", "long"), ("kept", "double"), ("totals", "long"))]
-    state = restaurants.select("context", "chunk", "class", "customers", "singles", "cells", *empty)
-    single = _dense(cells.where("count = 1").groupBy("class", "dish").agg(F.count(F.lit(1)).alias("tables")), side)
-    numbers = cells.agg(*[F.sum((F.col("count") == k).cast("long")) for k in (1, 2)]).first()
-    ones, twos = (n or 0 for n in numbers)
+
+
+def _seated(cells: DataFrame, classed: np.ndarray, side: int) -> tuple[Samples, DataFrame, str]:
+    """The sweeps. Samples; the stored last state of the restaurants, with ``kept``, their tables by sweep; its folder."""
+    spark = cells.sparkSession
+    repeated = cells.where("count > 1")
+    of_repeated = repeated.groupBy("class", "dish").agg(F.sum("count").alias("tables"), F.sum((F.col("count") == 2).cast("long")).alias("twos"))
+    of_repeated = materialize(of_repeated)
+    customers = _dense(of_repeated, side)
+    single = classed - customers
+    ones, twos = int(single.sum()), of_repeated.agg(F.sum("twos")).first()[0] or 0
     discount_ = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
     classes, kept = Classes(side), []
-    hot = {c: (n, s, d) for c, (n, s, d) in many.items()}
-    hot_totals: dict[int, list[int]] = {c: [] for c in hot}
+    state, folder = _stored(_restaurants(cells))
+    empty = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("tables", "int"), ("opened", "int"), ("seated", "int"), ("totals", "long"))]
+    ready = state.select(*_KEPT, *empty, "whole")
     for sweep in range(BURN_IN + SWEEPS):
-        state = materialize(state.mapInArrow(_sweep(classes.probabilities, discount_, sweep, hot), _STATE))
-        found = state.select("class", "cells", "tables").mapInArrow(_class_tables(side), "class long, dish long, tables long")
-        classes.sweep(single + _dense(found, side))
-        if hot:
-            sums = state.where(F.col("context").isin(list(hot))).groupBy("context").agg(F.sum(F.element_at("totals", -1)).alias("t"))
-            hot = {r["context"]: (*hot[r["context"]][:2], r["t"]) for r in sums.collect()}
+        before = folder
+        state, folder = _stored(ready.mapInArrow(_sweep(classes.probabilities, discount_, sweep), _STATE))
+        _release(spark, before)
+        found = state.select("class", F.col("cells.dish").alias("dish"), "tables")
+        classes.sweep(single + _dense(found.mapInArrow(_class_tables(side), "class long, dish long, tables long"), side))
+        # A restaurant of several rows needs the tables of all of them.
+        own = F.element_at("totals", -1)
+        several = state.where("chunks > 1").groupBy("context").agg(F.sum(own).alias("_whole"))
+        ready = state.join(small_side(several), "context", "left").withColumn("whole", F.coalesce("_whole", own)).drop("_whole")
         if sweep >= BURN_IN:
             kept.append(classes.probabilities)
-            for c, (_, _, t) in hot.items():
-                hot_totals[c].append(t)
-    samples = Samples(np.stack(kept), discount_)
-    if many:  # customers of whole contexts
-        whole = spark.createDataFrame([(c, n) for c, (n, _, _) in many.items()], "context long, whole long")
-        state = state.join(F.broadcast(whole), "context", "left").withColumn("customers", F.coalesce("whole", "customers")).drop("whole")
-    schema = "context long, word long, count long, log double, weights array<double>"
-    of_hot = [
-        (c, None, n, None, [(STRENGTH + discount_ * t) / (STRENGTH + n) for t in hot_totals[c]]) for c, (n, _, _) in many.items()
-    ]
-    done = state.mapInArrow(_finished(samples, hot_totals), schema).unionByName(spark.createDataFrame(of_hot, schema))
-    done = materialize(done)
-    contexts = done.where("word is null").select("context", "weights", F.col("count").alias("customers"))
+    alone = F.transform(F.slice("totals", BURN_IN + 1, SWEEPS), lambda t: t + F.col("singles"))
+    sums = [F.sum(F.element_at("totals", k + 1)) + F.first("singles") for k in range(BURN_IN, BURN_IN + SWEEPS)]
+    several = state.where("chunks > 1").groupBy("context").agg(F.array(*sums).alias("_kept"))
+    state = state.join(small_side(several), "context", "left").withColumn("kept", F.coalesce("_kept", alone)).drop("_kept")
+    return Samples(np.stack(kept), discount_), state, folder
 
-    @F.pandas_udf("double")
-    def of_single(class_: pd.Series, dish: pd.Series, inside_: pd.Series, weights: pd.Series, customers: pd.Series) -> pd.Series:
-        backed = samples.backed(np.stack(weights.to_numpy()), class_.to_numpy(), dish.to_numpy()) if len(class_) else np.zeros(0)
-        return pd.Series(np.log10((1 - discount_) / (STRENGTH + customers.to_numpy()) + backed * inside_.to_numpy()))
-
-    singles = (
-        cells.where("count = 1")
-        .join(contexts, "context")
-        .select("context", "word", "count", of_single("class", "dish", "inside", "weights", "customers").alias("log"))
+
+class Fit(NamedTuple):
+    """A model; stored ``known`` words (``word``, ``count``, ``tables`` by sweep or null); lazy ``pairs``; what can go with them."""
+
+    model: Model
+    known: DataFrame
+    pairs: DataFrame
+    folders: list[str]
+
+
+def _fit(texts: DataFrame) -> Fit:
+    """From texts (``text``, ``learned``, ``asked``) the model; ``pairs`` are those repeated, and those learned once that asked texts have."""
+    spark = texts.sparkSession
+    learned = texts.where("learned").select("text")
+    counted, words_ = _stored(learned.mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")))
+    total, distinct = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
+    lexicon = _lexicon(counted)
+    own = lexicon.own().words.view(np.int64).tolist()
+    by_count = (
+        counted.where(~F.col("word").isin(own))
+        .groupBy("count")
+        .agg(F.count(F.lit(1)).alias("many"))
+        .orderBy("count")
+        .collect()  # distinct counts: at most the square root of twice the tokens
     )
-    repeated_ = done.where("word is not null").select("context", "word", "count", "log")
-    return samples, materialize(
-        repeated_.unionByName(singles).withColumn("weights", F.lit(None).cast("array<double>"))
-        .unionByName(done.where("word is null"))
-        .withColumn("kind", F.when(F.col("word").isNull(), 1).otherwise(0)),
-        partition_by="kind",
+    rare = fit_rare(*(np.array([r[c] for r in by_count], dtype=np.int64) for c in ("count", "many")))
+    cells, of_cells, classed = _cells(texts, counted, lexicon, rare)
+    samples, state, of_state = _seated(cells, classed, lexicon.rare + 1)
+    model = Model(lexicon, samples.classes.mean(axis=0), rare, int(total), int(distinct), samples)
+    of_word = F.col("context").alias("word")
+    several = state.where("chunks > 1").groupBy(of_word).agg(F.first("kept").alias("tables"))
+    tables = state.where("chunks = 1").select(of_word, F.col("kept").alias("tables")).unionByName(several)
+    known = materialize(counted.join(tables, "word", "left"))
+    _release(spark, words_)
+    once = (
+        cells.where("count = 1").join(known.select(F.col("word").alias("context"), F.col("tables").alias("kept")), "context")
+        .select(
+            "context", "class", "customers", "kept", F.array(F.struct("word", "dish", "count", "inside")).alias("cells"),
+            F.array(F.lit(SWEEPS)).alias("seated"),
+        )
     )
+    rows = state.select("context", "class", "customers", "kept", "cells", "seated").unionByName(once)
+    return Fit(model, known, rows.mapInArrow(_finished(samples), _FITTED), [of_cells, of_state])
 
 
-class Model(NamedTuple):
-    lexicon: Lexicon
-    classes: np.ndarray
-    rare: Rare
-    tokens: int
-    distinct: int
-    samples: Samples
+def fit(training: DataFrame) -> tuple[Model, DataFrame]:
+    """From texts (``text``): the model, and the stored counts (``word``, ``count``) of all training words."""
+    return fit_all(training)[:2]
 
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+
+def fit_all(training: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the counts of words, and rows of all pairs (``kind`` 0: ``context``, ``word``, ``count``, ``log``)
+    and contexts (``kind`` 1, ``word`` null: ``context``, ``weights`` by sweep).
+    """
+    found = _fit(training.select("text", F.lit(True).alias("learned"), F.lit(True).alias("asked")))
+    share = found.model.samples.discount
+    tables = F.coalesce("tables", F.array_repeat("count", SWEEPS))
+    weights = F.transform(tables, lambda t: (STRENGTH + share * t) / (STRENGTH + F.col("count")))
+    contexts = found.known.select(F.col("word").alias("context"), weights.alias("weights"), F.lit(1).alias("kind"))
+    pairs = found.pairs.select("context", "word", "count", "log", F.lit(0).alias("kind"))
+    return found.model, found.known.select("word", "count"), pairs.unionByName(contexts, allowMissingColumns=True)
 
 
 class Listed(NamedTuple):
@@ -666,177 +865,212 @@ class Listed(NamedTuple):
 
 
 def _listed(pairs: DataFrame) -> Listed:
-    rows = pairs.orderBy(F.desc("count"), "context", "word").limit(FREQUENT_PAIRS).select("context", "word", "log").toArrow()
-    contexts, found, logs = (rows.column(k).to_numpy() for k in range(3))
-    hashes = _joined(contexts.view(np.uint64), found.view(np.uint64))
+    rows = pairs.orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS).select("pair", "log").toArrow()
+    hashes, logs = rows.column("pair").to_numpy().view(np.uint64), rows.column("log").to_numpy()
     order = np.argsort(hashes)
     return Listed(hashes[order], logs[order])
 
 
-def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order of the rows, where in it each distinct row begins, and how often it occurs."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    at = np.flatnonzero(new)
-    return order, at, np.diff(np.append(at, len(order)))
+def _listed_weights(model: Model, known: DataFrame) -> np.ndarray:
+    """What the restaurants of the lexicon's words give their base, by sweep."""
+    lexicon = model.lexicon
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = lexicon.place(batch.column(0).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(place >= 0))
+
+    rows = known.mapInArrow(run, known.schema).toArrow().combine_chunks()  # as many as the lexicon has words
+    found = np.ones((len(lexicon.words), SWEEPS))
+    if rows.num_rows:
+        word, counts, tables = (rows.column(k).combine_chunks() for k in range(3))
+        counts = counts.to_numpy()
+        found[lexicon.place(word.to_numpy().view(np.uint64))] = model.samples.weights(counts, _totals(tables, counts))
+    return found
 
 
-def _score(model: Model, listed_pairs):
-    """Rows with a text's tokens and the logarithms of what the lists hold; and rows per distinct other word and pair."""
-    names = ["kind", "row", "key", "held_out", "n_tokens", "n_known", "base_score", "score", "context", "word"]
+def _own_sums(model: Model):
+    """Rows with a text's tokens and what the lexicon holds of them."""
+    names = ["id", "key", "held_out", "n_tokens", "n_known", "base_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = Listed(*listed_pairs.value)
         for batch in batches:
             for first, stream, bounds in tokens(batch.column(3)):
                 rows = len(bounds) - 1
-                _, counts = model.lexicon.find(stream)
+                counts = model.lexicon.find(stream)[1]
                 listed = counts >= 0
                 text = np.repeat(np.arange(rows), np.diff(bounds))
-                before = _before(stream, bounds, _END)
-                score = pairs.find(_joined(before, stream))
-                paired = ~np.isnan(score)
                 base = np.where(listed, model.base(np.maximum(counts, 0)), 0.0)
-                sums = [np.bincount(text, weights=x, minlength=rows) for x in (base, np.where(paired, score, 0.0))]
-                own = [batch.column(k).slice(first, rows) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.zeros(rows, dtype=np.int32)), own[0], own[1], own[2], pa.array(np.diff(bounds)),
-                        pa.array(np.bincount(text[listed], minlength=rows)), pa.array(sums[0]), pa.array(sums[1]),
-                        pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
+                        *(batch.column(k).slice(first, rows) for k in range(3)), pa.array(np.diff(bounds).astype(np.int64)),
+                        pa.array(np.bincount(text[listed], minlength=rows)), pa.array(np.bincount(text, weights=base, minlength=rows)),
                     ],
                     names=names,
                 )
-                for kind, others in ((1, np.flatnonzero(~listed)), (2, np.flatnonzero(~paired))):
-                    if not len(others):
-                        continue
-                    keys = (text[others], stream[others]) if kind == 1 else (text[others], before[others], stream[others])
-                    order, at, times = _distinct(*keys)
-                    at = others[order[at]]
-                    contexts = pa.array(before[at].view(np.int64)) if kind == 2 else pa.nulls(len(at), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(at), kind, dtype=np.int32)), own[0].take(pa.array(text[at])),
-                            pa.nulls(len(at), own[1].type), pa.nulls(len(at), pa.bool_()),
-                            pa.array(times), pa.nulls(len(at), pa.int64()),
-                            pa.nulls(len(at), pa.float64()), pa.nulls(len(at), pa.float64()),
-                            contexts, pa.array(stream[at].view(np.int64)),
-                        ],
-                        names=names,
-                    )
 
     return run
 
 
-def _unmet(model: Model):
-    @F.pandas_udf("double")
-    def logarithm(contexts: pd.Series, words_: pd.Series, weights: pd.Series, counts: pd.Series) -> pd.Series:
-        """Of pairs that training lacks, from their base; a context it lacks is its class's restaurant alone."""
-        if not len(contexts):
-            return pd.Series([], dtype=float)
-        classes, _ = model.lexicon.find(contexts.to_numpy().view(np.uint64))
-        dishes, _ = model.lexicon.find(words_.to_numpy().view(np.uint64))
-        alone = np.ones(model.samples.classes.shape[0])
-        shares = np.stack([alone if w is None else w for w in weights])
-        inside = np.where(dishes == model.lexicon.rare, model.rare.of(counts.to_numpy()), 1.0)
-        return pd.Series(np.log10(model.samples.backed(shares, classes, dishes) * inside))
+def _local(model: Model, shared):
+    """Per text what the lists hold of its score, taking other pairs for seen once (in a learned text) or never (``value``);
+    and a row per occurrence of a pair that is not listed, which may tell otherwise.
+    """
 
-    return logarithm
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, logs, weights = shared.value
+        listed, samples = Listed(hashes, logs), model.samples
+        for batch in batches:
+            ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for first, stream, bounds in tokens(batch.column(3)):
+                rows = len(bounds) - 1
+                text = np.repeat(np.arange(rows), np.diff(bounds))
+                pairs = _joined(_before(stream, bounds, _END), stream)
+                score = listed.find(pairs)
+                other = np.isnan(score)
+                place = model.lexicon.place(stream)
+                before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
+                both = other & (place >= 0) & (before >= 0)
+                classes, customers = model.lexicon.at(before[both])
+                dishes, counts = model.lexicon.at(place[both])
+                backed = samples.backed(weights[before[both]], classes, dishes) * model.inside(dishes, counts)
+                learned = ~held[first : first + rows]
+                score[other] = 0.0
+                score[both] = np.log10(backed + np.where(learned[text[both]], samples.single(customers), 0.0))
+                own = ids[first : first + rows]
+                at = text[other]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([own, own[at]])),
+                        pa.array(np.concatenate([~own, pairs[other].view(np.int64)])),
+                        pa.array(np.concatenate([learned, learned[at]])),
+                        pa.array(np.append(np.bincount(text, weights=score, minlength=rows), np.zeros(len(at))), mask=np.arange(rows + len(at)) >= rows),
+                    ],
+                    names=["id", "pair", "learned", "value"],
+                )
 
+    return run
 
-def fit(training: DataFrame) -> tuple[Model, DataFrame]:
-    """From texts (``text``): the model, and the stored counts (``word``, ``count``) of all training words."""
-    return fit_all(training)[:2]
 
+def _rare_pairs(model: Model, shared):
+    """A row per distinct pair of a text with a word that the lexicon lacks; ``open``: no list holds the pair."""
 
-def fit_all(training: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, the counts of words, and the pairs and contexts of ``fit_words``."""
-    counted = materialize(
-        training.select("text").mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
-    )
-    total, distinct = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    lexicon = _lexicon(counted)
-    own = lexicon.words[lexicon.classes != lexicon.rare].view(np.int64).tolist()
-    by_count = (
-        counted.where(~F.col("word").isin(own))
-        .groupBy("count")
-        .agg(F.count(F.lit(1)).alias("many"))
-        .orderBy("count")
-        .collect()  # distinct counts: at most the square root of twice the tokens
-    )
-    rare = fit_rare(*(np.array([r[c] for r in by_count], dtype=np.int64) for c in ("count", "many")))
-    samples, fitted = fit_words(training, counted, lexicon, rare)
-    return Model(lexicon, samples.classes.mean(axis=0), rare, int(total), int(distinct), samples), counted, fitted
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, logs, _ = shared.value
+        listed = Listed(hashes, logs)
+        for batch in batches:
+            ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for first, stream, bounds in tokens(batch.column(3)):
+                text = np.repeat(np.arange(first, first + len(bounds) - 1), np.diff(bounds))
+                contexts = _before(stream, bounds, _END)
+                place = model.lexicon.place(stream)
+                before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
+                at = np.flatnonzero((place < 0) | (before < 0))
+                order, begins, times = _distinct(text[at], contexts[at], stream[at])
+                at = at[order[begins]]
+                open_ = np.isnan(listed.find(_joined(contexts[at], stream[at])))
+                columns = [ids[text[at]], contexts[at].view(np.int64), stream[at].view(np.int64), times, place[at] < 0, open_, ~held[text[at]]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["id", "context", "word", "times", "rare", "open", "learned"]
+                )
+
+    return run
+
+
+def _rare_sums(model: Model):
+    """Of the rows above, with what is known of their words, the parts of the texts' sums."""
+    samples = model.samples
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            times, counts, customers = (get[c].to_numpy() for c in ("times", "of_word", "of_context"))
+            rare, open_, learned = (get[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("rare", "open", "learned"))
+            classes, _ = model.lexicon.find(get["context"].to_numpy().view(np.uint64))
+            dishes, _ = model.lexicon.find(get["word"].to_numpy().view(np.uint64))
+            weights = samples.weights(customers, _totals(get["tables"], customers))
+            backed = samples.backed(weights, classes, dishes) * model.inside(dishes, counts)
+            logs = np.log10(backed + np.where(learned, samples.single(customers), 0.0))
+            columns = [np.where(rare & (counts > 0), times, 0), np.where(rare, times * model.base(counts), 0.0), np.where(open_, times * logs, 0.0)]
+            yield pa.RecordBatch.from_arrays([get["id"], *map(pa.array, columns)], names=["id", "known", "base", "value"])
+
+    return run
+
+
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the rows, where in it each distinct row begins, and how often it occurs."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    at = np.flatnonzero(new)
+    return order, at, np.diff(np.append(at, len(order)))
+
+
+# Shuffles of this operator's own jobs are read by these alone; their files go when a job ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` and ``perplexity`` (of the score, per token).
+
+    Runs its jobs at once. Rows equal in key and text share one id; their sums are divided by their number.
     """
-    kind = rows.schema[key].dataType.simpleString()
+    spark = rows.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return _scored(rows, key, text)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def _scored(rows: DataFrame, key: str, text: str) -> DataFrame:
+    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    given, content = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
     texts = rows.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"), held_out(key).alias("held_out"),
-        F.col(f"`{text}`").cast("string").alias("text"),
-    )
-    model, counted, fitted = fit_all(texts.where("not held_out"))
-    pairs, contexts = fitted.where("kind = 0"), fitted.where("kind = 1").select("context", "weights")
-    listed = rows.sparkSession.sparkContext.broadcast(tuple(_listed(pairs)))
-    scored = materialize(
-        texts.mapInArrow(
-            _score(model, listed),
-            f"kind int, row long, key {kind}, held_out boolean, n_tokens long, n_known long,"
-            " base_score double, score double, context long, word long",
-        ),
-        partition_by="kind",
+        F.xxhash64(given.isNull(), given, content.isNull(), content).alias("id"), given.alias("key"), held_out(key).alias("held_out"), content.alias("text")
     )
-
-    @F.pandas_udf("double")
-    def logarithm(counts: pd.Series) -> pd.Series:
-        return pd.Series(model.base(counts.to_numpy()))
-
-    known = counted.select("word", "count", logarithm("count").alias("log"))
-    unknown = float(model.base(np.zeros(1))[0])
-    others = (
-        scored.where("kind = 1")
-        .select("row", "word", F.col("n_tokens").alias("times"))
-        .join(known, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("times") * F.coalesce("log", F.lit(unknown))).alias("more_base"),
-        )
-    )
-    paired = materialize(
-        scored.where("kind = 2")
-        .select("row", "context", "word", F.col("n_tokens").alias("times"))
-        .join(pairs.select("context", "word", "log"), ["context", "word"], "left")
-        .withColumn("met", F.col("log").isNotNull()),
-        partition_by="met",
-    )
-    unmet = (
-        paired.where("not met").select("row", "context", "word", "times")
-        .join(contexts, "context", "left")
-        .join(counted, "word", "left")
-        .select("row", "times", _unmet(model)("context", "word", "weights", F.coalesce("count", F.lit(0))).alias("log"))
-    )
-    inside = (
-        paired.where("met").select("row", "times", "log").unionByName(unmet)
-        .groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("more_score"))
+    found = _fit(texts.select("text", (~F.col("held_out")).alias("learned"), F.col("held_out").alias("asked")))
+    model, known = found.model, found.known
+    pairs, of_pairs = _stored(found.pairs.select("pair", "count", "log", "seen", "unseen"))
+    _release(spark, *found.folders)
+    listed = _listed(pairs)
+    shared = spark.sparkContext.broadcast((listed.pairs, listed.logs, _listed_weights(model, known)))
+    own = texts.mapInArrow(_own_sums(model), f"id long, key {kind}, held_out boolean, n_tokens long, n_known long, base_score double")
+    own = materialize(own)
+    gain = F.when(F.col("learned"), F.col("seen")).otherwise(F.col("unseen")).cast("double")
+    scores = materialize(
+        texts.mapInArrow(_local(model, shared), "id long, pair long, learned boolean, value double")
+        .join(pairs.select("pair", "seen", "unseen"), "pair", "left")
+        .groupBy("id")
+        .agg(F.count("value").alias("copies"), F.sum(F.coalesce("value", gain, F.lit(0.0))).alias("value"))
     )
+    _release(spark, of_pairs)
     none = F.lit(0)
-    total = F.col("score") + F.coalesce("more_score", none)
-    return (
-        scored.where("kind = 0")
-        .join(others, "row", "left")
-        .join(inside, "row", "left")
+    of_words = known.select("word", F.col("count").alias("of_word"))
+    of_contexts = known.select(F.col("word").alias("context"), F.col("count").alias("of_context"), "tables")
+    rare = materialize(
+        texts.mapInArrow(_rare_pairs(model, shared), "id long, context long, word long, times long, rare boolean, open boolean, learned boolean")
+        .join(of_words, "word", "left")
+        .join(of_contexts, "context", "left")
+        .withColumn("of_word", F.coalesce("of_word", none.cast("long")))
+        .withColumn("of_context", F.coalesce("of_context", none.cast("long")))
+        .mapInArrow(_rare_sums(model), "id long, known long, base double, value double")
+        .groupBy("id").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("value").alias("more_score"))
+    )
+    copies = F.col("copies")
+    total = (F.col("value") + F.coalesce("more_score", none)) / copies
+    return materialize(
+        own.join(scores, "id")
+        .join(rare, "id", "left")
         .select(
             F.col("key").alias(key),
             "held_out",
             "n_tokens",
-            (F.col("n_known") + F.coalesce("more_known", none)).alias("n_known"),
+            (F.col("n_known") + F.coalesce("more_known", none) / copies).cast("long").alias("n_known"),
             F.lit(model.tokens).cast("long").alias("train_tokens"),
-            (F.col("base_score") + F.coalesce("more_base", none)).alias("base_score"),
+            (F.col("base_score") + F.coalesce("more_base", none) / copies).alias("base_score"),
             total.alias("score"),
             F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
         )
