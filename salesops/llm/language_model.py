@@ -12,19 +12,24 @@ other training words, whose base gives half its mass to the one unknown word.
 Seating is sampled by Gibbs, a dish at a time with all its customers. Given
 x ~ Gamma(strength / discount + tables) of a restaurant, its dishes are
 independent, with weight ``discount * base * x`` of a new table, so that a
-restaurant of many dishes may lie in several tasks. A seating is the places of
-the customers that opened tables. A new one is drawn for a whole dish from front
-to back, waiting times at once, and taken by Metropolis-Hastings (``reseated``),
-which costs as many steps as it has tables, for any number of customers. A parent
-keeps its seating: customers come and go at its end. Restaurants of words are
-sampled against the parent of the sweep before. Predictive probabilities are
-averaged over the sweeps after burn-in. In the restaurant of rare words, the
-words of equal count share the mean of their seatings, each drawn by itself or
-as numbers of words per number of tables.
-
-Counts of words and pairs cover all training texts and stay distributed; scoring
-looks up the ``FREQUENT`` most frequent words and ``FREQUENT_PAIRS`` pairs in
-broadcast lists of these fixed lengths and joins all others.
+restaurant of many dishes may lie in several tasks. What counts of a seating is
+the number of its tables: for up to ``EXACT`` customers it is drawn from its exact
+distribution, which does not ask for the seating before. Larger dishes keep the
+places of the customers that opened tables; a new seating is drawn for a whole
+dish from front to back, waiting times at once, and taken by Metropolis-Hastings
+(``reseated``), which costs as many steps as it has tables, for any number of
+customers. A parent keeps its seating: customers come and go at its end.
+Restaurants of words are sampled against the parent of the sweep before.
+Predictive probabilities are averaged over the sweeps after burn-in. In the
+restaurant of rare words, the words of equal count share the mean of their
+seatings, each drawn by itself or as numbers of words per number of tables.
+
+Counts of words and pairs cover all training texts and stay distributed. A pair
+that is learned once always has one table of its own, so it needs no sampling and
+is not stored, unless a held-out text has it: a pair of a learned text that no
+stored row holds was learned once. Scoring takes the ``FREQUENT`` most frequent
+words and ``FREQUENT_PAIRS`` pairs from broadcast lists of these fixed lengths,
+looks all other pairs up by one join, and joins the words that the list lacks.
 
 Defined cases: a null text is an empty one (its end is its one token); a null key
 counts as an empty text when keys are drawn, which holds it out; repeated rows
@@ -880,7 +885,9 @@ def _listed_weights(model: Model, known: DataFrame) -> np.ndarray:
             place = lexicon.place(batch.column(0).to_numpy().view(np.uint64))
             yield batch.filter(pa.array(place >= 0))
 
-    rows = known.mapInArrow(run, known.schema).toArrow().combine_chunks()  # as many as the lexicon has words
+    # All listed words have at least the least listed count.
+    frequent = known.where(F.col("count") >= int(lexicon.counts.min()) if len(lexicon.counts) else F.lit(False))
+    rows = frequent.mapInArrow(run, known.schema).toArrow().combine_chunks()  # as many as the lexicon has words
     found = np.ones((len(lexicon.words), SWEEPS))
     if rows.num_rows:
         word, counts, tables = (rows.column(k).combine_chunks() for k in range(3))

@@ -171,3 +171,41 @@ def test_rare_words_of_a_count_are_drawn_each():
     rare = lm.fit_rare(counts, many)
     assert (rare.probabilities * many).sum() + rare.unknown == pytest.approx(1)
     assert (np.diff(rare.probabilities) > 0).all()
+
+
+def test_crowds_are_gamma_numbers():
+    """Mean and deviation of gamma numbers; the same key draws the same."""
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 40_000).astype(np.uint64)
+    for tables in (0, 3, 5_000):
+        shape = 1 / 0.6 + tables
+        drawn = lm.crowds(np.full(len(keys), tables), 1.0, 0.6, keys, 2)
+        assert abs(drawn.mean() / (0.6 * shape) - 1) < 0.02
+        assert abs(drawn.std() / (0.6 * shape**0.5) - 1) < 0.03
+        assert (drawn[:9] == lm.crowds(np.full(9, tables), 1.0, 0.6, keys[:9], 2)).all()
+    assert (lm.crowds(np.ones(9), 1.0, 0.6, keys[:9], 1) != lm.crowds(np.ones(9), 1.0, 0.6, keys[:9], 2)).all()
+
+
+@pytest.mark.parametrize("pull, discount", [(0.01, 0.5), (0.9, 0.3), (300.0, 0.9)])
+def test_small_dishes_have_the_exact_distribution(pull, discount):
+    weights, want = lm.table_weights(lm.EXACT, discount), lm.table_numbers(lm.EXACT, pull, discount)
+    uniforms = np.random.default_rng(2).random(60_000)
+    for customers in (2, 3, 17, lm.EXACT):
+        found = lm.drawn_tables(np.full(len(uniforms), customers), np.full(len(uniforms), pull), weights, uniforms)
+        share = np.bincount(found, minlength=lm.EXACT + 1) / len(found)
+        assert np.abs(share - want[customers]).max() < 0.01
+
+
+def test_lists_and_copies_change_no_score(spark, monkeypatch):
+    """The lists only say where a word or pair is looked up; equal rows score as one of them does."""
+    monkeypatch.setattr(lm, "CLASSES", 4)
+    texts = [(k, f"{t} odd{k % 7} left{k % 4} once{k} {'twice' if k % 30 == 0 else ''}") for k, t in pair_texts()]
+    texts += [texts[0], texts[1], (99, "never left3 once5 right3"), (None, "never seen once7 left1 right1"), (None, "never seen once7 left1 right1")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    found = []
+    for frequent, pairs in ((1 << 17, 1 << 20), (5, 0), (20, 7)):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        monkeypatch.setattr(lm, "FREQUENT_PAIRS", pairs)
+        found.append(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.score(rows).collect()))
+    for other in found[1:]:
+        for one, two in zip(found[0], other, strict=True):
+            assert one[:3] == two[:3] and one[3:] == pytest.approx(two[3:], abs=1e-4)
