@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesops.functions import is_blank, null_if_sentinel
@@ -224,6 +224,22 @@ def row_count(df: DataFrame, step: str, table: str, metric: str = "rows") -> Dat
     )
 
 
+def store_counted(df: DataFrame, conditions: Mapping[str, Column | None]) -> tuple[DataFrame, dict[str, int]]:
+    """A stored frame, and how many of its rows meet each condition (None: all), counted by the job that writes it."""
+    observation = Observation()
+    counts = [
+        F.count(F.lit(1) if c is None else F.when(c, F.lit(1))).alias(name) for name, c in conditions.items()
+    ]
+    stored = materialize(df.observe(observation, *counts))
+    return stored, dict(observation.get)
+
+
+def audit_rows(session: SparkSession, step: str, table: str, values: Mapping[str, int]) -> DataFrame:
+    """Audit rows of numbers that a job has counted on its way."""
+    rows = [(step, table, metric, value) for metric, value in values.items()]
+    return session.createDataFrame(rows, "step string, table string, metric string, value bigint")
+
+
 def audit_log(entries: Iterable[DataFrame]) -> DataFrame:
     """The audit rows (step, table, metric, value) as one frame."""
     log = None

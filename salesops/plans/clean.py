@@ -70,9 +70,11 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         mapping = dim.key_mapping(id_map, clean["City"], "city_id", "city_name")
         old = f"{kind.lower()}_city_id"
         via = repair_prefix(old, *repair) if repair else F.col(old)
-        linked = materialize(dim.relink(raw[table], old, mapping, "city_id", via))
-        audit.append(rows.row_count(linked, "city", table, "total_rows"))
-        audit.append(rows.row_count(linked.where("city_id is not null"), "city", table, "resolved"))
+        linked, counts = rows.store_counted(
+            dim.relink(raw[table], old, mapping, "city_id", via),
+            {"total_rows": None, "resolved": F.col("city_id").isNotNull()},
+        )
+        audit.append(rows.audit_rows(linked.sparkSession, "city", table, counts))
         tables[table] = stored[table] = linked
 
     # 3. Job titles: genuine references are kept, the rest is filled by hash.
@@ -82,14 +84,14 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         id_col, value_col = _lookup_columns(raw["JobTitle"])
         id_map = dim.id_value_map(raw["JobTitle"], id_col, value_col, ORDINAL)
         mapping = dim.key_mapping(id_map, clean["JobTitle"], id_col, value_col, small)
-        filled = materialize(
+        filled, counts = rows.store_counted(
             dim.hash_fill(
                 raw["Customer"], "customer_id", "job_title_id", mapping,
                 numbered["JobTitle"], id_col, value_col, genuine="_genuine", place="_place",
-            )
+            ),
+            {"kept": F.col("_genuine"), "filled": ~F.col("_genuine")},
         )
-        audit.append(rows.row_count(filled.where("_genuine"), "job title", "Customer", "kept"))
-        audit.append(rows.row_count(filled.where("not _genuine"), "job title", "Customer", "filled"))
+        audit.append(rows.audit_rows(filled.sparkSession, "job title", "Customer", counts))
         tables["Customer"] = stored["Customer"] = filled.drop("_genuine")
 
     # 4. One row per key, sentinels, blank rows.
@@ -99,8 +101,9 @@ def clean_model(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Dat
         before = df = stored[table] if table in stored else materialize(tables[table])
         if table in model.REPEATED_KEYS:
             # Stored again: the orphan steps and the audit read it several times.
-            df = materialize(rows.dedupe_keep_last(before, model.PRIMARY_KEYS[table], ORDINAL))
-            audit += rows.before_after("keep last", table, before, df)
+            df, counts = rows.store_counted(rows.dedupe_keep_last(before, model.PRIMARY_KEYS[table], ORDINAL), {"rows_after": None})
+            audit.append(rows.row_count(before, "keep last", table, "rows_before"))
+            audit.append(rows.audit_rows(df.sparkSession, "keep last", table, counts))
         df = rows.null_sentinels(df)
         if table in model.REQUIRED:
             filled_rows = rows.require_non_blank(df, model.REQUIRED[table])

@@ -171,3 +171,13 @@ def test_orphans_over_three_levels(request, spark, broadcast):
 def test_profile_counts_values_but_not_null(spark):
     df = spark.createDataFrame([("x",), ("x",), (None,)], "v string")
     assert rows.profile_lookup({"t": (df, "v")}).collect() == [("t", 3, 1)]
+
+
+def test_rows_are_counted_by_the_job_that_writes_them(spark):
+    df = spark.range(100).withColumn("even", F.col("id") % 2 == 0)
+    stored, counts = rows.store_counted(df, {"all": None, "even": F.col("even"), "none": F.col("id") < 0})
+    assert counts == {"all": 100, "even": 50, "none": 0} and stored.count() == 100
+    empty, counts = rows.store_counted(df.where("id < 0"), {"all": None})
+    assert counts == {"all": 0} and empty.count() == 0
+    log = rows.audit_rows(spark, "step", "t", {"all": 100, "even": 50})
+    assert sorted(tuple(r) for r in log.collect()) == [("step", "t", "all", 100), ("step", "t", "even", 50)]
