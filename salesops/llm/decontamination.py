@@ -10,16 +10,17 @@ may have j - 1 edits: if both halves of a part had more than they may, so would
 the part, so every occurrence has a hit that passes all the way up.
 
 Texts are compared in lower case with single spaces. Items are searched in
-blocks of ``BLOCK_ITEMS``, each against all documents; documents are never
-shuffled.
+blocks of at most some ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes (or one
+longer item), each against all documents; documents are never shuffled.
 
-An item of fewer than ``LEAST_CHARS`` characters has no budget, and no word may
-go on across its bounds; scripts without spaces have a bound everywhere.
+The budget is the same share for items of any length. Where an item of fewer
+than ``SHORT_CHARS`` characters occurs, no word may go on across its bounds, edits
+included; scripts without spaces have a bound everywhere.
 
 Defined cases: null and empty texts hold nothing; an item without text is not
-searched; items
-with equal texts are all reported; repeated documents are each reported; without
-items or documents the result is empty; other columns are not read.
+searched; items with equal texts are all reported, one that is repeated with its
+id is reported once; repeated documents are each reported; without items or
+documents the result is empty; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 import functools
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,12 @@ from pyspark.sql import functions as F
 
 from salesops.llm.filters import keep_rows
 from salesops.llm.textarrays import Piece
+from salesops.session import materialize
 
 ERROR_SHARE = 0.1
-LEAST_CHARS = 24
+SHORT_CHARS = 24
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 16 * 1024 * 1024
 
 
 def normalised(text: str | None) -> str:
@@ -47,7 +50,7 @@ def normalised(text: str | None) -> str:
 
 
 def budget(item: str, error_share: float = ERROR_SHARE) -> int:
-    return int(len(item) * error_share) if len(item) >= LEAST_CHARS else 0
+    return int(len(item) * error_share)
 
 
 # Scripts without spaces between words: from Thai to ideographs.
@@ -63,9 +66,9 @@ def _of_spaced_word(character: str) -> bool:
     return not any(first <= ord(character) <= last for first, last in _UNSPACED)
 
 
-def stands_alone(text: str, begin: int, end: int) -> bool:
-    """Whether no word goes on across the bounds."""
-    return not any(0 < at < len(text) and _of_spaced_word(text[at - 1]) and _of_spaced_word(text[at]) for at in (begin, end))
+def word_bound(text: str, at: int) -> bool:
+    """Whether no word goes on across this place."""
+    return not (0 < at < len(text) and _of_spaced_word(text[at - 1]) and _of_spaced_word(text[at]))
 
 
 def cut(item: str, errors: int) -> list[tuple[int, str]]:
@@ -94,10 +97,11 @@ class Pattern:
         for k, c in enumerate(item):
             self.where[c] = self.where.get(c, 0) | (1 << k)
 
-    def nearest(self, text: str, anchored: bool = False) -> tuple[int, int]:
+    def nearest(self, text: str, anchored: bool = False, ends: Container[int] | None = None) -> tuple[int, int]:
         """Least distance to a part of the text and where that part ends.
 
-        The part may begin anywhere, or only at the text's beginning if anchored.
+        The part may begin anywhere, or only at the text's beginning if anchored,
+        and end anywhere, or only at the ends given.
         """
         mask, top = (1 << self.size) - 1, 1 << (self.size - 1)
         grown, shrunk, score = mask, 0, self.size
@@ -115,7 +119,7 @@ class Pattern:
             up = (up << 1) | first
             grown = ((down << 1) | ~(vertical | up)) & mask
             shrunk = up & vertical & mask
-            if score < best:
+            if score < best and (ends is None or j in ends):
                 best, end = score, j
         return best, end
 
@@ -159,13 +163,16 @@ class Finder:
         for last, (length, found) in self.automaton.iter(text):
             for k, leaf in found:
                 begin = last - length + 1 - self.cuts[k][leaf]
-                if len(self.items[k]) < LEAST_CHARS and not stands_alone(text, begin, last + 1):
+                if not self.errors[k] and not self._at_bounds(k, text, begin, last + 1):
                     continue
                 if begin not in lines.get(k, ()) and self._climbs(k, leaf, begin, text):
                     lines[k].add(begin)
         for k, begins in lines.items():
             yield from self._verified(k, sorted(begins), text)
 
+    def _at_bounds(self, k: int, text: str, begin: int, end: int) -> bool:
+        return len(self.items[k]) >= SHORT_CHARS or (word_bound(text, begin) and word_bound(text, end))
+
     def _climbs(self, k: int, leaf: int, begin: int, text: str) -> bool:
         """Whether the parts around a hit, each at most half the item, have few enough edits."""
         cuts = self.cuts[k]
@@ -198,14 +205,31 @@ class Finder:
         for i in range(1, len(begins) + 1):
             if i < len(begins) and begins[i] - begins[i - 1] <= max(2 * errors, 1):
                 continue
-            left = max(begins[first] - errors, 0)
-            window = text[left : begins[i - 1] + size + errors]
+            left, right = max(begins[first] - errors, 0), begins[i - 1] + errors
             first = i
+            if size < SHORT_CHARS:
+                distance, begin, end = self._between_words(forward, errors, text, left, right)
+                if distance <= errors:
+                    yield k, distance, begin, end
+                continue
+            window = text[left : right + size]
             distance, end = forward.nearest(window)
             if distance <= errors:
                 _, length = backward.nearest(window[:end][::-1], anchored=True)
                 yield k, distance, left + end - length, left + end
 
+    @staticmethod
+    def _between_words(item: Pattern, errors: int, text: str, first: int, last: int) -> tuple[int, int, int]:
+        """Distance, begin and end of the best place that begins in the range and has word bounds at both ends."""
+        best = (item.size, first, first)
+        for begin in range(first, min(last, len(text)) + 1):
+            if word_bound(text, begin):
+                window = text[begin : begin + item.size + errors]
+                ends = {j for j in range(1, len(window) + 1) if word_bound(text, begin + j)}
+                distance, length = item.nearest(window, anchored=True, ends=ends)
+                best = min(best, (distance, begin, begin + length))
+        return best
+
 
 def _find(items: list[tuple[object, str]], error_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,12 +255,13 @@ def _find(items: list[tuple[object, str]], error_share: float):
 
 
 def _blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """The items' ids and normalised texts, BLOCK_ITEMS at a time or a little more."""
-    blocks = -(-items.count() // BLOCK_ITEMS)
+    """The items' ids and normalised texts, in as many blocks as their number and bytes ask for."""
+    known = materialize(items.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).distinct())
+    number, size = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(-(-number // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
     for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64(f"`{key}`", f"`{text}`"), F.lit(blocks)) == block)
-        rows = part.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string")).collect()
-        yield [(r[0], normalised(r[1])) for r in rows]
+        rows = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
+        yield [(r["id"], normalised(r["text"])) for r in rows]
 
 
 def find_passages(

@@ -18,6 +18,32 @@ def least_distance(item, text):
     return best
 
 
+def distances(item, text):
+    """Distance of the item to each beginning of the text."""
+    before, found = list(range(len(item) + 1)), [len(item)]
+    for j, c in enumerate(text, 1):
+        row = [j]
+        for k, x in enumerate(item):
+            row.append(min(before[k + 1] + 1, row[-1] + 1, before[k] + (x != c)))
+        before = row
+        found.append(row[-1])
+    return found
+
+
+def held(item, text):
+    """Whether the item is there, with its budget, and between words if it is short."""
+    errors = dc.budget(item)
+    if len(item) >= dc.SHORT_CHARS:
+        return least_distance(item, text) <= errors
+    inner = {m.start() + 1 for m in re.finditer("(?=[a-z0-9][a-z0-9])", text)}
+    return any(
+        distance <= errors and begin + j not in inner
+        for begin in range(len(text) + 1)
+        if begin not in inner
+        for j, distance in enumerate(distances(item, text[begin : begin + len(item) + errors]))
+    )
+
+
 def test_bit_parallel_distance():
     draw = random.Random(1)
     for _ in range(300):
@@ -51,8 +77,7 @@ def test_finds_what_brute_force_finds(seed):
         middle = edited(item, draw.randint(0, dc.budget(item) + 3), draw)
         text = dc.normalised(" ".join(draw.choice(words) for _ in range(9)) + " " + middle + " zy " * draw.randint(0, 9))
         found = {x for k, _, _, _ in finder.matches(text) for x in finder.ids[finder.items[k]]}
-        want = {k for k, x in items if len(x) >= dc.LEAST_CHARS and least_distance(x, text) <= dc.budget(x)}
-        assert found == want
+        assert found == {k for k, x in items if held(x, text)}
         for k, distance, begin, end in finder.matches(text):
             assert least_distance(finder.items[k], text[begin:end]) == distance
 
@@ -77,30 +102,30 @@ def test_finds_short_items_as_brute_force_does(seed):
     words = ["ab", "cab", "a", "xyz?", "(zy)", "abcabc", "日本", "q1"]
     texts = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 12))) for _ in range(40)]
     items = list(enumerate(dict.fromkeys(texts)))
-    assert any(len(x) < dc.LEAST_CHARS for _, x in items) and any(len(x) >= dc.LEAST_CHARS for _, x in items)
+    assert any(len(x) < dc.SHORT_CHARS for _, x in items) and any(len(x) >= dc.SHORT_CHARS for _, x in items)
     finder = dc.Finder(items, 0.1)
     for _ in range(80):
         text = " ".join(draw.choice(words) + draw.choice(["", "", "b", "!"]) for _ in range(30))
-        want = set()
-        for k, x in items:
-            if len(x) >= dc.LEAST_CHARS:
-                want |= {k} if least_distance(x, text) <= dc.budget(x) else set()
-            else:
-                before = r"(?<![a-z0-9])" if x[0].isascii() and x[0].isalnum() else ""
-                after = r"(?![a-z0-9])" if x[-1].isascii() and x[-1].isalnum() else ""
-                want |= {k} if re.search(before + re.escape(x) + after, text) else set()
-        assert {x for k, _, _, _ in finder.matches(text) for x in finder.ids[finder.items[k]]} == want
+        if draw.random() < 0.5:
+            text += " " + edited(draw.choice(items)[1], draw.randint(0, 2), draw) + draw.choice(["", " ab", "b"])
+        text = dc.normalised(text)
+        found = {x for k, _, _, _ in finder.matches(text) for x in finder.ids[finder.items[k]]}
+        assert found == {k for k, x in items if held(x, text)}
 
 
 def test_short_items(spark):
     documents = spark.createDataFrame(
-        [(1, "Who wrote  HAMLET? Nobody."), (2, "who wrote hamlets?"), (3, "東京の首都はどこ"), (4, "nothing"), (5, "ha ha ha")],
+        [
+            (1, "Who wrote  HAMLET? Nobody."), (2, "who wrote hamlets?"), (3, "東京の首都はどこ"), (4, "nothing"), (5, "ha ha ha"),
+            (6, "She who wrte Hamlet"), (7, "who wroteth hamlets"), (8, "anywho wrote hamlet"),
+        ],
         "doc_id long, text string",
     )
-    items = spark.createDataFrame([(1, "Who wrote Hamlet"), (2, "首都"), (3, " "), (4, "thing"), (5, "ha ha")], "item_id long, text string")
+    items = [(1, "Who wrote Hamlet"), (2, "首都"), (3, " "), (4, "thing"), (5, "ha ha"), (1, "Who wrote Hamlet")]
+    items = spark.createDataFrame(items, "item_id long, text string")
     rows = sorted(tuple(r) for r in dc.find_passages(documents, items).collect())
-    assert rows == [(1, 1, 0, 0, 2), (3, 2, 0, 0, 0), (5, 5, 0, 0, 1), (5, 5, 0, 1, 2)]
-    assert sorted(r.doc_id for r in dc.without_passages(documents, items).collect()) == [2, 4]
+    assert rows == [(1, 1, 0, 0, 2), (2, 1, 1, 0, 2), (3, 2, 0, 0, 0), (5, 5, 0, 0, 1), (5, 5, 0, 1, 2), (6, 1, 1, 1, 3)]
+    assert sorted(r.doc_id for r in dc.without_passages(documents, items).collect()) == [4, 7, 8]
 
 
 def test_blocks_of_items(spark, monkeypatch):
@@ -113,7 +138,10 @@ def test_blocks_of_items(spark, monkeypatch):
         words = texts[key].split(" ")[first : last + 1]
         text = next(dc.normalised(r.text) for r in items.collect() if r.item_id == item)
         assert least_distance(text, " ".join(words)) <= dc.budget(text)
-    monkeypatch.setattr(dc, "BLOCK_ITEMS", 15)
-    assert sorted(tuple(r) for r in dc.find_passages(documents, items).collect()) == whole
+    for bound, least in (("BLOCK_ITEMS", 15), ("BLOCK_BYTES", 2000)):
+        with monkeypatch.context() as small:
+            small.setattr(dc, bound, least)
+            assert sorted(tuple(r) for r in dc.find_passages(documents, items).collect()) == whole
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 2000)
     clean = {k for k in texts} - {r[0] for r in whole}
     assert {r.doc_id for r in dc.without_passages(documents, items).collect()} == clean
