@@ -16,9 +16,9 @@ Defined cases: a null text is an empty one; equal texts have equal fingerprints;
 texts of fewer bytes than the window use a shorter one; two signatures without a
 common run of RUN characters (or of the shorter one's length) are alike to
 degree 0; repeated rows are fingerprinted each. In a chain (``with_neighbours``)
-rows are ordered by key, then text, a null key before all others, and the row
-after the last is the first, which may be the row itself; an empty table gives
-no rows; other columns are not read.
+rows are ordered by key, then a hash of the text, a null key before all others,
+and the row after the last is the first, which may be the row itself; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -183,22 +183,34 @@ def _described(held: list[tuple[int, bool, object, str]]) -> pa.RecordBatch:
     )
 
 
-def _part_of(bounds: list[int]) -> Column:
-    edges = np.array(bounds, dtype=np.int64)
+def _part_of(firsts: list[tuple[int, int]]) -> Column:
+    """The last part whose first (order, tie) is not after the row's."""
+    orders, ties = (np.array(x, dtype=np.int64) for x in zip(*firsts, strict=True))
 
     @F.pandas_udf("long")
-    def part(order: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, order.to_numpy(), side="right"))
+    def part(order: pd.Series, tie: pd.Series) -> pd.Series:
+        order, tie = order.to_numpy(), tie.to_numpy()
+        found = np.searchsorted(orders, order, side="left")
+        last = np.searchsorted(orders, order, side="right")
+        # Only an order that begins a part, or several, needs its ties.
+        shared = np.flatnonzero(found < last)
+        for value in np.unique(order[shared]):
+            own = shared[order[shared] == value]
+            first, end = found[own[0]], last[own[0]]
+            found[own] = first + np.searchsorted(ties[first:end], tie[own], side="right")
+        return pd.Series(np.maximum(found - 1, 0))
 
-    return part("order")
+    return part("order", "tie")
 
 
 def with_neighbours(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: its fingerprint, that of its edited text, and its likeness to that and to the next row's.
 
-    Rows meet their neighbour in ranges of the key, one per shuffle partition.
-    The first row of each range is sent to the range before as well, so one
-    shuffle of the texts is enough. The key must be an integer.
+    Rows meet their neighbour in ranges of (key, hash of the text), at most one per
+    shuffle partition, so that the texts of one hot key spread over ranges; rows equal
+    in both stay together. The ranges are cut on keys and hashes alone. The first row
+    of each range is sent to the range before as well, so one shuffle of the texts is
+    enough. The key must be an integer.
     """
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -207,25 +219,25 @@ def with_neighbours(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(least)).alias("order"),
         F.col(f"`{key}`").cast("long").alias("key"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
-    )
-    shares = [k / ranges for k in range(1, ranges)]
-    found = keyed.agg(F.percentile_approx("order", shares, max(10_000, 4 * ranges)).alias("b")).first() if shares else None
-    placed = keyed.withColumn("part", _part_of(sorted(set(found["b"] or [])) if found else []))
-    firsts = sorted(placed.groupBy("part").agg(F.min("order").alias("order")).collect())  # one row per range
+    ).withColumn("tie", F.xxhash64("text"))
+    ranged = keyed.select("order", "tie").repartitionByRange(ranges, "order", "tie")
+    cut = ranged.groupBy(F.spark_partition_id()).agg(F.min(F.struct("order", "tie")).alias("first"))
+    firsts = sorted((r["first"]["order"], r["first"]["tie"]) for r in cut.collect())  # one row per range
     if not firsts:
         return spark.createDataFrame([], _chain_schema(key))
-    before = [(order, part) for (_, order), (part, _) in zip(firsts, [firsts[-1], *firsts[:-1]], strict=True)]
-    edges = F.broadcast(spark.createDataFrame(before, "order long, to long"))  # one row per range
+    before = [(*first, (part - 1) % len(firsts)) for part, first in enumerate(firsts)]
+    edges = F.broadcast(spark.createDataFrame(before, "order long, tie long, to long"))  # one row per range
     guests = materialize(
-        keyed.join(edges, "order")
-        .groupBy("order", "to")
+        keyed.join(edges, ["order", "tie"])
+        .groupBy("order", "tie", "to")
         .agg(F.min("text").alias("text"))
-        .select(F.col("to").alias("part"), F.lit(1).alias("guest"), F.lit(None).cast("long").alias("key"), "text", "order")
+        .select(F.col("to").alias("part"), F.lit(1).alias("guest"), F.lit(None).cast("long").alias("key"), "text", "order", "tie")
     )
-    rowed = placed.select("part", F.lit(0).alias("guest"), "key", "text", "order").unionByName(guests)
+    placed = keyed.select(_part_of(firsts).alias("part"), F.lit(0).alias("guest"), "key", "text", "order", "tie")
     chained = (
-        rowed.repartition(ranges, "part")
-        .sortWithinPartitions("part", "guest", "order", "text")
+        placed.unionByName(guests)
+        .repartitionById(ranges, F.col("part").cast("int"))
+        .sortWithinPartitions("part", "guest", "order", "tie", "text")
         .select("part", "guest", "key", "text")
         .mapInArrow(_chain, _chain_schema("key"))
     )

@@ -47,8 +47,8 @@ def test_place_and_edits():
     assert fp.likeness(one(text), one(text + " " + other)) > 0.3  # levels one apart are compared
 
 
-def chained(rows):
-    order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], (r[1] or "").encode()))
+def chained(rows, ties):
+    order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], ties[r[1] or ""]))
     texts = [t or "" for _, t in order]
     result = []
     for k, (key, _) in enumerate(order):
@@ -60,14 +60,29 @@ def chained(rows):
     return sorted(result, key=str)
 
 
+def checked(documents):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    ties = {r.text or "": r.tie for r in documents.selectExpr("text", "xxhash64(coalesce(text, '')) AS tie").collect()}
+    assert sorted((tuple(r) for r in fp.with_neighbours(documents).collect()), key=str) == chained(rows, ties)
+
+
 def test_neighbours(spark, odd, none):
-    assert sorted((tuple(r) for r in fp.with_neighbours(odd).collect()), key=str) == chained(ODD)
+    checked(odd)
     assert fp.with_neighbours(none).count() == 0
-    single = odd.where("doc_id = 9")
-    assert sorted(tuple(r) for r in fp.with_neighbours(single).collect()) == chained([ODD[11]])
+    checked(odd.where("doc_id = 9"))
+    checked(spark.read.parquet(f"{SMALL}/documents.parquet"))
+
+
+def test_neighbours_under_one_hot_key(spark):
+    """A third of all rows share an id, others have none: their texts spread over ranges and keep the order."""
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
-    rows = [(r.doc_id, r.text) for r in documents.collect()]
-    assert sorted((tuple(r) for r in fp.with_neighbours(documents).collect()), key=str) == chained(rows)
+    hot = documents.selectExpr("CASE WHEN doc_id % 3 = 0 THEN 7 WHEN doc_id % 3 = 1 THEN doc_id END AS doc_id", "text")
+    checked(hot)
+    pairs = [(-1, 5), (7, -9), (7, 0), (7, 4), (8, 1)]
+    rows = [(-2, 0), (-1, 5), (0, 0), (7, -10), (7, -9), (7, -1), (7, 3), (7, 4), (7, 9), (8, 0), (8, 1), (9, 0)]
+    parts = spark.createDataFrame(rows, "order long, tie long").coalesce(1).select("order", "tie", fp._part_of(pairs).alias("part"))
+    want = [max(sum(p <= r for p in pairs) - 1, 0) for r in rows]
+    assert [r.part for r in parts.collect()] == want == [0, 0, 0, 0, 1, 1, 2, 3, 3, 3, 4, 4]
 
 
 def test_fingerprint(odd):
