@@ -95,18 +95,21 @@ def similar(one: np.ndarray, other: np.ndarray) -> bool:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: key, node, size, bitmap. Rows of kind 1: a shingle and in how many nodes it was met."""
+    """Rows of kind 0: key, node, size, bitmap, hash of the text. Rows of kind 1: a shingle and in how many nodes it was met."""
 
-    def rows(kind: int, keys: pa.Array, nodes, sizes, bitmaps) -> pa.RecordBatch:
+    def rows(kind: int, keys: pa.Array, nodes, sizes, bitmaps, contents: pa.Array) -> pa.RecordBatch:
         columns = [pa.array([kind] * len(nodes), pa.int32()), keys, pa.array(nodes, pa.int64())]
-        columns += [pa.array(sizes, pa.int64()), pa.array(bitmaps, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "node", "size", "bits"])
+        columns += [pa.array(sizes, pa.int64()), pa.array(bitmaps, pa.binary()), contents]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "node", "size", "bits", "content"])
 
     def frequent(held: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
         shingles, counts = np.unique(np.concatenate(held), return_counts=True)
         many = counts >= _FREQUENT_IN_TASK
         total = int(many.sum())
-        return rows(1, pa.nulls(total, kind), shingles[many].view(np.int64), counts[many], pa.nulls(total, pa.binary()))
+        return rows(
+            1, pa.nulls(total, kind), shingles[many].view(np.int64), counts[many], pa.nulls(total, pa.binary()),
+            pa.nulls(total, pa.int64()),
+        )
 
     held: list[np.ndarray] = []
     met: set[int] = set()
@@ -115,8 +118,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = batch.schema.field(0).type
         for first, sets in sets_of(batch.column(1)):
             nodes = [node_of(x) for x in sets]
-            keys = batch.column(0).slice(first, len(sets))
-            yield rows(0, keys, nodes, [len(x) for x in sets], [bitmap(x) for x in sets])
+            keys, contents = (batch.column(k).slice(first, len(sets)) for k in (0, 2))
+            yield rows(0, keys, nodes, [len(x) for x in sets], [bitmap(x) for x in sets], contents)
             for node, shingles in zip(nodes, sets, strict=True):
                 if node not in met:
                     met.add(node)
@@ -210,7 +213,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, sets in sets_of(batch.column(4)):
             for row, found in enumerate(sets, first):
                 if node_of(found) != nodes[row]:
-                    continue  # another text under the same key
+                    continue  # another text of the same key and hash
                 group = (leads[row], parts[row])
                 if roles[row] == 0:
                     lead, held = group, found
@@ -224,7 +227,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs (``lead``, ``node``) those that are similar, stored as links (``high``, ``low``).
 
-    Whole texts travel: one per pair, and one per BLOCK pairs of a lead.
+    Whole texts travel: one per pair, and one per BLOCK pairs of a lead. They are
+    found by key and hash, so a key that many texts share gives the one asked for.
     """
     spark = texts.sparkSession
     pairs = materialize(pairs)
@@ -236,9 +240,10 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
         "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"),
         F.col("lead").alias("node"),
     )
-    keys = nodes.groupBy("node").agg(F.min("key").alias("key"))
-    asked = small_side(parts.unionByName(leads).join(keys, "node").select("key", "lead", "part", "role", "node"))
-    found = texts.withColumnRenamed("key", "own").join(asked, F.col("own").eqNullSafe(F.col("key")))
+    keys = nodes.groupBy("node").agg(F.min(F.struct("key", "content")).alias("of")).select("node", "of.key", "of.content")
+    asked = small_side(parts.unionByName(leads).join(keys, "node").select("key", "content", "lead", "part", "role", "node"))
+    own = texts.withColumnRenamed("key", "own")
+    found = own.join(asked, (F.xxhash64("text") == F.col("content")) & F.col("own").eqNullSafe(F.col("key")))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return materialize(
         found.select("lead", "part", "role", "node", "text")
@@ -353,9 +358,12 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = rows.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     described = materialize(
-        texts.mapInArrow(_describe, "kind int, key long, node long, size long, bits binary"), partition_by="kind"
+        texts.withColumn("content", F.xxhash64("text")).mapInArrow(
+            _describe, "kind int, key long, node long, size long, bits binary, content long"
+        ),
+        partition_by="kind",
     )
-    nodes = described.where("kind = 0").select("key", "node", "size", "bits")
+    nodes = described.where("kind = 0").select("key", "node", "size", "bits", "content")
     frequent = (
         described.where("kind = 1")
         .groupBy(F.col("node").alias("shingle"))

@@ -74,6 +74,24 @@ def test_against_all_pairs(spark, monkeypatch, block):
     assert found(jaccard.near_duplicates(frame)) == brute(rows)[0]
 
 
+def test_one_key_of_many_texts(spark, monkeypatch):
+    """A third of the rows share an id, a third have none: only the texts asked for are fetched."""
+    compare = jaccard._compare
+
+    def strict(batches):
+        def asked(batch):
+            sets = [x for _, found in jaccard.sets_of(batch.column(4)) for x in found]
+            assert [int(jaccard.node_of(x)) for x in sets] == batch.column(3).to_pylist()
+            return batch
+
+        return compare(asked(b) for b in batches)
+
+    monkeypatch.setattr(jaccard, "_compare", strict)
+    rows = [((5, None, k)[k % 3], text) for k, text in edited_groups(9, 10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(jaccard.near_duplicates(frame)) == brute(rows)[0]
+
+
 def test_odd_rows(odd, none, no_broadcast):
     assert found(jaccard.near_duplicates(odd)) == brute(ODD)[0]
     assert jaccard.near_duplicates(none).count() == 0
