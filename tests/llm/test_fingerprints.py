@@ -60,6 +60,60 @@ def chained(rows, ties):
     return sorted(result, key=str)
 
 
+def scrambled(x):
+    x = (x + 0x9E3779B97F4A7C15) % 2**64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def hashed(run):
+    return scrambled(sum(scrambled(b) * pow(0x9E3779B97F4A7C15, k, 2**64) for k, b in enumerate(run)) % 2**64)
+
+
+def plain(text):
+    """The fingerprint, byte by byte and chunk by chunk."""
+    data = text.encode()
+    if not data:
+        return "2::"
+    ones = []
+    for k in range(len(data)):
+        bits = f"{hashed(data[max(k - 6, 0) : k + 1]):064b}"
+        ones.append(len(bits) - len(bits.rstrip("1")))
+
+    def cuts(level):
+        return [k + 1 for k, n in enumerate(ones) if n >= level]
+
+    def signature(level, longest):
+        edges = [0, *(c for c in cuts(level) if c < len(data)), len(data)]
+        chunks = [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        joined = -(-len(chunks) // longest) if longest == 64 or len(chunks) >= 1.5 * longest else 1
+        groups = [b"".join(chunks[k : k + joined]) for k in range(0, len(chunks), joined)]
+        if len(groups) > longest:
+            groups = [*groups[: longest - 1], b"".join(groups[longest - 1 :])]
+        signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+        return "".join(signs[hashed(g) >> 40 & 63] for g in groups)
+
+    level = max(2, (len(data) // 64).bit_length())
+    while level > 2 and len(cuts(level)) < 32:
+        level -= 1
+    while len(cuts(level)) >= 64 and len(cuts(level + 1)) >= 16:
+        level += 1
+    return f"{level}:{signature(level, 64)}:{signature(level + 1, 32)}"
+
+
+def test_signatures_against_a_plain_version():
+    draw = random.Random(5)
+    texts = [t or "" for _, t in ODD if len(t or "") < 1000] + ["x" * 700, "Zażółć 日本語 " * 40]
+    for size in (1, 6, 7, 8, 63, 64, 65, 200, 500, 1500, 4000):
+        texts += ["".join(draw.choice(letters) for _ in range(size)) for letters in ("ab \n", "abcdefghijklmnopqrstuvwxyz  é日")]
+    for size in (5, 23, 60):
+        line = "".join(draw.choice("abcdefghij ") for _ in range(size)) + "\n"
+        texts.append(line * (5000 // size))
+    draw.shuffle(texts)
+    assert marks(texts) == [plain(t) for t in texts]
+
+
 def checked(documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     ties = {r.text or "": r.tie for r in documents.selectExpr("text", "xxhash64(coalesce(text, '')) AS tie").collect()}
