@@ -235,10 +235,12 @@ def boundary_runs(words: np.ndarray, low: np.ndarray, middle: np.ndarray, high:
             one = m - q if side < 0 else m
             start = one - _common(words, one - 1, one - 1 + q, one - low[s], -1)
             end = one + q + _common(words, one, one + q, high[s] - one - q, 1)
-            long = end - start >= np.maximum(LEAST, EXPONENT * q)
+            # Two periods must fit in whole on this side, beyond the words looked at: a shorter period that they
+            # repeat was then tried before. Where fewer do, the other side holds two and tries them.
+            reach = (m - start if side < 0 else end - m) // 2
+            long = (end - start >= np.maximum(LEAST, EXPONENT * q)) & (reach >= q)
             found.append((s[long], start[long], end[long], q[long]))
             # Periods of which two fit into this stretch, on this side, are multiples of its period.
-            reach = (m - start if side < 0 else end - m) // 2
             passed = np.maximum(reach, q)
             group = np.cumsum(new) - 1
             kept = period > passed[group]

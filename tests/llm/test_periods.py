@@ -81,6 +81,14 @@ def test_long_runs_take_no_square():
     assert time.perf_counter() - begun < 30
 
 
+def test_long_periods():
+    """Twice a period of more than 32 words is no period, though a boundary has 64 equal words on one side."""
+    run = [k % 34 for k in range(297)]
+    texts = [[1000, *run, 1001], run[99:105], run[286:293], run[230:242]]
+    agrees(texts)
+    assert found_in(texts)[0] == [(1, 297, 34)]
+
+
 def test_every_symbol_is_two_symbols():
     rnd = random.Random(5)
     words = np.array([rnd.randrange(3) for _ in range(3000)])
