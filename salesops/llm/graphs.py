@@ -35,9 +35,10 @@ def _state(links: DataFrame) -> tuple:
 
 def contracted(links: DataFrame, rounds: int) -> DataFrame:
     """Links that connect the same nodes after some rounds; stored. Nodes lie nearer to the smallest by each."""
-    links = links.where("high <> low").distinct()
+    links, most = links.where("high <> low").distinct(), links.count()
     for _ in range(rounds):
-        links = materialize(_stars(links))
+        most *= 2  # a round hands each link on twice at most
+        links = materialize(_stars(links), most_rows=most)
     return links
 
 
@@ -53,10 +54,10 @@ def components(links: DataFrame) -> DataFrame:
     Rounds go on until the links no longer change, some log2 of the longest path;
     each is stored, so that a lost executor costs one round.
     """
-    links = materialize(links.where("high <> low").distinct())
+    links = materialize(links.where("high <> low").distinct(), most_rows=links.count())
     state = _state(links)
     while state[0]:
-        links = materialize(_stars(links))
+        links = materialize(_stars(links), most_rows=2 * state[0])
         before, state = state, _state(links)
         if state == before:
             break

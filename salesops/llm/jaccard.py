@@ -224,14 +224,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int64())], names=["high", "low"])
 
 
-def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, most_pairs: int) -> DataFrame:
     """Of pairs (``lead``, ``node``) those that are similar, stored as links (``high``, ``low``).
 
+    ``most_pairs`` bounds the rows of which the pairs are the distinct ones.
+
     Whole texts travel: one per pair, and one per BLOCK pairs of a lead. They are
     found by key and hash, so a key that many texts share gives the one asked for.
     """
     spark = texts.sparkSession
-    pairs = materialize(pairs)
+    pairs = materialize(pairs, most_rows=most_pairs)
+    rows = pairs.count()
     many = pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     parts = pairs.join(many, "lead").select(
         "lead", F.pmod(F.xxhash64("node"), F.col("parts")).cast("long").alias("part"), F.lit(1).alias("role"), "node"
@@ -241,7 +244,10 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
         F.col("lead").alias("node"),
     )
     keys = nodes.groupBy("node").agg(F.min(F.struct("key", "content")).alias("of")).select("node", "of.key", "of.content")
-    asked = small_side(parts.unionByName(leads).join(keys, "node").select("key", "content", "lead", "part", "role", "node"))
+    asked = small_side(
+        parts.unionByName(leads).join(keys, "node").select("key", "content", "lead", "part", "role", "node"),
+        most_rows=nodes.count() + 2 * rows,
+    )
     own = texts.withColumnRenamed("key", "own")
     found = own.join(asked, (F.xxhash64("text") == F.col("content")) & F.col("own").eqNullSafe(F.col("key")))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -250,7 +256,8 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
         .repartition(ranges, "lead", "part")
         .sortWithinPartitions("lead", "part", "role")
         .mapInArrow(_compare, "high long, low long")
-        .distinct()
+        .distinct(),
+        most_rows=rows,
     )
 
 
@@ -360,8 +367,7 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
     described = materialize(
         texts.withColumn("content", F.xxhash64("text")).mapInArrow(
             _describe, "kind int, key long, node long, size long, bits binary, content long"
-        ),
-        partition_by="kind",
+        )
     )
     nodes = described.where("kind = 0").select("key", "node", "size", "bits", "content")
     frequent = (
@@ -392,19 +398,19 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select(F.col("best.first").alias("lead"), "node")
     )
     # While pairs are looked for, components may be known in part: then more pairs are compared, none is missed.
-    links = contracted(_verified(texts, nodes, firsts), 2)
+    links = contracted(_verified(texts, nodes, firsts, postings.count()), 2)
     for _ in range(ROUNDS):
-        more = _verified(texts, nodes, _open_pairs(postings, nodes, nearest_roots(links), nearest=True))
+        more = _verified(texts, nodes, *_open_pairs(postings, nodes, nearest_roots(links), nearest=True))
         if more.isEmpty():
             break
         links = contracted(links.unionByName(more), 2)
-    more = _verified(texts, nodes, _open_pairs(postings, nodes, nearest_roots(links), nearest=False))
+    more = _verified(texts, nodes, *_open_pairs(postings, nodes, nearest_roots(links), nearest=False))
     found = components(links.unionByName(more))
     return _labelled(nodes, found).withColumnRenamed("key", key)
 
 
-def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs of different components that share a posting and that nothing rules out."""
+def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, nearest: bool) -> tuple[DataFrame, int]:
+    """Pairs of different components that share a posting and that nothing rules out, and about how many at most."""
     known = postings.join(found, F.col("node") == F.col("high"), "left").select(
         "shingle", "size", "node", F.coalesce("low", "node").alias("component")
     )
@@ -421,15 +427,17 @@ def _open_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, nearest
     )
     bits = nodes.groupBy("node").agg(F.first("bits").alias("bits"))
     # The tiles are read twice, without the bitmaps first.
-    tiles = _open_tiles(materialize(_tiled(known.join(open_groups, "shingle")))).join(bits, "node")
+    stored = materialize(_tiled(known.join(open_groups, "shingle")), most_rows=2 * postings.count())
+    tiles = _open_tiles(stored).join(bits, "node")
     ranges = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    pairs = (
         tiles.select("tile", "is_left", "is_right", "size", "node", "component", "bits")
         .repartition(ranges, "tile")
         .sortWithinPartitions("tile")
         .mapInArrow(_bounded(nearest), "lead long, node long")
         .distinct()
     )
+    return pairs, stored.count() * (1 if nearest else BLOCK)
 
 
 def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:

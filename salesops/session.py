@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # A side is broadcast only below both bounds; beyond them it is shuffled.
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# A last stage of few rows is merged: rows of a task and its file, and tasks per core at least.
+TASK_ROWS, TASKS_PER_CORE = 250_000, 2
 
 # Runtime settings every plan here counts on. Hot join keys are split by the
 # adaptive skew join, also where the split costs an extra shuffle downstream.
@@ -117,7 +119,7 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None, most_rows: int | None = None) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back.
 
     Frames that are read more than once, or whose row placement must not change
@@ -125,8 +127,14 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     lost one never leads to a second, different evaluation. Later reads fetch
     only the columns they need, and the planner knows the true size. With
     ``partition_by`` a filter on that column reads its folder only.
+
+    ``most_rows`` bounds the rows that the last stage reads. A file costs three
+    processes (``chmod``) that the executor starts where Hadoop's native library
+    is missing, so a small table is not written in a file per shuffle partition.
     """
     path = scratch_path(df.sparkSession, "table")
+    if most_rows is not None:
+        df = df.coalesce(max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-most_rows // TASK_ROWS)))
     df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
@@ -145,12 +153,12 @@ def is_small(stored: DataFrame) -> bool:
     return measure(stored)[1]
 
 
-def small_side(df: DataFrame, stored: bool = False) -> DataFrame:
+def small_side(df: DataFrame, stored: bool = False, most_rows: int | None = None) -> DataFrame:
     """A join side that is broadcast only if its measured size is small.
 
     The frame is materialised once (unless the caller has done so) and measured;
     beyond the bounds it is returned without a hint and Spark plans a shuffle
     join.
     """
-    side = df if stored else materialize(df)
+    side = df if stored else materialize(df, most_rows=most_rows)
     return F.broadcast(side) if is_small(side) else side

@@ -4,7 +4,8 @@ from collections import Counter
 
 import pytest
 
-from salesops.llm import jaccard
+from salesops import session
+from salesops.llm import graphs, jaccard
 from salesops.llm.graphs import components
 from tests.llm.conftest import ODD, SMALL
 
@@ -92,6 +93,25 @@ def test_one_key_of_many_texts(spark, monkeypatch):
     assert found(jaccard.near_duplicates(frame)) == brute(rows)[0]
 
 
+def test_small_tables_take_few_files(many_ranges, monkeypatch):
+    """Links and pairs are not written in a file per shuffle partition: each file starts processes on its executor."""
+    spark, files = many_ranges, []
+
+    def stored(frame, **options):
+        table = session.materialize(frame, **options)
+        if set(table.columns) in ({"high", "low"}, {"lead", "node"}):
+            files.append(len(table.inputFiles()))
+        return table
+
+    for module in (graphs, jaccard):
+        monkeypatch.setattr(module, "materialize", stored)
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    rows = edited_groups(3, groups=80)
+    wanted, _ = brute(rows)
+    assert found(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == wanted
+    assert max(files) > 1 and max(files) <= session.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_odd_rows(odd, none, no_broadcast):
     assert found(jaccard.near_duplicates(odd)) == brute(ODD)[0]
     assert jaccard.near_duplicates(none).count() == 0
