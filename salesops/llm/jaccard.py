@@ -376,11 +376,11 @@ def near_duplicates(rows: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.sum("size").alias("met"))
         .orderBy(F.desc("met"), "shingle")
         .limit(FREQUENT)
-        .collect()
+        .toArrow()
     )
-    shingles = np.array([r["shingle"] for r in frequent], dtype=np.int64).view(np.uint64)
+    shingles = frequent.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(shingles)
-    counts = np.array([r["met"] for r in frequent], dtype=np.int64)[order]
+    counts = frequent.column("met").to_numpy()[order]
     postings = materialize(
         texts.select("text")
         .mapInArrow(_post(shingles[order], counts), "shingle long, size int, node long")

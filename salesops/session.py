@@ -132,11 +132,25 @@ def materialize(df: DataFrame, partition_by: str | None = None, most_rows: int |
     processes (``chmod``) that the executor starts where Hadoop's native library
     is missing, so a small table is not written in a file per shuffle partition.
     """
+    return written(df, partition_by, most_rows)[0]
+
+
+def written(df: DataFrame, partition_by: str | None = None, most_rows: int | None = None) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, so that a superseded table can go.
+
+    The driver starts such processes too, for each folder and for the file that
+    marks a job's success; nothing asks for that mark here.
+    """
     path = scratch_path(df.sparkSession, "table")
     if most_rows is not None:
-        df = df.coalesce(max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-most_rows // TASK_ROWS)))
-    df.write.parquet(path, partitionBy=partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+        df = merged(df, most_rows)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns), path
+
+
+def merged(df: DataFrame, most_rows: int) -> DataFrame:
+    """With as few partitions as ``most_rows`` of the last stage need."""
+    return df.coalesce(max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-most_rows // TASK_ROWS)))
 
 
 def measure(stored: DataFrame) -> tuple[int, bool]:

@@ -153,3 +153,10 @@ def test_components_of_a_long_path(spark):
     found_ = {(r.high, r.low) for r in components(links).collect()}
     assert found_ == {(k, 100) for k in range(101, 165)} | {(7, 3), (9, 3)}
     assert components(links.limit(0)).count() == 0
+
+
+def test_stored_tables_have_no_mark(spark):
+    """The file that marks a job's success would start two processes on the driver for each table."""
+    table, folder = session.written(spark.range(3).toDF("low"))
+    assert table.count() == 3
+    assert "_SUCCESS" not in {p.name for p in Path(folder.removeprefix("file:")).iterdir()}
