@@ -44,13 +44,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.llm.textarrays import pieces, word_hashes, words
-from salesops.session import materialize, scratch_path, small_side
+from salesops.session import materialize, merged, small_side, written
 
 CLASSES = 256
 FREQUENT = 1 << 17
@@ -530,13 +529,6 @@ _STATE = (
 _KEPT = ["context", "chunk", "chunks", "class", "customers", "singles", "cells"]
 
 
-def _stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """As ``materialize``, with the folder, so that a superseded table can go."""
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns), path
-
-
 def _release(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -644,19 +636,43 @@ def _totals(lists: pa.Array, customers: np.ndarray) -> np.ndarray:
     return found
 
 
-def _placed(lexicon: Lexicon):
-    names = ["context", "word", "count", "class", "dish", "of_context", "of_word"]
+def _placed(lexicon: Lexicon, rare: Rare):
+    """Pairs with what the lexicon holds of both words; ``inside`` is null where it lacks the second."""
+    names = ["context", "word", "count", "class", "dish", "of_context", "of_word", "inside"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             classes, of_context = lexicon.find(batch.column(0).to_numpy().view(np.uint64))
             dishes, of_word = lexicon.find(batch.column(1).to_numpy().view(np.uint64))
-            added = [pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(of_context), pa.array(of_word)]
+            inside = pa.array(_inside(lexicon, rare, dishes, of_word), mask=of_word < 0)
+            added = [pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(of_context), pa.array(of_word), inside]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     return run
 
 
+def _inside(lexicon: Lexicon, rare: Rare, dishes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Probability of words within their classes, by their counts."""
+    return np.where(dishes == lexicon.rare, rare.of(counts), 1.0)
+
+
+_CELLS = "context long, word long, class int, dish int, count long, inside double, customers long"
+
+
+def _looked_up(lexicon: Lexicon, rare: Rare):
+    """Cells of pairs of which a word was looked up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dish, counts = (batch.column(k).to_numpy() for k in (3, 5))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(_inside(lexicon, rare, dish, counts)), batch.column(6)],
+                names=["context", "word", "class", "dish", "count", "inside", "customers"],
+            )
+
+    return run
+
+
 _FITTED = "pair long, context long, word long, count long, log double, seen float, unseen float"
 
 
@@ -695,8 +711,7 @@ class Model(NamedTuple):
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
     def inside(self, dishes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Probability of words within their classes, by their counts."""
-        return np.where(dishes == self.lexicon.rare, self.rare.of(counts), 1.0)
+        return _inside(self.lexicon, self.rare, dishes, counts)
 
 
 def _cells(texts: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -> tuple[DataFrame, str, np.ndarray]:
@@ -714,29 +729,30 @@ def _cells(texts: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -
         )
         learned = F.when(F.col("context").isNull(), F.col("count")).otherwise(F.col("count") % ASKED)
         wanted = F.col("context").isNull() | (F.col("learned") > 1) | (F.col("learned") == 1) & (F.col("count") > ASKED)
-        slices.append(_stored(times.withColumn("learned", learned).where(wanted).select("context", "word", F.col("learned").alias("count"))))
+        slices.append(written(times.withColumn("learned", learned).where(wanted).select("context", "word", F.col("learned").alias("count"))))
     pairs = slices[0][0]
     for frame, _ in slices[1:]:
         pairs = pairs.unionByName(frame)
+    most = pairs.count()
     classed = pairs.where("context is null").select(F.floor(F.col("word") / side).alias("class"), (F.col("word") % side).alias("dish"), F.col("count").alias("tables"))
     classed = _dense(classed, side)
 
-    @F.pandas_udf("double")
-    def inside(dish: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series(np.where(dish.to_numpy() == lexicon.rare, rare.of(counts.to_numpy()), 1.0))
-
     placed = pairs.where("context is not null").mapInArrow(
-        _placed(lexicon), "context long, word long, count long, class int, dish int, of_context long, of_word long"
+        _placed(lexicon, rare), "context long, word long, count long, class int, dish int, of_context long, of_word long, inside double"
     )
     others = (
-        placed.where("of_context < 0 or of_word < 0").drop("of_context", "of_word")
+        placed.where("of_context < 0 or of_word < 0").drop("of_context", "of_word", "inside")
         .join(counted.select("word", F.col("count").alias("of_word")), "word")
         .join(counted.select(F.col("word").alias("context"), F.col("count").alias("of_context")), "context")
+        .select("context", "word", "class", "dish", "count", "of_word", "of_context")
+        .mapInArrow(_looked_up(lexicon, rare), _CELLS)
     )
-    cells, folder = _stored(
-        placed.where("of_context >= 0 and of_word >= 0").unionByName(others)
-        .select("context", "word", "class", "dish", "count", inside("dish", "of_word").alias("inside"), F.col("of_context").alias("customers"))
-    )
+    cells, folder = written(
+        placed.where("of_context >= 0 and of_word >= 0")
+        .select("context", "word", "class", "dish", "count", "inside", F.col("of_context").alias("customers"))
+        .unionByName(others),
+        most_rows=most,
+    )
     _release(spark, *(path for _, path in slices))
     return cells, folder, classed
 
@@ -765,18 +781,18 @@ def _seated(cells: DataFrame, classed: np.ndarray, side: int) -> tuple[Samples,
     spark = cells.sparkSession
     repeated = cells.where("count > 1")
     of_repeated = repeated.groupBy("class", "dish").agg(F.sum("count").alias("tables"), F.sum((F.col("count") == 2).cast("long")).alias("twos"))
-    of_repeated = materialize(of_repeated)
+    of_repeated, most = materialize(of_repeated), repeated.count()
     customers = _dense(of_repeated, side)
     single = classed - customers
     ones, twos = int(single.sum()), of_repeated.agg(F.sum("twos")).first()[0] or 0
     discount_ = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
     classes, kept = Classes(side), []
-    state, folder = _stored(_restaurants(cells))
+    state, folder = written(_restaurants(cells), most_rows=most)
     empty = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("tables", "int"), ("opened", "int"), ("seated", "int"), ("totals", "long"))]
     ready = state.select(*_KEPT, *empty, "whole")
     for sweep in range(BURN_IN + SWEEPS):
         before = folder
-        state, folder = _stored(ready.mapInArrow(_sweep(classes.probabilities, discount_, sweep), _STATE))
+        state, folder = written(merged(ready, most).mapInArrow(_sweep(classes.probabilities, discount_, sweep), _STATE))
         _release(spark, before)
         found = state.select("class", F.col("cells.dish").alias("dish"), "tables")
         classes.sweep(single + _dense(found.mapInArrow(_class_tables(side), "class long, dish long, tables long"), side))
@@ -806,7 +822,7 @@ def _fit(texts: DataFrame) -> Fit:
     """From texts (``text``, ``learned``, ``asked``) the model; ``pairs`` are those repeated, and those learned once that asked texts have."""
     spark = texts.sparkSession
     learned = texts.where("learned").select("text")
-    counted, words_ = _stored(learned.mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")))
+    counted, words_ = written(learned.mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")))
     total, distinct = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
     lexicon = _lexicon(counted)
     own = lexicon.own().words.view(np.int64).tolist()
@@ -824,7 +840,7 @@ def _fit(texts: DataFrame) -> Fit:
     of_word = F.col("context").alias("word")
     several = state.where("chunks > 1").groupBy(of_word).agg(F.first("kept").alias("tables"))
     tables = state.where("chunks = 1").select(of_word, F.col("kept").alias("tables")).unionByName(several)
-    known = materialize(counted.join(tables, "word", "left"))
+    known = materialize(counted.join(tables, "word", "left"), most_rows=2 * int(distinct))
     _release(spark, words_)
     once = (
         cells.where("count = 1").join(known.select(F.col("word").alias("context"), F.col("tables").alias("kept")), "context")
@@ -834,7 +850,7 @@ def _fit(texts: DataFrame) -> Fit:
         )
     )
     rows = state.select("context", "class", "customers", "kept", "cells", "seated").unionByName(once)
-    return Fit(model, known, rows.mapInArrow(_finished(samples), _FITTED), [of_cells, of_state])
+    return Fit(model, known, merged(rows, cells.count()).mapInArrow(_finished(samples), _FITTED), [of_cells, of_state])
 
 
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
@@ -870,7 +886,16 @@ class Listed(NamedTuple):
 
 
 def _listed(pairs: DataFrame) -> Listed:
-    rows = pairs.orderBy(F.desc("count"), "pair").limit(FREQUENT_PAIRS).select("pair", "log").toArrow()
+    """Only pairs of the least listed count are sorted: a sort of all would leave its shuffle on disk."""
+    least, above = 0, 0
+    for row in pairs.groupBy("count").agg(F.count(F.lit(1)).alias("many")).orderBy(F.desc("count")).collect():  # distinct counts
+        least = row["count"]
+        if above + row["many"] >= FREQUENT_PAIRS:
+            break
+        above += row["many"]
+    more = pairs.where(F.col("count") > least).select("pair", "log").toArrow()
+    ties = pairs.where(F.col("count") == least).orderBy("pair").limit(max(FREQUENT_PAIRS - more.num_rows, 0)).select("pair", "log").toArrow()
+    rows = pa.concat_tables([more, ties.cast(more.schema)])
     hashes, logs = rows.column("pair").to_numpy().view(np.uint64), rows.column("log").to_numpy()
     order = np.argsort(hashes)
     return Listed(hashes[order], logs[order])
@@ -896,32 +921,14 @@ def _listed_weights(model: Model, known: DataFrame) -> np.ndarray:
     return found
 
 
-def _own_sums(model: Model):
-    """Rows with a text's tokens and what the lexicon holds of them."""
-    names = ["id", "key", "held_out", "n_tokens", "n_known", "base_score"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, stream, bounds in tokens(batch.column(3)):
-                rows = len(bounds) - 1
-                counts = model.lexicon.find(stream)[1]
-                listed = counts >= 0
-                text = np.repeat(np.arange(rows), np.diff(bounds))
-                base = np.where(listed, model.base(np.maximum(counts, 0)), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(k).slice(first, rows) for k in range(3)), pa.array(np.diff(bounds).astype(np.int64)),
-                        pa.array(np.bincount(text[listed], minlength=rows)), pa.array(np.bincount(text, weights=base, minlength=rows)),
-                    ],
-                    names=names,
-                )
-
-    return run
+# Kinds of rows: of a text's sums, and of pairs to look up (below them).
+_TOKENS, _KNOWN, _BASE, _SCORE = 2, 3, 4, 5
 
 
 def _local(model: Model, shared):
-    """Per text what the lists hold of its score, taking other pairs for seen once (in a learned text) or never (``value``);
-    and a row per occurrence of a pair that is not listed, which may tell otherwise.
+    """Per text a row for each of its sums: of the kinds ``_TOKENS``, ``_KNOWN`` and ``_BASE`` as far as the lexicon holds its
+    words, and ``_SCORE`` as far as the lists do, other pairs taken for seen once (in a learned text) or never. And a row
+    without a value per occurrence of a pair that is not listed, which may tell otherwise; its kind is 1 in a learned text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -936,6 +943,8 @@ def _local(model: Model, shared):
                 score = listed.find(pairs)
                 other = np.isnan(score)
                 place = model.lexicon.place(stream)
+                all_counts = model.lexicon.at(place)[1]
+                base = np.where(place >= 0, model.base(np.maximum(all_counts, 0)), 0.0)
                 before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
                 both = other & (place >= 0) & (before >= 0)
                 classes, customers = model.lexicon.at(before[both])
@@ -946,24 +955,48 @@ def _local(model: Model, shared):
                 score[both] = np.log10(backed + np.where(learned[text[both]], samples.single(customers), 0.0))
                 own = ids[first : first + rows]
                 at = text[other]
+                sums = [np.diff(bounds).astype(float), np.bincount(text[place >= 0], minlength=rows).astype(float)]
+                sums += [np.bincount(text, weights=x, minlength=rows) for x in (base, score)]
+                kinds = np.repeat(np.array([_TOKENS, _KNOWN, _BASE, _SCORE], dtype=np.int8), rows)
+                values = np.append(np.concatenate(sums), np.zeros(len(at)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([own, own[at]])),
-                        pa.array(np.concatenate([~own, pairs[other].view(np.int64)])),
-                        pa.array(np.concatenate([learned, learned[at]])),
-                        pa.array(np.append(np.bincount(text, weights=score, minlength=rows), np.zeros(len(at))), mask=np.arange(rows + len(at)) >= rows),
+                        pa.array(np.concatenate([np.tile(own, len(sums)), own[at]])),
+                        pa.array(np.concatenate([np.tile(~own, len(sums)), pairs[other].view(np.int64)])),
+                        pa.array(np.concatenate([kinds, learned[at].astype(np.int8)])),
+                        pa.array(values, mask=np.arange(len(values)) >= len(kinds)),
                     ],
-                    names=["id", "pair", "learned", "value"],
+                    names=["id", "pair", "kind", "value"],
                 )
 
     return run
 
 
-def _rare_pairs(model: Model, shared):
-    """A row per distinct pair of a text with a word that the lexicon lacks; ``open``: no list holds the pair."""
+_ASKED = "id long, key long, times int, kind byte, dish int, scale double, own double"
+
+
+def _asked(ids, keys, times, kinds, dishes, scales, own) -> pa.RecordBatch:
+    """Rows of words to look up. Where ``_OF_WORD``, ``key`` follows a context that is known: ``scale`` is what its
+    restaurant takes from its base and ``own`` what a pair has of its own, both 0 if a list holds the pair. Else ``key`` is
+    the context of a listed word of class ``dish``, whose probability within that is ``scale``; ``own`` is 1 if learned.
+    """
+    columns = [ids, keys, times.astype(np.int32), kinds.astype(np.int8), dishes.astype(np.int32), scales, own]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "key", "times", "kind", "dish", "scale", "own"])
+
+
+_OF_CONTEXT, _OF_WORD = 0, 1
+
+
+def _rare_pairs(model: Model, shared, both: bool):
+    """A row per distinct pair of a text with a word that the lexicon lacks, if there is anything to look up.
+
+    ``both``: pairs that no list holds, both of whose words have to be looked up (``id``, ``context``, ``word``, ``times``,
+    ``learned``). Else those of which one word has to be (``_asked``).
+    """
+    samples = model.samples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, logs, _ = shared.value
+        hashes, logs, weights = shared.value
         listed = Listed(hashes, logs)
         for batch in batches:
             ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
@@ -972,33 +1005,70 @@ def _rare_pairs(model: Model, shared):
                 contexts = _before(stream, bounds, _END)
                 place = model.lexicon.place(stream)
                 before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
-                at = np.flatnonzero((place < 0) | (before < 0))
-                order, begins, times = _distinct(text[at], contexts[at], stream[at])
-                at = at[order[begins]]
+                rare, lone = place < 0, before < 0
+                at = np.flatnonzero(rare & lone if both else rare | lone)
                 open_ = np.isnan(listed.find(_joined(contexts[at], stream[at])))
-                columns = [ids[text[at]], contexts[at].view(np.int64), stream[at].view(np.int64), times, place[at] < 0, open_, ~held[text[at]]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=["id", "context", "word", "times", "rare", "open", "learned"]
-                )
+                if both:
+                    at = at[open_]
+                else:
+                    # A pair of two rare words is looked up here if a list holds it: for its word's count.
+                    wanted = np.where(rare[at], ~(lone[at] & open_), open_)
+                    at, open_ = at[wanted], open_[wanted]
+                order, begins, times = _distinct(text[at], contexts[at], stream[at])
+                at, own = at[order[begins]], ids[text[at[order[begins]]]]
+                learned = ~held[text[at]]
+                if both:
+                    columns = [own, contexts[at].view(np.int64), stream[at].view(np.int64), times.astype(np.int32), learned]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "context", "word", "times", "learned"])
+                    continue
+                of_word, open_ = rare[at], open_[order[begins]]
+                scales, alone = np.zeros(len(at)), np.zeros(len(at))
+                new = of_word & open_
+                classes, customers = model.lexicon.at(before[at[new]])
+                scales[new] = samples.backed(weights[before[at[new]]], classes, np.full(int(new.sum()), model.lexicon.rare))
+                alone[new] = np.where(learned[new], samples.single(customers), 0.0)
+                dishes, counts = model.lexicon.at(place[at])
+                scales[~of_word] = model.inside(dishes[~of_word], counts[~of_word])
+                alone[~of_word] = learned[~of_word]
+                yield _asked(own, np.where(of_word, stream[at], contexts[at]).view(np.int64), times, of_word * _OF_WORD, dishes, scales, alone)
+
+    return run
+
+
+def _rare_contexts(model: Model):
+    """Pairs of two rare words, with what is known of the first (``of_key``, ``tables``), as rows that ask for the second."""
+    samples, rare = model.samples, model.lexicon.rare
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            customers, learned = get["of_key"].to_numpy(), get["learned"].to_numpy(zero_copy_only=False).astype(bool)
+            rares = np.full(batch.num_rows, rare)
+            scales = samples.backed(samples.weights(customers, _totals(get["tables"], customers)), rares, rares)
+            own = np.where(learned, samples.single(customers), 0.0)
+            yield _asked(get["id"].to_numpy(), get["word"].to_numpy(), get["times"].to_numpy(), np.full(batch.num_rows, _OF_WORD), rares, scales, own)
 
     return run
 
 
 def _rare_sums(model: Model):
     """Of the rows above, with what is known of their words, the parts of the texts' sums."""
-    samples = model.samples
+    samples, rare = model.samples, model.lexicon.rare
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            times, counts, customers = (get[c].to_numpy() for c in ("times", "of_word", "of_context"))
-            rare, open_, learned = (get[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("rare", "open", "learned"))
-            classes, _ = model.lexicon.find(get["context"].to_numpy().view(np.uint64))
-            dishes, _ = model.lexicon.find(get["word"].to_numpy().view(np.uint64))
-            weights = samples.weights(customers, _totals(get["tables"], customers))
-            backed = samples.backed(weights, classes, dishes) * model.inside(dishes, counts)
-            logs = np.log10(backed + np.where(learned, samples.single(customers), 0.0))
-            columns = [np.where(rare & (counts > 0), times, 0), np.where(rare, times * model.base(counts), 0.0), np.where(open_, times * logs, 0.0)]
+            times, counts, kinds, dishes, scales, own = (get[c].to_numpy() for c in ("times", "of_key", "kind", "dish", "scale", "own"))
+            of_word = kinds == _OF_WORD
+            value = np.zeros(batch.num_rows)
+            new = of_word & (scales > 0)
+            value[new] = np.log10(scales[new] * model.rare.of(counts[new]) + own[new])
+            others = ~of_word
+            customers, lists = counts[others], get["tables"].filter(pa.array(others))
+            backed = samples.backed(samples.weights(customers, _totals(lists, customers)), np.full(len(customers), rare), dishes[others])
+            value[others] = np.log10(backed * scales[others] + own[others] * samples.single(customers))
+            times = times.astype(np.int64)
+            columns = [np.where(of_word & (counts > 0), times, 0), np.where(of_word, times * model.base(counts), 0.0), times * value]
             yield pa.RecordBatch.from_arrays([get["id"], *map(pa.array, columns)], names=["id", "known", "base", "value"])
 
     return run
@@ -1033,52 +1103,57 @@ def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def _scored(rows: DataFrame, key: str, text: str) -> DataFrame:
-    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    spark = rows.sparkSession
     given, content = F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")
     texts = rows.select(
         F.xxhash64(given.isNull(), given, content.isNull(), content).alias("id"), given.alias("key"), held_out(key).alias("held_out"), content.alias("text")
     )
     found = _fit(texts.select("text", (~F.col("held_out")).alias("learned"), F.col("held_out").alias("asked")))
     model, known = found.model, found.known
-    pairs, of_pairs = _stored(found.pairs.select("pair", "count", "log", "seen", "unseen"))
+    pairs, of_pairs = written(found.pairs.select("pair", "count", "log", "seen", "unseen"))
     _release(spark, *found.folders)
     listed = _listed(pairs)
     shared = spark.sparkContext.broadcast((listed.pairs, listed.logs, _listed_weights(model, known)))
-    own = texts.mapInArrow(_own_sums(model), f"id long, key {kind}, held_out boolean, n_tokens long, n_known long, base_score double")
-    own = materialize(own)
-    gain = F.when(F.col("learned"), F.col("seen")).otherwise(F.col("unseen")).cast("double")
+    kind_, value = F.col("kind"), F.col("value")
+    gain = F.when(kind_ == 1, F.col("seen")).otherwise(F.col("unseen")).cast("double")
     scores = materialize(
-        texts.mapInArrow(_local(model, shared), "id long, pair long, learned boolean, value double")
+        texts.mapInArrow(_local(model, shared), "id long, pair long, kind byte, value double")
         .join(pairs.select("pair", "seen", "unseen"), "pair", "left")
         .groupBy("id")
-        .agg(F.count("value").alias("copies"), F.sum(F.coalesce("value", gain, F.lit(0.0))).alias("value"))
-    )
+        .agg(
+            F.count(F.when(kind_ == _SCORE, value)).alias("copies"),
+            *(F.max(F.when(kind_ == k, value)).alias(c) for k, c in ((_TOKENS, "n_tokens"), (_KNOWN, "n_known"), (_BASE, "base_score"))),
+            F.sum(F.when(kind_ == _SCORE, value).when(value.isNull(), F.coalesce(gain, F.lit(0.0)))).alias("value"),
+        )
+    )
     _release(spark, of_pairs)
     none = F.lit(0)
-    of_words = known.select("word", F.col("count").alias("of_word"))
-    of_contexts = known.select(F.col("word").alias("context"), F.col("count").alias("of_context"), "tables")
+    of_keys = known.select(F.col("word").alias("key"), F.col("count").alias("of_key"), "tables")
+    of_key = F.coalesce("of_key", none.cast("long"))
+    lone = (
+        texts.mapInArrow(_rare_pairs(model, shared, both=True), "id long, context long, word long, times int, learned boolean")
+        .withColumnRenamed("context", "key").join(of_keys, "key", "left").withColumn("of_key", of_key)
+        .mapInArrow(_rare_contexts(model), _ASKED)
+    )
     rare = materialize(
-        texts.mapInArrow(_rare_pairs(model, shared), "id long, context long, word long, times long, rare boolean, open boolean, learned boolean")
-        .join(of_words, "word", "left")
-        .join(of_contexts, "context", "left")
-        .withColumn("of_word", F.coalesce("of_word", none.cast("long")))
-        .withColumn("of_context", F.coalesce("of_context", none.cast("long")))
+        texts.mapInArrow(_rare_pairs(model, shared, both=False), _ASKED).unionByName(lone)
+        .join(of_keys, "key", "left").withColumn("of_key", of_key)
         .mapInArrow(_rare_sums(model), "id long, known long, base double, value double")
         .groupBy("id").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("value").alias("more_score"))
     )
     copies = F.col("copies")
     total = (F.col("value") + F.coalesce("more_score", none)) / copies
     return materialize(
-        own.join(scores, "id")
+        texts.select("id", F.col("key").alias("_key"), "held_out").join(scores, "id")
         .join(rare, "id", "left")
         .select(
-            F.col("key").alias(key),
+            F.col("_key").alias(key),
             "held_out",
-            "n_tokens",
+            F.col("n_tokens").cast("long").alias("n_tokens"),
             (F.col("n_known") + F.coalesce("more_known", none) / copies).cast("long").alias("n_known"),
             F.lit(model.tokens).cast("long").alias("train_tokens"),
             (F.col("base_score") + F.coalesce("more_base", none) / copies).alias("base_score"),
             total.alias("score"),
             F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
         )
-    )
+    )

@@ -1,11 +1,14 @@
 import math
+import os
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from salesops import session
 from salesops.llm import language_model as lm
 from tests.llm.conftest import ODD, SMALL
 
@@ -209,3 +212,47 @@ def test_lists_and_copies_change_no_score(spark, monkeypatch):
     for other in found[1:]:
         for one, two in zip(found[0], other, strict=True):
             assert one[:3] == two[:3] and one[3:] == pytest.approx(two[3:], abs=1e-4)
+
+
+def test_small_tables_take_few_files(many_ranges, monkeypatch):
+    """Seatings are not written in a file per shuffle partition: each file starts processes on its executor."""
+    spark, files, marks = many_ranges, [], []
+
+    def written(frame, *args, **options):
+        table, folder = session.written(frame, *args, **options)
+        files.append(("cells" in table.columns or "inside" in table.columns, len(table.inputFiles())))
+        marks.append(os.path.exists(f"{folder.removeprefix('file:')}/_SUCCESS"))
+        return table, folder
+
+    monkeypatch.setattr(lm, "written", written, raising=False)
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    texts = [(k, f"{t} {' '.join(f'some{k % 9}word{i}' for i in range(40))}") for k, t in pair_texts()]
+    assert lm.score(spark.createDataFrame(texts, "doc_id long, text string")).count() == len(texts)
+    states = [n for state, n in files if state]
+    assert len(states) == 2 + lm.BURN_IN + lm.SWEEPS
+    assert max(states) <= session.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert not any(marks)
+
+
+def test_only_open_questions_are_looked_up(spark, monkeypatch):
+    """Words are looked up once a pair, and a listed word whose pair a list holds not at all."""
+    monkeypatch.setattr(lm, "CLASSES", 4)
+    monkeypatch.setattr(lm, "FREQUENT", 12)
+    rows = spark.createDataFrame([(1, "a b a b rare a other rare")], "doc_id long, text string")
+    model, known = lm.fit(rows.select("text"))
+    hashes = {w: h for text in ("a", "b", "rare", "other") for _, s, _ in lm.tokens(pa.array([text])) for w, h in [(text, s[0])]}
+    kept = [w for w in ("a", "b")]
+    order = np.argsort([hashes[w] for w in kept])
+    own = np.array([hashes[kept[k]] for k in order] + [lm._END], dtype=np.uint64)
+    place = np.argsort(own)
+    lexicon = lm.Lexicon(own[place], np.array([3, 2, 1])[place], np.array([1, 2, 0])[place], 4)
+    model = model._replace(lexicon=lexicon, samples=lm.Samples(np.full((lm.SWEEPS, 5, 5), 0.2), 0.5))
+    shared = spark.sparkContext.broadcast((np.sort(lm._joined(np.array([hashes["rare"]]), np.array([hashes["a"]]))), np.zeros(1), np.ones((3, lm.SWEEPS))))
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([1]), pa.array([False]), pa.array(["a b a b rare a other rare"])], names=["id", "key", "held_out", "text"])
+    lone = [r for b in lm._rare_pairs(model, shared, both=True)([batch]) for r in b.to_pylist()]
+    one = [r for b in lm._rare_pairs(model, shared, both=False)([batch]) for r in b.to_pylist()]
+    signed = {w: int(np.uint64(h).view(np.int64)) for w, h in hashes.items()}
+    assert [(r["context"], r["word"], r["times"]) for r in lone] == [(signed["other"], signed["rare"], 1)]
+    # b rare, a other, rare and the end; not rare a, which a list holds.
+    end = sorted((r["key"], r["kind"]) for r in one)
+    assert end == sorted([(signed["rare"], lm._OF_WORD), (signed["other"], lm._OF_WORD), (signed["rare"], lm._OF_CONTEXT)])
