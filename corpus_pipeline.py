@@ -13,20 +13,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from salesops.llm import decontamination, jaccard, packing, quality, toxicity
-from salesops.llm.registry import table
+from salesops.llm.registry import in_small_batches as given
 from salesops.session import materialize
 
 CAPACITY = 4096
-# Whole rows go to Python workers in batches of at most so many rows and bytes. A worker and the JVM each
-# hold a batch several times over (as it arrives, by pieces, as it leaves).
-BATCH_ROWS, BATCH_BYTES = 1024, "8m"
-
-
-def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, in a session that passes whole rows on in small batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return table(spark, sf_dir, name)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

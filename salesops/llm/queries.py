@@ -21,7 +21,7 @@ from salesops.llm import (
     toxicity,
     urls,
 )
-from salesops.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from salesops.llm.registry import ORACLES, QUERIES, in_small_batches, query, table  # noqa: F401
 
 _SIZE = sharding.table_size(sharding.SHARDS)
 
@@ -33,7 +33,7 @@ def _md5_number(text: str, modulus: int) -> str:
 @query()
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Probabilities of the toxicity categories of every document, and the decision."""
-    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return toxicity.classify(in_small_batches(spark, folder, "documents"), in_small_batches(spark, folder, "labels"))
 
 
 @query(

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesops.session import tune
 
+# Whole rows are read and go to Python workers in batches of at most so many rows, the latter also of so many bytes.
+# A worker and the JVM each hold a batch several times over (as it arrives, by pieces, as it leaves).
+BATCH_ROWS, BATCH_BYTES = 1024, "8m"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -33,6 +37,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def in_small_batches(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table, in a session that reads whole rows and passes them on in small batches."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return table(spark, folder, name)
+
+
 def query(sql: str | None = None):
     """Register a query under its function's name, with the SQL that checks it."""
 

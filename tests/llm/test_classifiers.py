@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from salesops.llm import quality, toxicity
+from salesops.llm import quality, queries, toxicity
 from tests.llm.conftest import ODD
 
 GIVEN = "/root/testdata/sf0.01"
@@ -98,3 +99,30 @@ def test_density_is_the_shrunken_gaussian(spark):
         away = scaled - scaled[label == k].mean(axis=0)
         density.append(-0.5 * (np.einsum("ij,jk,ik->i", away, np.linalg.inv(mixed), away) + np.linalg.slogdet(mixed)[1]))
     assert np.allclose(model.score(data), 1 / (1 + np.exp(density[0] - density[1])), atol=1e-8)
+
+
+def test_op1_passes_small_batches(spark, tmp_path, monkeypatch):
+    """Rows of a batch are seen as the probability; a table of one file was one batch before."""
+    spark.range(5_000).selectExpr("id AS doc_id", "concat('some words of ', id) AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def sizes(chain, categories):
+        def run(batches):
+            for batch in batches:
+                seen = pa.array([float(batch.num_rows)] * batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[seen] * categories], names=["key", *[f"p{k}" for k in range(categories)]])
+
+        return run
+
+    monkeypatch.setattr(toxicity, "_score", sizes)
+    kept = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {k: spark.conf.get(k) for k in kept}
+    for k in kept:
+        spark.conf.unset(k)
+    try:
+        found = queries.op1_toxicity(spark, str(tmp_path))
+        most, rows = found.selectExpr("max(p_toxic)", "count(*)").first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert most <= 1024 and rows == 5_000
