@@ -92,8 +92,8 @@ class Chain(NamedTuple):
     earlier: list[np.ndarray]
     intercepts: list[float]
 
-    def lookup(self, text: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Known features of the texts: text, place in the chain's list, value."""
+    def known(self, text: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Known features of the texts: text, place in the chain's list, count."""
         low = np.zeros(1 << _FILTER_BITS, dtype=bool)
         mask = np.uint64((1 << _FILTER_BITS) - 1)
         low[self.hashes & mask] = True
@@ -101,7 +101,11 @@ class Chain(NamedTuple):
         text, feature = text[likely], feature[likely]
         place = np.minimum(np.searchsorted(self.hashes, feature), max(len(self.hashes) - 1, 0))
         hit = self.hashes[place] == feature if len(self.hashes) else np.zeros(len(feature), bool)
-        text, place, count = counted(text[hit], place[hit])
+        return counted(text[hit], place[hit])
+
+    def lookup(self, text: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Known features of the texts: text, place in the chain's list, value."""
+        text, place, count = self.known(text, feature)
         return text, place, 1 + np.log(count)
 
     def predict(self, rows: int, text: np.ndarray, place: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -167,23 +171,29 @@ def _features_of(hashes: np.ndarray):
         finder = Chain(hashes, [], [], [])
         for batch in batches:
             for piece in pieces(_lowered(batch.column(2))):
-                text, place, value = finder.lookup(*features(piece))
+                text, place, count = finder.known(*features(piece))
                 bounds = np.searchsorted(text, np.arange(len(piece) + 1))
                 lists = [place[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                values = [value[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                counts = [count[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(piece.first, len(piece)),
                         batch.column(1).slice(piece.first, len(piece)),
-                        pa.array(lists, pa.list_(pa.int64())),
-                        pa.array(values, pa.list_(pa.float64())),
+                        pa.array(lists, pa.list_(pa.int32())),
+                        pa.array(counts, pa.list_(pa.int32())),
                     ],
-                    names=["label", "drawn", "places", "values"],
+                    names=["label", "drawn", "places", "counts"],
                 )
 
     return run
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of a column of lists, and all their numbers in a row, as longs."""
+    lengths = pc.list_value_length(column).to_numpy().astype(np.int64)
+    return lengths, pc.list_flatten(column).to_numpy().astype(np.int64)
+
+
 def _sample(rows: DataFrame, labels: DataFrame, label: str, key: str, text: str) -> DataFrame:
     """At most MAX_SAMPLE labelled rows of either class, stored: label, drawn, text."""
     known = (
@@ -228,19 +238,22 @@ def fit(
         .collect()
     )
     hashes = np.sort(np.array([r["feature"] for r in chosen], dtype=np.int64).view(np.uint64))
+    # At most 2 * MAX_SAMPLE rows of chosen features; as Arrow columns, not as Python lists of numbers.
     found = (
         sample.select("label", "drawn", "text")
-        .mapInArrow(_features_of(hashes), "label long, drawn long, places array<long>, values array<double>")
+        .mapInArrow(_features_of(hashes), "label long, drawn long, places array<int>, counts array<int>")
         .orderBy("drawn")
-        .toPandas()  # at most 2 * MAX_SAMPLE rows of chosen features
+        .select("label", "places", "counts")
+        .toArrow()
+        .combine_chunks()
     )
-    lengths = found["places"].map(len).to_numpy()
+    given = found.column("label").to_numpy().astype(float)
+    lengths, place = _lists(found.column("places"))
+    value = 1 + np.log(_lists(found.column("counts"))[1])
     text_of = np.repeat(np.arange(len(found)), lengths)
-    joined = [np.concatenate([np.asarray(x) for x in found[c]] or [np.zeros(0)]) for c in ("places", "values")]
-    given = found["label"].to_numpy().astype(float)
     marks = [given * (lengths >= degree) for degree in severity]
     folds = np.arange(len(found)) % FOLDS
-    return fit_chain(hashes, text_of, joined[0].astype(np.int64), joined[1], np.column_stack([*marks, given]), folds)
+    return fit_chain(hashes, text_of, place, value, np.column_stack([*marks, given]), folds)
 
 
 def _score(chain: Chain | None, categories: int):

@@ -126,3 +126,18 @@ def test_op1_passes_small_batches(spark, tmp_path, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert most <= 1024 and rows == 5_000
+
+
+def test_sample_comes_as_columns(given, monkeypatch):
+    """The features to learn from reach the driver as Arrow columns, never as Python rows of lists."""
+    fitted, (documents, labels) = [], given
+    monkeypatch.setattr(type(documents), "toPandas", lambda self: pytest.fail("rows of lists"))
+    monkeypatch.setattr(toxicity, "fit_chain", lambda *a: fitted.append(a))
+    toxicity.fit(documents, labels)
+    hashes, text, place, value, marks, folds = fitted[0]
+    drawn = toxicity._sample(documents, labels, "toxic", "doc_id", "text").orderBy("drawn").collect()
+    assert len(drawn) == len(marks) == len(folds) and [r.label for r in drawn] == marks[:, -1].tolist()
+    for k in range(0, len(drawn), 97):
+        (piece,) = toxicity.pieces(toxicity._lowered(pa.array([drawn[k].text])))
+        _, places, values = toxicity.Chain(hashes, [], [], []).lookup(*toxicity.features(piece))
+        assert place[text == k].tolist() == places.tolist() and value[text == k].tolist() == values.tolist()
