@@ -49,17 +49,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.llm.textarrays import pieces, word_hashes, words
-from salesops.session import materialize, merged, small_side, written
+from salesops.session import TASK_ROWS, materialize, small_side, written
 
 CLASSES = 256
+# Bytes of texts handled at once: their hashes stay in a core's cache.
+PIECE = 1 << 18
 FREQUENT = 1 << 17
 FREQUENT_PAIRS = 1 << 20
-# Pairs counted by a task before it passes them on, and slices in which pairs are counted, to hold less on disk at once.
-HELD_PAIRS = 1 << 22
-SLICES = 2
+# Words or pairs counted by a task before it passes them on; tokens learned per bucket of words or pairs that go to one task.
+HELD_PAIRS = 1 << 21
+BUCKET_TOKENS = 1 << 20
+# Unlisted pairs that a task holds before it passes them on, and parts of the texts that are scored one after the other,
+# to hold less on disk at once.
+HELD_ASKED = 1 << 19
+PARTS = 2
 # Added to the count of a pair that an asked text has.
 ASKED = 1 << 40
-# Dishes of a restaurant in one row; a larger restaurant has several rows.
+# Dishes of a listed word's restaurant in one row; a larger restaurant has several rows.
 DISHES = 4096
 BURN_IN, SWEEPS = 3, 6
 # Counts up to here have their numbers of tables drawn from the exact distribution.
@@ -76,7 +82,7 @@ def held_out(key: str = "doc_id") -> Column:
 
 def tokens(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, token hashes (each text's words and its end), and the bounds of the texts, a piece at a time."""
-    for piece in pieces(texts):
+    for piece in pieces(texts, PIECE):
         found = words(piece)
         rows = len(piece)
         bounds = found.of_text + np.arange(rows + 1)
@@ -87,12 +93,90 @@ def tokens(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield piece.first, stream, bounds
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        streams = [stream for _, stream, _ in tokens(batch.column(0))]
-        if streams:
-            found, counts = np.unique(np.concatenate(streams), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["word", "count"])
+class Finder:
+    """Where 64-bit keys stand among sorted distinct ones, by a table of slots; a search serves slots that several share."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        bits = max(len(keys).bit_length() + 2, 8)
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.table = np.full(1 << bits, -1, dtype=np.int32)
+        slots, at = self._slots(keys), np.arange(len(keys), dtype=np.int32)
+        self.table[slots] = at
+        self.table[slots[self.table[slots] != at]] = -2
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def place(self, asked: np.ndarray) -> np.ndarray:
+        """-1 where a key is not among them."""
+        if not len(self.keys):
+            return np.full(len(asked), -1)
+        at = self.table[self._slots(asked)]
+        found = np.where(self.keys[np.maximum(at, 0)] == asked, at, -1).astype(np.int64)
+        shared = np.flatnonzero(at == -2)
+        if len(shared):
+            there = np.minimum(np.searchsorted(self.keys, asked[shared]), len(self.keys) - 1)
+            found[shared] = np.where(self.keys[there] == asked[shared], there, -1)
+        return found
+
+
+def _spread(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """One of so many buckets for each 64-bit key."""
+    return (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+def _blobs(lengths: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Consecutive runs of numbers (or rows of as many numbers), each as one binary value."""
+    values = np.ascontiguousarray(values)
+    width = values.itemsize * math.prod(values.shape[1:])
+    bounds = (np.concatenate([[0], np.cumsum(lengths)]) * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(values)])
+
+
+def _runs(column: pa.Array | pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binary values in a row, and how many each has."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    if not len(column) or column.null_count == len(column):
+        return np.zeros(0, kind), np.zeros(len(column), dtype=np.int64)
+    bounds = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
+    return data.view(kind), np.diff(bounds) // np.dtype(kind).itemsize
+
+
+def _flat(column: pa.Array | pa.ChunkedArray, kind) -> np.ndarray:
+    return _runs(column, kind)[0]
+
+
+def _parcels(buckets: np.ndarray, **columns: np.ndarray) -> dict[str, pa.Array]:
+    """Per bucket one row, which holds its part of each column as a binary value: Spark then moves few rows."""
+    small = buckets.astype(np.uint16) if len(buckets) and buckets.max() < 1 << 16 else buckets
+    order = np.argsort(small, kind="stable")
+    sorted_ = buckets[order]
+    at = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])[: len(order)])
+    lengths = np.diff(np.append(at, len(order)))
+    return {"bucket": pa.array(sorted_[at].astype(np.int32)), **{name: _blobs(lengths, values[order]) for name, values in columns.items()}}
+
+
+def _rows_of(names: list[str], kind: int, parcels: dict[str, pa.Array]) -> pa.RecordBatch:
+    """Parcels of a kind; columns they lack are null."""
+    rows = len(parcels["bucket"])
+    given = {"kind": pa.array(np.full(rows, kind, dtype=np.int8)), **parcels}
+    return pa.RecordBatch.from_arrays([given[n] if n in given else pa.nulls(rows, pa.binary()) for n in names], names=names)
+
+
+def _few(batch: pa.RecordBatch, rows: int = 16) -> Iterator[pa.RecordBatch]:
+    """Parcels a few at a time: the JVM holds them several times over."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
+def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, sorted, and the sums of their values."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[at], *(np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values)
 
 
 class Lexicon(NamedTuple):
@@ -153,48 +237,109 @@ def _joined(contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _count_pairs(lexicon: Lexicon, slice_: int):
-    """Of texts (``text``, ``learned``, ``asked``) the pairs of one slice with the times they are learned, plus ``ASKED``
-    where an asked text has them. The first slice also counts pairs of classes (``context`` null).
+_WORDS = "bucket int, word binary, count binary"
+
+
+def _count_words(buckets: int):
+    """Words and their counts, in parcels by the hash of the word."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        parcels = _parcels(_spread(found, buckets), word=found, count=counts)
+        return pa.RecordBatch.from_arrays(list(parcels.values()), names=list(parcels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for _, stream, _ in tokens(batch.column(0)):
+                held.append(stream)
+                size += len(stream)
+                if size > HELD_PAIRS:
+                    yield from _few(counted(held))
+                    held, size = [], 0
+        if held:
+            yield from _few(counted(held))
+
+    return run
+
+
+def _word_counts(parcels: pa.Table) -> pa.Table:
+    found, counts = _sums(_flat(parcels.column("word"), np.uint64), _flat(parcels.column("count"), np.int64))
+    return pa.Table.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["word", "count"])
+
+
+_PAIRS = "bucket int, context binary, word binary, count binary"
+
+
+def _count_pairs(lexicon: Lexicon, buckets: int):
+    """Of texts (``text``, ``learned``, ``asked``) the pairs with the times they are learned, plus ``ASKED`` where an asked
+    text has them, in parcels by the hash of the pair. The last bucket has the pairs of classes, as ``word``.
     """
     own, side = lexicon.own(), lexicon.rare + 1
-    names = ["context", "word", "count"]
+    names = ["bucket", "context", "word", "count"]
 
     def counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        contexts, found, joined, times, asked = (np.concatenate(x) for x in zip(*held, strict=True))
+        contexts, found, marks = (np.concatenate(x) for x in zip(*held, strict=True))
+        joined = _joined(contexts, found)
         order = np.argsort(joined)
-        joined = joined[order]
+        joined, marks = joined[order], marks[order]
         at = np.flatnonzero(np.append(True, joined[1:] != joined[:-1])[: len(joined)])
-        counts = np.add.reduceat(times[order].astype(np.int64), at) if len(at) else np.zeros(0, dtype=np.int64)
-        counts += ASKED * np.maximum.reduceat(asked[order], at).astype(np.int64) if len(at) else 0
+        counts = np.add.reduceat((marks & 1).astype(np.int64), at) + ASKED * (np.bitwise_or.reduceat(marks, at) >> 1).astype(np.int64)
         first = order[at]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(contexts[first].view(np.int64)), pa.array(found[first].view(np.int64)), pa.array(counts)], names=names
-        )
+        parcels = _parcels(_spread(joined[at], buckets), context=contexts[first], word=found[first], count=counts)
+        return pa.RecordBatch.from_arrays(list(parcels.values()), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        classed, size = np.zeros(side * side, dtype=np.int64), 0
+        classed, size, finder = np.zeros(side * side, dtype=np.int64), 0, Finder(own.words)
         for batch in batches:
-            learned, asked = (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (1, 2))
+            learned, asked = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.uint8) for k in (1, 2))
             for first, stream, bounds in tokens(batch.column(0)):
-                row = np.repeat(np.arange(first, first + len(bounds) - 1), np.diff(bounds))
-                before = _before(stream, bounds, _END)
-                if not slice_:
-                    classes, _ = own.find(stream)
-                    at = _before(classes, bounds, 0) * side + classes
-                    classed += np.bincount(at[learned[row]], minlength=side * side)
-                joined = _joined(before, stream)
-                here = (joined >> np.uint64(32)) % np.uint64(SLICES) == np.uint64(slice_)
-                held.append((before[here], stream[here], joined[here], learned[row[here]], asked[row[here]]))
-                size += len(held[-1][0])
+                rows = slice(first, first + len(bounds) - 1)
+                marks = np.repeat(learned[rows] + 2 * asked[rows], np.diff(bounds))
+                classes, _ = own.at(finder.place(stream))
+                at = _before(classes, bounds, 0) * side + classes
+                classed += np.bincount(at[marks & 1 > 0], minlength=side * side)
+                held.append((_before(stream, bounds, _END), stream, marks))
+                size += len(stream)
                 if size > HELD_PAIRS:
-                    yield counted(held)
+                    yield from _few(counted(held))
                     held, size = [], 0
         if held:
-            yield counted(held)
+            yield from _few(counted(held))
         met = np.flatnonzero(classed)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(met), pa.int64()), pa.array(met), pa.array(classed[met])], names=names)
+        parcels = _parcels(np.full(len(met), buckets), context=met, word=met, count=classed[met])
+        yield pa.RecordBatch.from_arrays(list(parcels.values()), names=names)
+
+    return run
+
+
+def _wanted_pairs(lexicon: Lexicon, buckets: int):
+    """Of the parcels of a bucket the pairs to store: learned repeatedly, or once and asked for, or of two words that the
+    lexicon lacks. Pairs of classes have no context.
+    """
+    names = ["context", "word", "count"]
+
+    def run(parcels: pa.Table) -> pa.Table:
+        contexts, found = (_flat(parcels.column(c), np.uint64) for c in ("context", "word"))
+        counts = _flat(parcels.column("count"), np.int64)
+        if parcels.num_rows and parcels.column("bucket")[0].as_py() == buckets:
+            word, count = _sums(found, counts)
+            return pa.Table.from_arrays([pa.nulls(len(word), pa.int64()), pa.array(word.view(np.int64)), pa.array(count)], names=names)
+        joined = _joined(contexts, found)
+        order = np.argsort(joined)
+        joined = joined[order]
+        at = np.flatnonzero(np.append(True, joined[1:] != joined[:-1])[: len(joined)])
+        counts = np.add.reduceat(counts[order], at) if len(at) else counts
+        first = order[at]
+        learned = counts % ASKED
+        wanted = (learned > 1) | (learned == 1) & (counts > ASKED)
+        other, finder = np.flatnonzero(~wanted), Finder(lexicon.words)
+        other = other[finder.place(found[first[other]]) < 0]
+        wanted[other[finder.place(contexts[first[other]]) < 0]] = True
+        first, learned = first[wanted], learned[wanted]
+        return pa.Table.from_arrays([pa.array(contexts[first].view(np.int64)), pa.array(found[first].view(np.int64)), pa.array(learned)], names=names)
 
     return run
 
@@ -521,12 +666,16 @@ class Classes:
         self.probabilities = _predictive(counts, tables, self.parent[None, :], discount_)
 
 
-_CELL = "struct<word:long,dish:int,count:long,inside:double>"
+# Numbers of a restaurant's dishes are binary values, which Spark passes on as they are: of repeated dishes, and of ``once``.
+_CELLS = {"word": np.int64, "dish": np.int16, "count": np.int64, "inside": np.float64}
+_ONCE = {f"once_{name}": kind for name, kind in _CELLS.items()}
+_SEATED = {"tables": np.int32, "opened": np.int64, "seated": np.int32}
+_KEPT = ["context", "chunk", "chunks", "class", "customers", "singles", *_CELLS, *_ONCE]
 _STATE = (
-    f"context long, chunk int, chunks int, class int, customers long, singles long, cells array<{_CELL}>,"
-    " tables array<int>, opened array<int>, seated array<int>, totals array<long>"
+    "context long, chunk int, chunks int, class int, customers long, singles long, "
+    + ", ".join(f"{c} binary" for c in (*_CELLS, *_ONCE, *_SEATED))
+    + ", totals array<long>"
 )
-_KEPT = ["context", "chunk", "chunks", "class", "customers", "singles", "cells"]
 
 
 def _release(spark: SparkSession, *paths: str) -> None:
@@ -552,9 +701,8 @@ def _sweep(parent: np.ndarray, discount_: float, sweep: int):
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             contexts = get["context"].to_numpy().view(np.uint64)
             chunks, classes, whole, singles = (get[c].to_numpy() for c in ("chunk", "class", "whole", "singles"))
-            rows, dishes = batch.num_rows, np.diff(get["cells"].offsets.to_numpy())
-            flat = get["cells"].flatten()
-            found, dish, counts, inside = (flat.field(k).to_numpy() for k in range(4))
+            rows, dishes = batch.num_rows, _runs(get["word"], np.int64)[1]
+            found, dish, counts, inside = (_flat(get[c], kind) for c, kind in _CELLS.items())
             of = np.repeat(np.arange(rows), dishes)
             crowd = crowds(whole + singles, STRENGTH, discount_, contexts, sweep)
             pulls = crowd[of] * parent[classes[of], dish] * inside
@@ -564,36 +712,40 @@ def _sweep(parent: np.ndarray, discount_: float, sweep: int):
             tables[few] = drawn_tables(counts[few], pulls[few], weights, _uniform(keys[few], _DRAWS * sweep))
             many, old = counts[~few], None
             if sweep:
-                old = Seating(many, get["tables"].flatten().to_numpy()[~few].astype(np.int64), get["opened"].flatten().to_numpy().astype(np.int64))
+                old = Seating(many, _flat(get["tables"], np.int32)[~few].astype(np.int64), _flat(get["opened"], np.int64))
             seed = [_SEED, sweep, int(contexts[0]) if rows else 0, int(chunks[0]) if rows else 0]
             seating = reseated(old, many, pulls[~few], discount_, np.random.default_rng(seed))
             tables[~few] = seating.tables
             own = np.bincount(of, weights=tables, minlength=rows).astype(np.int64)
             opened = np.bincount(of[~few], weights=seating.tables, minlength=rows).astype(np.int64)
-            seated = get["seated"].flatten().to_numpy() if sweep else np.zeros(len(counts), dtype=np.int32)
+            seated = _flat(get["seated"], np.int32) if sweep else np.zeros(len(counts), dtype=np.int32)
             before = get["totals"].flatten().to_numpy().reshape(rows, -1) if sweep else np.zeros((rows, 0), np.int64)
             totals = np.column_stack([before, own])
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(get[c] for c in _KEPT), _lists(dishes, tables.astype(np.int32)), _lists(opened, seating.opened.astype(np.int32)),
-                    _lists(dishes, (seated + tables * (sweep >= BURN_IN)).astype(np.int32)), _lists(np.full(rows, totals.shape[1]), totals.ravel()),
+                    *(get[c] for c in _KEPT), _blobs(dishes, tables.astype(np.int32)), _blobs(opened, seating.opened),
+                    _blobs(dishes, (seated + tables * (sweep >= BURN_IN)).astype(np.int32)), _lists(np.full(rows, totals.shape[1]), totals.ravel()),
                 ],
-                names=[*_KEPT, "tables", "opened", "seated", "totals"],
+                names=[*_KEPT, *_SEATED, "totals"],
             )
 
     return run
 
 
-def _class_tables(side: int):
+def _class_tables(side: int, kind):
+    """By class of the context and of the dish: sums of what the third column has by dish, and how often that is two."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(side * side, dtype=np.int64)
+        total, twos = np.zeros(side * side, dtype=np.int64), np.zeros(side * side, dtype=np.int64)
         for batch in batches:
-            of = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
-            dish, tables = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
-            total += np.bincount(of.astype(np.int64) * side + dish, weights=tables, minlength=side * side).astype(np.int64)
+            dish, dishes = _runs(batch.column(1), _CELLS["dish"])
+            tables = _flat(batch.column(2), kind)
+            at = np.repeat(batch.column(0).to_numpy(), dishes).astype(np.int64) * side + dish
+            total += np.bincount(at, weights=tables, minlength=side * side).astype(np.int64)
+            twos += np.bincount(at[tables == 2], minlength=side * side)
         met = np.flatnonzero(total)
-        columns = [pa.array(met // side), pa.array(met % side), pa.array(total[met])]
-        yield pa.RecordBatch.from_arrays(columns, names=["class", "dish", "tables"])
+        columns = [pa.array(x) for x in (met // side, met % side, total[met], twos[met])]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", "dish", "tables", "twos"])
 
     return run
 
@@ -605,6 +757,16 @@ def _dense(rows: DataFrame, side: int) -> np.ndarray:
     return found
 
 
+def _dense_tables(state: DataFrame, column: str, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """By class of the context and of the dish: sums of a column of the dishes, and how often it is two."""
+    kind = {**_CELLS, **_SEATED}[column]
+    found = state.select("class", "dish", column).mapInArrow(_class_tables(side, kind), "class long, dish long, tables long, twos long")
+    sums, twos = (np.zeros((side, side), dtype=np.int64) for _ in range(2))
+    for r in found.groupBy("class", "dish").agg(F.sum("tables").alias("tables"), F.sum("twos").alias("twos")).collect():  # at most side * side rows
+        sums[r["class"], r["dish"]], twos[r["class"], r["dish"]] = r["tables"], r["twos"]
+    return sums, twos
+
+
 class Samples(NamedTuple):
     """What the sweeps after burn-in leave: probabilities of classes by sweep, and the discount of words' restaurants."""
 
@@ -636,65 +798,41 @@ def _totals(lists: pa.Array, customers: np.ndarray) -> np.ndarray:
     return found
 
 
-def _placed(lexicon: Lexicon, rare: Rare):
-    """Pairs with what the lexicon holds of both words; ``inside`` is null where it lacks the second."""
-    names = ["context", "word", "count", "class", "dish", "of_context", "of_word", "inside"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes, of_context = lexicon.find(batch.column(0).to_numpy().view(np.uint64))
-            dishes, of_word = lexicon.find(batch.column(1).to_numpy().view(np.uint64))
-            inside = pa.array(_inside(lexicon, rare, dishes, of_word), mask=of_word < 0)
-            added = [pa.array(classes.astype(np.int32)), pa.array(dishes.astype(np.int32)), pa.array(of_context), pa.array(of_word), inside]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
-
-    return run
-
-
 def _inside(lexicon: Lexicon, rare: Rare, dishes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Probability of words within their classes, by their counts."""
     return np.where(dishes == lexicon.rare, rare.of(counts), 1.0)
 
 
-_CELLS = "context long, word long, class int, dish int, count long, inside double, customers long"
-
-
-def _looked_up(lexicon: Lexicon, rare: Rare):
-    """Cells of pairs of which a word was looked up."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dish, counts = (batch.column(k).to_numpy() for k in (3, 5))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(_inside(lexicon, rare, dish, counts)), batch.column(6)],
-                names=["context", "word", "class", "dish", "count", "inside", "customers"],
-            )
-
-    return run
-
-
 _FITTED = "pair long, context long, word long, count long, log double, seen float, unseen float"
 
 
-def _finished(samples: Samples):
-    """Cells with the logarithm of their probability, and by how much it is above that of a pair seen once (``seen``) or never."""
+def _finished(samples: Samples, lexicon: Lexicon):
+    """Cells with the logarithm of their probability, and by how much it is above that of a pair seen once (``seen``) or never;
+    above nothing if the lexicon has neither word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(lexicon.words)
         for batch in batches:
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            customers = get["customers"].to_numpy()
-            weights = samples.weights(customers, _totals(get["kept"], customers))
-            of = np.repeat(np.arange(batch.num_rows), np.diff(get["cells"].offsets.to_numpy()))
-            word, dish, counts, inside = (get["cells"].flatten().field(k).to_numpy() for k in range(4))
-            contexts, customers = get["context"].to_numpy()[of], customers[of]
-            backed = samples.backed(weights[of], get["class"].to_numpy()[of], dish) * inside
-            own = (counts - samples.discount * get["seated"].flatten().to_numpy() / SWEEPS) / (STRENGTH + customers)
-            logs = np.log10(own + backed)
-            columns = [
-                _joined(contexts.view(np.uint64), word.view(np.uint64)).view(np.int64), contexts, word, counts, logs,
-                (logs - np.log10(samples.single(customers) + backed)).astype(np.float32), (logs - np.log10(backed)).astype(np.float32),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pair", "context", "word", "count", "log", "seen", "unseen"])
+            all_contexts, all_customers, all_classes = (get[c].to_numpy() for c in ("context", "customers", "class"))
+            all_weights = samples.weights(all_customers, _totals(get["kept"], all_customers))
+            lacks = finder.place(all_contexts.view(np.uint64)) < 0
+            for once, names in enumerate((_CELLS, _ONCE)):
+                word, dish, counts, inside = (_flat(get[c], kind) for c, kind in names.items())
+                seated = counts if once else _flat(get["seated"], _SEATED["seated"]) / SWEEPS
+                of = np.repeat(np.arange(batch.num_rows), _runs(get[next(iter(names))], np.int64)[1])
+                contexts, customers = all_contexts[of], all_customers[of]
+                backed = samples.backed(all_weights[of], all_classes[of], dish) * inside
+                logs = np.log10((counts - samples.discount * seated) / (STRENGTH + customers) + backed)
+                lone = lacks[of]
+                lone[lone] = finder.place(word[lone].view(np.uint64)) < 0
+                seen, unseen = (np.where(lone, logs, logs - np.log10(x + backed)) for x in (samples.single(customers), 0.0))
+                columns = [
+                    _joined(contexts.view(np.uint64), word.view(np.uint64)).view(np.int64), contexts, word, counts, logs,
+                    seen.astype(np.float32), unseen.astype(np.float32),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pair", "context", "word", "count", "log", "seen", "unseen"])
 
     return run
 
@@ -714,88 +852,182 @@ class Model(NamedTuple):
         return _inside(self.lexicon, self.rare, dishes, counts)
 
 
-def _cells(texts: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare) -> tuple[DataFrame, str, np.ndarray]:
-    """Stored pairs that are learned repeatedly, or once and asked for, with what their restaurants need; the folder; pairs of classes.
+def _counts_by_word(lexicon: Lexicon, buckets: int, names: list[str], kind: int, key: str, value: str):
+    """Parcels of the words that the lexicon lacks, by their hash, and of their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(lexicon.words)
+        for batch in batches:
+            words_, counts = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            lacks = finder.place(words_) < 0
+            words_ = words_[lacks]
+            yield _rows_of(names, kind, _parcels(_spread(words_, buckets), **{key: words_, value: counts[lacks]}))
+
+    return run
+
 
-    All pairs are counted, a slice at a time; those learned once that nothing asks for are known by their absence.
+_PLACED = ["bucket", "kind", "context", "word", "count", "inside"]
+_PLACED_ROWS = "bucket int, kind byte, context binary, word binary, count binary, inside binary"
+# Kinds of parcels: pairs, and counts of words.
+_PAIRS_, _COUNTS = 0, 1
+
+
+def _chunks(lexicon: Lexicon, place: np.ndarray) -> np.ndarray:
+    """Rows of the restaurant of each context: a word that is learned n times has n / 2 repeated dishes at most."""
+    if not len(lexicon.words):
+        return np.ones(len(place), dtype=np.int64)
+    return np.where(place >= 0, np.maximum(-(-lexicon.counts[place] // (2 * DISHES)), 1), 1)
+
+
+def _chunk(chunks: np.ndarray, contexts: np.ndarray, words_: np.ndarray) -> np.ndarray:
+    return np.where(chunks > 1, _joined(words_, contexts) % chunks.astype(np.uint64), 0).astype(np.int64)
+
+
+def _by_context(lexicon: Lexicon, finder: Finder, buckets: int, contexts, words_, counts, inside) -> dict[str, pa.Array]:
+    """Parcels of pairs by the row of a restaurant that has them."""
+    chunks = _chunks(lexicon, finder.place(contexts))
+    keys = np.where(chunks > 1, _joined(contexts, _chunk(chunks, contexts, words_).astype(np.uint64)), contexts)
+    return _parcels(_spread(keys, buckets), context=contexts, word=words_, count=counts, inside=inside)
+
+
+def _placed(lexicon: Lexicon, rare: Rare, buckets: int, lacking: bool):
+    """Parcels of the pairs whose word the lexicon lacks, by that word; or of the others, by context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(lexicon.words)
+        for batch in batches:
+            contexts, found = (batch.column(k).to_numpy().view(np.uint64) for k in range(2))
+            counts, place = batch.column(2).to_numpy(), finder.place(found)
+            here = place < 0 if lacking else place >= 0
+            contexts, found, counts = contexts[here], found[here], counts[here]
+            if lacking:
+                parcels = _parcels(_spread(found, buckets), context=contexts, word=found, count=counts)
+            else:
+                dish, of_word = lexicon.at(place[here])
+                parcels = _by_context(lexicon, finder, buckets, contexts, found, counts, _inside(lexicon, rare, dish, of_word))
+            yield _rows_of(_PLACED, _PAIRS_, parcels)
+
+    return run
+
+
+def _split(parcels: pa.Table, *kinds: int) -> list[pa.Table]:
+    held = parcels.column("kind").to_numpy()
+    return [parcels.filter(pa.array(held == kind)) for kind in kinds]
+
+
+def _found_words(lexicon: Lexicon, rare: Rare, buckets: int):
+    """Pairs of the words of a bucket with their probabilities within RARE, in parcels by context."""
+
+    def run(parcels: pa.Table) -> pa.Table:
+        pairs, counted = _split(parcels, _PAIRS_, _COUNTS)
+        contexts, found = (_flat(pairs.column(c), np.uint64) for c in ("context", "word"))
+        known, of_word = _sorted(_flat(counted.column("context"), np.uint64), _flat(counted.column("count"), np.int64))
+        at = Finder(known).place(found)
+        inside = rare.of(np.append(of_word, 0)[at])
+        return pa.Table.from_batches([
+            _rows_of(_PLACED, _PAIRS_, _by_context(lexicon, Finder(lexicon.words), buckets, contexts, found, _flat(pairs.column("count"), np.int64), inside))
+        ])
+
+    return run
+
+
+def _sorted(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(keys)
+    return keys[order], *(v[order] for v in values)
+
+
+_OPENED = (
+    "context long, chunk int, chunks int, class int, customers long, repeated long, dishes long, "
+    + ", ".join(f"{c} binary" for c in (*_CELLS, *_ONCE))
+)
+
+
+def _restaurants(lexicon: Lexicon):
+    """Of the parcels of a bucket the rows of restaurants: their repeated dishes, and apart (``once``) the others."""
+
+    def run(parcels: pa.Table) -> pa.Table:
+        pairs, counted = _split(parcels, _PAIRS_, _COUNTS)
+        contexts, found = (_flat(pairs.column(c), np.uint64) for c in ("context", "word"))
+        counts, inside = _flat(pairs.column("count"), np.int64), _flat(pairs.column("inside"), np.float64)
+        known, of_context = _sorted(_flat(counted.column("context"), np.uint64), _flat(counted.column("count"), np.int64))
+        finder = Finder(lexicon.words)
+        place = finder.place(contexts)
+        chunks = _chunks(lexicon, place)
+        chunk = _chunk(chunks, contexts, found)
+        order = np.lexsort((found.view(np.int64), chunk, contexts))
+        contexts, found, counts, inside, place, chunks, chunk = (x[order] for x in (contexts, found, counts, inside, place, chunks, chunk))
+        new = np.append(True, (contexts[1:] != contexts[:-1]) | (chunk[1:] != chunk[:-1]))[: len(order)]
+        at, of = np.flatnonzero(new), np.cumsum(new) - 1
+        classes, customers = lexicon.at(place[at])
+        lacks = place[at] < 0
+        # A context that only asked texts have has no customers.
+        customers = np.where(lacks, np.append(of_context, 0)[Finder(known).place(contexts[at])], customers)
+        dish, _ = lexicon.find(found)
+        columns = {
+            "context": contexts[at].view(np.int64), "chunk": chunk[at].astype(np.int32), "chunks": chunks[at].astype(np.int32),
+            "class": classes.astype(np.int32), "customers": customers,
+        }
+        repeated = counts > 1
+        columns["repeated"] = np.bincount(of, weights=np.where(repeated, counts, 0), minlength=len(at)).astype(np.int64)
+        columns["dishes"] = np.bincount(of[repeated], minlength=len(at))
+        arrays = {name: pa.array(values) for name, values in columns.items()}
+        for names, here in ((_CELLS, repeated), (_ONCE, ~repeated)):
+            lengths = np.bincount(of[here], minlength=len(at))
+            for (name, kind), values in zip(names.items(), (found.view(np.int64), dish, counts, inside), strict=True):
+                arrays[name] = _blobs(lengths, values[here].astype(kind))
+        return pa.Table.from_pydict(arrays)
+
+    return run
+
+
+def _cells(texts: DataFrame, counted: DataFrame, lexicon: Lexicon, rare: Rare, buckets: int) -> tuple[DataFrame, str, np.ndarray, int]:
+    """Parcels by context of the stored pairs (``_wanted_pairs``), with the probabilities of their words within RARE; the
+    folder; pairs of classes; how many are stored. All pairs are counted; those learned once that are not stored are known by their absence.
     """
     spark, side = texts.sparkSession, lexicon.rare + 1
-    slices = []
-    for slice_ in range(SLICES):
-        times = (
-            texts.select("text", "learned", "asked")
-            .mapInArrow(_count_pairs(lexicon, slice_), "context long, word long, count long")
-            .groupBy("context", "word").agg(F.sum("count").alias("count"))
-        )
-        learned = F.when(F.col("context").isNull(), F.col("count")).otherwise(F.col("count") % ASKED)
-        wanted = F.col("context").isNull() | (F.col("learned") > 1) | (F.col("learned") == 1) & (F.col("count") > ASKED)
-        slices.append(written(times.withColumn("learned", learned).where(wanted).select("context", "word", F.col("learned").alias("count"))))
-    pairs = slices[0][0]
-    for frame, _ in slices[1:]:
-        pairs = pairs.unionByName(frame)
+    pairs, of_pairs = written(
+        texts.select("text", "learned", "asked")
+        .mapInArrow(_count_pairs(lexicon, buckets), _PAIRS)
+        .groupBy("bucket").applyInArrow(_wanted_pairs(lexicon, buckets), "context long, word long, count long")
+    )
     most = pairs.count()
     classed = pairs.where("context is null").select(F.floor(F.col("word") / side).alias("class"), (F.col("word") % side).alias("dish"), F.col("count").alias("tables"))
-    classed = _dense(classed, side)
-
-    placed = pairs.where("context is not null").mapInArrow(
-        _placed(lexicon, rare), "context long, word long, count long, class int, dish int, of_context long, of_word long, inside double"
-    )
-    others = (
-        placed.where("of_context < 0 or of_word < 0").drop("of_context", "of_word", "inside")
-        .join(counted.select("word", F.col("count").alias("of_word")), "word")
-        .join(counted.select(F.col("word").alias("context"), F.col("count").alias("of_context")), "context")
-        .select("context", "word", "class", "dish", "count", "of_word", "of_context")
-        .mapInArrow(_looked_up(lexicon, rare), _CELLS)
-    )
-    cells, folder = written(
-        placed.where("of_context >= 0 and of_word >= 0")
-        .select("context", "word", "class", "dish", "count", "inside", F.col("of_context").alias("customers"))
-        .unionByName(others),
-        most_rows=most,
-    )
-    _release(spark, *(path for _, path in slices))
-    return cells, folder, classed
-
-
-def _restaurants(cells: DataFrame) -> DataFrame:
-    """Restaurants with their repeated dishes, in several rows where these are many. ``whole``: dishes of all rows."""
-    repeated = cells.where("count > 1")
-    sizes = repeated.groupBy("context").agg(F.count(F.lit(1)).alias("dishes"), F.sum("count").alias("repeated"))
-    large = small_side(sizes.where(F.col("dishes") > DISHES))
-    return (
-        repeated.join(large, "context", "left")
-        .withColumn("chunks", F.coalesce(F.ceil(F.col("dishes") / DISHES), F.lit(1)).cast("int"))
-        .withColumn("chunk", F.pmod(F.xxhash64("word"), "chunks").cast("int"))
-        .groupBy("context", "chunk")
-        .agg(
-            F.first("chunks").alias("chunks"), F.first("class").alias("class"), F.first("customers").alias("customers"),
-            (F.first("customers") - F.coalesce(F.first("repeated"), F.sum("count"))).alias("singles"),
-            F.sort_array(F.collect_list(F.struct("word", "dish", "count", "inside"))).alias("cells"),
-            F.coalesce(F.first("dishes"), F.count(F.lit(1))).alias("whole"),
-        )
+    classed, pairs = _dense(classed, side), pairs.where("context is not null")
+    lacking = (
+        pairs.mapInArrow(_placed(lexicon, rare, buckets, lacking=True), _PLACED_ROWS)
+        .unionByName(counted.select("word", "count").mapInArrow(_counts_by_word(lexicon, buckets, _PLACED, _COUNTS, "context", "count"), _PLACED_ROWS))
+        .groupBy("bucket").applyInArrow(_found_words(lexicon, rare, buckets), _PLACED_ROWS)
     )
+    cells, folder = written(pairs.mapInArrow(_placed(lexicon, rare, buckets, lacking=False), _PLACED_ROWS).unionByName(lacking), most_rows=most)
+    _release(spark, of_pairs)
+    return cells, folder, classed, most
 
 
-def _seated(cells: DataFrame, classed: np.ndarray, side: int) -> tuple[Samples, DataFrame, str]:
-    """The sweeps. Samples; the stored last state of the restaurants, with ``kept``, their tables by sweep; its folder."""
+def _seated(cells: DataFrame, counted: DataFrame, classed: np.ndarray, most: int, lexicon: Lexicon, buckets: int) -> tuple[Samples, DataFrame, str]:
+    """The sweeps over the restaurants of ``most`` pairs. Samples; the stored last state of the restaurants, with ``kept``, their tables by sweep; its folder."""
+    side = lexicon.rare + 1
+    asked = counted.select("word", "count").mapInArrow(_counts_by_word(lexicon, buckets, _PLACED, _COUNTS, "context", "count"), _PLACED_ROWS)
+    state, folder = written(cells.unionByName(asked).groupBy("bucket").applyInArrow(_restaurants(lexicon), _OPENED), most_rows=most)
     spark = cells.sparkSession
-    repeated = cells.where("count > 1")
-    of_repeated = repeated.groupBy("class", "dish").agg(F.sum("count").alias("tables"), F.sum((F.col("count") == 2).cast("long")).alias("twos"))
-    of_repeated, most = materialize(of_repeated), repeated.count()
-    customers = _dense(of_repeated, side)
+    # Each file of a state starts processes on its executor: one a core is enough.
+    files = max(spark.sparkContext.defaultParallelism, -(-state.count() // TASK_ROWS))
+    customers, twos = _dense_tables(state, "count", side)
     single = classed - customers
-    ones, twos = int(single.sum()), of_repeated.agg(F.sum("twos")).first()[0] or 0
+    ones, twos = int(single.sum()), int(twos.sum())
     discount_ = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
     classes, kept = Classes(side), []
-    state, folder = written(_restaurants(cells), most_rows=most)
-    empty = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("tables", "int"), ("opened", "int"), ("seated", "int"), ("totals", "long"))]
-    ready = state.select(*_KEPT, *empty, "whole")
+    several = state.where("chunks > 1").groupBy("context").agg(F.sum("dishes").alias("_whole"), F.sum("repeated").alias("_repeated"))
+    empty = [F.lit(None).cast("binary").alias(c) for c in _SEATED]
+    ready = (
+        state.join(small_side(several), "context", "left")
+        .withColumn("whole", F.coalesce("_whole", "dishes")).withColumn("singles", F.col("customers") - F.coalesce("_repeated", "repeated"))
+        .select(*_KEPT, *empty, F.array().cast("array<long>").alias("totals"), "whole")
+    )
     for sweep in range(BURN_IN + SWEEPS):
         before = folder
-        state, folder = written(merged(ready, most).mapInArrow(_sweep(classes.probabilities, discount_, sweep), _STATE))
+        state, folder = written(ready.coalesce(files).mapInArrow(_sweep(classes.probabilities, discount_, sweep), _STATE))
         _release(spark, before)
-        found = state.select("class", F.col("cells.dish").alias("dish"), "tables")
-        classes.sweep(single + _dense(found.mapInArrow(_class_tables(side), "class long, dish long, tables long"), side))
+        classes.sweep(single + _dense_tables(state, "tables", side)[0])
         # A restaurant of several rows needs the tables of all of them.
         own = F.element_at("totals", -1)
         several = state.where("chunks > 1").groupBy("context").agg(F.sum(own).alias("_whole"))
@@ -810,20 +1042,26 @@ def _seated(cells: DataFrame, classed: np.ndarray, side: int) -> tuple[Samples,
 
 
 class Fit(NamedTuple):
-    """A model; stored ``known`` words (``word``, ``count``, ``tables`` by sweep or null); lazy ``pairs``; what can go with them."""
+    """A model; stored ``counted`` words; stored ``contexts`` (``context``, ``customers``, ``kept``: tables by sweep) of which
+    pairs are stored, others have a table per customer; lazy ``pairs``; in how many buckets they go; what can go with them.
+    """
 
     model: Model
-    known: DataFrame
+    counted: DataFrame
+    contexts: DataFrame
     pairs: DataFrame
+    buckets: int
     folders: list[str]
 
 
 def _fit(texts: DataFrame) -> Fit:
-    """From texts (``text``, ``learned``, ``asked``) the model; ``pairs`` are those repeated, and those learned once that asked texts have."""
-    spark = texts.sparkSession
+    """From texts (``text``, ``learned``, ``asked``) the model; ``pairs`` are those of ``_wanted_pairs``."""
     learned = texts.where("learned").select("text")
-    counted, words_ = written(learned.mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")))
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    parcels = learned.mapInArrow(_count_words(2 * max(cores, learned.rdd.getNumPartitions())), _WORDS)
+    counted = materialize(parcels.groupBy("bucket").applyInArrow(_word_counts, "word long, count long"))
     total, distinct = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
+    buckets = max(2 * cores, -(-int(total) // BUCKET_TOKENS))
     lexicon = _lexicon(counted)
     own = lexicon.own().words.view(np.int64).tolist()
     by_count = (
@@ -834,23 +1072,15 @@ def _fit(texts: DataFrame) -> Fit:
         .collect()  # distinct counts: at most the square root of twice the tokens
     )
     rare = fit_rare(*(np.array([r[c] for r in by_count], dtype=np.int64) for c in ("count", "many")))
-    cells, of_cells, classed = _cells(texts, counted, lexicon, rare)
-    samples, state, of_state = _seated(cells, classed, lexicon.rare + 1)
+    cells, of_cells, classed, most = _cells(texts, counted, lexicon, rare, buckets)
+    samples, state, of_state = _seated(cells, counted, classed, most, lexicon, buckets)
     model = Model(lexicon, samples.classes.mean(axis=0), rare, int(total), int(distinct), samples)
-    of_word = F.col("context").alias("word")
-    several = state.where("chunks > 1").groupBy(of_word).agg(F.first("kept").alias("tables"))
-    tables = state.where("chunks = 1").select(of_word, F.col("kept").alias("tables")).unionByName(several)
-    known = materialize(counted.join(tables, "word", "left"), most_rows=2 * int(distinct))
-    _release(spark, words_)
-    once = (
-        cells.where("count = 1").join(known.select(F.col("word").alias("context"), F.col("tables").alias("kept")), "context")
-        .select(
-            "context", "class", "customers", "kept", F.array(F.struct("word", "dish", "count", "inside")).alias("cells"),
-            F.array(F.lit(SWEEPS)).alias("seated"),
-        )
-    )
-    rows = state.select("context", "class", "customers", "kept", "cells", "seated").unionByName(once)
-    return Fit(model, known, merged(rows, cells.count()).mapInArrow(_finished(samples), _FITTED), [of_cells, of_state])
+    # Chunks of a restaurant have the same tables by sweep.
+    contexts = state.where("customers > 0").select("context", "customers", "kept", "chunks")
+    of_chunks = contexts.where("chunks > 1").groupBy("context").agg(F.first("customers").alias("customers"), F.first("kept").alias("kept"))
+    contexts = materialize(contexts.where("chunks = 1").drop("chunks").unionByName(of_chunks), most_rows=int(distinct))
+    rows = state.select("context", "class", "customers", "kept", *_CELLS, *_ONCE, "seated")
+    return Fit(model, counted, contexts, rows.mapInArrow(_finished(samples, lexicon), _FITTED), buckets, [of_cells, of_state])
 
 
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
@@ -864,11 +1094,12 @@ def fit_all(training: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     """
     found = _fit(training.select("text", F.lit(True).alias("learned"), F.lit(True).alias("asked")))
     share = found.model.samples.discount
-    tables = F.coalesce("tables", F.array_repeat("count", SWEEPS))
+    tables = F.coalesce("kept", F.array_repeat("count", SWEEPS))
     weights = F.transform(tables, lambda t: (STRENGTH + share * t) / (STRENGTH + F.col("count")))
-    contexts = found.known.select(F.col("word").alias("context"), weights.alias("weights"), F.lit(1).alias("kind"))
+    contexts = found.counted.withColumnRenamed("word", "context").join(found.contexts.select("context", "kept"), "context", "left")
+    contexts = contexts.select("context", weights.alias("weights"), F.lit(1).alias("kind"))
     pairs = found.pairs.select("context", "word", "count", "log", F.lit(0).alias("kind"))
-    return found.model, found.known.select("word", "count"), pairs.unionByName(contexts, allowMissingColumns=True)
+    return found.model, found.counted.select("word", "count"), pairs.unionByName(contexts, allowMissingColumns=True)
 
 
 class Listed(NamedTuple):
@@ -877,13 +1108,6 @@ class Listed(NamedTuple):
     pairs: np.ndarray
     logs: np.ndarray
 
-    def find(self, pairs: np.ndarray) -> np.ndarray:
-        """Not a number where a pair is not in the list."""
-        if not len(self.pairs):
-            return np.full(len(pairs), np.nan)
-        place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        return np.where(self.pairs[place] == pairs, self.logs[place], np.nan)
-
 
 def _listed(pairs: DataFrame) -> Listed:
     """Only pairs of the least listed count are sorted: a sort of all would leave its shuffle on disk."""
@@ -901,84 +1125,73 @@ def _listed(pairs: DataFrame) -> Listed:
     return Listed(hashes[order], logs[order])
 
 
-def _listed_weights(model: Model, known: DataFrame) -> np.ndarray:
+def _listed_weights(model: Model, contexts: DataFrame) -> np.ndarray:
     """What the restaurants of the lexicon's words give their base, by sweep."""
     lexicon = model.lexicon
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(lexicon.words)
         for batch in batches:
-            place = lexicon.place(batch.column(0).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(place >= 0))
+            yield batch.filter(pa.array(finder.place(batch.column(0).to_numpy().view(np.uint64)) >= 0))
 
-    # All listed words have at least the least listed count.
-    frequent = known.where(F.col("count") >= int(lexicon.counts.min()) if len(lexicon.counts) else F.lit(False))
-    rows = frequent.mapInArrow(run, known.schema).toArrow().combine_chunks()  # as many as the lexicon has words
-    found = np.ones((len(lexicon.words), SWEEPS))
+    found = model.samples.weights(lexicon.counts, np.repeat(lexicon.counts[:, None], SWEEPS, axis=1))
+    rows = contexts.mapInArrow(run, contexts.schema).toArrow().combine_chunks()  # at most as many as the lexicon has words
     if rows.num_rows:
-        word, counts, tables = (rows.column(k).combine_chunks() for k in range(3))
-        counts = counts.to_numpy()
-        found[lexicon.place(word.to_numpy().view(np.uint64))] = model.samples.weights(counts, _totals(tables, counts))
+        context, customers, kept = (rows.column(c).combine_chunks() for c in ("context", "customers", "kept"))
+        customers = customers.to_numpy()
+        found[lexicon.place(context.to_numpy().view(np.uint64))] = model.samples.weights(customers, _totals(kept, customers))
     return found
 
 
-# Kinds of rows: of a text's sums, and of pairs to look up (below them).
-_TOKENS, _KNOWN, _BASE, _SCORE = 2, 3, 4, 5
-
-
-def _local(model: Model, shared):
-    """Per text a row for each of its sums: of the kinds ``_TOKENS``, ``_KNOWN`` and ``_BASE`` as far as the lexicon holds its
-    words, and ``_SCORE`` as far as the lists do, other pairs taken for seen once (in a learned text) or never. And a row
-    without a value per occurrence of a pair that is not listed, which may tell otherwise; its kind is 1 in a learned text.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, logs, weights = shared.value
-        listed, samples = Listed(hashes, logs), model.samples
-        for batch in batches:
-            ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for first, stream, bounds in tokens(batch.column(3)):
-                rows = len(bounds) - 1
-                text = np.repeat(np.arange(rows), np.diff(bounds))
-                pairs = _joined(_before(stream, bounds, _END), stream)
-                score = listed.find(pairs)
-                other = np.isnan(score)
-                place = model.lexicon.place(stream)
-                all_counts = model.lexicon.at(place)[1]
-                base = np.where(place >= 0, model.base(np.maximum(all_counts, 0)), 0.0)
-                before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
-                both = other & (place >= 0) & (before >= 0)
-                classes, customers = model.lexicon.at(before[both])
-                dishes, counts = model.lexicon.at(place[both])
-                backed = samples.backed(weights[before[both]], classes, dishes) * model.inside(dishes, counts)
-                learned = ~held[first : first + rows]
-                score[other] = 0.0
-                score[both] = np.log10(backed + np.where(learned[text[both]], samples.single(customers), 0.0))
-                own = ids[first : first + rows]
-                at = text[other]
-                sums = [np.diff(bounds).astype(float), np.bincount(text[place >= 0], minlength=rows).astype(float)]
-                sums += [np.bincount(text, weights=x, minlength=rows) for x in (base, score)]
-                kinds = np.repeat(np.array([_TOKENS, _KNOWN, _BASE, _SCORE], dtype=np.int8), rows)
-                values = np.append(np.concatenate(sums), np.zeros(len(at)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([np.tile(own, len(sums)), own[at]])),
-                        pa.array(np.concatenate([np.tile(~own, len(sums)), pairs[other].view(np.int64)])),
-                        pa.array(np.concatenate([kinds, learned[at].astype(np.int8)])),
-                        pa.array(values, mask=np.arange(len(values)) >= len(kinds)),
-                    ],
-                    names=["id", "pair", "kind", "value"],
-                )
+class Occurrences(NamedTuple):
+    """Tokens of some texts: their text, the token before, their hashes, places in the lexicon, and the logarithm of a listed pair."""
 
-    return run
+    text: np.ndarray
+    contexts: np.ndarray
+    stream: np.ndarray
+    pairs: np.ndarray
+    place: np.ndarray
+    before: np.ndarray
+    logs: np.ndarray
 
 
-_ASKED = "id long, key long, times int, kind byte, dish int, scale double, own double"
+class Lists:
+    """The broadcast lists, as a task uses them."""
+
+    def __init__(self, model: Model, shared) -> None:
+        hashes, logs, self.weights = shared.value
+        self.model, self.pairs, self.logs = model, Finder(hashes), np.append(logs, np.nan)
+        self.words, self.base = Finder(model.lexicon.words), np.append(model.base(model.lexicon.counts), 0.0)
+
+    def occurrences(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, Occurrences]]:
+        """First row and bounds of some texts, and their tokens; the logarithm of a pair that is not listed is not a number."""
+        end = int(self.words.place(np.array([_END]))[0])
+        for first, stream, bounds in tokens(texts):
+            text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            contexts, place = _before(stream, bounds, _END), self.words.place(stream)
+            pairs = _joined(contexts, stream)
+            logs = self.logs[self.pairs.place(pairs)]
+            yield first, bounds, Occurrences(text, contexts, stream, pairs, place, _before(place, bounds, end), logs)
+
+    def sums(self, own: Occurrences, learned: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per text its tokens and, as far as the lexicon holds its words, those known and their base; and its score as far as
+        the lists hold it, other pairs of listed words taken for seen once (in a learned text) or never.
+        """
+        rows, model = len(learned), self.model
+        both = np.flatnonzero(np.isnan(own.logs) & (own.place >= 0) & (own.before >= 0))
+        classes, customers = model.lexicon.at(own.before[both])
+        dishes, counts = model.lexicon.at(own.place[both])
+        backed = model.samples.backed(self.weights[own.before[both]], classes, dishes) * model.inside(dishes, counts)
+        score = np.nan_to_num(own.logs, nan=0.0)
+        score[both] = np.log10(backed + np.where(learned[own.text[both]], model.samples.single(customers), 0.0))
+        known = np.bincount(own.text[own.place >= 0], minlength=rows)
+        return np.bincount(own.text, minlength=rows), known, *(np.bincount(own.text, weights=x, minlength=rows) for x in (self.base[own.place], score))
 
 
 def _asked(ids, keys, times, kinds, dishes, scales, own) -> pa.RecordBatch:
     """Rows of words to look up. Where ``_OF_WORD``, ``key`` follows a context that is known: ``scale`` is what its
-    restaurant takes from its base and ``own`` what a pair has of its own, both 0 if a list holds the pair. Else ``key`` is
-    the context of a listed word of class ``dish``, whose probability within that is ``scale``; ``own`` is 1 if learned.
+    restaurant takes from its base and ``own`` what a pair has of its own, both 0 if the pair is listed or stored. Else ``key``
+    is the context of a listed word of class ``dish``, whose probability within that is ``scale``; ``own`` is 1 if learned.
     """
     columns = [ids, keys, times.astype(np.int32), kinds.astype(np.int8), dishes.astype(np.int32), scales, own]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "key", "times", "kind", "dish", "scale", "own"])
@@ -987,106 +1200,212 @@ def _asked(ids, keys, times, kinds, dishes, scales, own) -> pa.RecordBatch:
 _OF_CONTEXT, _OF_WORD = 0, 1
 
 
+def _lone(own: Occurrences) -> tuple[np.ndarray, np.ndarray]:
+    """Where the distinct pairs of each text stand that no list holds, if the lexicon lacks both words; how often they occur."""
+    at = np.flatnonzero((own.place < 0) & (own.before < 0) & np.isnan(own.logs))
+    order, begins, times = _distinct(own.text[at], own.pairs[at])
+    return at[order[begins]], times
+
+
+def _half_listed(lists: Lists, own: Occurrences, learned: np.ndarray) -> tuple[np.ndarray, ...]:
+    """As ``_lone`` those pairs of which one word has to be looked up, with ``kind``, ``dish``, ``scale`` and ``own`` of ``_asked``."""
+    model = lists.model
+    rare, lone = own.place < 0, own.before < 0
+    at = np.flatnonzero(rare | lone)
+    open_ = np.isnan(own.logs[at])
+    # A pair of two rare words is looked up here if a list holds it: for its word's count.
+    wanted = np.where(rare[at], ~(lone[at] & open_), open_)
+    at, open_ = at[wanted], open_[wanted]
+    order, begins, times = _distinct(own.text[at], own.pairs[at])
+    at, open_ = at[order[begins]], open_[order[begins]]
+    of_word, of_learned = rare[at], learned[own.text[at]]
+    scales, alone = np.zeros(len(at)), np.zeros(len(at))
+    new = of_word & open_
+    classes, customers = model.lexicon.at(own.before[at[new]])
+    scales[new] = model.samples.backed(lists.weights[own.before[at[new]]], classes, np.full(int(new.sum()), model.lexicon.rare))
+    alone[new] = np.where(of_learned[new], model.samples.single(customers), 0.0)
+    dishes, counts = model.lexicon.at(own.place[at])
+    scales[~of_word] = model.inside(dishes[~of_word], counts[~of_word])
+    alone[~of_word] = of_learned[~of_word]
+    return at, times, of_word * _OF_WORD, dishes, scales, alone
+
+
 def _rare_pairs(model: Model, shared, both: bool):
     """A row per distinct pair of a text with a word that the lexicon lacks, if there is anything to look up.
 
-    ``both``: pairs that no list holds, both of whose words have to be looked up (``id``, ``context``, ``word``, ``times``,
-    ``learned``). Else those of which one word has to be (``_asked``).
+    ``both``: pairs that no list holds and of which the lexicon has neither word (``id``, ``context``, ``word``, ``times``,
+    ``learned``). Else those of which one word has to be looked up (``_asked``).
     """
-    samples = model.samples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, logs, weights = shared.value
-        listed = Listed(hashes, logs)
+        lists = Lists(model, shared)
         for batch in batches:
-            ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for first, stream, bounds in tokens(batch.column(3)):
-                text = np.repeat(np.arange(first, first + len(bounds) - 1), np.diff(bounds))
-                contexts = _before(stream, bounds, _END)
-                place = model.lexicon.place(stream)
-                before = _before(place, bounds, int(model.lexicon.place(np.array([_END]))[0]))
-                rare, lone = place < 0, before < 0
-                at = np.flatnonzero(rare & lone if both else rare | lone)
-                open_ = np.isnan(listed.find(_joined(contexts[at], stream[at])))
+            all_ids, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for first, bounds, own in lists.occurrences(batch.column(3)):
+                rows = slice(first, first + len(bounds) - 1)
+                ids, learned = all_ids[rows], ~held[rows]
                 if both:
-                    at = at[open_]
-                else:
-                    # A pair of two rare words is looked up here if a list holds it: for its word's count.
-                    wanted = np.where(rare[at], ~(lone[at] & open_), open_)
-                    at, open_ = at[wanted], open_[wanted]
-                order, begins, times = _distinct(text[at], contexts[at], stream[at])
-                at, own = at[order[begins]], ids[text[at[order[begins]]]]
-                learned = ~held[text[at]]
-                if both:
-                    columns = [own, contexts[at].view(np.int64), stream[at].view(np.int64), times.astype(np.int32), learned]
+                    at, times = _lone(own)
+                    columns = [ids[own.text[at]], own.contexts[at].view(np.int64), own.stream[at].view(np.int64), times.astype(np.int32), learned[own.text[at]]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "context", "word", "times", "learned"])
-                    continue
-                of_word, open_ = rare[at], open_[order[begins]]
-                scales, alone = np.zeros(len(at)), np.zeros(len(at))
-                new = of_word & open_
-                classes, customers = model.lexicon.at(before[at[new]])
-                scales[new] = samples.backed(weights[before[at[new]]], classes, np.full(int(new.sum()), model.lexicon.rare))
-                alone[new] = np.where(learned[new], samples.single(customers), 0.0)
-                dishes, counts = model.lexicon.at(place[at])
-                scales[~of_word] = model.inside(dishes[~of_word], counts[~of_word])
-                alone[~of_word] = learned[~of_word]
-                yield _asked(own, np.where(of_word, stream[at], contexts[at]).view(np.int64), times, of_word * _OF_WORD, dishes, scales, alone)
+                else:
+                    at, times, kinds, *others = _half_listed(lists, own, learned)
+                    yield _asked(ids[own.text[at]], np.where(kinds == _OF_WORD, own.stream[at], own.contexts[at]).view(np.int64), times, kinds, *others)
 
     return run
 
 
-def _rare_contexts(model: Model):
-    """Pairs of two rare words, with what is known of the first (``of_key``, ``tables``), as rows that ask for the second."""
-    samples, rare = model.samples, model.lexicon.rare
+def _distinct(texts: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the rows, where in it each distinct row begins, and how often it occurs."""
+    keys = _joined(pairs, texts.astype(np.uint64))
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return order, at, np.diff(np.append(at, len(order)))
+
+
+# Parcels of the texts' sums, of unlisted pairs and words to look up, and of what is known of pairs, words and contexts.
+_OF_TEXT, _ASKED_PAIR, _ASKED_WORD, _OF_PAIR, _WORD_COUNT, _CONTEXT_TABLES = range(6)
+_LOOKED_UP = ["bucket", "kind", "key", "id", "flag", "times", "dish", "scale", "own", "known", "base", "value"]
+_LOOKED_UP_ROWS = "bucket int, kind byte, " + ", ".join(f"{c} binary" for c in _LOOKED_UP[2:])
+
+
+def _questions(model: Model, shared, buckets: int):
+    """Of texts (``id``, ``key``, ``held_out``, ``text``) their sums, every occurrence of a pair that is not listed, and the
+    words that the lexicon lacks: of a pair of two such words, which is always stored, only the second for its count.
+    """
+
+    def parcels(kind: int, at: str, held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        columns = {c: np.concatenate([x[c] for x in held]) for c in held[0]}
+        return _rows_of(_LOOKED_UP, kind, _parcels(_spread(columns[at].view(np.uint64), buckets), **columns))
+
+    def flushed(texts, pairs, words_) -> Iterator[pa.RecordBatch]:
+        for kind, at, held in ((_OF_TEXT, "id", texts), (_ASKED_PAIR, "key", pairs), (_ASKED_WORD, "key", words_)):
+            if held:
+                yield from _few(parcels(kind, at, held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, size = Lists(model, shared), 0
+        held: tuple[list, list, list] = ([], [], [])
         for batch in batches:
-            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            customers, learned = get["of_key"].to_numpy(), get["learned"].to_numpy(zero_copy_only=False).astype(bool)
-            rares = np.full(batch.num_rows, rare)
-            scales = samples.backed(samples.weights(customers, _totals(get["tables"], customers)), rares, rares)
-            own = np.where(learned, samples.single(customers), 0.0)
-            yield _asked(get["id"].to_numpy(), get["word"].to_numpy(), get["times"].to_numpy(), np.full(batch.num_rows, _OF_WORD), rares, scales, own)
+            all_ids, held_out_ = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for first, bounds, own in lists.occurrences(batch.column(3)):
+                rows = slice(first, first + len(bounds) - 1)
+                ids, learned = all_ids[rows], ~held_out_[rows]
+                times, known, base, value = lists.sums(own, learned)
+                held[0].append({"id": ids, "times": times, "known": known, "base": base, "value": value})
+                other = np.flatnonzero(np.isnan(own.logs))
+                text = own.text[other]
+                held[1].append({"key": own.pairs[other], "id": ids[text], "flag": learned[text].astype(np.uint8)})
+                at, times = _lone(own)
+                none = np.zeros(len(at), dtype=np.float32)
+                held[2].append({
+                    "key": own.stream[at], "id": ids[own.text[at]], "times": times, "flag": np.full(len(at), _OF_WORD, dtype=np.uint8),
+                    "dish": np.zeros(len(at), dtype=np.int16), "scale": none, "own": none,
+                })
+                at, times, kinds, dishes, scales, alone = _half_listed(lists, own, learned)
+                held[2].append({
+                    "key": np.where(kinds == _OF_WORD, own.stream[at], own.contexts[at]), "id": ids[own.text[at]], "times": times,
+                    "flag": kinds.astype(np.uint8), "dish": dishes.astype(np.int16), "scale": scales.astype(np.float32), "own": alone.astype(np.float32),
+                })
+                size += len(other) + len(ids)
+                if size > HELD_ASKED:
+                    yield from flushed(*held)
+                    held, size = ([], [], []), 0
+        yield from flushed(*held)
 
     return run
 
 
-def _rare_sums(model: Model):
-    """Of the rows above, with what is known of their words, the parts of the texts' sums."""
-    samples, rare = model.samples, model.lexicon.rare
+def _pair_gains(buckets: int):
+    """Parcels of stored pairs by their hash: ``scale`` is ``seen``, ``own`` is ``unseen``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            times, counts, kinds, dishes, scales, own = (get[c].to_numpy() for c in ("times", "of_key", "kind", "dish", "scale", "own"))
-            of_word = kinds == _OF_WORD
-            value = np.zeros(batch.num_rows)
-            new = of_word & (scales > 0)
-            value[new] = np.log10(scales[new] * model.rare.of(counts[new]) + own[new])
-            others = ~of_word
-            customers, lists = counts[others], get["tables"].filter(pa.array(others))
-            backed = samples.backed(samples.weights(customers, _totals(lists, customers)), np.full(len(customers), rare), dishes[others])
-            value[others] = np.log10(backed * scales[others] + own[others] * samples.single(customers))
-            times = times.astype(np.int64)
-            columns = [np.where(of_word & (counts > 0), times, 0), np.where(of_word, times * model.base(counts), 0.0), times * value]
-            yield pa.RecordBatch.from_arrays([get["id"], *map(pa.array, columns)], names=["id", "known", "base", "value"])
+            pairs, seen, unseen = (batch.column(k).to_numpy() for k in range(3))
+            yield _rows_of(_LOOKED_UP, _OF_PAIR, _parcels(_spread(pairs.view(np.uint64), buckets), key=pairs, scale=seen, own=unseen))
 
     return run
 
 
-def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order of the rows, where in it each distinct row begins, and how often it occurs."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    at = np.flatnonzero(new)
-    return order, at, np.diff(np.append(at, len(order)))
+def _context_tables(lexicon: Lexicon, buckets: int):
+    """Parcels of the contexts that the lexicon lacks: ``times`` are their tables by sweep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(lexicon.words)
+        for batch in batches:
+            contexts = batch.column(0).to_numpy().view(np.uint64)
+            at = np.flatnonzero(finder.place(contexts) < 0)
+            tables = batch.column(1).flatten().to_numpy().reshape(-1, SWEEPS)[at]
+            yield _rows_of(_LOOKED_UP, _CONTEXT_TABLES, _parcels(_spread(contexts[at], buckets), key=contexts[at], times=tables))
+
+    return run
+
+
+_ANSWERED = ["id", "copies", "times", "known", "base", "value"]
+_ANSWERED_ROWS = "bucket int, " + ", ".join(f"{c} binary" for c in _ANSWERED)
+
+
+def _answers(model: Model, buckets: int):
+    """What a bucket knows of the texts' sums, in parcels by text."""
+    samples, rare = model.samples, model.lexicon.rare
+
+    def words_(asked: pa.Table, counted: pa.Table, contexts: pa.Table) -> tuple[np.ndarray, ...]:
+        """Tokens known, their base, and the score, by row that asks for a word."""
+        keys, times, kinds = (_flat(asked.column(c), kind) for c, kind in (("key", np.uint64), ("times", np.int64), ("flag", np.uint8)))
+        dishes, scales, own = (_flat(asked.column(c), kind) for c, kind in (("dish", np.int16), ("scale", np.float32), ("own", np.float32)))
+        known, of_word = _sorted(_flat(counted.column("key"), np.uint64), _flat(counted.column("times"), np.int64))
+        counts = np.append(of_word, 0)[Finder(known).place(keys)]
+        of_word, value = kinds == _OF_WORD, np.zeros(len(keys))
+        new = of_word & (scales > 0)
+        value[new] = np.log10(scales[new].astype(float) * model.rare.of(counts[new]) + own[new])
+        others = np.flatnonzero(~of_word)
+        customers = counts[others]
+        known, tables = _sorted(_flat(contexts.column("key"), np.uint64), _flat(contexts.column("times"), np.int64).reshape(-1, SWEEPS))
+        at = Finder(known).place(keys[others])
+        totals = np.repeat(customers[:, None], SWEEPS, axis=1)
+        totals[at >= 0] = tables[at[at >= 0]]
+        backed = samples.backed(samples.weights(customers, totals), np.full(len(others), rare), dishes[others])
+        value[others] = np.log10(backed * scales[others] + own[others] * samples.single(customers))
+        return np.where(of_word & (counts > 0), times, 0), np.where(of_word, times * model.base(counts), 0.0), times * value
+
+    def run(parcels: pa.Table) -> pa.Table:
+        texts, pairs, asked, stored, counted, contexts = _split(parcels, *range(6))
+        known, seen, unseen = _sorted(_flat(stored.column("key"), np.uint64), *(_flat(stored.column(c), np.float32) for c in ("scale", "own")))
+        at = Finder(known).place(_flat(pairs.column("key"), np.uint64))
+        hit = np.flatnonzero(at >= 0)
+        at, learned = at[hit], _flat(pairs.column("flag"), np.uint8)[hit] > 0
+        ids = [_flat(x.column("id"), np.int64) for x in (texts, pairs, asked)]
+        ids[1] = ids[1][hit]
+        none = [np.zeros(len(x)) for x in ids]
+        times, known_, base = _flat(texts.column("times"), np.int64), _flat(texts.column("known"), np.int64), _flat(texts.column("base"), np.float64)
+        of_words = words_(asked, counted, contexts)
+        columns = (
+            [np.ones(len(ids[0])), none[1], none[2]], [times, none[1], none[2]], [known_, none[1], of_words[0]], [base, none[1], of_words[1]],
+            [_flat(texts.column("value"), np.float64), np.where(learned, seen[at], unseen[at]), of_words[2]],
+        )
+        found, *sums = _sums(np.concatenate(ids), *(np.concatenate(x).astype(float) for x in columns))
+        parcels_ = _parcels(_spread(found.view(np.uint64), buckets), **dict(zip(_ANSWERED, (found, *sums), strict=True)))
+        return pa.Table.from_pydict(parcels_)
+
+    return run
+
+
+def _text_sums(parcels: pa.Table) -> pa.Table:
+    """The texts of a bucket; those equal in key and text share one id, their sums are divided by their number."""
+    kinds = [np.int64, *[np.float64] * 5]
+    found, copies, *sums = _sums(*(_flat(parcels.column(c), kind) for c, kind in zip(_ANSWERED, kinds, strict=True)))
+    return pa.Table.from_arrays([pa.array(found), *(pa.array(x / copies) for x in sums)], names=["id", "n_tokens", "n_known", "base_score", "score"])
 
 
 # Shuffles of this operator's own jobs are read by these alone; their files go when a job ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+# Whole texts and parcels go through the JVM and the workers in small batches, which each hold several times over.
+_SETTINGS = {_CLEANUP: "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.parquet.columnarReaderBatchSize": "1024"}
+
+
 def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` and ``perplexity`` (of the score, per token).
@@ -1094,12 +1413,14 @@ def score(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Runs its jobs at once. Rows equal in key and text share one id; their sums are divided by their number.
     """
     spark = rows.sparkSession
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {name: spark.conf.get(name) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         return _scored(rows, key, text)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _scored(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -1109,51 +1430,41 @@ def _scored(rows: DataFrame, key: str, text: str) -> DataFrame:
         F.xxhash64(given.isNull(), given, content.isNull(), content).alias("id"), given.alias("key"), held_out(key).alias("held_out"), content.alias("text")
     )
     found = _fit(texts.select("text", (~F.col("held_out")).alias("learned"), F.col("held_out").alias("asked")))
-    model, known = found.model, found.known
+    model, contexts, buckets = found.model, found.contexts, found.buckets
     pairs, of_pairs = written(found.pairs.select("pair", "count", "log", "seen", "unseen"))
     _release(spark, *found.folders)
     listed = _listed(pairs)
-    shared = spark.sparkContext.broadcast((listed.pairs, listed.logs, _listed_weights(model, known)))
-    kind_, value = F.col("kind"), F.col("value")
-    gain = F.when(kind_ == 1, F.col("seen")).otherwise(F.col("unseen")).cast("double")
-    scores = materialize(
-        texts.mapInArrow(_local(model, shared), "id long, pair long, kind byte, value double")
-        .join(pairs.select("pair", "seen", "unseen"), "pair", "left")
-        .groupBy("id")
-        .agg(
-            F.count(F.when(kind_ == _SCORE, value)).alias("copies"),
-            *(F.max(F.when(kind_ == k, value)).alias(c) for k, c in ((_TOKENS, "n_tokens"), (_KNOWN, "n_known"), (_BASE, "base_score"))),
-            F.sum(F.when(kind_ == _SCORE, value).when(value.isNull(), F.coalesce(gain, F.lit(0.0)))).alias("value"),
-        )
+    shared = spark.sparkContext.broadcast((listed.pairs, listed.logs, _listed_weights(model, contexts)))
+    counts = _counts_by_word(model.lexicon, buckets, _LOOKED_UP, _WORD_COUNT, "key", "times")
+    known = (
+        pairs.select("pair", "seen", "unseen").mapInArrow(_pair_gains(buckets), _LOOKED_UP_ROWS)
+        .unionByName(found.counted.select("word", "count").mapInArrow(counts, _LOOKED_UP_ROWS))
+        .unionByName(contexts.select("context", "kept").mapInArrow(_context_tables(model.lexicon, buckets), _LOOKED_UP_ROWS))
     )
+    scores = [
+        materialize(
+            texts.where(F.pmod("id", F.lit(PARTS)) == part)
+            .mapInArrow(_questions(model, shared, buckets), _LOOKED_UP_ROWS)
+            .unionByName(known)
+            .groupBy("bucket").applyInArrow(_answers(model, buckets), _ANSWERED_ROWS)
+            .groupBy("bucket").applyInArrow(_text_sums, "id long, n_tokens double, n_known double, base_score double, score double")
+        )
+        for part in range(PARTS)
+    ]
     _release(spark, of_pairs)
-    none = F.lit(0)
-    of_keys = known.select(F.col("word").alias("key"), F.col("count").alias("of_key"), "tables")
-    of_key = F.coalesce("of_key", none.cast("long"))
-    lone = (
-        texts.mapInArrow(_rare_pairs(model, shared, both=True), "id long, context long, word long, times int, learned boolean")
-        .withColumnRenamed("context", "key").join(of_keys, "key", "left").withColumn("of_key", of_key)
-        .mapInArrow(_rare_contexts(model), _ASKED)
-    )
-    rare = materialize(
-        texts.mapInArrow(_rare_pairs(model, shared, both=False), _ASKED).unionByName(lone)
-        .join(of_keys, "key", "left").withColumn("of_key", of_key)
-        .mapInArrow(_rare_sums(model), "id long, known long, base double, value double")
-        .groupBy("id").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("value").alias("more_score"))
-    )
-    copies = F.col("copies")
-    total = (F.col("value") + F.coalesce("more_score", none)) / copies
+    scored = scores[0]
+    for other in scores[1:]:
+        scored = scored.unionByName(other)
     return materialize(
-        texts.select("id", F.col("key").alias("_key"), "held_out").join(scores, "id")
-        .join(rare, "id", "left")
+        texts.select("id", F.col("key").alias("_key"), "held_out").join(scored, "id")
         .select(
             F.col("_key").alias(key),
             "held_out",
             F.col("n_tokens").cast("long").alias("n_tokens"),
-            (F.col("n_known") + F.coalesce("more_known", none) / copies).cast("long").alias("n_known"),
+            F.col("n_known").cast("long").alias("n_known"),
             F.lit(model.tokens).cast("long").alias("train_tokens"),
-            (F.col("base_score") + F.coalesce("more_base", none) / copies).alias("base_score"),
-            total.alias("score"),
-            F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
+            "base_score",
+            "score",
+            F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
         )
     )

@@ -256,3 +256,33 @@ def test_only_open_questions_are_looked_up(spark, monkeypatch):
     # b rare, a other, rare and the end; not rare a, which a list holds.
     end = sorted((r["key"], r["kind"]) for r in one)
     assert end == sorted([(signed["rare"], lm._OF_WORD), (signed["other"], lm._OF_WORD), (signed["rare"], lm._OF_CONTEXT)])
+
+
+def test_pairs_travel_in_a_row_per_bucket():
+    """Counting passes on as many rows as there are buckets, not one per pair; nothing is lost on the way."""
+    texts = [t for _, t in pair_texts()]
+    streams = [s for _, s, _ in lm.tokens(pa.array([" ".join(texts)]))]
+    found, counts = np.unique(np.concatenate(streams), return_counts=True)
+    lexicon = lm.Lexicon(found, counts, np.arange(len(found)), len(found))
+    flags = pa.array([True] * len(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), flags, flags], names=["text", "learned", "asked"])
+    rows = [r for b in lm._count_pairs(lexicon, 4)([batch, batch]) for r in b.to_pylist()]
+    assert sorted(r["bucket"] for r in rows) == [0, 1, 2, 3, 4]
+    pairs = Counter()
+    for text in texts:
+        own = tokens(text)
+        pairs.update(zip([None, *own[:-1]], own, strict=True))
+    given = np.concatenate([np.frombuffer(r["count"], dtype=np.int64) for r in rows if r["bucket"] < 4])
+    assert sorted((given % lm.ASKED).tolist()) == sorted(2 * n for n in pairs.values())
+    assert (given > lm.ASKED).all()
+
+
+def test_finder_agrees_with_a_search():
+    draw = np.random.default_rng(4)
+    for size in (0, 1, 7, 5_000):
+        keys = np.unique(draw.integers(0, 1 << 63, size).astype(np.uint64))
+        asked = np.concatenate([keys, draw.integers(0, 1 << 63, 1_000).astype(np.uint64), np.array([0, lm._END], dtype=np.uint64)])
+        at = {k: n for n, k in enumerate(keys.tolist())}
+        assert lm.Finder(keys).place(asked).tolist() == [at.get(k, -1) for k in asked.tolist()]
+    shared = lm.Finder(keys)
+    assert (shared.table == -2).any()  # slots of several keys are searched
