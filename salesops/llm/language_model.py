@@ -27,9 +27,10 @@ seatings, each drawn by itself or as numbers of words per number of tables.
 Counts of words and pairs cover all training texts and stay distributed. A pair
 that is learned once always has one table of its own, so it needs no sampling and
 is not stored, unless a held-out text has it: a pair of a learned text that no
-stored row holds was learned once. Scoring takes the ``FREQUENT`` most frequent
+stored row holds was learned once. Pairs of two words that the list lacks are
+always stored. Numbers travel in parcels, a row per bucket, as binary values. Scoring takes the ``FREQUENT`` most frequent
 words and ``FREQUENT_PAIRS`` pairs from broadcast lists of these fixed lengths,
-looks all other pairs up by one join, and joins the words that the list lacks.
+looks all other pairs and words up in the bucket of their hash.
 
 Defined cases: a null text is an empty one (its end is its one token); a null key
 counts as an empty text when keys are drawn, which holds it out; repeated rows
@@ -70,6 +71,10 @@ DISHES = 4096
 BURN_IN, SWEEPS = 3, 6
 # Counts up to here have their numbers of tables drawn from the exact distribution.
 EXACT = 64
+# Counts up to here have them drawn without logarithms.
+FEW = 8
+# Dishes that a sweep takes together: the steps that large dishes need are taken once for all of them.
+TOGETHER = 400_000
 STRENGTH = 1.0
 UNKNOWN_SHARE = 0.5
 _END = np.uint64(0xE0D0F0A7E0D0F0A7)
@@ -94,18 +99,20 @@ def tokens(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 class Finder:
-    """Where 64-bit keys stand among sorted distinct ones, by a table of slots; a search serves slots that several share."""
+    """Where 64-bit keys stand among sorted distinct ones, by a table of slots; keys that share one have a table of their own."""
 
-    def __init__(self, keys: np.ndarray) -> None:
+    def __init__(self, keys: np.ndarray, odd: int = 0x9E3779B97F4A7C15, depth: int = 0) -> None:
         bits = max(len(keys).bit_length() + 2, 8)
-        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.keys, self.odd, self.shift = keys, np.uint64(odd), np.uint64(64 - bits)
         self.table = np.full(1 << bits, -1, dtype=np.int32)
         slots, at = self._slots(keys), np.arange(len(keys), dtype=np.int32)
         self.table[slots] = at
         self.table[slots[self.table[slots] != at]] = -2
+        self.shared = np.flatnonzero(self.table[slots] == -2)
+        self.others = Finder(keys[self.shared], odd * odd + 2 & (1 << 64) - 1, depth + 1) if len(self.shared) and depth < 4 else None
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys * self.odd) >> self.shift).astype(np.int64)
 
     def place(self, asked: np.ndarray) -> np.ndarray:
         """-1 where a key is not among them."""
@@ -113,10 +120,13 @@ class Finder:
             return np.full(len(asked), -1)
         at = self.table[self._slots(asked)]
         found = np.where(self.keys[np.maximum(at, 0)] == asked, at, -1).astype(np.int64)
-        shared = np.flatnonzero(at == -2)
-        if len(shared):
-            there = np.minimum(np.searchsorted(self.keys, asked[shared]), len(self.keys) - 1)
-            found[shared] = np.where(self.keys[there] == asked[shared], there, -1)
+        open_ = np.flatnonzero(at == -2)
+        if len(open_) and self.others:
+            there = self.others.place(asked[open_])
+            found[open_] = np.where(there >= 0, self.shared[there], -1)
+        elif len(open_):
+            there = np.minimum(np.searchsorted(self.keys, asked[open_]), len(self.keys) - 1)
+            found[open_] = np.where(self.keys[there] == asked[open_], there, -1)
         return found
 
 
@@ -225,7 +235,7 @@ def _lexicon(counted: DataFrame) -> Lexicon:
 
 def _before(values: np.ndarray, bounds: np.ndarray, end) -> np.ndarray:
     """What stands before each token; a text begins after an end."""
-    before = np.full(len(values), end, dtype=values.dtype)
+    before = np.empty_like(values)
     before[1:] = values[:-1]
     before[bounds[:-1]] = end
     return before
@@ -562,13 +572,20 @@ def table_weights(most: int, discount_: float) -> np.ndarray:
 def drawn_tables(counts: np.ndarray, pulls: np.ndarray, weights: np.ndarray, uniforms: np.ndarray) -> np.ndarray:
     """Numbers of tables of dishes from their exact distribution; ``weights`` are ``table_weights``."""
     found = np.ones(len(counts), dtype=np.int64)
-    order = np.argsort(counts, kind="stable")
-    logs = np.log(np.maximum(pulls, 1e-300))
+    order = np.argsort(counts.astype(np.min_scalar_type(len(weights))), kind="stable")
     bounds = np.searchsorted(counts[order], np.arange(2, len(weights) + 1))
     for n, begin, end in zip(range(2, len(weights)), bounds, bounds[1:], strict=False):
-        if begin < end:
-            at = order[begin:end]
-            chance = weights[n, 1 : n + 1] + logs[at, None] * np.arange(1, n + 1)
+        if begin == end:
+            continue
+        at = order[begin:end]
+        if n <= FEW:  # powers of a pull are no risk yet, nor is their sum
+            powers, share = [np.ones(len(at))], np.exp(weights[n, 2 : n + 1] - weights[n, 1])
+            for _ in share:
+                powers.append(powers[-1] * pulls[at])
+            total = np.cumsum([powers[0], *(p * x for p, x in zip(powers[1:], share, strict=True))], axis=0)
+            found[at] += (total[:-1] < uniforms[at] * total[-1]).sum(axis=0)
+        else:
+            chance = weights[n, 1 : n + 1] + np.log(np.maximum(pulls[at], 1e-300))[:, None] * np.arange(1, n + 1)
             total = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
             found[at] += (total < uniforms[at, None] * total[:, -1:]).sum(axis=1)
     return found
@@ -688,6 +705,19 @@ def _lists(lengths: np.ndarray, values) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values))
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of restaurants, put together until they have many dishes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(_flat(batch.column(batch.schema.get_field_index("word")), np.int64))
+        if size > TOGETHER:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _sweep(parent: np.ndarray, discount_: float, sweep: int):
     """Rows of restaurants with new seatings; ``whole`` are the tables of a restaurant, of which a row may be a part.
 
@@ -697,7 +727,7 @@ def _sweep(parent: np.ndarray, discount_: float, sweep: int):
     weights = table_weights(EXACT, discount_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _together(batches):
             get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             contexts = get["context"].to_numpy().view(np.uint64)
             chunks, classes, whole, singles = (get[c].to_numpy() for c in ("chunk", "class", "whole", "singles"))
@@ -721,13 +751,14 @@ def _sweep(parent: np.ndarray, discount_: float, sweep: int):
             seated = _flat(get["seated"], np.int32) if sweep else np.zeros(len(counts), dtype=np.int32)
             before = get["totals"].flatten().to_numpy().reshape(rows, -1) if sweep else np.zeros((rows, 0), np.int64)
             totals = np.column_stack([before, own])
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [
                     *(get[c] for c in _KEPT), _blobs(dishes, tables.astype(np.int32)), _blobs(opened, seating.opened),
                     _blobs(dishes, (seated + tables * (sweep >= BURN_IN)).astype(np.int32)), _lists(np.full(rows, totals.shape[1]), totals.ravel()),
                 ],
                 names=[*_KEPT, *_SEATED, "totals"],
             )
+            yield from _few(found, 10_000)
 
     return run
 
