@@ -28,8 +28,9 @@ Counts of words and pairs cover all training texts and stay distributed. A pair
 that is learned once always has one table of its own, so it needs no sampling and
 is not stored, unless a held-out text has it: a pair of a learned text that no
 stored row holds was learned once. Pairs of two words that the list lacks are
-always stored. Numbers travel in parcels, a row per bucket, as binary values. Scoring takes the ``FREQUENT`` most frequent
-words and ``FREQUENT_PAIRS`` pairs from broadcast lists of these fixed lengths,
+always stored. Numbers travel in parcels, a row per bucket, as binary values.
+Scoring takes the ``FREQUENT`` most frequent words and ``FREQUENT_PAIRS`` pairs
+from broadcast lists of these fixed lengths,
 looks all other pairs and words up in the bucket of their hash.
 
 Defined cases: a null text is an empty one (its end is its one token); a null key
